@@ -131,3 +131,56 @@ def extract_tags(s: str, cat: str) -> str:
                      for n, ws in L.TAG_KEYWORDS.items() for w in ws]
     lst = "list_filter([" + ", ".join(items) + "], lambda x: x IS NOT NULL)"
     return f"array_to_string({ordered_distinct(lst)}, ', ')"
+
+
+def split_sentences(x: str, min_length: int = L.MIN_SENTENCE_LENGTH) -> str:
+    """Lines -> strip -> drop bullet -> split at sentence ends before a capital
+    (RE2 has no look-ahead: the capital is kept by re-inserting it after a
+    chr(1) marker) -> strip -> keep length > min_length."""
+    brk = "[.!?]+" + T.WS + "+([A-Z])"
+    line = (f"regexp_replace(regexp_replace({strip_ws('l')}, {q(T.BULLET)}, ''), {q(brk)}, "
+            f"chr(1) || '\\1', 'g')")
+    pieces = f"list_transform(string_split({line}, chr(1)), lambda s: {strip_ws('s')})"
+    return (f"list_filter(flatten(list_transform(string_split({x}, chr(10)), lambda l: {pieces})), "
+            f"lambda s: length(s) > {min_length})")
+
+
+def section_titles(x: str) -> str:
+    return f"regexp_extract_all({x}, {q(T.SECTION_HEADER)}, 1)"
+
+
+def section_pieces(x: str) -> str:
+    return f"regexp_split_to_array({x}, {q(T.SECTION_HEADER)})"
+
+
+def description_fallback(desc: str, content: str, title: str) -> str:
+    joined = strip_ws(f"concat_ws(' ', coalesce({desc}, ''), coalesce({content}, ''))")
+    return f"coalesce(nullif({joined}, ''), {title})"
+
+
+def news_location(title: str, content: str) -> str:
+    low = lower_text(title, content)
+    raw = f"concat_ws(' ', coalesce({title}, ''), coalesce({content}, ''))"
+    known = " ".join(f"WHEN contains({low}, {q(k.lower())}) THEN {q(k)}" for k in L.NEWS_KNOWN_LOCATIONS)
+    picks = [f"CASE {known} END"]
+    for p in T.NEWS_LOCATION_PATTERNS:
+        g = f"regexp_extract({raw}, {q(p)}, 1)"
+        picks.append(f"CASE WHEN length({g}) > 2 THEN {g} END")
+    return "coalesce(" + ", ".join(picks) + ")"
+
+
+def news_participants(title: str, content: str) -> str:
+    raw = f"concat_ws(' ', coalesce({title}, ''), coalesce({content}, ''))"
+    pat = T.BOUNDARY + "(" + T.CAP_WORD + T.WS + "+" + T.CAP_WORD + ")(?:$|" + T.NONWORD + ")"
+    bad = ", ".join(q(w) for w in L.NEWS_NON_PERSONS)
+    kept = f"list_filter(regexp_extract_all({raw}, {q(pat)}, 1), lambda x: x NOT IN ({bad}))"
+    return f"nullif(array_to_string(({kept})[1:{L.MAX_PARTICIPANTS}], ', '), '')"
+
+
+def nearest_year(title: str, content: str, around: str) -> str:
+    ty = first_year(title)
+    ys = f"list_filter({year_tokens(content)}, lambda y: y BETWEEN {L.YEAR_RANGE[0]} AND {L.YEAR_RANGE[1]})"
+    best = f"list_min(list_transform({ys}, lambda y, i: {{'d': abs(y - ({around})), 'i': i, 'y': y}}))"
+    content_year = f"CASE WHEN ({best}).d <= {L.NEAR_YEAR_WINDOW} THEN ({best}).y END"
+    return (f"CASE WHEN {ty} IS NOT NULL AND abs({ty} - ({around})) <= {L.NEAR_YEAR_WINDOW} THEN {ty} "
+            f"ELSE {content_year} END")
