@@ -35,12 +35,10 @@ def with_event_hash(df: DataFrame) -> DataFrame:
 def first_wins_dedupe(df: DataFrame, key: str = "event_hash", order_cols=("seq",)) -> DataFrame:
     """Keep, per ``key``, the row with the smallest ``order_cols`` tuple."""
     order_cols = list(order_cols)
-    rest = [c for c in df.columns if c != key and c not in order_cols]
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
-                      *[F.col(c) for c in rest])
-    best = df.groupBy(key).agg(F.min(packed).alias("_best"))
-    cols = [F.col(key)] + [F.col(f"_best._o{i}").alias(c) for i, c in enumerate(order_cols)] \
-        + [F.col(f"_best.{c}").alias(c) for c in rest]
+    rest = [c for c in df.columns if c != key]
+    order = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)])
+    best = df.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), order).alias("_best"))
+    cols = [F.col(key)] + [F.col(f"_best.{c}").alias(c) for c in rest]
     return best.select(*cols).select(*df.columns)
 
 

@@ -115,12 +115,12 @@ def completeness(spark: SparkSession, events: DataFrame) -> DataFrame:
     Two-level aggregate: (category, year) partial counts, then one global
     row; per-category totals come from a window over the small first level.
     """
-    ev = events.select("year", "category", "verified")
-    lvl1 = ev.groupBy("category", "year").agg(
+    ev = _with_root(events).select("year", "category", "verified", "digital_root")
+    lvl1 = ev.groupBy("category", "year", "digital_root").agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_if(F.coalesce(F.col("verified"), F.lit(False))).alias("_v"))
     lvl1 = lvl1.withColumn("_cat_n", F.sum("_n").over(Window.partitionBy("category")))
-    root = digital_root("year")
+    root = F.col("digital_root")  # the stored root, as the distribution reads it
     row = lvl1.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_events"),
         F.coalesce(F.sum("_v"), F.lit(0)).cast("long").alias("verified_events"),

@@ -29,20 +29,28 @@ def _has(df: DataFrame, name: str) -> bool:
     return name in df.columns
 
 
-def validation_errors(df: DataFrame, type_flags: dict[str, str] | None = None) -> Column:
+def validation_errors(df: DataFrame, type_flags: dict[str, str] | None = None,
+                      present: dict[str, str] | None = None) -> Column:
     """Ordered list of rule messages for each row (empty when valid).
 
     Rules are applied to the columns the frame has: required fields, year
     type and range, title length (if non-empty), description length,
     category, severity type and level, digital root range, URL, date.
-    ``type_flags`` maps 'year'/'severity' to a boolean column name that is
-    true when the raw value was an integer (for untyped JSON input).
+    For untyped JSON input, ``type_flags`` maps 'year'/'severity' to a
+    boolean column that is true when the raw value was an integer (the typed
+    column is then null for non-integers) and ``present`` maps a field to a
+    boolean column telling whether the key held a non-null value.
     """
     type_flags = type_flags or {}
+    present = present or {}
+
+    def is_present(f: str) -> Column:
+        return F.col(present[f]) if f in present else F.col(f).isNotNull()
+
     msgs: list[Column] = []
     for f in L.REQUIRED_FIELDS:
-        if _has(df, f):
-            msgs.append(F.when(F.col(f).isNull(), F.lit(f"Missing required field: {f}")))
+        if _has(df, f) or f in present:
+            msgs.append(F.when(~is_present(f), F.lit(f"Missing required field: {f}")))
         else:
             msgs.append(F.lit(f"Missing required field: {f}"))
     if _has(df, "year"):
@@ -51,8 +59,8 @@ def validation_errors(df: DataFrame, type_flags: dict[str, str] | None = None) -
         range_msg = F.concat(F.lit("Year "), y.cast("string"), F.lit(f" outside valid range {L.YEAR_RANGE}"))
         if "year" in type_flags:
             is_int = F.col(type_flags["year"])
-            msgs.append(F.when(y.isNotNull() & ~is_int, F.lit("Year must be an integer"))
-                        .when(y.isNotNull() & ~in_range, range_msg))
+            msgs.append(F.when(is_present("year") & ~is_int, F.lit("Year must be an integer"))
+                        .when(is_int & ~in_range, range_msg))
         else:
             msgs.append(F.when(y.isNotNull() & ~in_range, range_msg))
     if _has(df, "title"):
@@ -78,7 +86,7 @@ def validation_errors(df: DataFrame, type_flags: dict[str, str] | None = None) -
                            F.concat(F.lit("Invalid severity level: "), s.cast("string")))
         if "severity" in type_flags:
             is_int = F.col(type_flags["severity"])
-            msgs.append(F.when(s.isNotNull() & ~is_int, F.lit("Severity must be an integer"))
+            msgs.append(F.when(is_present("severity") & ~is_int, F.lit("Severity must be an integer"))
                         .otherwise(bad_level))
         else:
             msgs.append(bad_level)
@@ -100,8 +108,9 @@ def validation_errors(df: DataFrame, type_flags: dict[str, str] | None = None) -
     return F.array_compact(F.array(*msgs))
 
 
-def with_validation(df: DataFrame, type_flags: dict[str, str] | None = None) -> DataFrame:
-    errs = validation_errors(df, type_flags)
+def with_validation(df: DataFrame, type_flags: dict[str, str] | None = None,
+                    present: dict[str, str] | None = None) -> DataFrame:
+    errs = validation_errors(df, type_flags, present)
     return df.withColumn("errors", errs).withColumn("is_valid", F.size("errors") == 0)
 
 

@@ -110,3 +110,14 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)
+
+
+def order_key(*longs, s1=None, s2=None):
+    """Common ordering key of collected events: up to six integers and two
+    strings, compared field by field (list order inside a source)."""
+    ks = list(longs) + [F.lit(0)] * (6 - len(longs))
+    fields = [(k if not isinstance(k, (int, str)) else (F.col(k) if isinstance(k, str) else F.lit(k)))
+              .cast("long").alias(f"k{i + 1}") for i, k in enumerate(ks)]
+    fields.append((s1 if s1 is not None else F.lit("")).cast("string").alias("s1"))
+    fields.append((s2 if s2 is not None else F.lit("")).cast("string").alias("s2"))
+    return F.struct(*fields)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from histevents import lexicons as L
+from histevents.schema import order_key
 from histevents.operators.detect import detect_indicator_events, detect_market_crashes, monthly_points
 
 
@@ -84,25 +85,25 @@ def curated_events(spark: SparkSession, lo: int, hi: int) -> DataFrame:
 
 
 def collect_economic_events(spark: SparkSession, indicators: DataFrame, points: DataFrame | None,
-                            lo: int, hi: int, economies=L.MAJOR_ECONOMIES, market_enabled: bool = True) -> DataFrame:
+                            lo: int, hi: int, economies=L.MAJOR_ECONOMIES, market_enabled: bool = True,
+                            symbols=L.MARKET_INDICES) -> DataFrame:
     """L10 (economic): indicator events, then market crashes, then curated
     rows, with an ordering key (part, series, year/date, position)."""
     ind = detect_indicator_events(select_series(indicators, economies), lo, hi)
-    econ_order = F.array(*[F.lit(c) for c in (economies or ())])
-    ind = ind.withColumn("order_key", F.struct(
-        F.lit(0).alias("p"), F.coalesce(F.array_position(econ_order, F.col("country")), F.lit(0)).alias("a"),
-        F.col("country").alias("b"), F.col("indicator").alias("c"), F.col("year").cast("string").alias("d")))
+    econ_order = F.array(*[F.lit(c) for c in (economies or ("",))])
+    ind_order = F.array(*[F.lit(c) for c in L.WORLD_BANK_INDICATORS])
+    ind = ind.withColumn("order_key", order_key(
+        F.lit(0), F.array_position(econ_order, F.col("country")), F.array_position(ind_order, F.col("indicator")),
+        F.col("year"), s1=F.col("country"), s2=F.col("indicator")))
     parts = [ind.drop("country", "indicator", "value", "prev", "change_pct")]
     if points is not None:
-        mk = market_events(points, lo, hi, enabled=market_enabled)
+        mk = market_events(points, lo, hi, symbols=symbols, enabled=market_enabled)
         idx = F.array(*[F.lit(s) for s in L.MARKET_INDICES])
-        mk = mk.withColumn("order_key", F.struct(
-            F.lit(1).alias("p"), F.coalesce(F.array_position(idx, F.col("symbol")), F.lit(0)).alias("a"),
-            F.col("symbol").alias("b"), F.lit("").alias("c"), F.col("date").alias("d")))
+        mk = mk.withColumn("order_key", order_key(
+            F.lit(1), F.array_position(idx, F.col("symbol")), s1=F.col("symbol"), s2=F.col("date")))
         parts.append(mk.drop("symbol", "date", "close", "prev_close", "change_pct"))
-    cur = curated_events(spark, lo, hi).withColumn("order_key", F.struct(
-        F.lit(2).alias("p"), F.col("curated_idx").cast("long").alias("a"), F.lit("").alias("b"),
-        F.lit("").alias("c"), F.lit("").alias("d"))).drop("curated_idx")
+    cur = curated_events(spark, lo, hi).withColumn("order_key", order_key(
+        F.lit(2), F.col("curated_idx"))).drop("curated_idx")
     parts.append(cur)
     out = parts[0]
     for p in parts[1:]:

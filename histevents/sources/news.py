@@ -17,7 +17,7 @@ from pyspark.sql import types as T_
 from histevents import lexicons as L
 from histevents.functions.text import lower_text
 from histevents.operators.extract import article_events
-from histevents.schema import ARTICLE_SCHEMA
+from histevents.schema import ARTICLE_SCHEMA, order_key
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
@@ -91,4 +91,5 @@ def collect_news_events(spark: SparkSession, articles: DataFrame, lo: int, hi: i
     if not enabled:
         found = found.filter(F.lit(False))
     ev = article_events(found, "category")
-    return ev.withColumn("order_key", F.struct("category_idx", "keyword_idx", "hit_rank"))
+    return ev.withColumn("order_key", order_key(F.col("category_idx"), F.col("keyword_idx"), F.col("hit_rank"),
+                                                F.col("article_id")))

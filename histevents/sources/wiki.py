@@ -23,7 +23,7 @@ from pyspark.sql import types as T_
 from histevents import lexicons as L
 from histevents.functions import text as T
 from histevents.operators.extract import page_events
-from histevents.schema import WIKI_QUERY_RESPONSE_SCHEMA
+from histevents.schema import WIKI_QUERY_RESPONSE_SCHEMA, order_key
 
 NUMBER_TOKEN = r"(?<![\p{L}\p{N}_])([0-9]{1,4})(?![\p{L}\p{N}_])"
 
@@ -114,7 +114,8 @@ def collect_wiki_events(spark: SparkSession, pages: DataFrame, hits: DataFrame |
         cp = cp.withColumn("_k1", F.col("around_year")).withColumn("_k2", F.lit(1)) \
             .withColumn("_k3", F.col("subcategory_idx")).withColumn("_k4", F.col("hit_rank"))
         out = yp.unionByName(cp, allowMissingColumns=True)
-    order = F.struct("_k1", "_k2", "_k3", "_k4", "section_idx", "sentence_idx")
+    order = order_key(F.col("_k1"), F.col("_k2"), F.col("_k3"), F.col("_k4"), F.col("section_idx"),
+                      F.col("sentence_idx"))
     return out.withColumn("order_key", order).drop("_k1", "_k2", "_k3", "_k4")
 
 
