@@ -51,15 +51,21 @@ def anti_join_store(new: DataFrame, store: DataFrame, key: str = "event_hash") -
 
 def _signatures(events: DataFrame, id_col: str, text_col: str, group_col: str) -> tuple[DataFrame, DataFrame]:
     """(members, sigs): members(id, group, sig) and one row per (group, sig)
-    with its trigram set, size and member count."""
-    t = events.select(F.col(id_col).alias("_id"), F.col(group_col).alias("_g"),
-                      trigrams(F.col(text_col)).alias("_tri"))
-    t = t.withColumn("_tri", F.array_sort("_tri")).filter(F.size("_tri") > 0)
-    t = t.withColumn("_sig", F.sha2(F.array_join("_tri", "\u0001"), 256))
-    members = t.select("_id", "_g", "_sig")
-    sigs = (t.groupBy("_g", "_sig")
-            .agg(F.first("_tri").alias("_tri"), F.count(F.lit(1)).alias("_k"))
-            .withColumn("_n", F.size("_tri")))
+    with its trigram set, size and member count.
+
+    Rows are first pre-aggregated to distinct (group, lower-cased text) with
+    a partial count, so trigrams are computed once per distinct text after
+    the shuffle, never per row (and never inside the scan task).
+    """
+    base = events.select(F.col(id_col).alias("_id"), F.col(group_col).alias("_g"),
+                         F.lower(F.col(text_col)).alias("_norm"))
+    texts = base.groupBy("_g", "_norm").agg(F.count(F.lit(1)).alias("_k"))
+    texts = texts.withColumn("_tri", F.sort_array(trigrams(F.col("_norm"))))
+    texts = texts.withColumn("_n", F.size("_tri")).filter(F.col("_n") > 0)
+    texts = texts.withColumn("_sig", F.sha2(F.array_join("_tri", "\u0001"), 256))
+    members = base.join(texts.select("_g", "_norm", "_sig"), ["_g", "_norm"]).select("_id", "_g", "_sig")
+    sigs = (texts.groupBy("_g", "_sig")
+            .agg(F.first("_tri").alias("_tri"), F.sum("_k").alias("_k"), F.first("_n").alias("_n")))
     return members, sigs
 
 

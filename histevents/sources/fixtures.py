@@ -133,9 +133,25 @@ def base_tables_of(sql: str) -> list[str]:
     return [t for t in dict.fromkeys(_TABLE_REF.findall(sql)) if t in BASE_TABLES]
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an under-split input over the session's parallelism.
+
+    A small file with one row group is read by one task; the text work that
+    follows is CPU-bound, so it is spread before it starts.  Inputs that
+    already have enough splits (any large table) are returned unchanged, so
+    this never adds a shuffle at scale.  Filters and column pruning still
+    reach the scan below the repartition.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table as a DataFrame (parquet scan; pushdown and pruning apply)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table as a DataFrame (parquet scan; pushdown and pruning
+    apply), spread over the cores when the file is a single split."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names) -> None:
