@@ -51,28 +51,64 @@ def pct_change(value, prev) -> Column:
     return F.try_divide(v - p, p) * F.lit(100.0)
 
 
+def _scaled_half_even(ax: Column, digits: int) -> Column:
+    """round-half-even(|x| * 10**digits) on the exact binary value, as a long.
+
+    |x| is written exactly as M / 2**k with M an integer: k = 53 - floor(log2
+    |x|) is at least the number of fraction bits even if log2 is off by one
+    at a power of two, and scaling by a power of two is exact.  Then
+    N = 10**digits * M, quotient N >> k and remainder N & (2**k - 1) are
+    exact long operations, and the remainder is compared with 2**(k-1).
+    Valid for 2e-3 <= |x| < 2**52 (k in 2..62, N < 2**62).
+    """
+    k = (F.lit(53) - F.floor(F.log2(ax))).cast("int")
+    num = (ax * F.pow(F.lit(2.0), k)).cast("long") * F.lit(10 ** digits)
+    q = F.call_function("shiftright", num, k)
+    rem = num.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), k) - 1)
+    half = F.call_function("shiftleft", F.lit(1).cast("long"), k - 1)
+    up = (rem > half) | ((rem == half) & (q.bitwiseAND(F.lit(1)) == 1))
+    return q + up.cast("long")
+
+
 def format_1f(x) -> Column:
-    """``'%.1f' % x`` with round-half-even on the exact binary value.
+    """``'%.1f' % x``: round half-even on the exact binary value of the double.
 
-    Spark's ``format_string`` rounds half-up on the printed decimal; casting
-    to DECIMAL(38,18) first keeps the binary value and ``bround`` rounds it
-    the way Python's formatter does.
+    Spark's ``format_string`` and double->decimal casts work from the
+    shortest decimal text (0.35 -> "0.35" -> 0.4) while the stored value is
+    0.34999999999999997... (-> 0.3); ``_scaled_half_even`` rounds the
+    stored value.  Values >= 2**52 are integers; values < 2e-3 print 0.0.
     """
-    x = _c(x)
-    exact = F.bround(x.try_cast("decimal(38,18)"), 1).cast("string")
-    return F.coalesce(exact, F.format_string("%.1f", x))
+    x = _c(x).cast("double")
+    ax = F.abs(x)
+    j = _scaled_half_even(ax, 1)
+    small = F.concat(F.call_function("div", j, F.lit(10)).cast("string"), F.lit("."),
+                     F.pmod(j, F.lit(10)).cast("string"))
+    big = F.concat(ax.cast("decimal(38,0)").cast("string"), F.lit(".0"))
+    body = F.when(ax >= F.lit(2.0 ** 52), big).when(ax < F.lit(2e-3), F.lit("0.0")).otherwise(small)
+    sign = F.when((x < 0) | ((x == 0) & (F.lit(1.0) / x < 0)), F.lit("-")).otherwise(F.lit(""))
+    return F.when(x.isNull() | F.isnan(x), F.lit(None)).otherwise(F.concat(sign, body))
 
 
 def bround2_exact(x) -> Column:
     """Python ``round(v, 2)`` on a double (half-even on the binary value)."""
-    return F.bround(_c(x).try_cast("decimal(38,18)"), 2).cast("double")
+    x = _c(x).cast("double")
+    ax = F.abs(x)
+    r = (_scaled_half_even(ax, 2) / F.lit(100.0))
+    r = F.when(ax >= F.lit(2.0 ** 52), ax).when(ax < F.lit(2e-3), F.lit(0.0)).otherwise(r)
+    return F.when(x < 0, -r).otherwise(r)
 
 
 def avg_round2_exact(total, n) -> Column:
-    """round(sum/n, 2) half-even on the exact rational (like NUMERIC AVG)."""
+    """round(total / n, 2), half-even on the exact rational (like rounding a
+    NUMERIC average): integer quotient and remainder of 100 * total / n."""
     t = _c(total).cast("decimal(38,0)")
     d = _c(n).cast("decimal(38,0)")
-    return F.bround(F.try_divide(t, d), 2).cast("double")
+    num = F.abs(t) * F.lit(100)
+    j = F.floor(num / d).cast("decimal(38,0)")
+    rem = num - j * d
+    j = (F.when(rem * 2 > d, j + 1).when((rem * 2 == d) & (F.pmod(j, F.lit(2)) == 1), j + 1).otherwise(j))
+    r = j.cast("double") / F.lit(100.0)
+    return F.when(d == 0, F.lit(None)).when(t < 0, -r).otherwise(r)
 
 
 def year_from_date_string(d) -> Column:

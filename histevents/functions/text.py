@@ -207,18 +207,29 @@ def extract_tags(sentence, category, lexicon: Mapping[str, Iterable[str]] = L.TA
     return F.array_distinct(F.array_compact(F.array(*items)))
 
 
+def categorize_key(text, lexicon: Mapping[str, Iterable[str]] = L.HISTORICAL_CATEGORIES) -> Column:
+    """Arg-max key: hits * 64 + (63 - category position), maximised.  Each
+    category's score appears once, so the expression stays small; the key
+    orders by hits first and then prefers earlier categories."""
+    t = _c(text)
+    names = list(lexicon)
+    keys = [count_contains(t, lexicon[n]) * 64 + (63 - i) for i, n in enumerate(names)]
+    return (F.greatest(*keys) if len(keys) > 1 else keys[0]).cast("int")
+
+
+def category_from_key(key, lexicon: Mapping[str, Iterable[str]] = L.HISTORICAL_CATEGORIES,
+                      default: str = "political") -> Column:
+    k = _c(key)
+    names = F.array(*[F.lit(n) for n in lexicon])
+    pos = F.lit(64) - F.pmod(k, F.lit(64))  # 1-based position of the category
+    return F.when(k < 64, F.lit(default)).otherwise(F.element_at(names, pos.cast("int")))
+
+
 def categorize(text, lexicon: Mapping[str, Iterable[str]] = L.HISTORICAL_CATEGORIES,
                default: str = "political") -> Column:
     """Category with most keyword hits in ``text`` (already lower-cased);
     earlier categories win ties; no hit -> ``default``."""
-    t = _c(text)
-    names = list(lexicon)
-    scores = [count_contains(t, lexicon[n]) for n in names]
-    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    out = F.when(best <= 0, F.lit(default))
-    for n, sc in zip(names, scores):
-        out = out.when(sc == best, F.lit(n))
-    return out
+    return category_from_key(categorize_key(text, lexicon), lexicon, default)
 
 
 def estimate_severity(title, description) -> Column:

@@ -4,12 +4,13 @@ producer).  The definitions are ours:
 * event_count      events of (category, digital root), valid years only;
 * pattern_strength event_count * 9 / events of the category (1 = uniform);
 * statistical_significance  chi-square statistic of the category's nine
-  root counts against a uniform split (roots with no events count 0);
+  root counts against a uniform split (roots with no events count 0),
+  computed as 9 * sum(n^2) / N - N;
 * start_year / end_year     first and last year of the (category, root).
 
 Two small aggregates and a window over at most 9 rows per category; roots
-absent from a category are accounted for arithmetically (each adds E = N/9
-to the statistic), so no domain cross product is needed.
+absent from a category need no rows (they add nothing to sum(n^2)), so no
+domain cross product is needed.
 """
 
 from __future__ import annotations
@@ -28,10 +29,11 @@ def cycle_patterns(events: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("event_count"), F.min("year").alias("start_year"), F.max("year").alias("end_year"))
     w = Window.partitionBy("category")
     n_cat = F.sum("event_count").over(w).cast("double")
-    expected = n_cat / F.lit(9.0)
-    present = F.count(F.lit(1)).over(w)
-    chi_present = F.sum((F.col("event_count") - expected) ** 2 / expected).over(w)
-    chi = chi_present + (F.lit(9) - present).cast("double") * expected
+    # sum over the nine roots of (n - E)^2 / E with E = N/9 equals
+    # 9 * sum(n^2) / N - N; the integer sum of squares keeps it exact
+    # (absent roots add nothing to sum(n^2)).
+    sq = F.sum(F.col("event_count") * F.col("event_count")).over(w).cast("double")
+    chi = F.lit(9.0) * sq / n_cat - n_cat
     return g.select(
         F.xxhash64("category", "digital_root").alias("id"),
         F.lit("9-year").alias("cycle_type"),

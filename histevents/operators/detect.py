@@ -49,12 +49,11 @@ def detect_indicator_events(series: DataFrame, lo: int | None = None, hi: int |
     title = (F.when(gdp, F.concat(F.lit("Economic recession in "), c))
              .when(infl, F.concat(F.lit("High inflation in "), c))
              .otherwise(F.concat(F.lit("High unemployment in "), c)))
-    desc = (F.when(gdp, F.concat(F.lit("GDP declined by "), format_1f(F.abs(chg)), F.lit("% in "), c,
-                                 F.lit(", indicating economic recession.")))
-            .when(infl, F.concat(F.lit("Inflation reached "), format_1f(v), F.lit("% in "), c,
-                                 F.lit(", indicating economic instability.")))
-            .otherwise(F.concat(F.lit("Unemployment reached "), format_1f(v), F.lit("% in "), c,
-                                F.lit(", indicating economic distress."))))
+    number = format_1f(F.when(gdp, F.abs(chg)).otherwise(v))  # one formatter for all three texts
+    lead = F.when(gdp, "GDP declined by ").when(infl, "Inflation reached ").otherwise("Unemployment reached ")
+    tail = (F.when(gdp, ", indicating economic recession.").when(infl, ", indicating economic instability.")
+            .otherwise(", indicating economic distress."))
+    desc = F.concat(lead, number, F.lit("% in "), c, tail)
     sub = F.when(gdp, "recession").when(infl, "inflation").otherwise("unemployment")
     impact = (F.when(gdp, F.abs(chg) / F.lit(10.0)).when(infl, v / F.lit(20.0)).otherwise(v / F.lit(15.0)))
     threshold = (F.when(gdp, F.lit(L.GDP_DECLINE_THRESHOLD)).when(infl, F.lit(L.INFLATION_SPIKE_THRESHOLD))

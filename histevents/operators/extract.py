@@ -48,9 +48,11 @@ def page_events(pages: DataFrame, year_col: str = "year", category_col: str | No
     event rows.  A missing category is inferred per section from its title
     and body."""
     secs = page_sections(pages, content_col)
-    inferred = T.categorize(T.lower_text(F.col("section_title"), F.col("section_body")))
+    # the key is materialised first so the category lookup reads a column
+    secs = secs.withColumn("_cat_key", T.categorize_key(T.lower_text(F.col("section_title"), F.col("section_body"))))
+    inferred = T.category_from_key(F.col("_cat_key"))
     cat = F.coalesce(F.col(category_col), inferred) if category_col else inferred
-    secs = secs.withColumn("_category", cat)
+    secs = secs.withColumn("_category", cat).drop("_cat_key")
     sents = section_sentences(secs)
     ev = parse_sentence_fields(sents, "sentence", "_category")
     meta = F.create_map(F.lit("wikipedia_page"), F.col(title_col), F.lit("section"), F.col("section_title"),

@@ -138,7 +138,7 @@ base AS (SELECT COUNT(*) AS total_events, COUNT(*) FILTER (WHERE verified) AS ve
 m AS (SELECT b.*,
   CASE WHEN total_events > 0 THEN verified_events::DOUBLE / total_events * 100.0 ELSE 0.0 END AS verification_rate,
   unique_years / {float(L.EXPECTED_YEARS)} * 100.0 AS coverage_percentage,
-  CASE WHEN total_events > 0 THEN (SELECT SUM(abs(n - total_events / 9.0)) FROM roots) / total_events
+  CASE WHEN total_events > 0 THEN CAST((SELECT SUM(abs(9 * n - total_events)) FROM roots) AS DOUBLE) / (total_events * 9.0)
        ELSE 0.0 END AS digital_root_variance,
   CASE WHEN (SELECT COUNT(*) FROM cat) > 0
        THEN 1.0 - ((SELECT COUNT(DISTINCT n) FROM cat) - 1)::DOUBLE / (SELECT COUNT(*) FROM cat)

@@ -212,7 +212,7 @@ base AS (SELECT COUNT(*) AS total_events, COUNT(*) FILTER (WHERE verified) AS ve
 m AS (SELECT b.*,
   CASE WHEN total_events > 0 THEN verified_events::DOUBLE / total_events * 100.0 ELSE 0.0 END AS verification_rate,
   unique_years / {float(L.EXPECTED_YEARS)} * 100.0 AS coverage_percentage,
-  CASE WHEN total_events > 0 THEN (SELECT SUM(abs(n - total_events / 9.0)) FROM roots) / total_events
+  CASE WHEN total_events > 0 THEN CAST((SELECT SUM(abs(9 * n - total_events)) FROM roots) AS DOUBLE) / (total_events * 9.0)
        ELSE 0.0 END AS digital_root_variance,
   CASE WHEN (SELECT COUNT(*) FROM cat) > 0
        THEN 1.0 - ((SELECT COUNT(DISTINCT n) FROM cat) - 1)::DOUBLE / (SELECT COUNT(*) FROM cat)
@@ -309,7 +309,7 @@ g AS (SELECT category, digital_root, COUNT(*) AS event_count, MIN(year) AS start
 w AS (SELECT *, SUM(event_count) OVER (PARTITION BY category)::DOUBLE AS n_cat,
              COUNT(*) OVER (PARTITION BY category) AS k FROM g)
 SELECT '9-year' AS cycle_type, digital_root, category, round(event_count * 9.0 / n_cat, 9) AS pattern_strength,
-  round(SUM((event_count - n_cat / 9.0) ^ 2 / (n_cat / 9.0)) OVER (PARTITION BY category) + (9 - k) * (n_cat / 9.0), 9)
+  round(9.0 * CAST(SUM(event_count * event_count) OVER (PARTITION BY category) AS DOUBLE) / n_cat - n_cat, 9)
     AS statistical_significance,
   event_count, start_year, end_year, 'Digital root ' || CAST(digital_root AS VARCHAR) || ' events in ' || category
     AS description, 'pending' AS validation_status

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from histevents.functions.scalars import century, digital_root, event_hash, surrogate_id
 from histevents.operators import validate
+from histevents.operators.dedupe import first_wins_dedupe
 from histevents.schema import CYCLE_SCHEMA, EVENT_SCHEMA, LOG_SCHEMA, conform
 
 EVENTS = "historical_events"
@@ -67,6 +68,16 @@ def remove_ids(events: DataFrame, ids: DataFrame) -> DataFrame:
     return events.join(ids.select("id"), "id", "left_anti")
 
 
+def observed_count(obs: Observation, key: str = "n") -> int:
+    """The count an Observation collected.  When the optimizer proves the
+    observed plan empty it removes the plan, and no metrics are reported:
+    that is a count of 0."""
+    try:
+        return int(obs.get[key])
+    except Exception:  # noqa: BLE001
+        return 0
+
+
 class EventStore:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
@@ -102,7 +113,13 @@ class EventStore:
 
     # K3 / K2
     def append_events(self, rows: DataFrame) -> int:
-        """Append store rows not stored yet; returns the appended count."""
+        """Append store rows not stored yet; returns the appended count.
+
+        The key is unique in the store: within the batch one row per hash
+        is kept (deterministically: smallest row by its plain columns; a
+        collection run has already kept the first in source order)."""
+        plain = [c for c, t in rows.dtypes if c != "event_hash" and not t.startswith(("map", "array", "struct"))]
+        rows = first_wins_dedupe(rows, "event_hash", plain)
         new = rows.withColumn("century", century("year"))
         if self.exists(EVENTS):
             new = new.join(self.events().select("event_hash"), "event_hash", "left_anti")
@@ -110,7 +127,7 @@ class EventStore:
         new = new.observe(obs, F.count(F.lit(1)).alias("n"))
         (new.repartition("century").sortWithinPartitions("year", "category", "digital_root")
          .write.mode("append").partitionBy("century").parquet(self.path(EVENTS)))
-        return int(obs.get["n"])
+        return observed_count(obs)
 
     # K4
     def save_events(self, events: DataFrame) -> tuple[int, int]:
@@ -125,7 +142,7 @@ class EventStore:
         keep = [c for c in bad.columns if c != "metadata"]
         bad.select(*keep).withColumn("quarantined_at", F.current_timestamp()) \
             .write.mode("append").parquet(self.path(QUARANTINE))
-        return saved, int(obs.get["n"])
+        return saved, observed_count(obs)
 
     # K5
     def log_activity(self, logs: DataFrame) -> None:
@@ -152,7 +169,7 @@ class EventStore:
             .observe(obs, F.count(F.lit(1)).alias("n"))
         hits.write.mode("overwrite").parquet(f"{self.base}/_updates_{uuid.uuid4().hex}")
         self._rewrite(apply_verification(ev, updates))
-        return int(obs.get["n"])
+        return observed_count(obs)
 
     # K9
     def delete_ids(self, ids: DataFrame) -> int:
@@ -162,7 +179,7 @@ class EventStore:
         keep = remove_ids(ev.observe(before, F.count(F.lit(1)).alias("n")), ids)
         after = Observation("after")
         self._rewrite(keep.observe(after, F.count(F.lit(1)).alias("n")))
-        return int(before.get["n"]) - int(after.get["n"])
+        return observed_count(before) - observed_count(after)
 
 
 # K1

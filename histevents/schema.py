@@ -101,12 +101,14 @@ WIKI_QUERY_RESPONSE_SCHEMA = T.StructType([
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select ``schema``'s columns in order, casting; missing ones become null."""
+    """Select ``schema``'s columns in order, casting (``try_cast``: a value
+    that does not fit, e.g. a malformed date string, becomes null); missing
+    columns become null."""
     cols = []
     have = set(df.columns)
     for f in schema.fields:
         if f.name in have:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return df.select(*cols)

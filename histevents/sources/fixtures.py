@@ -49,15 +49,19 @@ FROM customer
 """
 
 # stands for one indicator per country
+# Sums are taken over integer cents so that every engine and every
+# partitioning gives the same double (a sum of doubles depends on order).
 FIXTURE_SQL["yearly_series"] = """
-SELECT n_name AS country, year(o_orderdate) AS year, SUM(o_totalprice) AS value
+SELECT n_name AS country, year(o_orderdate) AS year,
+ CAST(SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / CAST(100 AS DOUBLE) AS value
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 GROUP BY n_name, year(o_orderdate)
 """
 
 # stands for one stock index per brand
 FIXTURE_SQL["monthly_series"] = """
-SELECT p_brand AS symbol, year(l_shipdate) * 100 + month(l_shipdate) AS ym, AVG(l_extendedprice) AS close
+SELECT p_brand AS symbol, year(l_shipdate) * 100 + month(l_shipdate) AS ym,
+ CAST(SUM(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / COUNT(*) / CAST(100 AS DOUBLE) AS close
 FROM lineitem JOIN part ON l_partkey = p_partkey
 GROUP BY p_brand, year(l_shipdate) * 100 + month(l_shipdate)
 """
@@ -111,12 +115,13 @@ FROM customer
 
 # Three indicator series per country (stands for GDP, inflation, unemployment).
 FIXTURE_SQL["indicator_series"] = """
-SELECT n_name AS country, 'NY.GDP.MKTP.CD' AS indicator, year(o_orderdate) AS year, SUM(o_totalprice) AS value
+SELECT n_name AS country, 'NY.GDP.MKTP.CD' AS indicator, year(o_orderdate) AS year,
+ CAST(SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / CAST(100 AS DOUBLE) AS value
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 GROUP BY n_name, year(o_orderdate)
 UNION ALL
 SELECT n_name AS country, 'FP.CPI.TOTL.ZG' AS indicator, year(o_orderdate) AS year,
- AVG(o_totalprice) / CAST(10000 AS DOUBLE) AS value
+ CAST(SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / COUNT(*) / CAST(1000000 AS DOUBLE) AS value
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 GROUP BY n_name, year(o_orderdate)
 UNION ALL
