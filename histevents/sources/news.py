@@ -75,8 +75,8 @@ def search_articles(articles: DataFrame, lo: int, hi: int, as_of_year: int,
     relevance (count of keyword occurrences), article id as tie-break."""
     win = search_window(lo, hi, as_of_year)
     hits = keyword_hits(articles, keywords)
-    if win is None:
-        return hits.filter(F.lit(False))
+    if win is None:  # nothing can match: an empty relation of the same shape
+        return hits.filter(F.lit(False)).withColumn("hit_rank", F.lit(0))
     _, d_from, d_to = win
     day = F.substring("published_at", 1, 10)
     hits = hits.filter((day >= d_from) & (day <= d_to))

@@ -146,3 +146,13 @@ def test_year_batches(spark):
     b = spark.range(1).select(F.size(S.year_batches(1, 2025, 50)).alias("n"),
                               F.element_at(S.year_batches(1, 2025, 50), -1).alias("last")).first()
     assert b.n == 41 and (b.last.batch_start, b.last.batch_end) == (2001, 2025)
+
+
+def test_sql_functions(spark):
+    from histevents.functions.sql_functions import register_sql_functions
+    register_sql_functions(spark)
+    r = spark.sql("SELECT digital_root(1929) AS a, digital_root(2020) AS b, is_valid_url('http://localhost:80/x') AS c, "
+                  "is_valid_url('ftp://a.com') AS d, event_hash(2008, 'Global Financial Crisis', 'test') AS e, "
+                  "trigram_similarity('word', 'two words') AS f").first()
+    assert (r.a, r.b, r.c, r.d) == (3, 4, True, False)
+    assert r.e == "b0c6b6c8fca81746121ea1cbdb3842dd" and abs(r.f - 4 / 11) < 1e-12
