@@ -96,7 +96,7 @@ def test_stream_equals_batch(spark):
     assert sorted(r.id for r in out.collect()) == sorted(r.id for r in exp.collect())
 
 
-def test_watermark_dedupe_stream(spark):
+def test_watermark_dedupe_stream(spark, tmp_dir):
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     stream = (spark.readStream.schema(orders.schema).option("pathGlobFilter", "orders.parquet")
               .parquet(SF_SMALL))
@@ -104,8 +104,38 @@ def test_watermark_dedupe_stream(spark):
     from histevents.sources.fixtures import FIXTURE_SQL
     ev = spark.sql(FIXTURE_SQL["raw_events"].replace("FROM orders", "FROM orders_stream_wm")) \
         .withColumn("ingest_ts", F.current_timestamp())
-    q = (dedupe_within_watermark(ev).writeStream.format("memory").queryName("wm_dedupe")
+    out = os.path.join(tmp_dir, "wm_out")
+    q = (dedupe_within_watermark(ev).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", os.path.join(tmp_dir, "wm_ckpt")).outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    n = spark.table("wm_dedupe").count()
+    n = spark.read.parquet(out).count()
     assert n == fixture(spark, SF_SMALL, "raw_events").select("year", "title", "source").distinct().count()
+
+
+def test_reports(spark, tmp_dir):
+    from histevents.plans import reports
+    ev = fixture(spark, SF_SMALL, "raw_events")
+    st = reports.collection_statistics(spark, ev, as_of_year=2025).first()
+    assert st.overall_stats.total_events == ev.count()
+    assert st.source_breakdown[0]["count"] >= st.source_breakdown[-1]["count"]
+    row = reports.validation_report_row(spark, ev).first()
+    assert row.summary.status in ("pass", "fail") and len(row.incorrect_events) <= 10
+    out = os.path.join(tmp_dir, "collection_report")
+    reports.export_collection_report(spark, ev, out, as_of_year=2025)
+    assert spark.read.json(out).count() == 1
+
+
+def test_clean_invalid(spark, tmp_dir):
+    from histevents.plans import reports
+    st = EventStore(spark, os.path.join(tmp_dir, "store3"))
+    ev = fixture(spark, SF_SMALL, "raw_events").drop("id")
+    st.save_events(ev)
+    # make some stored rows invalid for the validator (bad severity)
+    st._rewrite(st.events().withColumn("severity", F.when(F.col("year") % 2 == 0, F.lit(9))
+                                       .otherwise(F.col("severity"))))
+    summary, deleted = reports.clean_invalid_events(st, dry_run=True)
+    n_bad = one(summary).invalid_events
+    assert n_bad > 0 and deleted == 0
+    _, deleted = reports.clean_invalid_events(st, dry_run=False)
+    assert deleted == n_bad and one(reports.clean_invalid_events(st)[0]).invalid_events == 0
