@@ -59,9 +59,12 @@ def _signatures(events: DataFrame, id_col: str, text_col: str, group_col: str) -
     """
     base = events.select(F.col(id_col).alias("_id"), F.col(group_col).alias("_g"),
                          F.lower(F.col(text_col)).alias("_norm"))
+    # "has a letter or digit" == "has a trigram"; the cheap form is the one
+    # the optimizer may push below the aggregate into the scan.
+    base = base.filter(F.col("_norm").rlike(r"[\p{L}\p{N}]"))
     texts = base.groupBy("_g", "_norm").agg(F.count(F.lit(1)).alias("_k"))
     texts = texts.withColumn("_tri", F.sort_array(trigrams(F.col("_norm"))))
-    texts = texts.withColumn("_n", F.size("_tri")).filter(F.col("_n") > 0)
+    texts = texts.withColumn("_n", F.size("_tri"))
     texts = texts.withColumn("_sig", F.sha2(F.array_join("_tri", "\u0001"), 256))
     members = base.join(texts.select("_g", "_norm", "_sig"), ["_g", "_norm"]).select("_id", "_g", "_sig")
     sigs = (texts.groupBy("_g", "_sig")

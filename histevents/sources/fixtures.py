@@ -115,20 +115,17 @@ FROM customer
 
 # Three indicator series per country (stands for GDP, inflation, unemployment).
 FIXTURE_SQL["indicator_series"] = """
-SELECT n_name AS country, 'NY.GDP.MKTP.CD' AS indicator, year(o_orderdate) AS year,
- CAST(SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / CAST(100 AS DOUBLE) AS value
-FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-GROUP BY n_name, year(o_orderdate)
+WITH g AS (
+ SELECT n_name AS country, year(o_orderdate) AS year,
+  SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents, COUNT(*) AS n,
+  SUM(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS n_f
+ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+ GROUP BY n_name, year(o_orderdate))
+SELECT country, 'NY.GDP.MKTP.CD' AS indicator, year, CAST(cents AS DOUBLE) / CAST(100 AS DOUBLE) AS value FROM g
 UNION ALL
-SELECT n_name AS country, 'FP.CPI.TOTL.ZG' AS indicator, year(o_orderdate) AS year,
- CAST(SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / COUNT(*) / CAST(1000000 AS DOUBLE) AS value
-FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-GROUP BY n_name, year(o_orderdate)
+SELECT country, 'FP.CPI.TOTL.ZG', year, CAST(cents AS DOUBLE) / n / CAST(1000000 AS DOUBLE) FROM g
 UNION ALL
-SELECT n_name AS country, 'SL.UEM.TOTL.ZS' AS indicator, year(o_orderdate) AS year,
- CAST(100 AS DOUBLE) * SUM(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) / COUNT(*) - CAST(40 AS DOUBLE) AS value
-FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-GROUP BY n_name, year(o_orderdate)
+SELECT country, 'SL.UEM.TOTL.ZS', year, CAST(100 AS DOUBLE) * n_f / n - CAST(40 AS DOUBLE) FROM g
 """
 
 _TABLE_REF = re.compile(r"\b(?:FROM|JOIN)\s+([a-z_]+)", re.IGNORECASE)
@@ -138,11 +135,21 @@ def base_tables_of(sql: str) -> list[str]:
     return [t for t in dict.fromkeys(_TABLE_REF.findall(sql)) if t in BASE_TABLES]
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin an under-split input over the session's parallelism.
+# Row keys of the driver tables (hash-spreading on a key needs no sort,
+# unlike round-robin, and is deterministic when a task is retried).
+TABLE_KEYS = {
+    "orders": ("o_orderkey",), "lineitem": ("l_orderkey", "l_linenumber"), "customer": ("c_custkey",),
+    "supplier": ("s_suppkey",), "part": ("p_partkey",), "events": ("event_id",), "documents": ("doc_id",),
+    "embeddings": ("vec_id",), "pages": ("page_id",), "benchmark": ("item_id",), "labels": ("doc_id",),
+    "conversations": ("conv_id", "turn"),
+}
+
 
-    A small file with one row group is read by one task; the text work that
-    follows is CPU-bound, so it is spread before it starts.  Inputs that
+def spread(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFrame:
+    """Spread an under-split input over the session's parallelism.
+
+    A small file with one row group is read by one task; the CPU-bound work
+    that follows (regex, arrays) is spread before it starts.  Inputs that
     already have enough splits (any large table) are returned unchanged, so
     this never adds a shuffle at scale.  Filters and column pruning still
     reach the scan below the repartition.
@@ -150,13 +157,16 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
-    return df.repartition(want)
+    return df.repartition(want, *keys) if keys else df.repartition(want)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table as a DataFrame (parquet scan; pushdown and pruning
     apply), spread over the cores when the file is a single split."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in ("nation", "region"):
+        return df
+    return spread(df, TABLE_KEYS.get(name, ()))
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names) -> None:
@@ -172,5 +182,6 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fixture_cte(*names: str) -> str:
-    """``WITH`` clause that defines fixture views for the DuckDB oracle."""
-    return "WITH " + ",\n".join(f"{n} AS ({FIXTURE_SQL[n].strip()})" for n in names) + "\n"
+    """``WITH`` clause that defines fixture views for the DuckDB oracle
+    (a fixture with its own ``WITH`` becomes a parenthesised subquery)."""
+    return "WITH " + ",\n".join(f"{n} AS (SELECT * FROM ({FIXTURE_SQL[n].strip()}))" for n in names) + "\n"
