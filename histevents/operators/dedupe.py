@@ -1,16 +1,17 @@
 """Exact dedupe and near-duplicate detection.
 
 * ``first_wins_dedupe``: keep the first row (lowest ordering key) per event
-  hash.  Written as a grouped ``min`` over a struct led by the ordering key, so
-  each map task ships at most one row per hash (partial aggregation): a hash
-  holding a third of all rows costs no more than any other.
+  hash.  Written as a grouped ``min_by(row, order key)``, so each map task
+  ships at most one row per hash (partial aggregation): a hash holding a
+  third of all rows costs no more than any other.
 * ``near_duplicate_pairs``: the self-join "same year, e1.id < e2.id, trigram
   similarity > 0.8" as an exact prefix-filtered set-similarity join:
   rows with identical trigram sets are first collapsed into one signature
   group, candidates are generated only from each signature's rarest
   ``n - floor(4n/5)`` trigrams (equi-join on year + trigram), filtered by
   size, verified with integers, and only then expanded back to row pairs.
-  Verification work is per distinct signature pair, never per row pair.
+  Verification work is per distinct signature pair, never per row pair;
+  the expansion of a large group is split into hashed blocks.
 * ``near_duplicate_count``: the number of such pairs computed from group
   sizes (k*(k-1)/2 inside a signature, k_a*k_b across), so reports never
   materialise the pair list.
@@ -99,7 +100,7 @@ def _similar_signature_pairs(sigs: DataFrame) -> DataFrame:
 
 
 def near_duplicate_pairs(events: DataFrame, id_col: str = "id", text_col: str = "title",
-                         group_col: str = "year") -> DataFrame:
+                         group_col: str = "year", block: int | None = None) -> DataFrame:
     """(id, duplicate_id) pairs: same group, id < duplicate_id, similarity > 0.8."""
     members, sigs = _signatures(events, id_col, text_col, group_col)
     pairs = _similar_signature_pairs(sigs)
@@ -107,11 +108,27 @@ def near_duplicate_pairs(events: DataFrame, id_col: str = "id", text_col: str =
     mb = members.select("_g", F.col("_sig").alias("sig_b"), F.col("_id").alias("id_b"))
     across = (pairs.join(ma, ["_g", "sig_a"]).join(mb, ["_g", "sig_b"])
               .select(F.least("id_a", "id_b").alias("id"), F.greatest("id_a", "id_b").alias("duplicate_id")))
-    # identical trigram sets: every member pair of the group (similarity 1)
-    m1 = members.select("_g", "_sig", F.col("_id").alias("id"))
-    m2 = members.select("_g", "_sig", F.col("_id").alias("duplicate_id"))
-    inside = m1.join(m2, ["_g", "_sig"]).filter(F.col("id") < F.col("duplicate_id")).select("id", "duplicate_id")
-    return across.unionByName(inside)
+    return across.unionByName(_pairs_inside_groups(members, sigs, block or BLOCK))
+
+
+BLOCK = 1000  # members per block when a signature group is expanded into pairs
+
+
+def _pairs_inside_groups(members: DataFrame, sigs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Every member pair of each signature group (identical trigram sets,
+    similarity 1).  The result has k*(k-1)/2 rows per group by definition;
+    the work is split so that no task holds a whole hot group: members are
+    hashed into ceil(k / block) blocks and each block pair (i <= j) is its
+    own join key, so a task joins at most about block x block members."""
+    nb = sigs.select("_g", "_sig", F.greatest(F.ceil(F.col("_k") / F.lit(block)), F.lit(1)).cast("int").alias("_nb"))
+    m = members.join(nb, ["_g", "_sig"]).withColumn("_blk", F.pmod(F.xxhash64("_id"), F.col("_nb")).cast("int"))
+    # left side: each member meets every block j >= its own block
+    left = m.select("_g", "_sig", F.col("_blk").alias("_bi"), F.col("_id").alias("_a"),
+                    F.explode(F.sequence(F.col("_blk"), F.col("_nb") - 1)).alias("_bj"))
+    right = m.select("_g", "_sig", F.col("_blk").alias("_bj"), F.col("_id").alias("_b"))
+    pairs = left.join(right, ["_g", "_sig", "_bj"])
+    keep = (F.col("_bi") < F.col("_bj")) | (F.col("_a") < F.col("_b"))
+    return pairs.filter(keep).select(F.least("_a", "_b").alias("id"), F.greatest("_a", "_b").alias("duplicate_id"))
 
 
 def near_duplicates(events: DataFrame) -> DataFrame:

@@ -27,6 +27,12 @@ def test_prefix_join_equals_direct(spark):
     assert one(dedupe.near_duplicate_count(ev)).duplicate_count == len(b)
 
 
+def test_block_split_expansion(spark):
+    ev = raw_events(spark, SF_SMALL)
+    small_blocks = _pairs(dedupe.near_duplicate_pairs(ev, block=7))
+    assert small_blocks == _pairs(dedupe.near_duplicate_pairs_direct(ev))
+
+
 def test_prefix_join_random_titles(spark):
     rnd = random.Random(3)
     words = ["war", "treaty", "crisis", "market", "crash", "new", "york", "peace", "deal", "signed"]
