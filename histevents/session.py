@@ -49,13 +49,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is.  Only when it is unset (local tests) a scratch folder is created.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="histevents-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
 
 

@@ -154,8 +154,12 @@ def spread(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFra
     this never adds a shuffle at scale.  Filters and column pruning still
     reach the scan below the repartition.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the plan as is
+        return df
+    if have >= want:
         return df
     return df.repartition(want, *keys) if keys else df.repartition(want)
 
