@@ -52,15 +52,20 @@ def to_store_rows(events: DataFrame) -> DataFrame:
     return conform(e, EVENT_SCHEMA)
 
 
-def apply_verification(events: DataFrame, updates: DataFrame) -> DataFrame:
+def apply_verification(events: DataFrame, updates: DataFrame, hit_col: str | None = None) -> DataFrame:
     """K8 as a set operation: ``verified`` from ``updates`` (id, verified)
-    where the id matches, ``updated_at`` refreshed on those rows only."""
+    where the id matches, ``updated_at`` refreshed on those rows only.
+    ``hit_col`` keeps a boolean column marking the updated rows."""
     u = updates.select("id", F.col("verified").alias("_new_verified"), F.lit(True).alias("_hit"))
     out = events.join(u, "id", "left").withColumn("verified", F.coalesce("_new_verified", "verified"))
     if "updated_at" in events.columns:
         out = out.withColumn("updated_at", F.when(F.col("_hit"), F.current_timestamp())
                              .otherwise(F.col("updated_at")))
-    return out.drop("_new_verified", "_hit").select(*events.columns)
+    keep = list(events.columns)
+    if hit_col:
+        out = out.withColumn(hit_col, F.coalesce(F.col("_hit"), F.lit(False)))
+        keep.append(hit_col)
+    return out.select(*keep)
 
 
 def remove_ids(events: DataFrame, ids: DataFrame) -> DataFrame:
@@ -122,7 +127,13 @@ class EventStore:
         rows = first_wins_dedupe(rows, "event_hash", plain)
         new = rows.withColumn("century", century("year"))
         if self.exists(EVENTS):
-            new = new.join(self.events().select("event_hash"), "event_hash", "left_anti")
+            # The hash includes the year, so a duplicate can only sit in the
+            # same century partition: the stored side is first semi-joined
+            # with the batch's centuries (at most 21 values, broadcast), which
+            # lets dynamic partition pruning skip every other partition.
+            cents = F.broadcast(new.select("century").distinct())
+            stored = self.events().select("century", "event_hash").join(cents, "century", "left_semi")
+            new = new.join(stored, ["century", "event_hash"], "left_anti")
         obs = Observation("append_events")
         new = new.observe(obs, F.count(F.lit(1)).alias("n"))
         (new.repartition("century").sortWithinPartitions("year", "category", "digital_root")
@@ -153,32 +164,45 @@ class EventStore:
         conform(cycles, CYCLE_SCHEMA).write.mode("overwrite").parquet(self.path(CYCLES))
 
     # staged rewrite used by K8 / K9
-    def _rewrite(self, new_rows: DataFrame) -> None:
+    def _rewrite(self, new_rows: DataFrame, partitions_only: bool = False) -> None:
+        """Write ``new_rows`` to a staging folder next to the table, then
+        overwrite the table from it.  With ``partitions_only`` only the
+        century partitions present in ``new_rows`` are replaced (dynamic
+        partition overwrite); the others are not touched."""
         staging = f"{self.base}/_staging_{uuid.uuid4().hex}"
         new_rows.write.mode("overwrite").partitionBy("century").parquet(staging)
-        (self.spark.read.parquet(staging).write.mode("overwrite").partitionBy("century")
-         .parquet(self.path(EVENTS)))
+        w = self.spark.read.parquet(staging).write.mode("overwrite").partitionBy("century")
+        if partitions_only:
+            w = w.option("partitionOverwriteMode", "dynamic")
+        w.parquet(self.path(EVENTS))
+
+    def _affected(self, ev: DataFrame, ids: DataFrame) -> DataFrame:
+        """Rows of the centuries that hold at least one of ``ids`` (the
+        century set is at most 21 values, broadcast; DPP prunes the scan)."""
+        cents = ev.join(ids.select("id"), "id", "left_semi").select("century").distinct()
+        return ev.join(F.broadcast(cents), "century", "left_semi")
 
     # K8
     def update_verification(self, updates: DataFrame) -> int:
         """Set ``verified`` (and ``updated_at``) for the ids in ``updates``
         (id, verified); unknown ids are ignored."""
         ev = self.events()
+        part = self._affected(ev, updates)
         obs = Observation("updates")
-        hits = updates.select("id").join(ev.select("id"), "id", "left_semi") \
-            .observe(obs, F.count(F.lit(1)).alias("n"))
-        hits.write.mode("overwrite").parquet(f"{self.base}/_updates_{uuid.uuid4().hex}")
-        self._rewrite(apply_verification(ev, updates))
+        changed = apply_verification(part, updates.select("id", "verified"), hit_col="_hit") \
+            .observe(obs, F.count_if("_hit").alias("n")).drop("_hit")
+        self._rewrite(changed, partitions_only=True)
         return observed_count(obs)
 
     # K9
     def delete_ids(self, ids: DataFrame) -> int:
         """Remove the rows whose id is in ``ids``; returns the deleted count."""
         ev = self.events()
+        part = self._affected(ev, ids)
         before = Observation("before")
-        keep = remove_ids(ev.observe(before, F.count(F.lit(1)).alias("n")), ids)
+        keep = remove_ids(part.observe(before, F.count(F.lit(1)).alias("n")), ids)
         after = Observation("after")
-        self._rewrite(keep.observe(after, F.count(F.lit(1)).alias("n")))
+        self._rewrite(keep.observe(after, F.count(F.lit(1)).alias("n")), partitions_only=True)
         return observed_count(before) - observed_count(after)
 
 
