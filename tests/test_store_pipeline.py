@@ -43,6 +43,34 @@ def test_store_update_and_delete(spark, tmp_dir):
     assert removed == 5 and st.events().count() == total - 5
 
 
+def test_store_rows_and_logs(spark, tmp_dir):
+    from histevents.plans.store import to_store_rows
+    df = spark.createDataFrame(
+        [(2008, "Global Financial Crisis", "economic", "test", ["economic", "crisis"], {"k": "v"}),
+         (2009, "Quiet year", "social", "test", [], {})],
+        "year int, title string, category string, source string, tags array<string>, metadata map<string,string>")
+    rows = {r.year: r for r in to_store_rows(df).collect()}
+    assert rows[2008].tags == '["economic","crisis"]' and rows[2008].collection_metadata == '{"k":"v"}'
+    assert rows[2009].tags is None and rows[2009].collection_metadata is None
+    assert rows[2008].digital_root == 1 and rows[2008].event_hash == "b0c6b6c8fca81746121ea1cbdb3842dd"
+    assert rows[2008].verified is False and rows[2008].id is not None
+    st = EventStore(spark, os.path.join(tmp_dir, "store_logs"))
+    logs = spark.createDataFrame([("economic", "2000-2001", "success", 12, 0)],
+                                 "source string, collection_type string, status string, "
+                                 "records_collected long, errors_encountered long") \
+        .withColumn("start_time", F.current_timestamp())
+    st.log_activity(logs)
+    got = spark.read.parquet(st.path("data_collection_logs")).first()
+    assert (got.source, got.status, got.records_collected) == ("economic", "success", 12)
+
+
+def test_sample_preset(spark):
+    ev, summary = pipeline.collect_sample(spark, _landed(spark, SF_SMALL), sample_years=10, as_of_year=2001)
+    assert ev.filter((F.col("year") < 1991) | (F.col("year") > 2001)).filter(F.col("collector") == "economic") \
+        .count() == 0
+    assert summary.filter(F.col("level") == "total").first().events_collected == ev.count()
+
+
 def test_run_collection(spark):
     ev, summary = pipeline.run_collection(spark, _landed(spark, SF_SMALL), 1000, 2025, as_of_year=2001)
     rows = summary.collect()
