@@ -79,18 +79,33 @@ def collect_events(spark: SparkSession, landed: Landed, lo: int, hi: int, source
                    as_of_year: int | None = None) -> DataFrame:
     """Union of the requested sources (priority order) with a global
     ordering key (source priority, source-local order)."""
+    out, _ = collect_events_with_status(spark, landed, lo, hi, sources, as_of_year)
+    return out
+
+
+def collect_events_with_status(spark: SparkSession, landed: Landed, lo: int, hi: int, sources=None,
+                               as_of_year: int | None = None) -> tuple[DataFrame, list[tuple]]:
+    """As ``collect_events``, isolating sources: a source whose plan cannot
+    be built (missing or malformed input) is reported as failed and the
+    others still run.  Returns (events, [(source, ok, message)])."""
     as_of_year = as_of_year or _dt.date.today().year
-    parts = []
+    parts, status = [], []
     for prio, name in enumerate(select_sources(sources)):
-        df = COLLECTORS[name](spark, landed, lo, hi, as_of_year)
-        if df is not None:
+        try:
+            df = COLLECTORS[name](spark, landed, lo, hi, as_of_year)
+            if df is None:
+                status.append((name, False, "no landed input"))
+                continue
             parts.append(_shape(df, name, prio))
+            status.append((name, True, None))
+        except Exception as exc:  # noqa: BLE001 - per-source isolation (D21)
+            status.append((name, False, f"{type(exc).__name__}: {exc}"[:500]))
     if not parts:
-        raise ValueError("no source produced a plan")
+        raise ValueError(f"no source produced a plan: {status}")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out, status
 
 
 def dedupe_events(events: DataFrame) -> DataFrame:
@@ -107,13 +122,22 @@ def run_collection(spark: SparkSession, landed: Landed, lo: int, hi: int, source
     """L1/L3: returns (deduplicated events with ``valid`` and ``batch_start``,
     per-source summary).  With a store, valid rows are appended and invalid
     rows quarantined (K4)."""
-    ev = dedupe_events(collect_events(spark, landed, lo, hi, sources, as_of_year))
+    events, status = collect_events_with_status(spark, landed, lo, hi, sources, as_of_year)
+    ev = dedupe_events(events)
     ev = (ev.withColumn("valid", validate.collector_valid(ev))
           .withColumn("batch_start", year_batch_start("year", lo, batch_size)))
     if store is not None:
         store.save_events(ev.drop("valid", "batch_start", "_seq", "event_hash",
                                   "collector", "source_priority"))
-    return ev, collection_summary(ev)
+    summary = collection_summary(ev).withColumn("error_message", F.lit(None).cast("string"))
+    failed = [(n, m) for n, ok, m in status if not ok]
+    if failed:  # failed sources: one row each, errors = 1 (the run itself succeeds)
+        rows = spark.createDataFrame(failed, "collector string, error_message string") \
+            .select("collector", F.lit(None).cast("int").alias("batch_start"),
+                    F.lit(0).cast("long").alias("events_collected"), F.lit(0).cast("long").alias("events_saved"),
+                    F.lit(1).cast("long").alias("errors"), F.lit("source").alias("level"), "error_message")
+        summary = summary.unionByName(rows)
+    return ev, summary
 
 
 def collection_summary(ev: DataFrame) -> DataFrame:

@@ -82,6 +82,16 @@ def test_run_collection(spark):
     assert set(per_source) <= {"wikipedia", "economic", "news"} and sum(per_source.values()) == total.events_collected
 
 
+def test_failed_source_is_isolated(spark):
+    landed = _landed(spark, SF_SMALL)
+    landed.indicators = landed.indicators.drop("value")  # malformed economic input
+    ev, summary = pipeline.run_collection(spark, landed, 1000, 2025, as_of_year=2001)
+    rows = {(r.collector, r.level): r for r in summary.collect()}
+    assert rows[("economic", "source")].errors == 1 and "value" in rows[("economic", "source")].error_message
+    assert rows[("wikipedia", "source")].events_collected > 0
+    assert ev.filter(F.col("collector") == "economic").count() == 0
+
+
 def test_recent_preset_only_news_and_economic(spark):
     ev, _ = pipeline.collect_recent(spark, _landed(spark, SF_SMALL), as_of_year=2001)
     assert {r.collector for r in ev.select("collector").distinct().collect()} <= {"news", "economic"}
