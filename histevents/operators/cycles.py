@@ -1,4 +1,4 @@
-"""Nine-year cycle patterns (the declared-but-unbuilt ``cycle_patterns``
+"""9-year cycle patterns (the declared-but-unbuilt ``cycle_patterns``
 producer).  The definitions are ours:
 
 * event_count      events of (category, digital root), valid years only;
