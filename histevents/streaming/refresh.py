@@ -64,6 +64,20 @@ def run_refresh_once(spark: SparkSession, stream: DataFrame, order_col: str = "s
     return spark.read.parquet(target)
 
 
+def refresh_store(stream: DataFrame, store, checkpoint: str | None = None, available_now: bool = True):
+    """T1 into the event store with the batch code path: every micro-batch
+    goes through ``EventStore.save_events`` (validity split, first row per
+    hash, anti-join against stored hashes, partitioned append, quarantine).
+    Returns the StreamingQuery."""
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        store.save_events(batch)
+
+    ckpt = checkpoint or f"{store.base}/_checkpoints/refresh_store"
+    w = stream.writeStream.foreachBatch(run).option("checkpointLocation", ckpt)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
 def landed_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int = 1) -> DataFrame:
     """File source over landed parquet; ``ingest_ts`` marks arrival."""
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
