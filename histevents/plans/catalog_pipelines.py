@@ -246,7 +246,7 @@ def q_validation_report(spark, sf):
 
 @register("json_props", """
 SELECT event_type, COUNT(*) AS n_events, COUNT(CAST(json_extract(props, '$.k') AS INTEGER)) AS n_with_k,
-  SUM(CAST(json_extract(props, '$.k') AS INTEGER)) AS sum_k, MIN(CAST(json_extract(props, '$.k') AS INTEGER)) AS min_k,
+  CAST(SUM(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS sum_k, MIN(CAST(json_extract(props, '$.k') AS INTEGER)) AS min_k,
   MAX(CAST(json_extract(props, '$.k') AS INTEGER)) AS max_k
 FROM events GROUP BY event_type
 """)

@@ -49,6 +49,14 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _rows(df.columns, srows) == _rows(dcols, drows)
+    # same column types on both sides
+    spark_types = {c: _TYPES.get(t, t) for c, t in df.dtypes}
+    rel = duck.sql(ORACLES[name])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
+
+
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", sorted(NO_ORACLE))
