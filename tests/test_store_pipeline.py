@@ -120,6 +120,20 @@ def test_json_file_validation(spark, tmp_dir):
     assert one(missing).error.startswith("File not found")
 
 
+def test_json_lines_validation(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "events.jsonl")
+    with open(path, "w") as f:
+        f.write(json.dumps({"year": 2008, "title": "Global Financial Crisis", "category": "economic",
+                            "source": "t"}) + "\n")
+        f.write(json.dumps({"year": 2008.5, "title": "Half year", "category": "economic", "source": "t"}) + "\n")
+        f.write("{not json\n")
+    summary, errors = files.validate_event_lines(spark, path)
+    s = one(summary)
+    assert (s.total_events, s.valid_events, s.invalid_events) == (3, 1, 2)
+    msgs = sorted(tuple(r.errors) for r in errors.collect())
+    assert msgs == [("Invalid JSON",), ("Year must be an integer",)]
+
+
 def test_stream_equals_batch(spark):
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     stream = (spark.readStream.schema(orders.schema).option("pathGlobFilter", "orders.parquet")
