@@ -164,24 +164,30 @@ def spread(df: DataFrame, keys=(), min_partitions: int | None = None) -> DataFra
     return df.repartition(want, *keys) if keys else df.repartition(want)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread_input: bool = True) -> DataFrame:
     """A driver table as a DataFrame (parquet scan; pushdown and pruning
-    apply), spread over the cores when the file is a single split."""
+    apply), spread over the cores when the file is a single split and the
+    caller's work is CPU-heavy (``spread_input``)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in ("nation", "region"):
+    if name in ("nation", "region") or not spread_input:
         return df
     return spread(df, TABLE_KEYS.get(name, ()))
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names) -> None:
+# Fixtures whose next step is a cheap partial aggregate: spreading their
+# single-split inputs first would only add a full shuffle.
+AGGREGATE_FIXTURES = ("yearly_series", "monthly_series", "indicator_series")
+
+
+def register_tables(spark: SparkSession, sf_dir: str, names, spread_input: bool = True) -> None:
     for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)
+        table(spark, sf_dir, n, spread_input).createOrReplaceTempView(n)
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Run a fixture view's SQL over the tables of ``sf_dir``."""
     sql = FIXTURE_SQL[name]
-    register_tables(spark, sf_dir, base_tables_of(sql))
+    register_tables(spark, sf_dir, base_tables_of(sql), spread_input=name not in AGGREGATE_FIXTURES)
     return spark.sql(sql)
 
 
