@@ -102,26 +102,47 @@ def _similar_signature_pairs(sigs: DataFrame) -> DataFrame:
 def near_duplicate_pairs(events: DataFrame, id_col: str = "id", text_col: str = "title",
                          group_col: str = "year", block: int | None = None) -> DataFrame:
     """(id, duplicate_id) pairs: same group, id < duplicate_id, similarity > 0.8."""
+    block = block or BLOCK
     members, sigs = _signatures(events, id_col, text_col, group_col)
     pairs = _similar_signature_pairs(sigs)
-    ma = members.select("_g", F.col("_sig").alias("sig_a"), F.col("_id").alias("id_a"))
-    mb = members.select("_g", F.col("_sig").alias("sig_b"), F.col("_id").alias("id_b"))
-    across = (pairs.join(ma, ["_g", "sig_a"]).join(mb, ["_g", "sig_b"])
-              .select(F.least("id_a", "id_b").alias("id"), F.greatest("id_a", "id_b").alias("duplicate_id")))
-    return across.unionByName(_pairs_inside_groups(members, sigs, block or BLOCK))
+    return _pairs_across_groups(members, sigs, pairs, block).unionByName(
+        _pairs_inside_groups(members, sigs, block))
 
 
 BLOCK = 1000  # members per block when a signature group is expanded into pairs
 
 
+def _blocked_members(members: DataFrame, sigs: DataFrame, block: int) -> DataFrame:
+    """members + (_nb blocks of the member's signature, _blk its block)."""
+    nb = sigs.select("_g", "_sig", F.greatest(F.ceil(F.col("_k") / F.lit(block)), F.lit(1)).cast("int").alias("_nb"))
+    return members.join(nb, ["_g", "_sig"]).withColumn("_blk", F.pmod(F.xxhash64("_id"), F.col("_nb")).cast("int"))
+
+
+def _pairs_across_groups(members: DataFrame, sigs: DataFrame, pairs: DataFrame, block: int) -> DataFrame:
+    """Member pairs of two similar signatures (k_a x k_b rows by definition).
+    Each side is replicated once per block of the other side, so every final
+    join key (signature pair, block pair) holds at most about ``block``
+    members per side: no task receives a whole hot group."""
+    m = _blocked_members(members, sigs, block)
+    nb = lambda k: F.greatest(F.ceil(F.col(k) / F.lit(block)), F.lit(1)).cast("int")
+    bp = pairs.select("_g", "sig_a", "sig_b", nb("k_a").alias("nb_a"), nb("k_b").alias("nb_b"))
+    ma = m.select("_g", F.col("_sig").alias("sig_a"), F.col("_blk").alias("ba"), F.col("_id").alias("id_a"))
+    mb = m.select("_g", F.col("_sig").alias("sig_b"), F.col("_blk").alias("bb"), F.col("_id").alias("id_b"))
+    left = (bp.join(ma, ["_g", "sig_a"])
+            .select("_g", "sig_a", "sig_b", "ba", "id_a", F.explode(F.sequence(F.lit(0), F.col("nb_b") - 1)).alias("bb")))
+    right = (bp.join(mb, ["_g", "sig_b"])
+             .select("_g", "sig_a", "sig_b", "bb", "id_b", F.explode(F.sequence(F.lit(0), F.col("nb_a") - 1)).alias("ba")))
+    return (left.join(right, ["_g", "sig_a", "sig_b", "ba", "bb"])
+            .select(F.least("id_a", "id_b").alias("id"), F.greatest("id_a", "id_b").alias("duplicate_id")))
+
+
 def _pairs_inside_groups(members: DataFrame, sigs: DataFrame, block: int = BLOCK) -> DataFrame:
     """Every member pair of each signature group (identical trigram sets,
     similarity 1).  The result has k*(k-1)/2 rows per group by definition;
     the work is split so that no task holds a whole hot group: members are
     hashed into ceil(k / block) blocks and each block pair (i <= j) is its
     own join key, so a task joins at most about block x block members."""
-    nb = sigs.select("_g", "_sig", F.greatest(F.ceil(F.col("_k") / F.lit(block)), F.lit(1)).cast("int").alias("_nb"))
-    m = members.join(nb, ["_g", "_sig"]).withColumn("_blk", F.pmod(F.xxhash64("_id"), F.col("_nb")).cast("int"))
+    m = _blocked_members(members, sigs, block)
     # left side: each member meets every block j >= its own block
     left = m.select("_g", "_sig", F.col("_blk").alias("_bi"), F.col("_id").alias("_a"),
                     F.explode(F.sequence(F.col("_blk"), F.col("_nb") - 1)).alias("_bj"))

@@ -43,7 +43,13 @@ def test_prefix_join_random_titles(spark):
             t = t + rnd.choice(["s", ".", "!", " x"])
         rows.append((i, rnd.randint(1, 4), t))
     ev = spark.createDataFrame(rows, "id long, year int, title string")
-    assert _pairs(dedupe.near_duplicate_pairs(ev)) == _pairs(dedupe.near_duplicate_pairs_direct(ev))
+    direct = _pairs(dedupe.near_duplicate_pairs_direct(ev))
+    assert _pairs(dedupe.near_duplicate_pairs(ev)) == direct
+    assert _pairs(dedupe.near_duplicate_pairs(ev, block=3)) == direct  # many blocks on both paths
+    ids_by_title = {}
+    for i, _, t in rows:
+        ids_by_title.setdefault(t, []).append(i)
+    assert any(len(v) > 3 for v in ids_by_title.values())
 
 
 def test_first_wins_dedupe(spark):
