@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from histevents import lexicons as L
 from histevents.functions import scalars as S
-from histevents.functions import text as T
 from histevents.operators import dedupe, detect, stats, validate
 from histevents.plans import duck as D
 from histevents.sources.fixtures import fixture, fixture_cte, table

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from histevents import lexicons as L
@@ -361,4 +360,3 @@ def q_collection_stats(spark, sf):
     return tot.unionByName(ver).unionByName(cat).unionByName(rt)
 
 
-__all__ = ["Window"]
