@@ -127,8 +127,10 @@ def run_collection(spark: SparkSession, landed: Landed, lo: int, hi: int, source
     ev = (ev.withColumn("valid", validate.collector_valid(ev))
           .withColumn("batch_start", year_batch_start("year", lo, batch_size)))
     if store is not None:
+        # events of the run can fall outside [lo, hi] (resolved page years,
+        # news dates), so the duplicate check covers the valid-year span
         store.save_events(ev.drop("valid", "batch_start", "_seq", "event_hash",
-                                  "collector", "source_priority"))
+                                  "collector", "source_priority"), year_range=None)
     summary = collection_summary(ev).withColumn("error_message", F.lit(None).cast("string"))
     failed = [(n, m) for n, ok, m in status if not ok]
     if failed:  # failed sources: one row each, errors = 1 (the run itself succeeds)

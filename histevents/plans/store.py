@@ -117,7 +117,7 @@ class EventStore:
             return False
 
     # K3 / K2
-    def append_events(self, rows: DataFrame) -> int:
+    def append_events(self, rows: DataFrame, year_range: tuple[int, int] | None = None) -> int:
         """Append store rows not stored yet; returns the appended count.
 
         The key is unique in the store: within the batch one row per hash
@@ -128,11 +128,13 @@ class EventStore:
         new = rows.withColumn("century", century("year"))
         if self.exists(EVENTS):
             # The hash includes the year, so a duplicate can only sit in the
-            # same century partition: the stored side is first semi-joined
-            # with the batch's centuries (at most 21 values, broadcast), which
-            # lets dynamic partition pruning skip every other partition.
-            cents = F.broadcast(new.select("century").distinct())
-            stored = self.events().select("century", "event_hash").join(cents, "century", "left_semi")
+            # same century partition.  With the run's year range known, the
+            # stored side is read only for those centuries (a static
+            # partition filter: the scan prunes every other partition).
+            stored = self.events().select("century", "event_hash")
+            if year_range is not None:
+                lo, hi = year_range
+                stored = stored.filter(F.col("century").between(century(F.lit(lo)), century(F.lit(hi))))
             new = new.join(stored, ["century", "event_hash"], "left_anti")
         obs = Observation("append_events")
         new = new.observe(obs, F.count(F.lit(1)).alias("n"))
@@ -141,11 +143,13 @@ class EventStore:
         return observed_count(obs)
 
     # K4
-    def save_events(self, events: DataFrame) -> tuple[int, int]:
+    def save_events(self, events: DataFrame, year_range: tuple[int, int] | None = None) -> tuple[int, int]:
         """Valid rows (collector rule) appended, invalid rows quarantined with
-        their validator messages; returns (saved, errors)."""
+        their validator messages; returns (saved, errors).  ``year_range``
+        (the run's requested years) narrows the duplicate check to those
+        century partitions."""
         flagged = events.withColumn("_valid", validate.collector_valid(events))
-        saved = self.append_events(to_store_rows(flagged.filter("_valid").drop("_valid")))
+        saved = self.append_events(to_store_rows(flagged.filter("_valid").drop("_valid")), year_range)
         bad = flagged.filter(~F.col("_valid")).drop("_valid")
         bad = validate.with_validation(bad)
         obs = Observation("quarantine")

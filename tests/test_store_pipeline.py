@@ -43,6 +43,22 @@ def test_store_update_and_delete(spark, tmp_dir):
     assert removed == 5 and st.events().count() == total - 5
 
 
+def test_store_year_filter_prunes_partitions(spark, tmp_dir):
+    from histevents.operators.filters import by_year_range
+    st = EventStore(spark, os.path.join(tmp_dir, "store_prune"))
+    st.save_events(fixture(spark, SF_SMALL, "raw_events").drop("id"))
+    q = by_year_range(st.events(), 1900, 2000).select("id", "year")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(century" in plan and "century" in plan.split("PartitionFilters:")[1][:200]
+    assert "ReadSchema: struct<id:bigint,year:int>" in plan  # only the projected columns are read
+    years = [r.year for r in q.collect()]
+    assert years and all(1900 <= y <= 2000 for y in years)
+    assert len(years) == st.events().filter("year between 1900 and 2000").count()
+    # an append with a year range reads only those centuries for its duplicate check
+    again = fixture(spark, SF_SMALL, "raw_events").drop("id").filter("year between 1900 and 2000")
+    assert st.save_events(again, year_range=(1900, 2000))[0] == 0
+
+
 def test_store_rows_and_logs(spark, tmp_dir):
     from histevents.plans.store import to_store_rows
     df = spark.createDataFrame(
