@@ -84,7 +84,49 @@ def _landed(spark, sf):
         articles=fixture(spark, sf, "news_articles"), economies=None, symbols=None)
 
 
-@register("wiki_collection", None)
+def _wiki_sql() -> str:
+    pats = ", ".join(f"({i}, {D.q(p)})" for i, p in enumerate(L.YEAR_PAGE_PATTERNS))
+    ny = D.nearest_year("f.title", "f.extract", "t.year")
+    return EP + fixture_cte("category_hits").replace("WITH ", ", ", 1) + f""",
+{_FIRST_PAGE},
+keys AS (SELECT CAST(y.range AS INT) AS year, p.idx AS pattern_idx,
+                replace(p.pat, '{{}}', CAST(y.range AS VARCHAR)) AS title
+         FROM range({WIKI_LO}, {WIKI_HI + 1}) y, (VALUES {pats}) p(idx, pat)),
+pairs AS (SELECT * FROM (VALUES {_PAIRS_VALUES}) v(category, category_idx, subcategory, subcategory_idx)),
+nums AS (SELECT title, unnest({_NUM_TOKENS}) AS year FROM firstp),
+cand AS (SELECT h.subcategory_idx, h.title, h.search_rank, n.year FROM category_hits h JOIN nums n ON n.title = h.title
+         WHERE n.year % {L.CATEGORY_SEARCH_EVERY} = 0 AND n.year BETWEEN {WIKI_LO} AND {WIKI_HI}),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subcategory_idx, year ORDER BY search_rank, title)
+        AS hit_rank FROM cand) WHERE hit_rank <= {L.WIKI_SEARCH_TOP_N}),
+src AS (
+  SELECT f.page_id, f.title AS page_title, f.extract, k.year, CAST(NULL AS VARCHAR) AS given, 'year_page' AS path
+  FROM keys k JOIN firstp f ON f.title = k.title
+  UNION ALL
+  SELECT f.page_id, f.title, f.extract, {ny}, p.category, 'category'
+  FROM top t JOIN pairs p ON p.subcategory_idx = t.subcategory_idx JOIN firstp f ON f.title = t.title
+  WHERE {ny} IS NOT NULL),
+p AS (SELECT *, {D.section_titles('extract')} AS t, {D.section_pieces('extract')} AS b FROM src WHERE extract <> ''),
+h AS (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM p WHERE len(t) > 0),
+sections AS (
+  SELECT page_id, path, year, given, CAST(i AS INT) AS section_idx, {D.strip_ws('t[i]')} AS section_title,
+         {D.strip_ws('b[i + 1]')} AS section_body FROM h
+  UNION ALL
+  SELECT page_id, path, year, given, 0, 'Main content', extract FROM p WHERE len(t) = 0),
+kept AS (SELECT *, coalesce(given, {D.categorize(D.lower_text('section_title', 'section_body'))}) AS category
+         FROM sections WHERE section_idx = 0 OR section_body <> ''),
+sl AS (SELECT *, {D.split_sentences('section_body')} AS s FROM kept),
+sentences AS (SELECT page_id, path, year, category, section_idx,
+              CAST(unnest(range(0, len(s))) AS INT) AS sentence_idx, unnest(s) AS sentence FROM sl),
+c AS (SELECT *, {D.clean_text('sentence')} AS cs FROM sentences)
+SELECT page_id, path, CAST(year AS INT) AS year, {D.event_title('cs')} AS title, category,
+  {D.extract_location('cs')} AS location, {D.extract_participants('cs')} AS participants,
+  {D.extract_tags('cs', 'category')} AS tags, {D.estimate_severity(D.event_title('cs'), 'cs')} AS severity,
+  section_idx, sentence_idx
+FROM c WHERE cs <> ''
+"""
+
+
+@register("wiki_collection", _wiki_sql())
 def q_wiki_collection(spark, sf):
     """L10 + L11 (encyclopaedia): year pages and category pages -> events."""
     ev = wiki.collect_wiki_events(spark, _pages(spark, sf), fixture(spark, sf, "category_hits"), WIKI_LO, WIKI_HI)
