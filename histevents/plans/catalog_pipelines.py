@@ -11,7 +11,7 @@ from histevents.operators import cycles, dedupe, stats, validate
 from histevents.plans import duck as D
 from histevents.plans import pipeline, store
 from histevents.plans.catalog import _DEDUPE_SQL, _d_errors, raw_events, register, store_view
-from histevents.sources import economic, files, wiki
+from histevents.sources import economic, files, news, wiki
 from histevents.sources.fixtures import fixture, fixture_cte, table
 
 RE = fixture_cte("raw_events")
@@ -203,7 +203,106 @@ def q_economic_collection(spark, sf):
                      S.digital_root("year").alias("digital_root"), validate.collector_valid(ev).alias("valid"))
 
 
-@register("collection_run_summary", None)
+def _collection_sql() -> str:
+    """Oracle for the three-source run over 1000..2025 (as of 2001)."""
+    lo, hi, as_of = WIKI_LO, WIKI_HI, 2001
+    pats = ", ".join(f"({i}, {D.q(p)})" for i, p in enumerate(L.YEAR_PAGE_PATTERNS))
+    ny = D.nearest_year("f.title", "f.extract", "t.year")
+    month = "CAST(ym // 100 AS VARCHAR) || '-' || lpad(CAST(ym % 100 AS VARCHAR), 2, '0') || '-01'"
+    curated = ", ".join(f"({i}, {y}, {D.q(t)}, {D.q(d)})" for i, (y, t, d, _s, _i) in enumerate(L.CURATED_ECONOMIC_EVENTS))
+    ind_pos = "CASE indicator " + " ".join(f"WHEN {D.q(x)} THEN {i + 1}" for i, x in enumerate(L.WORLD_BANK_INDICATORS)) + " ELSE 0 END"
+    cats = ", ".join(D.q(c) for c in L.CATEGORY_NAMES)
+    _, d_from, d_to = news.search_window(lo, hi, as_of)
+    low = D.lower_text("title", "description", "content")
+    items = ", ".join(
+        f"CASE WHEN contains(_text, {D.q(w)}) THEN {{'category': {D.q(cat)}, 'category_idx': {ci}, "
+        f"'keyword': {D.q(w)}, 'keyword_idx': {k}}} END" for cat, ci, w, k in news.keyword_table())
+    return fixture_cte("encyclopaedia_pages", "category_hits", "indicator_series", "monthly_series",
+                       "news_articles") + f""",
+{_FIRST_PAGE},
+keys AS (SELECT CAST(y.range AS INT) AS year, p.idx AS pattern_idx,
+                replace(p.pat, '{{}}', CAST(y.range AS VARCHAR)) AS title
+         FROM range({lo}, {hi + 1}) y, (VALUES {pats}) p(idx, pat)),
+pairs AS (SELECT * FROM (VALUES {_PAIRS_VALUES}) v(category, category_idx, subcategory, subcategory_idx)),
+nums AS (SELECT title, unnest({_NUM_TOKENS}) AS year FROM firstp),
+cand AS (SELECT h.subcategory_idx, h.title, h.search_rank, n.year FROM category_hits h JOIN nums n ON n.title = h.title
+         WHERE n.year % {L.CATEGORY_SEARCH_EVERY} = 0 AND n.year BETWEEN {lo} AND {hi}),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subcategory_idx, year ORDER BY search_rank, title)
+        AS hit_rank FROM cand) WHERE hit_rank <= {L.WIKI_SEARCH_TOP_N}),
+src AS (
+  SELECT f.extract, k.year, CAST(NULL AS VARCHAR) AS given, k.year AS k1, 0 AS k2, k.pattern_idx AS k3, 0 AS k4
+  FROM keys k JOIN firstp f ON f.title = k.title
+  UNION ALL
+  SELECT f.extract, {ny}, p.category, t.year, 1, t.subcategory_idx, t.hit_rank
+  FROM top t JOIN pairs p ON p.subcategory_idx = t.subcategory_idx JOIN firstp f ON f.title = t.title
+  WHERE {ny} IS NOT NULL),
+p AS (SELECT *, {D.section_titles('extract')} AS t, {D.section_pieces('extract')} AS b FROM src WHERE extract <> ''),
+h AS (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM p WHERE len(t) > 0),
+sections AS (
+  SELECT year, given, k1, k2, k3, k4, CAST(i AS INT) AS section_idx, {D.strip_ws('t[i]')} AS section_title,
+         {D.strip_ws('b[i + 1]')} AS section_body FROM h
+  UNION ALL
+  SELECT year, given, k1, k2, k3, k4, 0, 'Main content', extract FROM p WHERE len(t) = 0),
+kept AS (SELECT *, coalesce(given, {D.categorize(D.lower_text('section_title', 'section_body'))}) AS category
+         FROM sections WHERE section_idx = 0 OR section_body <> ''),
+sl AS (SELECT *, {D.split_sentences('section_body')} AS s FROM kept),
+sentences AS (SELECT *, CAST(unnest(range(0, len(s))) AS INT) AS sentence_idx, unnest(s) AS sentence FROM sl),
+c AS (SELECT *, {D.clean_text('sentence')} AS cs FROM sentences),
+wiki_ev AS (SELECT 'wikipedia' AS collector, 0 AS prio, CAST(year AS INT) AS year, {D.event_title('cs')} AS title,
+  'wikipedia' AS source, category, CAST(k1 AS BIGINT) AS k1, CAST(k2 AS BIGINT) AS k2, CAST(k3 AS BIGINT) AS k3,
+  CAST(k4 AS BIGINT) AS k4, CAST(section_idx AS BIGINT) AS k5, CAST(sentence_idx AS BIGINT) AS k6,
+  '' AS s1, '' AS s2 FROM c WHERE cs <> ''),
+ic AS (SELECT *, (value - prev) / nullif(prev, 0) * 100.0 AS change_pct
+       FROM (SELECT *, lag(value) OVER (PARTITION BY country, indicator ORDER BY year) AS prev FROM indicator_series)),
+iev AS (SELECT CAST(year AS INT) AS year,
+  CASE WHEN indicator = 'NY.GDP.MKTP.CD' THEN 'Economic recession in ' || country
+       WHEN indicator = 'FP.CPI.TOTL.ZG' THEN 'High inflation in ' || country
+       ELSE 'High unemployment in ' || country END AS title, 'world_bank' AS source,
+  0 AS k1, 0 AS k2, {ind_pos} AS k3, CAST(year AS BIGINT) AS k4, country AS s1, indicator AS s2
+  FROM ic WHERE year BETWEEN {lo} AND {hi} AND value <> 0 AND prev <> 0 AND year >= 1
+   AND ((indicator = 'NY.GDP.MKTP.CD' AND change_pct <= -2.0) OR (indicator = 'FP.CPI.TOTL.ZG' AND value >= 10.0)
+        OR (indicator = 'SL.UEM.TOTL.ZS' AND value >= 8.0))),
+mp AS (SELECT symbol, {month} AS date, close FROM monthly_series WHERE CAST(ym // 100 AS INT) BETWEEN {lo} AND {hi}),
+mc AS (SELECT *, (close - prev_close) / nullif(prev_close, 0) * 100.0 AS change_pct
+       FROM (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY date) AS prev_close FROM mp)),
+mev AS (SELECT CAST(substr(date, 1, 4) AS INT) AS year, 'Stock market crash - ' || symbol AS title,
+  'alpha_vantage' AS source, 1 AS k1, 0 AS k2, 0 AS k3, CAST(0 AS BIGINT) AS k4, symbol AS s1, date AS s2
+  FROM mc WHERE change_pct <= -15.0),
+cur AS (SELECT year, title, 'historical_database' AS source, 2 AS k1, idx AS k2, 0 AS k3, CAST(0 AS BIGINT) AS k4,
+  '' AS s1, '' AS s2 FROM (VALUES {curated}) v(idx, year, title, description) WHERE year BETWEEN {lo} AND {hi}),
+econ_ev AS (SELECT 'economic' AS collector, 1 AS prio, year, title, source, 'economic' AS category,
+  CAST(k1 AS BIGINT) AS k1, CAST(k2 AS BIGINT) AS k2, CAST(k3 AS BIGINT) AS k3, k4, CAST(0 AS BIGINT) AS k5,
+  CAST(0 AS BIGINT) AS k6, s1, s2 FROM (SELECT * FROM iev UNION ALL SELECT * FROM mev UNION ALL SELECT * FROM cur)),
+na AS (SELECT *, {low} AS _text FROM news_articles
+      WHERE substr(published_at, 1, 10) >= '{d_from}' AND substr(published_at, 1, 10) <= '{d_to}'),
+nh AS (SELECT *, unnest(list_filter([{items}], lambda x: x IS NOT NULL), recursive := true) FROM na),
+nr AS (SELECT *, CAST(floor((length(_text) - length(replace(_text, keyword, ''))) / length(keyword)) AS INT)
+        AS relevance FROM nh),
+ntop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY keyword_idx ORDER BY relevance DESC, article_id)
+        AS hit_rank FROM nr) WHERE hit_rank <= {L.NEWS_TOP_N}),
+nok AS (SELECT * FROM ntop WHERE coalesce(title, '') <> '' AND coalesce(published_at, '') <> ''
+         AND TRY_CAST(regexp_replace(published_at, 'Z$', '+00:00') AS TIMESTAMPTZ) IS NOT NULL),
+news_ev AS (SELECT 'news' AS collector, 2 AS prio, CAST(substr(published_at, 1, 4) AS INT) AS year,
+  {D.clean_text('title')} AS title, 'news_api' AS source, category, CAST(category_idx AS BIGINT) AS k1,
+  CAST(keyword_idx AS BIGINT) AS k2, CAST(hit_rank AS BIGINT) AS k3, CAST(article_id AS BIGINT) AS k4,
+  CAST(0 AS BIGINT) AS k5, CAST(0 AS BIGINT) AS k6, '' AS s1, '' AS s2 FROM nok),
+u AS (SELECT * FROM wiki_ev UNION ALL SELECT * FROM econ_ev UNION ALL SELECT * FROM news_ev),
+hs AS (SELECT *, md5(concat_ws('_', coalesce(CAST(year AS VARCHAR), 'None'), coalesce(title, 'None'),
+       coalesce(source, 'None'))) AS event_hash FROM u),
+d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_hash
+       ORDER BY prio, k1, k2, k3, k4, k5, k6, s1, s2) AS rn FROM hs) WHERE rn = 1),
+v AS (SELECT collector, CAST({lo} + floor((year - {lo}) / 50) * 50 AS INT) AS batch_start,
+  coalesce(year <> 0 AND title <> '' AND category <> '' AND year BETWEEN 1 AND 2025 AND category IN ({cats})
+    AND length(title) BETWEEN 3 AND 500, false) AS valid FROM d)
+SELECT collector, batch_start, COUNT(*) AS events_collected, COUNT(*) FILTER (WHERE valid) AS events_saved,
+  COUNT(*) FILTER (WHERE NOT valid) AS errors,
+  CASE WHEN collector IS NULL THEN 'total' WHEN batch_start IS NULL THEN 'source' ELSE 'batch' END AS level,
+  CAST(NULL AS VARCHAR) AS error_message
+FROM v GROUP BY ROLLUP (collector, batch_start)
+"""
+
+
+@register("collection_run_summary", _collection_sql())
 def q_collection_run_summary(spark, sf):
     """L1 + L2 + L3 + A17 + A18 + U1: all three sources over 1000..2025 in
     one plan, global first-wins dedupe, validity, roll-up by source/batch."""
