@@ -67,7 +67,11 @@ def _signatures(events: DataFrame, id_col: str, text_col: str, group_col: str) -
     texts = texts.withColumn("_tri", F.sort_array(trigrams(F.col("_norm"))))
     texts = texts.withColumn("_n", F.size("_tri"))
     texts = texts.withColumn("_sig", F.sha2(F.array_join("_tri", "\u0001"), 256))
-    members = base.join(texts.select("_g", "_norm", "_sig"), ["_g", "_norm"]).select("_id", "_g", "_sig")
+    # size of each signature group, over the small distinct-text table, so
+    # members learn it through the join they need anyway
+    texts = texts.withColumn("_sig_k", F.sum("_k").over(Window.partitionBy("_g", "_sig")))
+    members = (base.join(texts.select("_g", "_norm", "_sig", "_sig_k"), ["_g", "_norm"])
+               .select("_id", "_g", "_sig", "_sig_k"))
     sigs = (texts.groupBy("_g", "_sig")
             .agg(F.first("_tri").alias("_tri"), F.sum("_k").alias("_k"), F.first("_n").alias("_n")))
     return members, sigs
@@ -113,9 +117,10 @@ BLOCK = 1000  # members per block when a signature group is expanded into pairs
 
 
 def _blocked_members(members: DataFrame, sigs: DataFrame, block: int) -> DataFrame:
-    """members + (_nb blocks of the member's signature, _blk its block)."""
-    nb = sigs.select("_g", "_sig", F.greatest(F.ceil(F.col("_k") / F.lit(block)), F.lit(1)).cast("int").alias("_nb"))
-    return members.join(nb, ["_g", "_sig"]).withColumn("_blk", F.pmod(F.xxhash64("_id"), F.col("_nb")).cast("int"))
+    """members + (_nb blocks of the member's signature, _blk its block); the
+    group size arrives with the member (no extra join)."""
+    nb = F.greatest(F.ceil(F.col("_sig_k") / F.lit(block)), F.lit(1)).cast("int")
+    return members.withColumn("_nb", nb).withColumn("_blk", F.pmod(F.xxhash64("_id"), F.col("_nb")).cast("int"))
 
 
 def _pairs_across_groups(members: DataFrame, sigs: DataFrame, pairs: DataFrame, block: int) -> DataFrame:
