@@ -180,9 +180,12 @@ def event_title(sentence, max_len: int = L.TITLE_MAX) -> Column:
 def extract_location(sentence, non_locations: Iterable[str] = L.NON_LOCATIONS) -> Column:
     s = _c(sentence)
     bad = list(non_locations)
+    # each pattern needs a literal; the regex runs only where it occurs
+    guards = (s.contains("in"), s.contains("at"),
+              s.contains("is") | s.contains("was") | s.contains("become"))
     picks = []
-    for p in LOCATION_PATTERNS:
-        g = F.regexp_extract(s, p, 1)
+    for p, guard in zip(LOCATION_PATTERNS, guards):
+        g = F.when(guard, F.regexp_extract(s, p, 1)).otherwise(F.lit(""))
         picks.append(F.when((g != "") & ~g.isin(bad), g))
     return F.coalesce(*picks)
 
