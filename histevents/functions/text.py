@@ -194,7 +194,12 @@ def extract_participants(sentence, limit: int = L.MAX_PARTICIPANTS) -> Column:
     """Capitalised name pairs, then '... Empire/Kingdom/...' names; distinct in
     first-appearance order; first ``limit`` joined by ', '; null if none."""
     s = _c(sentence)
-    found = F.concat(*[F.regexp_extract_all(s, F.lit(p), 1) for p in PARTICIPANT_PATTERNS])
+    names, groups = PARTICIPANT_PATTERNS
+    # the group pattern needs one of its literal nouns; skip the regex otherwise
+    has_noun = any_contains(s, ("Empire", "Kingdom", "Republic", "Nation", "Army", "Force"))
+    found = F.concat(F.regexp_extract_all(s, F.lit(names), 1),
+                     F.when(has_noun, F.regexp_extract_all(s, F.lit(groups), 1))
+                     .otherwise(F.array().cast("array<string>")))
     picked = F.slice(F.array_distinct(found), 1, limit)
     return F.nullif(F.array_join(picked, ", "), F.lit(""))
 
