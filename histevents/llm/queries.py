@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from histevents.llm.cap_neardup import op6_cap_neardup
 from histevents.llm.decontaminate import op3_decontamination
 from histevents.llm.mixing import op4_mixing
 from histevents.llm.pii import op10_pii
@@ -12,6 +13,7 @@ from histevents.llm.token_files import op7_token_files
 QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_mixing": op4_mixing,
+    "op6_cap_neardup": op6_cap_neardup,
     "op7_token_files": op7_token_files,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
