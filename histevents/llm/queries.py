@@ -6,6 +6,7 @@ from histevents.llm.cap_neardup import op6_cap_neardup
 from histevents.llm.decontaminate import op3_decontamination
 from histevents.llm.mixing import op4_mixing
 from histevents.llm.pii import op10_pii
+from histevents.llm.quality import op5_quality
 from histevents.llm.simhash import op9_simhash
 from histevents.llm.substring_dedup import op8_substring_dedup
 from histevents.llm.token_files import op7_token_files
@@ -13,6 +14,7 @@ from histevents.llm.token_files import op7_token_files
 QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_mixing": op4_mixing,
+    "op5_quality": op5_quality,
     "op6_cap_neardup": op6_cap_neardup,
     "op7_token_files": op7_token_files,
     "op8_substring_dedup": op8_substring_dedup,
