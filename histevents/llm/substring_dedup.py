@@ -31,6 +31,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from histevents.llm.hashing import BYTE, mix, ranges
 from histevents.llm.tables import read, stage
 
 WINDOW = 35
@@ -49,36 +50,6 @@ def cover_for(window: int) -> int:
     return max(v for v in COVERS if window - v + 1 >= max(1, window // 3))
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-#: Odd bases of the polynomials modulo 2**64 over bytes and over words.
-_BASE = {"byte": 0x9E3779B97F4A7C15, "word": 0xD1342543DE82EF95, "second": 0xA0761D6478BD642F}
-_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * _U(0x2545F4914F6CDD1D))
-_POWERS: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers(base: str, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i for i below n (kept in the worker)."""
-    if base not in _POWERS or len(_POWERS[base][0]) < n:
-        m, b = max(n, 1 << 16), _BASE[base]
-        up, down = np.full(m, b, np.uint64), np.full(m, pow(b, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        _POWERS[base] = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
-    return _POWERS[base][0][:n], _POWERS[base][1][:n]
-
-
-def _ranges(values: np.ndarray, base: str, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Polynomial hash of values[begin:end] for each pair, wherever it lies."""
-    up, down = _powers(base, len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:-1], out=total[1:])
-    return (total[end] - total[begin]) * down[begin]
-
-
 class Words:
     """The words of a chunk: hashes, and where each lies in its document."""
 
@@ -89,17 +60,17 @@ class Words:
         doc = np.r_[0, np.cumsum(raw[stop] == 10)[:-1]]
         real = stop > start
         start, stop, self.doc = start[real], stop[real], doc[real]
-        self.hash = _mix(_ranges(_BYTE[raw], "byte", start, stop) + (stop - start).astype(np.uint64))
+        self.hash = mix(ranges(BYTE[raw], "byte", start, stop) + (stop - start).astype(np.uint64))
         self.count = np.bincount(self.doc, minlength=n_docs)
         first = np.cumsum(self.count) - self.count
         self.at = np.arange(len(self.doc)) - first[self.doc]
         self.left = self.count[self.doc] - self.at
 
     def windows(self, at: np.ndarray, n: int) -> np.ndarray:
-        return _mix(_ranges(self.hash, "word", at, at + n))
+        return mix(ranges(self.hash, "word", at, at + n))
 
     def second(self, at: np.ndarray, n: int) -> np.ndarray:
-        return _mix(_ranges(_mix(self.hash + _U(1)), "second", at, at + n))
+        return mix(ranges(mix(self.hash + _U(1)), "second", at, at + n))
 
     def anchors(self, window: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and hashes of the anchors."""

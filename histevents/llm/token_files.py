@@ -16,9 +16,7 @@ of doc_id (null last); Spark's writer is what reaches every kind of store, and
 lost tasks write their files anew.
 
 Documents are range-partitioned by (doc_id, hash of the text, row number): also
-a doc_id that a third of all rows share is split.  Text is cut before a blank
-that follows a non-blank, where the tokenizer's pre-tokenizer always cuts, and
-a piece is encoded once in a worker while its cache lasts.
+a doc_id that a third of all rows share is split.
 
 Defined results: a null text counts as empty and has the end id alone; equal
 doc_ids go by text; an empty table gives an empty file and no rows.
@@ -32,11 +30,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
+from histevents.llm.hashing import BYTE, BYTE2, mix, ranges
 from histevents.llm.tables import free_name, read, stage
 
 END_ID = 2
 BLOCK, SEGMENT_IDS = 1024, 262_144
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 2_500_000
 
 #: (count, width) by selector; 0 is the escape, 1 the run of zeros.
 SELECTORS = [(1, 64), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6),
@@ -44,9 +43,6 @@ SELECTORS = [(1, 64), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10
 _COUNT = np.array([c for c, _ in SELECTORS])
 _WIDTH = np.array([w for _, w in SELECTORS], np.uint64)
 
-#: Signs that may be cut off the end of a word: the pre-tokenizer cuts there.
-SIGNS = ".,;:!?%*$&#|()[]{}<>\"/+=~^@-_"
-
 SEGMENT = ("shard int, first bigint, doc_id array<bigint>, n_ids array<bigint>, "
            "offset binary, words binary")
 
@@ -153,27 +149,25 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
-class _Known(dict):
-    """Ids (4 bytes each) by piece; a new piece gets a place to be filled."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, piece: str) -> bytearray:
-        self.new.append(piece)
-        self[piece] = place = bytearray()
-        return place
+#: Classes of bytes of UTF-8 text: 1 letters (A-Z, a-z; U+00C0 to U+027F but
+#: for the two signs in it), 2 a blank or an end of line, 3 other ASCII; the
+#: rest, 0, makes a text odd: other white space, controls, further scripts.
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[33:127] = 3
+_CLASS[[32, 10]] = 2
+_CLASS[[*range(65, 91), *range(97, 123), *range(0x80, 0xC0), *range(0xC3, 0xCA)]] = 1
 
 
 class Encoder:
-    """Whole texts to ids; each piece between blanks is encoded once.
+    """Whole texts to ids; each different piece of them is encoded once.
 
-    A text of words with one blank or end of line between them is cut there,
-    where the pre-tokenizer always cuts; any other text is encoded as it is.
-    A piece stands for itself after a blank, or with the end of line that it
-    begins with.  When the known pieces outgrow ``cache``, those of the latest
-    texts stay."""
+    An even text (ASCII and Latin letters, one blank or end of line between
+    words) is cut before each blank or end of line, and where a sign follows a
+    letter: the pre-tokenizer always cuts there, so pieces can be encoded
+    apart.  Pieces are told apart by two 64-bit hashes, found by numpy for many
+    texts at once; known ones give their ids from one array.  Any other text
+    goes to the tokenizer as it is.  When more than ``cache`` pieces are known,
+    all are forgotten."""
 
     def __init__(self, path: str, cache: int = CACHE_PIECES):
         import os
@@ -181,80 +175,119 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known, self.cache = Tokenizer.from_file(path), _Known(), cache
+        self.tokenizer, self.cache = Tokenizer.from_file(path), cache
         self.line = self._ids(["\n"])[0]
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.apart = ["  ", " \n", "\n ", "\n\n", *added]
+        self.apart = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._forget()
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _forget(self) -> None:
+        self.key, self.slot = np.empty(0, np.uint64), np.empty(0, np.int64)  # sorted by key
+        self.second, self.end = np.empty(0, np.uint64), np.zeros(1, np.int64)  # by slot
+        self.ids = np.empty(0, "<u4")
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text, as unsigned 32-bit numbers."""
-        out: list = [b""] * len(texts)
-        even = []
-        for i, t in enumerate(texts):
-            if not t:
-                continue
-            pieces = ("\n" + t).replace("\n", " \n")[1:].split(" ")
-            if len(pieces) == len(t.split()) and not any(x in t for x in self.apart) and not t[0].isspace() and not t[-1].isspace():
-                even.append((i, pieces))
-            else:
-                out[i] = self._ids([t])[0]
-        if len(self.known) > self.cache:
-            latest = set().union(*(pieces for _, pieces in even)).intersection(self.known)
-            for p in self.known.keys() - latest:
-                del self.known[p]
-        found = [(i, list(map(self.known.__getitem__, pieces))) for i, pieces in even]
-        self._learn()
-        cut = len(self.line)
-        for i, ids in found:
-            out[i] = b"".join(ids)[cut:]
-        return [np.frombuffer(x, "<u4") for x in out]
-
-    def _learn(self) -> None:
-        """Encode the new pieces.  A word of letters and the signs after it are
-        encoded apart, each different one once."""
-        known, new, self.known.new = self.known, self.known.new, []
-        parts = []
-        for p in new:
-            line, whole = p[0] == "\n", p[1:] if p[0] == "\n" else " " + p
-            word = whole.rstrip(SIGNS)
-            cut = len(word) if word[not line:].isalpha() else len(whole)
-            parts.append((line, whole[:cut], whole[cut:]))
-        todo = list({x for _, *xs in parts for x in xs if x})
-        done = {"": b""}
-        for at in range(0, len(todo), 20_000):
-            done |= zip(todo[at:at + 20_000], self._encode(todo[at:at + 20_000]))
-        for p, (line, a, b) in zip(new, parts):
-            place = known[p]
-            if line:
-                place += self.line
-            place += done[a]
-            place += done[b]
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        """All in one text, with an end of line after each: a token of its own,
-        which no part holds, that shows where each part ends."""
-        raw = self._ids(["\n".join(parts) + "\n"])[0]
-        ends = np.flatnonzero(np.frombuffer(raw, "<u4") == np.frombuffer(self.line, "<u4")[0]) * 4
-        if len(self.line) != 4 or len(ends) != len(parts):  # not this kind of vocabulary
-            return self._ids(parts)
-        starts = np.r_[0, ends[:-1] + 4]
-        return [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist())]
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def __call__(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """Ids of each text (UTF-8), as unsigned 32-bit numbers."""
+        out: list = [np.empty(0, "<u4")] * len(texts)
+        odd = self._odd(texts)
+        for i in np.flatnonzero(odd).tolist():
+            if texts[i]:
+                out[i] = self._ids([texts[i].decode()])[0]
+        even = np.flatnonzero(~odd).tolist()
+        for i, ids in zip(even, self._even([texts[i] for i in even]) if even else []):
+            out[i] = ids
+        return out
+
+    def _odd(self, texts: list[bytes | None]) -> np.ndarray:
+        sizes = np.array([len(t or b"") for t in texts])
+        raw = np.frombuffer(b"".join([t or b"" for t in texts]), np.uint8)
+        kind = _CLASS[raw]
+        space = kind == 2
+        bad = kind == 0
+        bad[:-1] |= (raw[:-1] == 0xC3) & ((raw[1:] == 0x97) | (raw[1:] == 0xB7))
+        bad[1:] |= space[1:] & space[:-1]
+        ends = np.cumsum(sizes)
+        full = sizes > 0
+        bad[ends[full] - 1] |= space[ends[full] - 1]
+        bad[(ends - sizes)[full]] |= space[(ends - sizes)[full]]
+        odd = ~full
+        odd[np.searchsorted(ends, np.flatnonzero(bad), side="right")] = True
+        whole = raw.tobytes()
+        for t in self.apart:
+            if t in whole:
+                odd |= np.array([t in (x or b"") for x in texts])
+        return odd
+
+    def _even(self, texts: list[bytes]) -> list[np.ndarray]:
+        sizes = np.array([len(t) for t in texts])
+        body = b"".join(texts)
+        raw = np.frombuffer(body, np.uint8)
+        kind = _CLASS[raw]
+        cut = kind == 2
+        cut[1:] |= (kind[1:] == 3) & (kind[:-1] == 1)
+        first = np.cumsum(sizes) - sizes
+        cut[first] = True
+        begin = np.flatnonzero(cut)
+        end = np.r_[begin[1:], len(raw)]
+        length = (end - begin).astype(np.uint64)
+        key = mix(ranges(BYTE[raw], "byte", begin, end) + length)
+        piece, at, back = np.unique(key, return_index=True, return_inverse=True)
+        begin, end = begin[at], end[at]
+        second = mix(ranges(BYTE2[raw], "second", begin, end))
+        if len(self.key) > self.cache:
+            self._forget()
+        found = np.searchsorted(self.key, piece)
+        known = np.zeros(len(piece), bool)
+        if len(self.key):
+            near = np.minimum(found, len(self.key) - 1)
+            known = self.key[near] == piece
+        new = np.flatnonzero(~known)
+        if len(new):
+            slots = np.arange(len(new)) + len(self.second)
+            self.key = np.insert(self.key, found[new], piece[new])
+            self.slot = np.insert(self.slot, found[new], slots)
+            self.second = np.concatenate([self.second, second[new]])
+            ids = self._encode([body[b:e] for b, e in zip(begin[new].tolist(), end[new].tolist())])
+            self.end = np.concatenate([self.end, self.end[-1] + np.cumsum([len(x) for x in ids])])
+            self.ids = np.concatenate([self.ids, *ids])
+        slot = self.slot[np.searchsorted(self.key, piece)]
+        if (self.second[slot] != second).any():  # two pieces of one hash
+            return self._ids([t.decode() for t in texts])
+        start, count = self.end[slot][back], (self.end[slot + 1] - self.end[slot])[back]
+        total = np.cumsum(count)
+        flat = self.ids[np.repeat(start - (total - count), count) + np.arange(total[-1])]
+        return np.split(flat, (total - count)[np.cumsum(cut)[first[1:]] - 1])
+
+    def _encode(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Ids of pieces.  Many go into one text, with an end of line after each:
+        a token of its own, which shows where each piece ends."""
+        bare = [p.removeprefix(b"\n").decode() for p in pieces]
+        out: list[np.ndarray] = []
+        for at in range(0, len(bare), 20_000):
+            part = bare[at:at + 20_000]
+            ids = self._ids(["\n".join(part) + "\n"])[0]
+            ends = np.flatnonzero(ids == self.line[0])
+            if len(self.line) == 1 and len(ends) == len(part):
+                cuts = zip([0, *(ends[:-1] + 1).tolist()], ends.tolist())
+                out += [ids[s:e] for s, e in cuts]
+            else:  # not this kind of vocabulary
+                out += self._ids(part)
+        return [np.r_[self.line, x].astype("<u4") if p[:1] == b"\n" else x for p, x in zip(pieces, out)]
 
 
 _ENCODER: dict[str, Encoder] = {}
 
 
 def _groups(batches, text: str, most: int = 3_000_000):
-    """Lists of (doc_id, text) rows of about ``most`` characters."""
+    """Lists of (doc_id, text) rows of about ``most`` bytes."""
     held, size = [], 0
     for b in batches:
-        for row in zip(b.column("doc_id").to_pylist(), b.column(text).to_pylist()):
+        for row in zip(b.column("doc_id").to_pylist(), b.column(text).cast(pa.binary()).to_pylist()):
             held.append(row)
-            size += len(row[1] or "")
+            size += len(row[1] or b"")
             if size >= most:
                 yield held
                 held, size = [], 0
