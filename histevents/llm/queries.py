@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from histevents.llm.cap_neardup import op6_cap_neardup
 from histevents.llm.decontaminate import op3_decontamination
+from histevents.llm.html_extract import op2_html_extract
 from histevents.llm.mixing import op4_mixing
 from histevents.llm.pii import op10_pii
 from histevents.llm.quality import op5_quality
@@ -12,6 +13,7 @@ from histevents.llm.substring_dedup import op8_substring_dedup
 from histevents.llm.token_files import op7_token_files
 
 QUERIES = {
+    "op2_html_extract": op2_html_extract,
     "op3_decontamination": op3_decontamination,
     "op4_mixing": op4_mixing,
     "op5_quality": op5_quality,
