@@ -28,7 +28,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from histevents.llm.tables import free_name, read
 
@@ -123,7 +123,8 @@ def fit(rated: list, steps: int = STEPS, rate: float = RATE, ridge: float = RIDG
 
 def score(docs: DataFrame, model, out: str = "quality", text: str = "text") -> DataFrame:
     """``docs`` with ``out``: struct<grade, at_least_1, at_least_2> (doubles)."""
-    schema = docs.schema.add(out, "struct<grade:double,at_least_1:double,at_least_2:double>")
+    schema = T.StructType([*docs.schema, T.StructField(out, T.StructType.fromDDL(
+        "grade double, at_least_1 double, at_least_2 double"))])
     columns = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -31,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from histevents.llm.components import connected_components
 from histevents.llm.tables import free_name, keyed, read, stage
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, text: str = "text", out: str = "fp", shingle:
             fps = [fingerprint(t, shingle) for t in b.column(text).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*map(b.column, keep), pa.array(fps, pa.int64())], names=[*keep, out])
 
-    schema = docs.drop(text).schema.add(out, "long")
+    schema = T.StructType([*docs.drop(text).schema, T.StructField(out, T.LongType())])
     return docs.mapInArrow(run, schema)
 
 

@@ -18,16 +18,33 @@ def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+#: Paths that ``stage`` has written and ``release`` hasn't deleted.
+STAGED: list[str] = []
+
+
 def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write to the shared folder (``spark.checkpoint.dir``) and read back.
 
     Cuts lineage: what follows reads the files, also after an executor is
-    lost.  The folder is the job's scratch space and is emptied with it."""
+    lost.  The folder is the job's scratch space: results read from it, so it
+    is emptied when they have been written elsewhere (``release``)."""
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    STAGED.append(path)
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables.  Only for callers who know that every result that
+    reads them has been written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+        if path in STAGED:
+            STAGED.remove(path)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, with as many underscores as make it no column of ``df``
     (names are compared as Spark does, without case)."""
