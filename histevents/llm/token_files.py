@@ -35,7 +35,7 @@ from histevents.llm.tables import free_name, read, stage
 
 END_ID = 2
 BLOCK, SEGMENT_IDS = 1024, 262_144
-CACHE_PIECES = 2_500_000
+CACHE_PIECES = 600_000
 
 #: (count, width) by selector; 0 is the escape, 1 the run of zeros.
 SELECTORS = [(1, 64), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6),
@@ -167,7 +167,7 @@ class Encoder:
     apart.  Pieces are told apart by two 64-bit hashes, found by numpy for many
     texts at once; known ones give their ids from one array.  Any other text
     goes to the tokenizer as it is.  When more than ``cache`` pieces are known,
-    all are forgotten."""
+    the rare ones are forgotten."""
 
     def __init__(self, path: str, cache: int = CACHE_PIECES):
         import os
@@ -183,8 +183,22 @@ class Encoder:
     def _forget(self) -> None:
         self.key, self.slot = np.empty(0, np.uint64), np.empty(0, np.int64)  # sorted by key
         self.second, self.end = np.empty(0, np.uint64), np.zeros(1, np.int64)  # by slot
+        self.uses = np.empty(0, np.int64)
         self.ids = np.empty(0, "<u4")
 
+    def _thin(self) -> None:
+        """Forget the pieces met once, and more if that leaves over half."""
+        least = 2
+        while (self.uses >= least).sum() > self.cache // 2:
+            least *= 2
+        stay = self.uses >= least
+        count = np.diff(self.end)
+        self.ids = self.ids[np.repeat(stay, count)]
+        self.end = np.r_[0, np.cumsum(count[stay])]
+        own = stay[self.slot]
+        self.key, self.slot = self.key[own], (np.cumsum(stay) - 1)[self.slot[own]]
+        self.second, self.uses = self.second[stay], np.ones(stay.sum(), np.int64)
+
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in found]
@@ -234,11 +248,11 @@ class Encoder:
         end = np.r_[begin[1:], len(raw)]
         length = (end - begin).astype(np.uint64)
         key = mix(ranges(BYTE[raw], "byte", begin, end) + length)
-        piece, at, back = np.unique(key, return_index=True, return_inverse=True)
+        piece, at, back, uses = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
         begin, end = begin[at], end[at]
         second = mix(ranges(BYTE2[raw], "second", begin, end))
         if len(self.key) > self.cache:
-            self._forget()
+            self._thin()
         found = np.searchsorted(self.key, piece)
         known = np.zeros(len(piece), bool)
         if len(self.key):
@@ -250,10 +264,12 @@ class Encoder:
             self.key = np.insert(self.key, found[new], piece[new])
             self.slot = np.insert(self.slot, found[new], slots)
             self.second = np.concatenate([self.second, second[new]])
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
             ids = self._encode([body[b:e] for b, e in zip(begin[new].tolist(), end[new].tolist())])
             self.end = np.concatenate([self.end, self.end[-1] + np.cumsum([len(x) for x in ids])])
             self.ids = np.concatenate([self.ids, *ids])
         slot = self.slot[np.searchsorted(self.key, piece)]
+        self.uses[slot] += uses
         if (self.second[slot] != second).any():  # two pieces of one hash
             return self._ids([t.decode() for t in texts])
         start, count = self.end[slot][back], (self.end[slot + 1] - self.end[slot])[back]
@@ -281,7 +297,14 @@ class Encoder:
 _ENCODER: dict[str, Encoder] = {}
 
 
-def _groups(batches, text: str, most: int = 3_000_000):
+def _encoder(path: str) -> Encoder:
+    """The worker's own, kept from task to task."""
+    if path not in _ENCODER:
+        _ENCODER[path] = Encoder(path)
+    return _ENCODER[path]
+
+
+def _groups(batches, text: str, most: int = 500_000):
     """Lists of (doc_id, text) rows of about ``most`` bytes."""
     held, size = [], 0
     for b in batches:
@@ -301,9 +324,7 @@ def write_ids(docs: DataFrame, name: str = "byte_bpe_50k.json", end_id: int = EN
     def run(batches):
         from pyspark import TaskContext
 
-        path = tokenizer_path(name)
-        if path not in _ENCODER:
-            _ENCODER[path] = Encoder(path)
+        encoder = _encoder(tokenizer_path(name))
         shard, first = TaskContext.get().partitionId(), 0
         ids: list[np.ndarray] = []
         rows: list[tuple] = []
@@ -325,7 +346,7 @@ def write_ids(docs: DataFrame, name: str = "byte_bpe_50k.json", end_id: int = EN
             return out
 
         for group in _groups(batches, "text"):
-            for (doc, _), got in zip(group, _ENCODER[path]([t for _, t in group])):
+            for (doc, _), got in zip(group, encoder([t for _, t in group])):
                 ids += [got, tail]
                 rows.append((doc, len(got) + 1))
             if sum(r[1] for r in rows) >= segment_ids:
