@@ -116,32 +116,25 @@ def year_from_date_string(d) -> Column:
     return F.substring_index(_c(d), "-", 1).try_cast("int")
 
 
-def published_year(published_at) -> Column:
-    """Year of an ISO-8601 timestamp in its own offset; null if unparsable."""
-    s = _c(published_at)
-    ts = F.regexp_replace(s, "Z$", "+00:00").try_cast("timestamp")
-    return F.when(ts.isNotNull(), F.substring(s, 1, 4).try_cast("int"))
+#: Date, or date and time with seconds, both padded; a fraction and an offset may follow.
+ISO_TIMESTAMP = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+                 r"(?:[T ][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:[.][0-9]{3}(?:[0-9]{3})?)?)?(?:[+-][0-9]{2}:[0-9]{2})?)?$")
 
 
 def published_ts(published_at) -> Column:
-    s = _c(published_at)
-    return F.regexp_replace(s, "Z$", "+00:00").try_cast("timestamp")
+    """An ISO-8601 timestamp; null if the text isn't one from end to end (the
+    cast alone would also take blanks around it, a bare year or one-digit parts)."""
+    s = F.regexp_replace(_c(published_at), "Z$", "+00:00")
+    return F.when(s.rlike(ISO_TIMESTAMP), s.try_cast("timestamp"))
 
 
-# URL rule: http/https + domain (TLD 2-6 letters) / localhost / IPv4,
-# optional port, optional path; case-insensitive.
-URL_PATTERN = (
-    r"(?i)^https?://"
-    r"(?:(?:[A-Z0-9](?:[A-Z0-9-]{0,61}[A-Z0-9])?\.)+[A-Z]{2,6}\.?|"
-    r"localhost|"
-    r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})"
-    r"(?::\d+)?"
-    r"(?:/?|[/?]\S+)$"
-)
+def published_year(published_at) -> Column:
+    """Year of an ISO-8601 timestamp in its own offset; null if unparsable."""
+    return F.when(published_ts(published_at).isNotNull(), F.substring(_c(published_at), 1, 4).try_cast("int"))
 
 
 def is_valid_url(url) -> Column:
-    return _c(url).rlike(URL_PATTERN)
+    return _c(url).rlike(L.URL_PATTERN)
 
 
 # Date strings accepted by the validator (strptime accepts unpadded fields,

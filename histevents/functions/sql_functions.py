@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from histevents.functions.scalars import URL_PATTERN
+from histevents.lexicons import URL_PATTERN
 
 
 def _lit(s: str) -> str:

@@ -216,21 +216,20 @@ def extract_tags(sentence, category, lexicon: Mapping[str, Iterable[str]] = L.TA
 
 
 def categorize_key(text, lexicon: Mapping[str, Iterable[str]] = L.HISTORICAL_CATEGORIES) -> Column:
-    """Arg-max key: hits * 64 + (63 - category position), maximised.  Each
-    category's score appears once, so the expression stays small; the key
-    orders by hits first and then prefers earlier categories."""
+    """Arg-max key (hits, -position), maximised: most hits first, then the
+    earlier category.  Each category's score appears once, so the expression
+    stays small, for any number of categories."""
     t = _c(text)
-    names = list(lexicon)
-    keys = [count_contains(t, lexicon[n]) * 64 + (63 - i) for i, n in enumerate(names)]
-    return (F.greatest(*keys) if len(keys) > 1 else keys[0]).cast("int")
+    keys = [F.struct(count_contains(t, lexicon[n]).cast("int").alias("hits"), F.lit(-i).alias("place"))
+            for i, n in enumerate(lexicon)]
+    return F.greatest(*keys) if len(keys) > 1 else keys[0]
 
 
 def category_from_key(key, lexicon: Mapping[str, Iterable[str]] = L.HISTORICAL_CATEGORIES,
                       default: str = "political") -> Column:
     k = _c(key)
     names = F.array(*[F.lit(n) for n in lexicon])
-    pos = F.lit(64) - F.pmod(k, F.lit(64))  # 1-based position of the category
-    return F.when(k < 64, F.lit(default)).otherwise(F.element_at(names, pos.cast("int")))
+    return F.when(k["hits"] < 1, F.lit(default)).otherwise(F.element_at(names, F.lit(1) - k["place"]))
 
 
 def categorize(text, lexicon: Mapping[str, Iterable[str]] = L.HISTORICAL_CATEGORIES,

@@ -39,11 +39,6 @@ HISTORICAL_CATEGORIES: dict[str, tuple[str, ...]] = {
 }
 CATEGORY_NAMES: tuple[str, ...] = tuple(HISTORICAL_CATEGORIES)
 
-# --- FIXED VALUES: severity levels ---
-EVENT_SEVERITY_LEVELS: dict[str, int] = {
-    "global": 5, "continental": 4, "national": 3, "regional": 2, "local": 1,
-}
-
 # --- FIXED VALUES: digital root meanings ---
 DIGITAL_ROOT_CYCLES: dict[int, str] = {
     1: "New beginnings, leadership, innovation",
@@ -170,12 +165,6 @@ NEWS_KEYWORDS: dict[str, tuple[str, ...]] = {
     ),
 }
 
-# --- FIXED VALUES: news source ids with historical coverage (declared, unused) ---
-NEWS_HISTORICAL_SOURCES = (
-    "bbc-news", "cnn", "the-new-york-times", "the-guardian-uk",
-    "reuters", "associated-press", "time", "national-geographic",
-)
-
 # --- FIXED VALUES: news known locations (list order = priority) ---
 NEWS_KNOWN_LOCATIONS = (
     "United States", "China", "Japan", "Germany", "United Kingdom", "France",
@@ -200,11 +189,35 @@ NEWS_MEDIUM_SEVERITY = (
     "historic", "unprecedented", "massive",
 )
 
+# --- FIXED VALUES: the URL rule (http or https; a domain with a top level of 2
+# to 6 letters, localhost or an IPv4 address; port and path may follow) ---
+URL_PATTERN = (
+    r"(?i)^https?://"
+    r"(?:(?:[A-Z0-9](?:[A-Z0-9-]{0,61}[A-Z0-9])?\.)+[A-Z]{2,6}\.?|"
+    r"localhost|"
+    r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})"
+    r"(?::\d+)?"
+    r"(?:/?|[/?]\S+)$"
+)
+
+# --- FIXED VALUES: texts of detected economic events ---
+INDICATOR_TITLES = {
+    "recession": "Economic recession in {country}",
+    "inflation": "High inflation in {country}",
+    "unemployment": "High unemployment in {country}",
+}
+INDICATOR_DESCRIPTIONS = {
+    "recession": "GDP declined by {number}% in {country}, indicating economic recession.",
+    "inflation": "Inflation reached {number}% in {country}, indicating economic instability.",
+    "unemployment": "Unemployment reached {number}% in {country}, indicating economic distress.",
+}
+CRASH_TITLE = "Stock market crash - {symbol}"
+CRASH_DESCRIPTION = "Stock index {symbol} declined by {number}% in {month}."
+
 # --- FIXED VALUES: validation rules ---
 YEAR_RANGE = (1, 2025)
 TITLE_LENGTH = (3, 500)
 DESCRIPTION_MAX = 5000
-SEVERITY_RANGE = (1, 5)
 DIGITAL_ROOT_RANGE = (1, 9)
 REQUIRED_FIELDS = ("year", "title", "category", "source")
 VALID_SEVERITY_LEVELS = (5, 4, 3, 2, 1)
@@ -222,10 +235,11 @@ SOURCE_PRIORITY = ("wikipedia", "economic", "news")
 BATCH_SIZE_FULL = 50
 BATCH_SIZE_SAMPLE = 10
 BATCH_SIZE_RECENT = 1
+# Request limits of the web services: parameters, not applied to landed data.
 NEWS_WINDOW_YEARS = 5
+NEWS_DELAY_DAYS = 30
 NEWS_TOP_N = 50
 WIKI_SEARCH_TOP_N = 20
-SERIES_MAX_ROWS = 1000
 MARKET_MIN_END_YEAR = 1999
 CATEGORY_SEARCH_EVERY = 10
 NEAR_YEAR_WINDOW = 50

@@ -19,12 +19,16 @@
 
 from __future__ import annotations
 
+import math
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from histevents import lexicons as L
 from histevents.functions.scalars import event_hash
 from histevents.functions.text import trigrams
+from histevents.session import scratch_path
 
 NUM, DEN = L.NEAR_DUPLICATE_THRESHOLD  # similarity > NUM/DEN
 
@@ -70,6 +74,10 @@ def _signatures(events: DataFrame, id_col: str, text_col: str, group_col: str) -
     # size of each signature group, over the small distinct-text table, so
     # members learn it through the join they need anyway
     texts = texts.withColumn("_sig_k", F.sum("_k").over(Window.partitionBy("_g", "_sig")))
+    # members, signatures, candidates and verification all read these
+    path = scratch_path(events.sparkSession, f"signatures-{uuid.uuid4().hex}")
+    texts.write.parquet(path)
+    texts = events.sparkSession.read.schema(texts.schema).parquet(path)
     members = (base.join(texts.select("_g", "_norm", "_sig", "_sig_k"), ["_g", "_norm"])
                .select("_id", "_g", "_sig", "_sig_k"))
     sigs = (texts.groupBy("_g", "_sig")
@@ -88,9 +96,13 @@ def _similar_signature_pairs(sigs: DataFrame) -> DataFrame:
               .withColumn("_r", F.row_number().over(w))
               .filter(F.col("_r") <= prefix_len)
               .select("_g", "_sig", "_n", "_tok"))
-    a = prefix.select("_g", "_tok", F.col("_sig").alias("sig_a"), F.col("_n").alias("n_a"))
-    b = prefix.select("_g", "_tok", F.col("_sig").alias("sig_b"), F.col("_n").alias("n_b"))
-    cand = (a.join(b, ["_g", "_tok"])
+    # sizes of a match differ by DEN/NUM at most: equal or neighbouring size
+    # classes, which are part of the key (each pair meets in sig_a's class)
+    size_class = F.floor(F.log(F.col("_n").cast("double")) / F.lit(math.log(DEN / NUM)))
+    a = prefix.select("_g", "_tok", F.col("_sig").alias("sig_a"), F.col("_n").alias("n_a"), size_class.alias("_c"))
+    b = prefix.select("_g", "_tok", F.col("_sig").alias("sig_b"), F.col("_n").alias("n_b"),
+                      F.explode(F.array(size_class - 1, size_class, size_class + 1)).alias("_c"))
+    cand = (a.join(b, ["_g", "_tok", "_c"])
             .filter((F.col("sig_a") < F.col("sig_b"))
                     & (F.least("n_a", "n_b") * DEN > F.greatest("n_a", "n_b") * NUM))
             .select("_g", "sig_a", "sig_b").distinct())
@@ -148,11 +160,13 @@ def _pairs_inside_groups(members: DataFrame, sigs: DataFrame, block: int = BLOCK
     hashed into ceil(k / block) blocks and each block pair (i <= j) is its
     own join key, so a task joins at most about block x block members."""
     m = _blocked_members(members, sigs, block)
-    # left side: each member meets every block j >= its own block
+    # both blocks are in the key: a member goes to every pair that its own
+    # block is in, on the left as the lower block and on the right as the higher
     left = m.select("_g", "_sig", F.col("_blk").alias("_bi"), F.col("_id").alias("_a"),
                     F.explode(F.sequence(F.col("_blk"), F.col("_nb") - 1)).alias("_bj"))
-    right = m.select("_g", "_sig", F.col("_blk").alias("_bj"), F.col("_id").alias("_b"))
-    pairs = left.join(right, ["_g", "_sig", "_bj"])
+    right = m.select("_g", "_sig", F.col("_blk").alias("_bj"), F.col("_id").alias("_b"),
+                     F.explode(F.sequence(F.lit(0), F.col("_blk"))).alias("_bi"))
+    pairs = left.join(right, ["_g", "_sig", "_bi", "_bj"])
     keep = (F.col("_bi") < F.col("_bj")) | (F.col("_a") < F.col("_b"))
     return pairs.filter(keep).select(F.least("_a", "_b").alias("id"), F.greatest("_a", "_b").alias("duplicate_id"))
 

@@ -12,7 +12,9 @@ so the first year of a requested range still sees its predecessor.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from histevents import lexicons as L
@@ -20,9 +22,21 @@ from histevents.functions.scalars import format_1f, pct_change, year_from_date_s
 from histevents.functions.text import estimate_severity
 
 
+def filled(template: str, **values) -> Column:
+    """A fixed text with columns in its {places}."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[values[x] if i % 2 else F.lit(x) for i, x in enumerate(parts) if x])
+
+
+def _ties(df: DataFrame, value: str) -> list:
+    """What orders records of one date: ``seq`` if there is one, then the value."""
+    return [*(["seq"] if "seq" in df.columns else []), value]
+
+
 def yoy_changes(series: DataFrame, keys=("country", "indicator"), order="year", value="value") -> DataFrame:
-    """Adds ``prev`` (previous record's value, even if null/0) and ``change_pct``."""
-    w = Window.partitionBy(*keys).orderBy(order)
+    """Adds ``prev`` (previous record's value, even if null/0) and ``change_pct``.
+    Records of the same year go by ``seq``, if there is one, and value."""
+    w = Window.partitionBy(*keys).orderBy(order, *_ties(series, value))
     return (series.withColumn("prev", F.lag(value).over(w))
             .withColumn("change_pct", pct_change(value, "prev")))
 
@@ -46,15 +60,12 @@ def detect_indicator_events(series: DataFrame, lo: int | None = None, hi: int |
     infl = (ind == L.INFLATION_INDICATOR) & (v >= L.INFLATION_SPIKE_THRESHOLD)
     unemp = (ind == L.UNEMPLOYMENT_INDICATOR) & (v >= L.UNEMPLOYMENT_RISE_THRESHOLD)
     s = s.filter(gdp | infl | unemp)
-    title = (F.when(gdp, F.concat(F.lit("Economic recession in "), c))
-             .when(infl, F.concat(F.lit("High inflation in "), c))
-             .otherwise(F.concat(F.lit("High unemployment in "), c)))
-    number = format_1f(F.when(gdp, F.abs(chg)).otherwise(v))  # one formatter for all three texts
-    lead = F.when(gdp, "GDP declined by ").when(infl, "Inflation reached ").otherwise("Unemployment reached ")
-    tail = (F.when(gdp, ", indicating economic recession.").when(infl, ", indicating economic instability.")
-            .otherwise(", indicating economic distress."))
-    desc = F.concat(lead, number, F.lit("% in "), c, tail)
     sub = F.when(gdp, "recession").when(infl, "inflation").otherwise("unemployment")
+    texts = {k: filled(t, country=c) for k, t in L.INDICATOR_TITLES.items()}
+    title = F.when(gdp, texts["recession"]).when(infl, texts["inflation"]).otherwise(texts["unemployment"])
+    number = format_1f(F.when(gdp, F.abs(chg)).otherwise(v))  # one formatter for all three texts
+    texts = {k: filled(t, country=c, number=F.col("_number")) for k, t in L.INDICATOR_DESCRIPTIONS.items()}
+    desc = F.when(gdp, texts["recession"]).when(infl, texts["inflation"]).otherwise(texts["unemployment"])
     impact = (F.when(gdp, F.abs(chg) / F.lit(10.0)).when(infl, v / F.lit(20.0)).otherwise(v / F.lit(15.0)))
     threshold = (F.when(gdp, F.lit(L.GDP_DECLINE_THRESHOLD)).when(infl, F.lit(L.INFLATION_SPIKE_THRESHOLD))
                  .otherwise(F.lit(L.UNEMPLOYMENT_RISE_THRESHOLD)))
@@ -62,7 +73,7 @@ def detect_indicator_events(series: DataFrame, lo: int | None = None, hi: int |
         F.lit("indicator"), ind, F.lit("value"), v.cast("string"),
         F.lit("change_percent"), F.when(gdp, chg.cast("string")),
         F.lit("threshold"), threshold.cast("string"))
-    out = s.select(
+    out = s.withColumn("_number", number).select(
         F.col("year").cast("int").alias("year"), title.alias("title"), desc.alias("description"),
         F.lit("economic").alias("category"), sub.alias("subcategory"), F.lit("world_bank").alias("source"),
         c.alias("location"), impact.alias("impact_score"), meta.alias("metadata"),
@@ -83,16 +94,16 @@ def monthly_points(raw: DataFrame, lo: int | None = None, hi: int | None = None)
 
 def detect_market_crashes(points: DataFrame, threshold: float = L.MARKET_CRASH_THRESHOLD) -> DataFrame:
     """Month-on-month fall <= threshold -> 'Stock market crash - {symbol}'."""
-    w = Window.partitionBy("symbol").orderBy("date")
+    w = Window.partitionBy("symbol").orderBy("date", *_ties(points, "close"))
     s = (points.withColumn("prev_close", F.lag("close").over(w))
          .withColumn("change_pct", pct_change("close", "prev_close"))
          .filter(F.col("change_pct") <= threshold))
     sym, chg = F.col("symbol"), F.col("change_pct")
     return s.select(
         F.col("year").cast("int").alias("year"),
-        F.concat(F.lit("Stock market crash - "), sym).alias("title"),
-        F.concat(F.lit("Stock index "), sym, F.lit(" declined by "), format_1f(F.abs(chg)), F.lit("% in "),
-                 F.substring("date", 1, 7), F.lit(".")).alias("description"),
+        filled(L.CRASH_TITLE, symbol=sym).alias("title"),
+        filled(L.CRASH_DESCRIPTION, symbol=sym, number=format_1f(F.abs(chg)),
+               month=F.substring("date", 1, 7)).alias("description"),
         F.lit("economic").alias("category"), F.lit("market_crash").alias("subcategory"),
         F.lit("alpha_vantage").alias("source"),
         (F.abs(chg) / F.lit(20.0)).alias("impact_score"),

@@ -193,11 +193,12 @@ def report_summary(completeness_row: DataFrame, accuracy_row: DataFrame, duplica
 
 
 def collection_stats(events: DataFrame) -> DataFrame:
-    """One row: totals plus category and root distributions as maps."""
+    """One row: totals plus category and root distributions, arrays of
+    (category, count) and (digital_root, count); a null category is one too."""
     ev = _with_root(events)
     v = verification_stats(ev).select("total_events", "verified_events", "verification_rate")
     cats = category_distribution(ev).agg(
-        F.map_from_entries(F.collect_list(F.struct("category", "count"))).alias("category_distribution"))
+        F.sort_array(F.collect_list(F.struct("category", "count"))).alias("category_distribution"))
     roots = digital_root_distribution(ev).agg(
-        F.map_from_entries(F.collect_list(F.struct("digital_root", "count"))).alias("digital_root_distribution"))
+        F.sort_array(F.collect_list(F.struct("digital_root", "count"))).alias("digital_root_distribution"))
     return combine_rows(v, cats, roots)

@@ -93,8 +93,11 @@ def validation_errors(df: DataFrame, type_flags: dict[str, str] | None = None,
     if _has(df, "digital_root"):
         r = F.col("digital_root")
         lo, hi = L.DIGITAL_ROOT_RANGE
+        shown = r.cast("string")
+        if dict(df.dtypes)["digital_root"] == "double":  # of JSON: a whole number shows as one
+            shown = F.when(r == F.floor(r), r.try_cast("bigint").cast("string")).otherwise(shown)
         msgs.append(F.when(r.isNotNull() & ~r.between(lo, hi),
-                           F.concat(F.lit("Digital root "), r.cast("string"),
+                           F.concat(F.lit("Digital root "), shown,
                                     F.lit(f" outside valid range {lo}-{hi}"))))
     if _has(df, "source_url"):
         u = F.col("source_url")

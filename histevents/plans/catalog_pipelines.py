@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import functions as F
 
 from histevents import lexicons as L
@@ -18,6 +21,7 @@ RE = fixture_cte("raw_events")
 EP = fixture_cte("encyclopaedia_pages")
 
 WIKI_LO, WIKI_HI = 1000, 2025
+RUN_DATE = dt.date(2001, 12, 31)
 _FIRST_PAGE = """firstp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY page_id) AS rn
            FROM encyclopaedia_pages) WHERE rn = 1)"""
 
@@ -37,9 +41,7 @@ FROM keys k JOIN firstp f ON f.title = k.title
 def q_year_page_lookup(spark, sf):
     """S1 + S2 + J2: every (year, title pattern) of the range matched to the
     first landed page with that title (keys side broadcast, bound 4 x years)."""
-    keys = wiki.year_page_keys(spark, WIKI_LO, WIKI_HI)
-    pages = wiki.first_page_per_title(_pages(spark, sf))
-    return pages.join(F.broadcast(keys), "title").select("year", "pattern_idx", "title", "page_id")
+    return wiki.year_page_hits(spark, _pages(spark, sf), WIKI_LO, WIKI_HI)
 
 
 _PAIRS_VALUES = ", ".join(
@@ -55,22 +57,20 @@ _NUM_TOKENS = ("list_distinct(list_transform(list_filter(regexp_split_to_array(c
 pairs AS (SELECT * FROM (VALUES {_PAIRS_VALUES}) v(category, category_idx, subcategory, subcategory_idx)),
 nums AS (SELECT title, unnest({_NUM_TOKENS}) AS year FROM firstp),
 cand AS (SELECT h.subcategory_idx, h.title, h.search_rank, n.year FROM category_hits h JOIN nums n ON n.title = h.title
-         WHERE n.year % {L.CATEGORY_SEARCH_EVERY} = 0 AND n.year BETWEEN {WIKI_LO} AND {WIKI_HI}),
-top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subcategory_idx, year ORDER BY search_rank, title)
-        AS hit_rank FROM cand) WHERE hit_rank <= {L.WIKI_SEARCH_TOP_N})
-SELECT p.category, p.subcategory, CAST(t.year AS INT) AS around_year, t.title, CAST(t.hit_rank AS INT) AS hit_rank,
+         WHERE n.year BETWEEN {WIKI_LO} AND {WIKI_HI})
+SELECT p.category, p.subcategory, CAST(t.year AS INT) AS around_year, t.title, t.search_rank,
   {D.nearest_year('f.title', 'f.extract', 't.year')} AS resolved_year
-FROM top t JOIN pairs p ON p.subcategory_idx = t.subcategory_idx JOIN firstp f ON f.title = t.title
+FROM cand t JOIN pairs p ON p.subcategory_idx = t.subcategory_idx JOIN firstp f ON f.title = t.title
 """)
 def q_category_search_hits(spark, sf):
-    """S3 + S4 + J3 + J4 + W4 + X7: per (subcategory, decade year) the top 20
-    hits whose page mentions the year, with the page's resolved year."""
-    pages1 = wiki.first_page_per_title(_pages(spark, sf))
+    """S3 + S4 + J3 + J4 + X7: per (subcategory, year) the hits whose page
+    mentions the year, with the page's resolved year."""
     hits = fixture(spark, sf, "category_hits")
+    pages1 = wiki.first_page_per_title(_pages(spark, sf).join(hits.select("title").distinct(), "title", "left_semi"))
     found = wiki.category_search(pages1, hits, wiki.category_pairs(spark), WIKI_LO, WIKI_HI)
     out = found.join(pages1.select("title", "extract"), "title")
     return out.select("category", "subcategory", F.col("year").cast("int").alias("around_year"), "title",
-                      F.col("hit_rank").cast("int").alias("hit_rank"),
+                      "search_rank",
                       T.nearest_year(F.col("title"), F.col("extract"), F.col("year")).alias("resolved_year"))
 
 
@@ -95,15 +95,13 @@ keys AS (SELECT CAST(y.range AS INT) AS year, p.idx AS pattern_idx,
 pairs AS (SELECT * FROM (VALUES {_PAIRS_VALUES}) v(category, category_idx, subcategory, subcategory_idx)),
 nums AS (SELECT title, unnest({_NUM_TOKENS}) AS year FROM firstp),
 cand AS (SELECT h.subcategory_idx, h.title, h.search_rank, n.year FROM category_hits h JOIN nums n ON n.title = h.title
-         WHERE n.year % {L.CATEGORY_SEARCH_EVERY} = 0 AND n.year BETWEEN {WIKI_LO} AND {WIKI_HI}),
-top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subcategory_idx, year ORDER BY search_rank, title)
-        AS hit_rank FROM cand) WHERE hit_rank <= {L.WIKI_SEARCH_TOP_N}),
+         WHERE n.year BETWEEN {WIKI_LO} AND {WIKI_HI}),
 src AS (
   SELECT f.page_id, f.title AS page_title, f.extract, k.year, CAST(NULL AS VARCHAR) AS given, 'year_page' AS path
   FROM keys k JOIN firstp f ON f.title = k.title
   UNION ALL
   SELECT f.page_id, f.title, f.extract, {ny}, p.category, 'category'
-  FROM top t JOIN pairs p ON p.subcategory_idx = t.subcategory_idx JOIN firstp f ON f.title = t.title
+  FROM cand t JOIN pairs p ON p.subcategory_idx = t.subcategory_idx JOIN firstp f ON f.title = t.title
   WHERE {ny} IS NOT NULL),
 p AS (SELECT *, {D.section_titles('extract')} AS t, {D.section_pieces('extract')} AS b FROM src WHERE extract <> ''),
 h AS (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM p WHERE len(t) > 0),
@@ -205,7 +203,7 @@ def q_economic_collection(spark, sf):
 
 def _collection_sql() -> str:
     """Oracle for the three-source run over 1000..2025 (as of 2001)."""
-    lo, hi, as_of = WIKI_LO, WIKI_HI, 2001
+    lo, hi, as_of = WIKI_LO, WIKI_HI, RUN_DATE
     pats = ", ".join(f"({i}, {D.q(p)})" for i, p in enumerate(L.YEAR_PAGE_PATTERNS))
     ny = D.nearest_year("f.title", "f.extract", "t.year")
     month = "CAST(ym // 100 AS VARCHAR) || '-' || lpad(CAST(ym % 100 AS VARCHAR), 2, '0') || '-01'"
@@ -226,15 +224,13 @@ keys AS (SELECT CAST(y.range AS INT) AS year, p.idx AS pattern_idx,
 pairs AS (SELECT * FROM (VALUES {_PAIRS_VALUES}) v(category, category_idx, subcategory, subcategory_idx)),
 nums AS (SELECT title, unnest({_NUM_TOKENS}) AS year FROM firstp),
 cand AS (SELECT h.subcategory_idx, h.title, h.search_rank, n.year FROM category_hits h JOIN nums n ON n.title = h.title
-         WHERE n.year % {L.CATEGORY_SEARCH_EVERY} = 0 AND n.year BETWEEN {lo} AND {hi}),
-top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subcategory_idx, year ORDER BY search_rank, title)
-        AS hit_rank FROM cand) WHERE hit_rank <= {L.WIKI_SEARCH_TOP_N}),
+         WHERE n.year BETWEEN {lo} AND {hi}),
 src AS (
   SELECT f.extract, k.year, CAST(NULL AS VARCHAR) AS given, k.year AS k1, 0 AS k2, k.pattern_idx AS k3, 0 AS k4
   FROM keys k JOIN firstp f ON f.title = k.title
   UNION ALL
-  SELECT f.extract, {ny}, p.category, t.year, 1, t.subcategory_idx, t.hit_rank
-  FROM top t JOIN pairs p ON p.subcategory_idx = t.subcategory_idx JOIN firstp f ON f.title = t.title
+  SELECT f.extract, {ny}, p.category, t.year, 1, t.subcategory_idx, t.search_rank
+  FROM cand t JOIN pairs p ON p.subcategory_idx = t.subcategory_idx JOIN firstp f ON f.title = t.title
   WHERE {ny} IS NOT NULL),
 p AS (SELECT *, {D.section_titles('extract')} AS t, {D.section_pieces('extract')} AS b FROM src WHERE extract <> ''),
 h AS (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM p WHERE len(t) > 0),
@@ -278,13 +274,11 @@ na AS (SELECT *, {low} AS _text FROM news_articles
 nh AS (SELECT *, unnest(list_filter([{items}], lambda x: x IS NOT NULL), recursive := true) FROM na),
 nr AS (SELECT *, CAST(floor((length(_text) - length(replace(_text, keyword, ''))) / length(keyword)) AS INT)
         AS relevance FROM nh),
-ntop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY keyword_idx ORDER BY relevance DESC, article_id)
-        AS hit_rank FROM nr) WHERE hit_rank <= {L.NEWS_TOP_N}),
-nok AS (SELECT * FROM ntop WHERE coalesce(title, '') <> '' AND coalesce(published_at, '') <> ''
+nok AS (SELECT * FROM nr WHERE coalesce(title, '') <> '' AND coalesce(published_at, '') <> ''
          AND TRY_CAST(regexp_replace(published_at, 'Z$', '+00:00') AS TIMESTAMPTZ) IS NOT NULL),
 news_ev AS (SELECT 'news' AS collector, 2 AS prio, CAST(substr(published_at, 1, 4) AS INT) AS year,
   {D.clean_text('title')} AS title, 'news_api' AS source, category, CAST(category_idx AS BIGINT) AS k1,
-  CAST(keyword_idx AS BIGINT) AS k2, CAST(hit_rank AS BIGINT) AS k3, CAST(article_id AS BIGINT) AS k4,
+  CAST(keyword_idx AS BIGINT) AS k2, CAST(-relevance AS BIGINT) AS k3, CAST(article_id AS BIGINT) AS k4,
   CAST(0 AS BIGINT) AS k5, CAST(0 AS BIGINT) AS k6, '' AS s1, '' AS s2 FROM nok),
 u AS (SELECT * FROM wiki_ev UNION ALL SELECT * FROM econ_ev UNION ALL SELECT * FROM news_ev),
 hs AS (SELECT *, md5(concat_ws('_', coalesce(CAST(year AS VARCHAR), 'None'), coalesce(title, 'None'),
@@ -304,9 +298,9 @@ FROM v GROUP BY ROLLUP (collector, batch_start)
 
 @register("collection_run_summary", _collection_sql())
 def q_collection_run_summary(spark, sf):
-    """L1 + L2 + L3 + A17 + A18 + U1: all three sources over 1000..2025 in
-    one plan, global first-wins dedupe, validity, roll-up by source/batch."""
-    _, summary = pipeline.run_collection(spark, _landed(spark, sf), WIKI_LO, WIKI_HI, as_of_year=2001)
+    """L1 + L2 + L3 + A17 + A18 + U1: all three sources over 1000..2025, each
+    staged once, global first-wins dedupe, validity, roll-up by source/batch."""
+    _, summary = pipeline.run_collection(spark, _landed(spark, sf), WIKI_LO, WIKI_HI, as_of_date=RUN_DATE)
     return summary
 
 
@@ -463,25 +457,6 @@ def q_cycle_patterns(spark, sf):
         .withColumn("statistical_significance", F.round("statistical_significance", 9))
 
 
-@register("stream_dedupe", _DEDUPE_SQL + """
-SELECT id, event_hash, year, title, source FROM dedup
-""")
-def q_stream_dedupe(spark, sf):
-    """T1 + T2: the landed orders file as a stream (AvailableNow), the same
-    enrichment, foreachBatch first-wins dedupe + anti-join append; the
-    resulting table equals the batch dedupe."""
-    from histevents.sources.fixtures import FIXTURE_SQL
-    from histevents.streaming.refresh import run_refresh_once
-    orders = table(spark, sf, "orders")
-    stream = (spark.readStream.schema(orders.schema).option("pathGlobFilter", "orders.parquet")
-              .option("maxFilesPerTrigger", 1).parquet(sf.rstrip("/")))
-    stream.createOrReplaceTempView("orders")
-    ev = spark.sql(FIXTURE_SQL["raw_events"]).withColumn("seq", F.col("id"))
-    out = run_refresh_once(spark, ev, "seq")
-    orders.createOrReplaceTempView("orders")  # restore the batch view
-    return out.select("id", "event_hash", "year", "title", "source")
-
-
 @register("collection_stats", RE + f"""
 SELECT 'total' AS kind, NULL AS key, COUNT(*) AS count FROM raw_events
 UNION ALL SELECT 'verified', NULL, COUNT(*) FILTER (WHERE verified) FROM raw_events
@@ -495,8 +470,8 @@ def q_collection_stats(spark, sf):
                    F.col("total_events").alias("count"))
     ver = s.select(F.lit("verified").alias("kind"), F.lit(None).cast("string").alias("key"),
                    F.col("verified_events").alias("count"))
-    cat = s.select(F.lit("category").alias("kind"), F.explode("category_distribution").alias("key", "count"))
-    rt = s.select(F.lit("digital_root").alias("kind"), F.explode("digital_root_distribution").alias("key", "count"))
+    cat = s.select(F.lit("category").alias("kind"), F.inline("category_distribution").alias("key", "count"))
+    rt = s.select(F.lit("digital_root").alias("kind"), F.inline("digital_root_distribution").alias("key", "count"))
     rt = rt.withColumn("key", F.col("key").cast("string"))
     return tot.unionByName(ver).unionByName(cat).unionByName(rt)
 

@@ -3,6 +3,8 @@ years, sections, sentences, field extraction, news events, keyword search)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from histevents import lexicons as L
@@ -191,7 +193,7 @@ def q_page_events(spark, sf):
                      "source", "location", "participants", F.array_join("tags", ", ").alias("tags"), "severity")
 
 
-_NEWS_LO, _NEWS_HI, _NEWS_AS_OF = 1995, 2001, 2001
+_NEWS_LO, _NEWS_HI, _NEWS_AS_OF = 1995, 2001, dt.date(2001, 12, 31)
 
 
 def _keyword_hits_duck(src: str, text: str, keywords=L.NEWS_KEYWORDS) -> str:
@@ -211,12 +213,10 @@ a AS (SELECT *, {low} AS _text FROM news_articles
 h AS ({_keyword_hits_duck('a', '_text')}),
 r AS (SELECT *, CAST(floor((length(_text) - length(replace(_text, keyword, ''))) / length(keyword)) AS INT)
         AS relevance FROM h),
-top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY keyword_idx ORDER BY relevance DESC, article_id)
-        AS hit_rank FROM r) WHERE hit_rank <= {L.NEWS_TOP_N}),
-ok AS (SELECT *, {D.description_fallback('description', 'content', 'title')} AS _full FROM top
+ok AS (SELECT *, {D.description_fallback('description', 'content', 'title')} AS _full FROM r
        WHERE coalesce(title, '') <> '' AND coalesce(published_at, '') <> ''
          AND TRY_CAST(regexp_replace(published_at, 'Z$', '+00:00') AS TIMESTAMPTZ) IS NOT NULL)
-SELECT article_id, keyword, category, CAST(hit_rank AS INT) AS hit_rank,
+SELECT article_id, keyword, category, relevance,
   CAST(substr(published_at, 1, 4) AS INT) AS year,
   {D.clean_text('title')} AS title, {D.clean_text('_full')} AS description,
   {D.news_location('title', '_full')} AS location, {D.news_participants('title', '_full')} AS participants,
@@ -227,12 +227,11 @@ FROM ok
 
 @register("news_events", _news_sql())
 def q_news_events(spark, sf):
-    """S10 + S11 + P1 + X17 + X18 + X19 + X28 + W4 + J5: keyword search
-    (top 50 per keyword by relevance) -> article events."""
+    """S10 + S11 + P1 + X17 + X18 + X19 + X28 + J5: keyword search over the
+    articles up to 30 days before the run date -> article events."""
     arts = fixture(spark, sf, "news_articles")
     ev = news.collect_news_events(spark, arts, _NEWS_LO, _NEWS_HI, _NEWS_AS_OF)
-    return ev.select("article_id", "keyword", "category", F.col("hit_rank").cast("int").alias("hit_rank"),
-                     "year", "title", "description", "location", "participants", "severity")
+    return ev.select("article_id", "keyword", "category", "relevance", "year", "title", "description", "location", "participants", "severity")
 
 
 # Search terms for the document corpus (four languages); the operator takes
@@ -255,8 +254,6 @@ def q_keyword_documents_top50(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", F.col("text").alias("title"),
                                              F.lit(None).cast("string").alias("description"),
                                              F.lit(None).cast("string").alias("content"))
-    hits = news.keyword_hits(d, DOCUMENT_TERMS)
-    from pyspark.sql import Window
-    w = Window.partitionBy("keyword_idx").orderBy(F.desc("relevance"), F.asc("doc_id"))
-    top = hits.withColumn("hit_rank", F.row_number().over(w)).filter(F.col("hit_rank") <= L.NEWS_TOP_N)
+    hits = news.keyword_hits(d, DOCUMENT_TERMS).select("keyword_idx", "keyword", "category", "doc_id", "relevance")
+    top = news.top_hits(hits, "doc_id", L.NEWS_TOP_N)
     return top.select("keyword", "category", "doc_id", "relevance", F.col("hit_rank").cast("int").alias("hit_rank"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from histevents import lexicons as L
 from histevents.functions import text as T
-from histevents.functions.scalars import URL_PATTERN
+from histevents.lexicons import URL_PATTERN
 
 
 def q(s: str) -> str:

@@ -2,13 +2,16 @@
 
 There is no batch loop.  One plan covers the whole year range; the year
 batch of each event is a derived column used only for the roll-up.  Sources
-are independent plans unioned in fixed priority order; a failing source is
-reported in its summary row and does not stop the others.
+are written to the run's own scratch table one by one, in fixed priority
+order: a source that fails, when its plan is built or while it runs, is
+reported in its summary row and does not stop the others, and everything that
+follows (append, quarantine, raw files, summary) reads the same staged rows.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +21,8 @@ from histevents import lexicons as L
 from histevents.functions.scalars import year_batch_start
 from histevents.operators import dedupe, validate
 from histevents.operators.filters import select_sources
+from histevents.plans.store import save_raw_json, to_store_rows
+from histevents.session import scratch_path
 from histevents.sources import economic, news, wiki
 
 
@@ -75,33 +80,40 @@ def _news(spark, landed: Landed, lo, hi, as_of):
 COLLECTORS = {"wikipedia": _wiki, "economic": _economic, "news": _news}
 
 
+def _stage(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared scratch folder and read back."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def collect_events(spark: SparkSession, landed: Landed, lo: int, hi: int, sources=None,
-                   as_of_year: int | None = None) -> DataFrame:
+                   as_of_date: _dt.date | None = None) -> DataFrame:
     """Union of the requested sources (priority order) with a global
     ordering key (source priority, source-local order)."""
-    out, _ = collect_events_with_status(spark, landed, lo, hi, sources, as_of_year)
+    out, _ = collect_events_with_status(spark, landed, lo, hi, sources, as_of_date)
     return out
 
 
 def collect_events_with_status(spark: SparkSession, landed: Landed, lo: int, hi: int, sources=None,
-                               as_of_year: int | None = None) -> tuple[DataFrame, list[tuple]]:
-    """As ``collect_events``, isolating sources: a source whose plan cannot
-    be built (missing or malformed input) is reported as failed and the
-    others still run.  Returns (events, [(source, ok, message)])."""
-    as_of_year = as_of_year or _dt.date.today().year
+                               as_of_date: _dt.date | None = None) -> tuple[DataFrame, list[tuple]]:
+    """As ``collect_events``, isolating sources: each is staged on its own, so
+    one that fails (missing or malformed input, or a fault while it runs) is
+    reported and the others still run.  Returns (events, [(source, ok, message)])."""
+    as_of_date = as_of_date or _dt.date.today()
     parts, status = [], []
     for prio, name in enumerate(select_sources(sources)):
         try:
-            df = COLLECTORS[name](spark, landed, lo, hi, as_of_year)
+            df = COLLECTORS[name](spark, landed, lo, hi, as_of_date)
             if df is None:
                 status.append((name, False, "no landed input"))
                 continue
-            parts.append(_shape(df, name, prio))
+            parts.append(_stage(_shape(df, name, prio), f"collected-{name}"))
             status.append((name, True, None))
         except Exception as exc:  # noqa: BLE001 - per-source isolation (D21)
-            status.append((name, False, f"{type(exc).__name__}: {exc}"[:500]))
+            status.append((name, False, f"{type(exc).__name__}: {exc}"))
     if not parts:
-        raise ValueError(f"no source produced a plan: {status}")
+        raise ValueError(f"no source gave events: {status}")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -117,20 +129,32 @@ def dedupe_events(events: DataFrame) -> DataFrame:
 
 
 def run_collection(spark: SparkSession, landed: Landed, lo: int, hi: int, sources=None,
-                   batch_size: int = L.BATCH_SIZE_FULL, as_of_year: int | None = None,
-                   store=None) -> tuple[DataFrame, DataFrame]:
-    """L1/L3: returns (deduplicated events with ``valid`` and ``batch_start``,
-    per-source summary).  With a store, valid rows are appended and invalid
-    rows quarantined (K4)."""
-    events, status = collect_events_with_status(spark, landed, lo, hi, sources, as_of_year)
-    ev = dedupe_events(events)
+                   batch_size: int = L.BATCH_SIZE_FULL, as_of_date: _dt.date | None = None,
+                   store=None, raw_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """L1/L3: returns (deduplicated events with ``valid``, ``saved`` and
+    ``batch_start``, per-source summary).
+
+    The run's rows are staged once.  With a store, ``saved`` marks the valid
+    rows whose hash the store doesn't hold yet; these are appended and invalid
+    rows quarantined (K4).  Without one, it marks the valid rows.  With
+    ``raw_path`` the collected events go there as JSON files per source (K1)."""
+    events, status = collect_events_with_status(spark, landed, lo, hi, sources, as_of_date)
+    if raw_path is not None:
+        save_raw_json(events.drop("order_key", "collector", "source_priority"), raw_path)
+    ev = dedupe_events(events).drop("_seq")
     ev = (ev.withColumn("valid", validate.collector_valid(ev))
           .withColumn("batch_start", year_batch_start("year", lo, batch_size)))
-    if store is not None:
+    saved = F.col("valid")
+    if store is not None and store.exists():
         # events of the run can fall outside [lo, hi] (resolved page years,
-        # news dates), so the duplicate check covers the valid-year span
-        store.save_events(ev.drop("valid", "batch_start", "_seq", "event_hash",
-                                  "collector", "source_priority"), year_range=None)
+        # news dates), so all stored hashes are compared
+        held = store.events().select("event_hash").distinct().withColumn("_held", F.lit(True))
+        ev, saved = ev.join(held, "event_hash", "left"), saved & F.col("_held").isNull()
+    ev = _stage(ev.withColumn("saved", saved).drop("_held"), "run")
+    if store is not None:
+        rows = ev.drop("valid", "batch_start", "event_hash", "collector", "source_priority")
+        store.append_events(to_store_rows(rows.filter("saved").drop("saved")))
+        store.quarantine(ev.filter(~F.col("valid")).select(*rows.drop("saved").columns))
     summary = collection_summary(ev).withColumn("error_message", F.lit(None).cast("string"))
     failed = [(n, m) for n, ok, m in status if not ok]
     if failed:  # failed sources: one row each, errors = 1 (the run itself succeeds)
@@ -147,7 +171,7 @@ def collection_summary(ev: DataFrame) -> DataFrame:
     and grand totals (``rollup``)."""
     return (ev.rollup("collector", "batch_start")
             .agg(F.count(F.lit(1)).alias("events_collected"),
-                 F.count_if("valid").alias("events_saved"),
+                 F.count_if("saved").alias("events_saved"),
                  F.count_if(~F.col("valid")).alias("errors"))
             .withColumn("level", F.when(F.col("collector").isNull(), "total")
                         .when(F.col("batch_start").isNull(), "source").otherwise("batch")))
@@ -158,14 +182,14 @@ def collect_historical(spark, landed: Landed, **kw):
     return run_collection(spark, landed, 1, L.YEAR_RANGE[1], **kw)
 
 
-def collect_sample(spark, landed: Landed, sample_years: int = 100, as_of_year: int | None = None, **kw):
-    now = as_of_year or _dt.date.today().year
-    return run_collection(spark, landed, now - sample_years, now, batch_size=L.BATCH_SIZE_SAMPLE,
-                          as_of_year=now, **kw)
+def collect_sample(spark, landed: Landed, sample_years: int = 100, as_of_date: _dt.date | None = None, **kw):
+    now = as_of_date or _dt.date.today()
+    return run_collection(spark, landed, now.year - sample_years, now.year, batch_size=L.BATCH_SIZE_SAMPLE,
+                          as_of_date=now, **kw)
 
 
-def collect_recent(spark, landed: Landed, as_of_year: int | None = None, **kw):
+def collect_recent(spark, landed: Landed, as_of_date: _dt.date | None = None, **kw):
     """Last and current year, news and economic only, batch size 1."""
-    now = as_of_year or _dt.date.today().year
-    return run_collection(spark, landed, now - 1, now, sources=["news", "economic"],
-                          batch_size=L.BATCH_SIZE_RECENT, as_of_year=now, **kw)
+    now = as_of_date or _dt.date.today()
+    return run_collection(spark, landed, now.year - 1, now.year, sources=["news", "economic"],
+                          batch_size=L.BATCH_SIZE_RECENT, as_of_date=now, **kw)

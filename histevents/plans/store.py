@@ -10,8 +10,9 @@ Tables are parquet directories under one base path on shared storage:
 Appends are set-based (one write per batch of rows) and idempotent: rows
 whose ``event_hash`` is already stored are removed with a ``left_anti``
 join first, so re-running a collection appends nothing.  Updates and
-deletes rewrite the table through a staging directory next to it (a path
-is never overwritten while it is being read).
+deletes rewrite the affected centuries through a staging directory next to
+the table (a path is never overwritten while it is being read); a century
+that loses its last row is emptied too.
 """
 
 from __future__ import annotations
@@ -19,13 +20,16 @@ from __future__ import annotations
 import hashlib
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from histevents.functions.scalars import century, digital_root, event_hash, surrogate_id
 from histevents.operators import validate
 from histevents.operators.dedupe import first_wins_dedupe
 from histevents.schema import CYCLE_SCHEMA, EVENT_SCHEMA, LOG_SCHEMA, conform
+from histevents.session import delete_path, path_exists
 
 EVENTS = "historical_events"
 QUARANTINE = "quarantine"
@@ -57,7 +61,8 @@ def apply_verification(events: DataFrame, updates: DataFrame, hit_col: str | Non
     """K8 as a set operation: ``verified`` from ``updates`` (id, verified)
     where the id matches, ``updated_at`` refreshed on those rows only.
     ``hit_col`` keeps a boolean column marking the updated rows."""
-    u = updates.select("id", F.col("verified").alias("_new_verified"), F.lit(True).alias("_hit"))
+    # one row per id, or a repeated id would multiply the stored row; true wins
+    u = updates.groupBy("id").agg(F.max("verified").alias("_new_verified")).withColumn("_hit", F.lit(True))
     out = events.join(u, "id", "left").withColumn("verified", F.coalesce("_new_verified", "verified"))
     if "updated_at" in events.columns:
         out = out.withColumn("updated_at", F.when(F.col("_hit"), F.current_timestamp())
@@ -76,14 +81,20 @@ def remove_ids(events: DataFrame, ids: DataFrame) -> DataFrame:
 
 def observed_count(obs: Observation, key: str = "n") -> int:
     """The count an Observation collected.  When the optimizer proves the
-    observed plan empty it removes the plan, and no metrics are reported:
-    that is a count of 0."""
+    observed plan empty it removes the plan; the row of metrics then has no
+    schema, which the conversion to Python asserts: that is a count of 0.
+    Anything else that goes wrong is raised."""
     try:
         return int(obs.get[key])
-    except Exception:  # noqa: BLE001
+    except Py4JJavaError as fault:
+        if fault.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
         return 0
 
 
+STORED_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField("century", T.IntegerType())])
+
+
 class EventStore:
     """The event store under ``base``.
 
@@ -155,16 +166,14 @@ class EventStore:
     def events(self) -> DataFrame:
         if self.buckets:
             return self.spark.table(self.table)
-        return self.spark.read.parquet(self.path(EVENTS))
+        return self.spark.read.schema(STORED_SCHEMA).parquet(self.path(EVENTS))
 
     def exists(self, table: str = EVENTS) -> bool:
+        """Whether the table has been written; a table that exists but can't
+        be read is a fault of its own and raises where it is read."""
         if self.buckets and table == EVENTS:
             return True
-        try:
-            self.spark.read.parquet(self.path(table)).schema  # noqa: B018
-            return True
-        except Exception:  # noqa: BLE001
-            return False
+        return path_exists(self.spark, self.path(table))
 
     # K3 / K2
     def append_events(self, rows: DataFrame, year_range: tuple[int, int] | None = None) -> int:
@@ -190,12 +199,19 @@ class EventStore:
             new = new.join(stored.select("event_hash"), "event_hash", "left_anti")
         obs = Observation("append_events")
         new = new.observe(obs, F.count(F.lit(1)).alias("n"))
-        if self.buckets:
-            self._write_events(new)
-        else:
-            self._write_events(new.repartition("century").sortWithinPartitions("year", "category", "digital_root"))
+        self._write_events(self._laid_out(new))
         return observed_count(obs)
 
+    def _laid_out(self, rows: DataFrame) -> DataFrame:
+        """Rows dealt for writing, sorted so that row groups prune.
+
+        By century with ``rebalance``: adaptive execution splits a large
+        century over several tasks and files and joins small ones.  A bucketed
+        store deals by bucket (the same hash as the table's), so a bucket of a
+        century is one file and a large century is spread over all buckets."""
+        dealt = rows.repartition(int(self.buckets), "event_hash") if self.buckets else rows.hint("rebalance", "century")
+        return dealt.sortWithinPartitions("century", "year", "category", "digital_root")
+
     # K4
     def save_events(self, events: DataFrame, year_range: tuple[int, int] | None = None) -> tuple[int, int]:
         """Valid rows (collector rule) appended, invalid rows quarantined with
@@ -204,14 +220,17 @@ class EventStore:
         century partitions."""
         flagged = events.withColumn("_valid", validate.collector_valid(events))
         saved = self.append_events(to_store_rows(flagged.filter("_valid").drop("_valid")), year_range)
-        bad = flagged.filter(~F.col("_valid")).drop("_valid")
+        return saved, self.quarantine(flagged.filter(~F.col("_valid")).drop("_valid"))
+
+    def quarantine(self, bad: DataFrame) -> int:
+        """Append invalid rows with their validator messages; returns their count."""
         bad = validate.with_validation(bad)
         obs = Observation("quarantine")
         bad = bad.observe(obs, F.count(F.lit(1)).alias("n"))
         keep = [c for c in bad.columns if c != "metadata"]
         bad.select(*keep).withColumn("quarantined_at", F.current_timestamp()) \
             .write.mode("append").parquet(self.path(QUARANTINE))
-        return saved, observed_count(obs)
+        return observed_count(obs)
 
     # K5
     def log_activity(self, logs: DataFrame) -> None:
@@ -222,48 +241,66 @@ class EventStore:
         conform(cycles, CYCLE_SCHEMA).write.mode("overwrite").parquet(self.path(CYCLES))
 
     # staged rewrite used by K8 / K9
-    def _rewrite(self, new_rows: DataFrame, partitions_only: bool = False) -> None:
-        """Write ``new_rows`` to a staging folder next to the table, then
-        overwrite the table from it.  With ``partitions_only`` only the
-        century partitions present in ``new_rows`` are replaced (dynamic
-        partition overwrite); the others are not touched."""
+    def _rewrite(self, new_rows: DataFrame, centuries: DataFrame) -> None:
+        """Replace the partitions of ``centuries`` by ``new_rows``.  The rows go
+        to a staging folder next to the table first, then into the table, each
+        partition in one go (dynamic overwrite); partitions that have no row
+        left, which that doesn't touch, are overwritten with nothing.  The
+        staging folder goes when all is written."""
         staging = f"{self.base}/_staging_{uuid.uuid4().hex}"
-        new_rows.write.mode("overwrite").partitionBy("century").parquet(staging)
-        staged = self.spark.read.parquet(staging)
-        if partitions_only:
-            self._write_events(staged, overwrite_partitions=True)
-        elif self.buckets:
-            self._write_events(staged, overwrite_partitions=True)
+        affected = [r.century for r in centuries.toLocalIterator()]  # 21 at most for valid years
+        new_rows.write.partitionBy("century").parquet(staging)
+        staged = self.spark.read.schema(STORED_SCHEMA).parquet(staging)
+        left = {r.century for r in staged.select("century").distinct().toLocalIterator()}
+        if left:
+            self._write_events(self._laid_out(staged), overwrite_partitions=True)
+        for c in affected:
+            if c not in left:
+                self._empty(c)
+        delete_path(self.spark, staging)
+
+    def _empty(self, of: int | None) -> None:
+        """Leave the partition of a century without rows."""
+        cols = [f.name for f in EVENT_SCHEMA.fields]
+        nothing = self.spark.createDataFrame([], EVENT_SCHEMA).select(*cols)
+        if self.buckets:
+            name = f"_nothing_{uuid.uuid4().hex}"
+            nothing.createOrReplaceTempView(name)
+            value = "NULL" if of is None else str(int(of))
+            self.spark.sql(f"INSERT OVERWRITE TABLE {self.table} PARTITION (century = {value}) SELECT * FROM {name}")
+            self.spark.catalog.dropTempView(name)
+            self.spark.catalog.refreshTable(self.table)
         else:
-            staged.write.mode("overwrite").partitionBy("century").parquet(self.path(EVENTS))
+            value = "__HIVE_DEFAULT_PARTITION__" if of is None else str(int(of))
+            nothing.write.mode("overwrite").parquet(f"{self.path(EVENTS)}/century={value}")
 
-    def _affected(self, ev: DataFrame, ids: DataFrame) -> DataFrame:
-        """Rows of the centuries that hold at least one of ``ids`` (the
-        century set is at most 21 values, broadcast; DPP prunes the scan)."""
+    def _affected(self, ev: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows of the centuries that hold at least one of ``ids``, and those
+        centuries (21 at most for valid years; DPP prunes the scan)."""
         cents = ev.join(ids.select("id"), "id", "left_semi").select("century").distinct()
-        return ev.join(F.broadcast(cents), "century", "left_semi")
+        return ev.join(cents, ev["century"].eqNullSafe(cents["century"]), "left_semi"), cents
 
     # K8
     def update_verification(self, updates: DataFrame) -> int:
         """Set ``verified`` (and ``updated_at``) for the ids in ``updates``
         (id, verified); unknown ids are ignored."""
         ev = self.events()
-        part = self._affected(ev, updates)
+        part, cents = self._affected(ev, updates)
         obs = Observation("updates")
         changed = apply_verification(part, updates.select("id", "verified"), hit_col="_hit") \
             .observe(obs, F.count_if("_hit").alias("n")).drop("_hit")
-        self._rewrite(changed, partitions_only=True)
+        self._rewrite(changed, cents)
         return observed_count(obs)
 
     # K9
     def delete_ids(self, ids: DataFrame) -> int:
         """Remove the rows whose id is in ``ids``; returns the deleted count."""
         ev = self.events()
-        part = self._affected(ev, ids)
+        part, cents = self._affected(ev, ids)
         before = Observation("before")
         keep = remove_ids(part.observe(before, F.count(F.lit(1)).alias("n")), ids)
         after = Observation("after")
-        self._rewrite(keep.observe(after, F.count(F.lit(1)).alias("n")), partitions_only=True)
+        self._rewrite(keep.observe(after, F.count(F.lit(1)).alias("n")), cents)
         return observed_count(before) - observed_count(after)
 
 

@@ -29,28 +29,6 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("event_hash", T.StringType(), False),
 ])
 
-# In-flight event (before the store): tags as an array, metadata as a map,
-# plus the ordering keys that make "first wins" deterministic.
-COLLECTED_SCHEMA = T.StructType([
-    T.StructField("year", T.IntegerType(), True),
-    T.StructField("title", T.StringType(), True),
-    T.StructField("description", T.StringType(), True),
-    T.StructField("category", T.StringType(), True),
-    T.StructField("source", T.StringType(), True),
-    T.StructField("date", T.TimestampType(), True),
-    T.StructField("subcategory", T.StringType(), True),
-    T.StructField("severity", T.IntegerType(), True),
-    T.StructField("source_url", T.StringType(), True),
-    T.StructField("location", T.StringType(), True),
-    T.StructField("participants", T.StringType(), True),
-    T.StructField("tags", T.ArrayType(T.StringType()), True),
-    T.StructField("impact_score", T.DoubleType(), True),
-    T.StructField("metadata", T.MapType(T.StringType(), T.StringType()), True),
-    T.StructField("verified", T.BooleanType(), True),
-    T.StructField("source_priority", T.IntegerType(), True),
-    T.StructField("seq", T.LongType(), True),
-])
-
 CYCLE_SCHEMA = T.StructType([
     T.StructField("id", T.LongType(), False),
     T.StructField("cycle_type", T.StringType(), False),

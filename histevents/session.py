@@ -43,13 +43,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory.
+    """The session's checkpoint directory.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a scratch folder is created.
-    """
+    as is.  Only where it is unset and all tasks run in this process (master
+    ``local[..]``, as in tests) a scratch folder of this machine is created:
+    elsewhere each executor would write to a disk of its own and a table read
+    back would be incomplete, so that is an error."""
     current = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
@@ -57,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current and sc is not None:
         current = sc.getCheckpointDir()
     if not current:
+        if sc is None or sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="histevents-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if sc is not None and not sc.getCheckpointDir():
@@ -64,6 +67,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, in whatever store; other faults raise."""
+    where, fs = _hadoop_path(spark, path)
+    return bool(fs.exists(where))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote."""
+    where, fs = _hadoop_path(spark, path)
+    fs.delete(where, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

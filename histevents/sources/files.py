@@ -33,15 +33,15 @@ def typed_events(variants: DataFrame, col: str = "v") -> DataFrame:
     year_is_int = F.coalesce(_is_int(F.col("_year")), F.lit(False))
     return out.select(
         *sel,
-        F.when(year_is_int, F.try_variant_get(F.col("_year"), "$", "int")).alias("year"),
+        F.when(year_is_int, F.try_variant_get(F.col("_year"), "$", "bigint")).alias("year"),
         year_is_int.alias("year_is_int"),
         F.try_variant_get(F.col("_title"), "$", "string").alias("title"),
         F.try_variant_get(F.col("_description"), "$", "string").alias("description"),
         F.try_variant_get(F.col("_category"), "$", "string").alias("category"),
         F.try_variant_get(F.col("_source"), "$", "string").alias("source"),
-        F.try_variant_get(F.col("_severity"), "$", "int").alias("severity"),
+        F.when(_is_int(F.col("_severity")), F.try_variant_get(F.col("_severity"), "$", "bigint")).alias("severity"),
         F.coalesce(_is_int(F.col("_severity")), F.lit(False)).alias("severity_is_int"),
-        F.try_variant_get(F.col("_digital_root"), "$", "int").alias("digital_root"),
+        F.try_variant_get(F.col("_digital_root"), "$", "double").alias("digital_root"),
         F.try_variant_get(F.col("_source_url"), "$", "string").alias("source_url"),
         F.try_variant_get(F.col("_date"), "$", "string").alias("date"),
         *[_present(F.col(f"_{f}")).alias(f"{f}_present") for f in ("year", "title", "category", "source", "severity")],
@@ -63,10 +63,17 @@ def read_event_file(spark: SparkSession, path: str) -> DataFrame:
     """(file, event_index, v): every event of every JSON file under ``path``;
     a file that is not valid JSON gives one row with ``v`` null."""
     raw = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
-    parsed = raw.select("file", F.try_parse_json("value").alias("doc"))
+    return events_of(raw.select("file", F.try_parse_json("value").alias("doc")))
+
+
+def events_of(parsed: DataFrame) -> DataFrame:
+    """Rows with a ``doc`` (a JSON list of events or one event) -> a row per
+    event: what else the row holds, event_index, v."""
     arr = F.when(F.schema_of_variant("doc").startswith("ARRAY"),
                  F.try_variant_get("doc", "$", "array<variant>")).otherwise(F.array("doc"))
-    return parsed.select("file", F.posexplode_outer(arr).alias("event_index", "v"))
+    # an empty list is a valid file without events: no row
+    rest = [c for c in parsed.columns if c != "doc"]
+    return parsed.select(*rest, F.posexplode(arr).alias("event_index", "v"))
 
 
 def read_event_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -2,14 +2,17 @@
 
 Keyword search is a projection, not a join: each article gets the array of
 (category, keyword) pairs whose keyword occurs in its text (37 unrolled
-``contains`` tests), which is exploded.  The per-keyword top 50 by relevance
-is a ``row_number`` window that Spark turns into a partial
-``WindowGroupLimit`` before the shuffle, so a keyword that hits a third of
-all articles ships at most 50 rows per map task.
+``contains`` tests), which is exploded.  A limit per keyword (``top_n``) and
+the five years that a web service looks back (``window_years``) are parameters,
+off by default.  With a limit, (keyword, relevance, id) alone is ranked, first
+in slices of each keyword and then among the slices' best, and the articles'
+texts are joined to what is left.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
@@ -56,40 +59,54 @@ def keyword_hits(articles: DataFrame, keywords=L.NEWS_KEYWORDS) -> DataFrame:
     return (hits.select(*articles.columns, "_hit.*", relevance.cast("int").alias("relevance")))
 
 
-def search_window(lo: int, hi: int, as_of_year: int, window_years: int = L.NEWS_WINDOW_YEARS):
-    """Effective (start_year, from_date, to_date) or None when empty: start is
-    clamped to as_of - 5; 'to' is capped 30 days before 1 Jan of as_of+1
-    (the run date, made a parameter for determinism)."""
-    start = max(lo, as_of_year - window_years)
+def search_window(lo: int, hi: int, as_of_date: _dt.date, window_years: int | None = None,
+                  delay_days: int = L.NEWS_DELAY_DAYS):
+    """(start_year, from_date, to_date) or None when empty: up to ``delay_days``
+    before the run date, and no further back than ``window_years``, if given."""
+    start = lo if window_years is None else max(lo, as_of_date.year - window_years)
     if start > hi:
         return None
-    import datetime as _dt
-    max_date = (_dt.date(as_of_year, 12, 31) - _dt.timedelta(days=30)).isoformat()
-    to_date = min(f"{hi:04d}-12-31", max_date)
-    return start, f"{start:04d}-01-01", to_date
-
-
-def search_articles(articles: DataFrame, lo: int, hi: int, as_of_year: int,
-                    keywords=L.NEWS_KEYWORDS, top_n: int = L.NEWS_TOP_N) -> DataFrame:
-    """Per keyword, articles in the date window, top ``top_n`` by
-    relevance (count of keyword occurrences), article id as tie-break."""
-    win = search_window(lo, hi, as_of_year)
-    hits = keyword_hits(articles, keywords)
+    latest = (as_of_date - _dt.timedelta(days=delay_days)).isoformat()
+    return start, f"{start:04d}-01-01", min(f"{hi:04d}-12-31", latest)
+
+
+SLICES = 64
+
+
+def top_hits(hits: DataFrame, id_col: str, top_n: int, slices: int = SLICES) -> DataFrame:
+    """``hits`` of rank (``hit_rank``) up to ``top_n`` in their keyword, by
+    relevance and id.
+
+    Two levels, so that a keyword with a third of all hits isn't ranked in one
+    task: the best of each slice, then the best of these.  Only keyword,
+    relevance and id go through the sorts; the rest is joined to the result."""
+    best = [F.desc("relevance"), F.asc(id_col)]
+    narrow = hits.select("keyword_idx", "relevance", id_col).withColumn("_slice", F.pmod(F.xxhash64(id_col), F.lit(slices)))
+    inner = Window.partitionBy("keyword_idx", "_slice").orderBy(*best)
+    narrow = narrow.withColumn("_r", F.row_number().over(inner)).filter(F.col("_r") <= top_n)
+    rank = F.row_number().over(Window.partitionBy("keyword_idx").orderBy(*best))
+    ranked = narrow.withColumn("hit_rank", rank).filter(F.col("hit_rank") <= top_n)
+    return hits.join(ranked.select("keyword_idx", id_col, "hit_rank"), ["keyword_idx", id_col])
+
+
+def search_articles(articles: DataFrame, lo: int, hi: int, as_of_date: _dt.date, keywords=L.NEWS_KEYWORDS,
+                    top_n: int | None = None, window_years: int | None = None) -> DataFrame:
+    """Per keyword the articles of the date window that hold it."""
+    win = search_window(lo, hi, as_of_date, window_years)
     if win is None:  # nothing can match: an empty relation of the same shape
-        return hits.filter(F.lit(False)).withColumn("hit_rank", F.lit(0))
+        return keyword_hits(articles, keywords).filter(F.lit(False))
     _, d_from, d_to = win
     day = F.substring("published_at", 1, 10)
-    hits = hits.filter((day >= d_from) & (day <= d_to))
-    w = Window.partitionBy("keyword_idx").orderBy(F.desc("relevance"), F.asc("article_id"))
-    return hits.withColumn("hit_rank", F.row_number().over(w)).filter(F.col("hit_rank") <= top_n)
+    hits = keyword_hits(articles.filter((day >= d_from) & (day <= d_to)), keywords)
+    return hits if top_n is None else top_hits(hits, "article_id", top_n)
 
 
-def collect_news_events(spark: SparkSession, articles: DataFrame, lo: int, hi: int, as_of_year: int,
-                        enabled: bool = True) -> DataFrame:
-    """S11 + P1: keyword hits -> events in (category, keyword, rank) order."""
-    found = search_articles(articles, lo, hi, as_of_year)
+def collect_news_events(spark: SparkSession, articles: DataFrame, lo: int, hi: int, as_of_date: _dt.date,
+                        enabled: bool = True, top_n: int | None = None, window_years: int | None = None) -> DataFrame:
+    """S11 + P1: keyword hits -> events in (category, keyword, relevance, article) order."""
+    found = search_articles(articles, lo, hi, as_of_date, top_n=top_n, window_years=window_years)
     if not enabled:
         found = found.filter(F.lit(False))
     ev = article_events(found, "category")
-    return ev.withColumn("order_key", order_key(F.col("category_idx"), F.col("keyword_idx"), F.col("hit_rank"),
+    return ev.withColumn("order_key", order_key(F.col("category_idx"), F.col("keyword_idx"), -F.col("relevance"),
                                                 F.col("article_id")))

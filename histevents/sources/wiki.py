@@ -7,18 +7,19 @@ pages   (title, extract, fullurl[, page_id]) -- one row per fetched page, or
 hits    (subcategory, title, search_rank) -- category search results.
 
 Year pages: every year of the range is paired with the four title patterns
-(at most 4 x years rows, a fixed bound, so broadcast) and equi-joined to the
-pages.  Category pages: only years divisible by 10; a page qualifies for a
-year when the year number occurs in its title or text, it takes the
-subcategory's top 20 by rank, and its event year is resolved from the page
-(nearest year within 50).  No per-year or per-category loop: one plan.
+(at most 4 x years rows, a fixed bound, so broadcast) and pages are filtered
+by these titles before anything is grouped.  Category pages: a page qualifies
+for a year when the year number occurs in its title or text, and its event
+year is resolved from the page (nearest year within 50).  ``every`` and
+``top_n`` repeat the request limits of a web service (each tenth year, 20 hits
+per search); by default no year is skipped and no hit is cut.  Texts stay where
+they are until it is known which pages are wanted.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T_
 
 from histevents import lexicons as L
 from histevents.functions import text as T
@@ -38,11 +39,32 @@ def read_page_responses(spark: SparkSession, path: str) -> DataFrame:
 
 
 def first_page_per_title(pages: DataFrame) -> DataFrame:
-    """One page per title (the lookup returns the first existing page)."""
-    order = "page_id" if "page_id" in pages.columns else "title"
-    best = pages.groupBy("title").agg(F.min(F.struct(order, *[c for c in pages.columns
-                                                              if c not in ("title", order)])).alias("_p"))
-    return best.select("title", "_p.*").select(*pages.columns)
+    """One page per title (the lookup returns the first existing page).
+
+    Only (title, page_id) is grouped; the texts come with a join on both, of
+    the pages that were found.  Without a page_id the rows themselves decide."""
+    if "page_id" not in pages.columns:
+        rest = [c for c in pages.columns if c != "title"]
+        best = pages.groupBy("title").agg(F.min(F.struct(*rest)).alias("_p"))
+        return best.select("title", "_p.*").select(*pages.columns)
+    found = pages.join(first_page_ids(pages), ["title", "page_id"], "left_semi")
+    rest = [c for c in pages.columns if c not in ("title", "page_id")]
+    best = found.groupBy("title", "page_id").agg(F.min(F.struct(*rest)).alias("_p"))
+    return best.select("title", "page_id", "_p.*").select(*pages.columns)
+
+
+def first_page_ids(pages: DataFrame) -> DataFrame:
+    """(title, page_id): the first page of each title, without its text."""
+    return pages.groupBy("title").agg(F.min("page_id").alias("page_id"))
+
+
+def year_page_hits(spark: SparkSession, pages: DataFrame, lo: int, hi: int) -> DataFrame:
+    """(year, pattern_idx, title, page_id) of the year pages that exist: the
+    scan is filtered by the broadcast titles, and what is grouped is the ids
+    of the pages left."""
+    keys = F.broadcast(year_page_keys(spark, lo, hi))
+    ids = first_page_ids(pages.select("title", "page_id").join(keys, "title", "left_semi"))
+    return ids.join(keys, "title").select("year", "pattern_idx", "title", "page_id")
 
 
 def year_page_keys(spark: SparkSession, lo: int, hi: int, patterns=L.YEAR_PAGE_PATTERNS) -> DataFrame:
@@ -56,8 +78,9 @@ def year_page_keys(spark: SparkSession, lo: int, hi: int, patterns=L.YEAR_PAGE_P
 
 def year_page_events(spark: SparkSession, pages: DataFrame, lo: int, hi: int) -> DataFrame:
     """Events from year pages; year = the requested year."""
-    keys = year_page_keys(spark, lo, hi)
-    matched = first_page_per_title(pages).join(F.broadcast(keys), "title")
+    keys = F.broadcast(year_page_keys(spark, lo, hi))
+    wanted = first_page_per_title(pages.join(keys, "title", "left_semi"))
+    matched = wanted.join(keys, "title")
     return page_events(matched, year_col="year").withColumn("path", F.lit("year_page"))
 
 
@@ -81,20 +104,24 @@ def mentioned_years(pages: DataFrame) -> DataFrame:
 
 
 def category_search(pages: DataFrame, hits: DataFrame, pairs: DataFrame, lo: int, hi: int,
-                    every: int = L.CATEGORY_SEARCH_EVERY, top_n: int = L.WIKI_SEARCH_TOP_N) -> DataFrame:
-    """S3: per (subcategory, decade year) the first ``top_n`` hits (by rank)
-    whose page mentions the year."""
+                    every: int = 1, top_n: int | None = None) -> DataFrame:
+    """S3: per (subcategory, year) the hits whose page (one per title) mentions
+    the year; every ``every``-th year, and the first ``top_n`` by rank if given."""
     years = mentioned_years(pages).filter((F.col("year") % every == 0) & F.col("year").between(lo, hi))
     cand = hits.join(years, "title").join(F.broadcast(pairs), "subcategory_idx")
+    if top_n is None:
+        return cand
     w = Window.partitionBy("subcategory_idx", "year").orderBy("search_rank", "title")
-    return cand.withColumn("hit_rank", F.row_number().over(w)).filter(F.col("hit_rank") <= top_n)
+    return cand.withColumn("hit_rank", F.row_number().over(w)).filter(F.col("hit_rank") <= top_n).drop("hit_rank")
 
 
-def category_page_events(spark: SparkSession, pages: DataFrame, hits: DataFrame, lo: int, hi: int) -> DataFrame:
+def category_page_events(spark: SparkSession, pages: DataFrame, hits: DataFrame, lo: int, hi: int,
+                         every: int = 1, top_n: int | None = None) -> DataFrame:
     """Category hits -> page -> resolved year (within 50) -> events with
     the searched category."""
-    pages1 = first_page_per_title(pages)
-    found = category_search(pages1, hits, category_pairs(spark), lo, hi)
+    wanted = pages.join(hits.select("title").distinct(), "title", "left_semi")
+    pages1 = first_page_per_title(wanted)
+    found = category_search(pages1, hits, category_pairs(spark), lo, hi, every, top_n)
     joined = (found.withColumnRenamed("year", "around_year")
               .join(pages1, "title")
               .withColumn("year", T.nearest_year(F.col("title"), F.col("extract"), F.col("around_year")))
@@ -112,14 +139,8 @@ def collect_wiki_events(spark: SparkSession, pages: DataFrame, hits: DataFrame |
     if hits is not None:
         cp = category_page_events(spark, pages, hits, lo, hi)
         cp = cp.withColumn("_k1", F.col("around_year")).withColumn("_k2", F.lit(1)) \
-            .withColumn("_k3", F.col("subcategory_idx")).withColumn("_k4", F.col("hit_rank"))
+            .withColumn("_k3", F.col("subcategory_idx")).withColumn("_k4", F.col("search_rank"))
         out = yp.unionByName(cp, allowMissingColumns=True)
     order = order_key(F.col("_k1"), F.col("_k2"), F.col("_k3"), F.col("_k4"), F.col("section_idx"),
                       F.col("sentence_idx"))
     return out.withColumn("order_key", order).drop("_k1", "_k2", "_k3", "_k4")
-
-
-def empty_pages(spark: SparkSession) -> DataFrame:
-    schema = T_.StructType([T_.StructField("page_id", T_.LongType()), T_.StructField("title", T_.StringType()),
-                            T_.StructField("extract", T_.StringType()), T_.StructField("fullurl", T_.StringType())])
-    return spark.createDataFrame([], schema)

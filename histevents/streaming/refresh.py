@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from histevents.functions.scalars import event_hash
 from histevents.operators.dedupe import first_wins_dedupe
-from histevents.session import scratch_path
+from histevents.session import path_exists, scratch_path
 
 
 def with_hash(df: DataFrame) -> DataFrame:
@@ -35,11 +35,11 @@ def _append_new(target: str, order_col: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         first = first_wins_dedupe(with_hash(batch), "event_hash", [order_col])
-        try:
-            stored = spark.read.parquet(target).select("event_hash")
+        # only a target that isn't there yet is new; one that can't be read is a
+        # fault and fails the epoch, or its rows would be appended once more
+        if path_exists(spark, target):
+            stored = spark.read.schema(first.schema).parquet(target).select("event_hash")
             first = first.join(stored, "event_hash", "left_anti")
-        except Exception:  # noqa: BLE001  (first epoch: target not written yet)
-            pass
         first.write.mode("append").parquet(target)
     return run
 

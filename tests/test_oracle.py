@@ -6,7 +6,7 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from histevents.plans import registry as E
 from histevents.sources.fixtures import BASE_TABLES
 from tests.conftest import SF_SMALL
 

@@ -1,5 +1,6 @@
 """Landed payload readers and file sinks on small hand-written payloads."""
 
+import datetime as dt
 import json
 import os
 
@@ -65,14 +66,14 @@ def test_articles_reader(spark, tmp_dir):
          "publishedAt": "2023-03-01T10:00:00Z", "source": None}]}])
     arts = news.read_articles(spark, p)
     assert arts.count() == 2
-    ev = news.collect_news_events(spark, arts, 2020, 2023, as_of_year=2023).collect()
+    ev = news.collect_news_events(spark, arts, 2020, 2023, dt.date(2023, 12, 31)).collect()
     assert {(e.title, e.category, e.location, e.severity) for e in ev} == {
         ("Recession hits Germany", "economic", "Germany", 4)}
 
 
 def test_news_window_empty(spark):
     arts = fixture(spark, SF_SMALL, "news_articles")
-    assert news.collect_news_events(spark, arts, 1990, 1994, as_of_year=2025).count() == 0
+    assert news.collect_news_events(spark, arts, 1990, 1994, dt.date(2025, 12, 31), window_years=5).count() == 0
 
 
 def test_sinks(spark, tmp_dir):

@@ -1,5 +1,6 @@
 """Store sinks, collection runs, JSON files, streaming refresh."""
 
+import datetime as dt
 import json
 import os
 
@@ -103,14 +104,14 @@ def test_store_rows_and_logs(spark, tmp_dir):
 
 
 def test_sample_preset(spark):
-    ev, summary = pipeline.collect_sample(spark, _landed(spark, SF_SMALL), sample_years=10, as_of_year=2001)
+    ev, summary = pipeline.collect_sample(spark, _landed(spark, SF_SMALL), sample_years=10, as_of_date=dt.date(2001, 12, 31))
     assert ev.filter((F.col("year") < 1991) | (F.col("year") > 2001)).filter(F.col("collector") == "economic") \
         .count() == 0
     assert summary.filter(F.col("level") == "total").first().events_collected == ev.count()
 
 
 def test_run_collection(spark):
-    ev, summary = pipeline.run_collection(spark, _landed(spark, SF_SMALL), 1000, 2025, as_of_year=2001)
+    ev, summary = pipeline.run_collection(spark, _landed(spark, SF_SMALL), 1000, 2025, as_of_date=dt.date(2001, 12, 31))
     rows = summary.collect()
     total = [r for r in rows if r.level == "total"][0]
     assert total.events_collected == ev.count() == total.events_saved + total.errors
@@ -123,7 +124,7 @@ def test_run_collection(spark):
 def test_failed_source_is_isolated(spark):
     landed = _landed(spark, SF_SMALL)
     landed.indicators = landed.indicators.drop("value")  # malformed economic input
-    ev, summary = pipeline.run_collection(spark, landed, 1000, 2025, as_of_year=2001)
+    ev, summary = pipeline.run_collection(spark, landed, 1000, 2025, as_of_date=dt.date(2001, 12, 31))
     rows = {(r.collector, r.level): r for r in summary.collect()}
     assert rows[("economic", "source")].errors == 1 and "value" in rows[("economic", "source")].error_message
     assert rows[("wikipedia", "source")].events_collected > 0
@@ -131,7 +132,7 @@ def test_failed_source_is_isolated(spark):
 
 
 def test_recent_preset_only_news_and_economic(spark):
-    ev, _ = pipeline.collect_recent(spark, _landed(spark, SF_SMALL), as_of_year=2001)
+    ev, _ = pipeline.collect_recent(spark, _landed(spark, SF_SMALL), as_of_date=dt.date(2001, 12, 31))
     assert {r.collector for r in ev.select("collector").distinct().collect()} <= {"news", "economic"}
 
 
@@ -245,8 +246,8 @@ def test_clean_invalid(spark, tmp_dir):
     ev = fixture(spark, SF_SMALL, "raw_events").drop("id")
     st.save_events(ev)
     # make some stored rows invalid for the validator (bad severity)
-    st._rewrite(st.events().withColumn("severity", F.when(F.col("year") % 2 == 0, F.lit(9))
-                                       .otherwise(F.col("severity"))))
+    spoilt = st.events().withColumn("severity", F.when(F.col("year") % 2 == 0, F.lit(9)).otherwise(F.col("severity")))
+    st._rewrite(spoilt, st.events().select("century").distinct())
     summary, deleted = reports.clean_invalid_events(st, dry_run=True)
     n_bad = one(summary).invalid_events
     assert n_bad > 0 and deleted == 0
