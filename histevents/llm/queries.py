@@ -7,6 +7,7 @@ from histevents.llm.decontaminate import op3_decontamination
 from histevents.llm.html_extract import op2_html_extract
 from histevents.llm.line_dedup import op1_line_dedup
 from histevents.llm.mixing import op4_mixing
+from histevents.llm.oracles import ORACLE_SQL
 from histevents.llm.pii import op10_pii
 from histevents.llm.quality import op5_quality
 from histevents.llm.simhash import op9_simhash
@@ -26,35 +27,4 @@ QUERIES = {
     "op10_pii": op10_pii,
 }
 
-#: op1: lines, then the windows of 1, 2, 4 and 8 lines with 16 words or more.
-_LINES = """
-with l as (
-  select doc_id, unnest(range(len(x))) as pos, unnest(x) as line
-  from (select doc_id, string_split(text, chr(10)) as x from documents where text is not null)),
-l1 as (select doc_id, pos, line, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) as words from l)"""
-
-
-def _windows() -> str:
-    parts = [_LINES]
-    for k in range(4):
-        n = 2 ** k
-        w = f"over (partition by doc_id order by pos rows between current row and {n - 1} following)"
-        parts.append(f"""w{n} as (select doc_id, pos, row_number() over (
-    partition by s order by doc_id, pos) as copy, words from (
-      select doc_id, pos, array_agg(line) {w} as s, sum(words) {w} as words, count(*) {w} as n from l1) where n = {n})""")
-    gone = " union ".join(f"select doc_id, unnest(range(pos, pos + {2 ** k})) as pos from w{2 ** k} "
-                          f"where copy > 1 and words >= 16" for k in range(4))
-    return ",\n".join(parts) + f""",
-gone as ({gone}),
-left_ as (select l1.*, gone.pos is not null as removed from l1 left join gone on l1.doc_id = gone.doc_id and l1.pos = gone.pos)
-select d.doc_id, coalesce(x.n_lines, 0)::bigint as n_lines, coalesce(x.n_removed, 0)::bigint as n_removed,
-  sha256(coalesce(x.kept, '')) as kept_sha256
-from documents d left join (
-  select doc_id, count(*) as n_lines, count(*) filter (removed) as n_removed,
-    string_agg(line, chr(10) order by pos) filter (not removed) as kept
-  from left_ group by doc_id) x on d.doc_id = x.doc_id"""
-
-
-ORACLE_SQL: dict[str, str] = {
-    "op1_line_dedup": _windows(),
-}
+__all__ = ["ORACLE_SQL", "QUERIES"]
