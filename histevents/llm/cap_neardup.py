@@ -227,7 +227,9 @@ def links(cls: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFra
     per class (u = v) parts of the number of vectors it links with."""
     n = int(cls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = ["label", "dim", "filter"]
-    rows = stage(cls.repartition(n, "cls").select("cls", F.col("label").cast("long").alias("label"), "v").mapInArrow(
+    kind = dict(cls.dtypes)["label"]
+    label = F.col("label").cast("long") if kind in ("tinyint", "smallint", "int", "bigint") else F.xxhash64("label")
+    rows = stage(cls.repartition(n, "cls").select("cls", label.alias("label"), "v").mapInArrow(
         _filtered, "cls bigint, label bigint, dim bigint, filter bigint"), "cap-filters")
     shared = rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").withColumn(
         "blocks", F.ceil(F.col("n") / block)).drop("n")

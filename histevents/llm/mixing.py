@@ -158,15 +158,20 @@ def mix(docs: DataFrame, **params) -> DataFrame:
     row = free_name(docs, "_row")
     own = keyed(docs, "mix-docs", row)
     sizes = stage(sized(own, [row]), "mix-sizes")
+    plan, text = free_name(docs, "_plan"), free_name(docs, "_text")
     part = allocate(sizes, [row], **params).where("taken > 0").select(
-        F.col(row).alias("_id"), F.struct("size", "rounds", "a0", "a1", "b0", "b1").alias("_p"))
-    text = free_name(docs, "_text")
-    copies = own.join(part, F.col(row) == F.col("_id")).withColumn(text, F.expr("""
-        concat(array_repeat(cast(null as string), cast(_p.rounds as int)), filter(transform(
-          array(struct(_p.b0 as lo, _p.b1 as hi), struct(_p.a0 as lo, _p.a1 as hi)),
-          p -> if(p.hi - p.lo = _p.size, text, if(p.hi > p.lo, array_join(
-            slice(regexp_extract_all(text, '[^\\\\x20\\\\x09-\\\\x0D]+', 0), cast(p.lo + 1 as int), cast(p.hi - p.lo as int)), ' '), null))),
-          x -> x is not null))"""))
+        row, F.struct("size", "rounds", "a0", "a1", "b0", "b1").alias(plan))
+    p = F.col(plan)
+
+    def cut(lo: Column, hi: Column) -> Column:
+        """The words [lo, hi): the text itself if these are all, null if none."""
+        some = F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), (lo + 1).cast("int"), (hi - lo).cast("int"))
+        return F.when(hi - lo == p["size"], F.col("text")).when(hi > lo, F.array_join(some, " "))
+
+    # a null in the array stands for a whole pass
+    whole = F.array_repeat(F.lit(None).cast("string"), p["rounds"].cast("int"))
+    copies = own.join(part, row).withColumn(text, F.concat(
+        whole, F.array_compact(F.array(cut(p["b0"], p["b1"]), cut(p["a0"], p["a1"])))))
     one = copies.select(*[F.col(f"`{c}`") for c in own.columns], F.explode(text).alias(text))
     new = {"text": F.coalesce(F.col(text), F.col("text"))}
     if "n_chars" in docs.columns:

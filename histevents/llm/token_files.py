@@ -34,7 +34,7 @@ from histevents.llm.hashing import BYTE, BYTE2, mix, ranges
 from histevents.llm.tables import free_name, read, stage
 
 END_ID = 2
-BLOCK, SEGMENT_IDS = 1024, 262_144
+BLOCK, SEGMENT_IDS = 256, 524_288
 CACHE_PIECES = 600_000
 
 #: (count, width) by selector; 0 is the escape, 1 the run of zeros.
@@ -66,21 +66,20 @@ def _bits(v: np.ndarray) -> np.ndarray:
 def _choices(v: np.ndarray, block_end: np.ndarray) -> np.ndarray:
     """For every position the selector that packs most values from there on."""
     n = len(v)
-    need = _bits(v)
     out = np.zeros(n, np.uint8)
     room = block_end - np.arange(n)
-    widest, reach = need.copy(), 1
-    best: dict[int, np.ndarray] = {}
-    for count in sorted({c for c, _ in SELECTORS}):
+    widest, reach = _bits(v), 1
+    for s in range(len(SELECTORS) - 1, 0, -1):  # more and more values
+        count, width = SELECTORS[s]
         while reach < count:  # widest[i]: of v[i:i + reach]
             step = min(reach, count - reach)
             moved = np.full(n, 255, np.uint8)
             moved[:max(n - step, 0)] = widest[step:]
             widest, reach = np.maximum(widest, moved), reach + step
-        best[count] = widest
-    for s in range(len(SELECTORS) - 1, 0, -1):
-        count, width = SELECTORS[s]
-        out[(best[count] <= width) & (room >= count)] = s
+        fits = (widest <= width) & (room >= count)
+        if not fits.any():  # nor would more values in fewer bits
+            break
+        out[fits] = s
     return out
 
 
@@ -304,7 +303,7 @@ def _encoder(path: str) -> Encoder:
     return _ENCODER[path]
 
 
-def _groups(batches, text: str, most: int = 500_000):
+def _groups(batches, text: str, most: int = 900_000):
     """Lists of (doc_id, text) rows of about ``most`` bytes."""
     held, size = [], 0
     for b in batches:
