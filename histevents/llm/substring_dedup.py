@@ -9,7 +9,7 @@ that takes both to positions in D (each counted in its own document).  So two
 equal windows share an anchor of ``window - v + 1`` words at such positions,
 and only those anchors (5 in 21) are hashed and shuffled.  Where an anchor
 occurs twice, the match extends: the windows around it, and only they, are
-compared by a 128-bit hash of all their words.
+compared by a 96-bit hash of all their words.
 
 Work travels by *chunks*, some megabytes of whole documents, staged once as
 compressed words.  A chunk sends each bucket of hashes its different anchors,
@@ -107,12 +107,12 @@ def _twice(values: np.ndarray) -> np.ndarray:
     return out
 
 
-_PAIR = np.dtype([("a", "<u8"), ("b", "<u8")])
+_PAIR = np.dtype([("a", "<u8"), ("b", "<u4")])
 
 
 def _pairs(w: Words, at: np.ndarray, window: int) -> np.ndarray:
     out = np.empty(len(at), _PAIR)
-    out["a"], out["b"] = w.windows(at, window), w.second(at, window)
+    out["a"], out["b"] = w.windows(at, window), w.second(at, window) >> _U(32)
     return out
 
 
