@@ -8,7 +8,7 @@ values of one width as 60 bits take: SELECTORS lists (count, width).  Selector
 A file row (a *segment*) is a run of whole documents of one shard:
   shard, first       shard number, ids of the shard before this segment
   doc_id, n_ids      lists: the documents in order, and their ids with the end id
-  offset             for every block of BLOCK ids, its first word (the blocks
+  block, offset      ids in a block, and for every block its first word (blocks
                      are coded one by one, so a reader decodes them at once)
   words              the words, little-endian
 The rows are kept as Parquet files in the order of shards, which is the order
@@ -44,7 +44,7 @@ _COUNT = np.array([c for c, _ in SELECTORS])
 _WIDTH = np.array([w for _, w in SELECTORS], np.uint64)
 
 SEGMENT = ("shard int, first bigint, doc_id array<bigint>, n_ids array<bigint>, "
-           "offset binary, words binary")
+           "block int, offset binary, words binary")
 
 
 # ---- the code ---------------------------------------------------------------
@@ -332,14 +332,14 @@ def write_ids(docs: DataFrame, name: str = "byte_bpe_50k.json", end_id: int = EN
         def flush():
             nonlocal first
             values = np.concatenate(ids)
-            offset, words = encode(values)
+            offset, words = encode(values, BLOCK)
             out = pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int32()), pa.array([first], pa.int64()),
                  pa.array([[r[0] for r in rows]], pa.list_(pa.int64())),
                  pa.array([[r[1] for r in rows]], pa.list_(pa.int64())),
-                 pa.array([offset.astype("<u4").tobytes()], pa.binary()),
+                 pa.array([BLOCK], pa.int32()), pa.array([offset.astype("<u4").tobytes()], pa.binary()),
                  pa.array([words.astype("<u8").tobytes()], pa.binary())],
-                names=["shard", "first", "doc_id", "n_ids", "offset", "words"])
+                names=["shard", "first", "doc_id", "n_ids", "block", "offset", "words"])
             first += len(values)
             ids.clear(), rows.clear()
             return out
@@ -375,7 +375,7 @@ def read_ids(files: DataFrame) -> DataFrame:
         for b in batches:
             for r in b.to_pylist():
                 sizes = np.array(r["n_ids"], np.int64)
-                ids = decode(np.frombuffer(r["offset"], "<u4"), np.frombuffer(r["words"], "<u8"), int(sizes.sum()))
+                ids = decode(np.frombuffer(r["offset"], "<u4"), np.frombuffer(r["words"], "<u8"), int(sizes.sum()), r["block"])
                 ids, ends = ids.astype("<u4"), np.cumsum(sizes)
                 starts = ends - sizes
                 raw = memoryview(ids.tobytes())
