@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,17 +102,22 @@ def collect_events_with_status(spark: SparkSession, landed: Landed, lo: int, hi:
     one that fails (missing or malformed input, or a fault while it runs) is
     reported and the others still run.  Returns (events, [(source, ok, message)])."""
     as_of_date = as_of_date or _dt.date.today()
-    parts, status = [], []
-    for prio, name in enumerate(select_sources(sources)):
+
+    def collect(prio: int, name: str):
+        """(staged events or None, message)"""
         try:
             df = COLLECTORS[name](spark, landed, lo, hi, as_of_date)
             if df is None:
-                status.append((name, False, "no landed input"))
-                continue
-            parts.append(_stage(_shape(df, name, prio), f"collected-{name}"))
-            status.append((name, True, None))
+                return None, "no landed input"
+            return _stage(_shape(df, name, prio), f"collected-{name}"), None
         except Exception as exc:  # noqa: BLE001 - per-source isolation (D21)
-            status.append((name, False, f"{type(exc).__name__}: {exc}"))
+            return None, f"{type(exc).__name__}: {exc}"
+
+    names = select_sources(sources)
+    with ThreadPoolExecutor(max(1, len(names))) as pool:  # the sources' jobs run side by side
+        done = list(pool.map(collect, range(len(names)), names))
+    parts = [df for df, _ in done if df is not None]
+    status = [(name, df is not None, message) for name, (df, message) in zip(names, done)]
     if not parts:
         raise ValueError(f"no source gave events: {status}")
     out = parts[0]

@@ -46,17 +46,28 @@ def keyword_table(keywords=L.NEWS_KEYWORDS) -> list[tuple[str, int, str, int]]:
     return out
 
 
-def keyword_hits(articles: DataFrame, keywords=L.NEWS_KEYWORDS) -> DataFrame:
-    """(article..., category, keyword, keyword_idx, relevance): one row per
-    keyword contained in lower(title + description + content)."""
-    text = lower_text("title", "description", "content")
+def _hits_of(articles: DataFrame, keywords) -> DataFrame:
+    """``articles`` with ``_text`` (lower-cased) and ``_hits``, its keywords."""
+    text = F.col("_text")
     entries = [F.when(text.contains(w), F.struct(F.lit(cat).alias("category"), F.lit(ci).alias("category_idx"),
                                                  F.lit(w).alias("keyword"), F.lit(k).alias("keyword_idx")))
                for cat, ci, w, k in keyword_table(keywords)]
-    hits = articles.withColumn("_text", text).withColumn("_hit", F.explode(F.array_compact(F.array(*entries))))
+    return (articles.withColumn("_text", lower_text("title", "description", "content"))
+            .withColumn("_hits", F.array_compact(F.array(*entries))))
+
+
+def _relevance():
+    """How often the hit's keyword occurs in the text."""
     kw = F.col("_hit.keyword")
-    relevance = F.floor((F.length("_text") - F.length(F.replace(F.col("_text"), kw, F.lit("")))) / F.length(kw))
-    return (hits.select(*articles.columns, "_hit.*", relevance.cast("int").alias("relevance")))
+    left = F.length(F.replace(F.col("_text"), kw, F.lit("")))
+    return F.floor((F.length("_text") - left) / F.length(kw)).cast("int").alias("relevance")
+
+
+def keyword_hits(articles: DataFrame, keywords=L.NEWS_KEYWORDS) -> DataFrame:
+    """(article..., category, keyword, keyword_idx, relevance): one row per
+    keyword contained in lower(title + description + content)."""
+    hits = _hits_of(articles, keywords).withColumn("_hit", F.explode("_hits"))
+    return hits.select(*articles.columns, "_hit.*", _relevance())
 
 
 def search_window(lo: int, hi: int, as_of_date: _dt.date, window_years: int | None = None,
@@ -89,24 +100,37 @@ def top_hits(hits: DataFrame, id_col: str, top_n: int, slices: int = SLICES) ->
     return hits.join(ranked.select("keyword_idx", id_col, "hit_rank"), ["keyword_idx", id_col])
 
 
-def search_articles(articles: DataFrame, lo: int, hi: int, as_of_date: _dt.date, keywords=L.NEWS_KEYWORDS,
-                    top_n: int | None = None, window_years: int | None = None) -> DataFrame:
-    """Per keyword the articles of the date window that hold it."""
+def in_window(articles: DataFrame, lo: int, hi: int, as_of_date: _dt.date, window_years: int | None = None) -> DataFrame:
+    """The articles of the search window."""
     win = search_window(lo, hi, as_of_date, window_years)
-    if win is None:  # nothing can match: an empty relation of the same shape
-        return keyword_hits(articles, keywords).filter(F.lit(False))
+    if win is None:
+        return articles.filter(F.lit(False))
     _, d_from, d_to = win
     day = F.substring("published_at", 1, 10)
-    hits = keyword_hits(articles.filter((day >= d_from) & (day <= d_to)), keywords)
+    return articles.filter((day >= d_from) & (day <= d_to))
+
+
+def search_articles(articles: DataFrame, lo: int, hi: int, as_of_date: _dt.date, keywords=L.NEWS_KEYWORDS,
+                    top_n: int | None = None, window_years: int | None = None) -> DataFrame:
+    """Per keyword the articles of the date window that hold it."""
+    hits = keyword_hits(in_window(articles, lo, hi, as_of_date, window_years), keywords)
     return hits if top_n is None else top_hits(hits, "article_id", top_n)
 
 
 def collect_news_events(spark: SparkSession, articles: DataFrame, lo: int, hi: int, as_of_date: _dt.date,
                         enabled: bool = True, top_n: int | None = None, window_years: int | None = None) -> DataFrame:
-    """S11 + P1: keyword hits -> events in (category, keyword, relevance, article) order."""
-    found = search_articles(articles, lo, hi, as_of_date, top_n=top_n, window_years=window_years)
+    """S11 + P1: keyword hits -> events in (category, keyword, relevance, article) order.
+
+    An article's fields are parsed once, whatever number of keywords it holds."""
+    arts = in_window(articles, lo, hi, as_of_date, window_years)
     if not enabled:
-        found = found.filter(F.lit(False))
-    ev = article_events(found, "category")
+        arts = arts.filter(F.lit(False))
+    if top_n is not None:
+        ev = article_events(top_hits(keyword_hits(arts), "article_id", top_n), "category")
+    else:
+        found = _hits_of(arts, L.NEWS_KEYWORDS).filter(F.size("_hits") > 0)
+        parsed = article_events(found.withColumn("_none", F.lit(None).cast("string")), "_none").drop("category")
+        ev = parsed.withColumn("_hit", F.explode("_hits")).select(
+            *[c for c in parsed.columns if c not in ("_text", "_hits")], "_hit.*", _relevance())
     return ev.withColumn("order_key", order_key(F.col("category_idx"), F.col("keyword_idx"), -F.col("relevance"),
                                                 F.col("article_id")))

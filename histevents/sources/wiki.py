@@ -118,15 +118,21 @@ def category_search(pages: DataFrame, hits: DataFrame, pairs: DataFrame, lo: int
 def category_page_events(spark: SparkSession, pages: DataFrame, hits: DataFrame, lo: int, hi: int,
                          every: int = 1, top_n: int | None = None) -> DataFrame:
     """Category hits -> page -> resolved year (within 50) -> events with
-    the searched category."""
+    the searched category.
+
+    A page is hit by many searches and years: its sentences are parsed once,
+    and the hits, without texts, are joined to them."""
     wanted = pages.join(hits.select("title").distinct(), "title", "left_semi")
     pages1 = first_page_per_title(wanted)
-    found = category_search(pages1, hits, category_pairs(spark), lo, hi, every, top_n)
-    joined = (found.withColumnRenamed("year", "around_year")
-              .join(pages1, "title")
-              .withColumn("year", T.nearest_year(F.col("title"), F.col("extract"), F.col("around_year")))
-              .filter(F.col("year").isNotNull()))
-    return page_events(joined, year_col="year", category_col="category").withColumn("path", F.lit("category"))
+    found = category_search(pages1, hits, category_pairs(spark), lo, hi, every, top_n).withColumnRenamed("year", "around_year")
+    resolved = found.select("title", "around_year").distinct().join(pages1, "title").select(
+        "title", "around_year", T.nearest_year(F.col("title"), F.col("extract"), F.col("around_year")).alias("year")
+    ).filter(F.col("year").isNotNull())
+    found = found.join(resolved, ["title", "around_year"]).withColumnRenamed("title", "_page")
+    parsed = page_events(pages1.withColumn("_page", F.col("title")).withColumn("year", F.lit(0)), year_col="year")
+    ev = parsed.drop("year", "category", "tags").join(found, "_page").drop("_page")
+    return (ev.withColumn("tags", T.extract_tags(F.col("description"), F.col("category")))
+            .withColumn("year", F.col("year").cast("int")).withColumn("path", F.lit("category")))
 
 
 def collect_wiki_events(spark: SparkSession, pages: DataFrame, hits: DataFrame | None, lo: int, hi: int) -> DataFrame:
