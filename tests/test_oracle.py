@@ -60,6 +60,8 @@ _TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "V
 
 
 def test_entry(spark):
-    df = E.entry(spark)
+    import __spark_entry__
+
+    df = __spark_entry__.entry(spark)
     rows = df.collect()
     assert len(rows) == 1 and rows[0].status in ("pass", "fail")
