@@ -235,13 +235,9 @@ SOURCE_PRIORITY = ("wikipedia", "economic", "news")
 BATCH_SIZE_FULL = 50
 BATCH_SIZE_SAMPLE = 10
 BATCH_SIZE_RECENT = 1
-# Request limits of the web services: parameters, not applied to landed data.
-NEWS_WINDOW_YEARS = 5
 NEWS_DELAY_DAYS = 30
 NEWS_TOP_N = 50
-WIKI_SEARCH_TOP_N = 20
 MARKET_MIN_END_YEAR = 1999
-CATEGORY_SEARCH_EVERY = 10
 NEAR_YEAR_WINDOW = 50
 MIN_SENTENCE_LENGTH = 20
 TITLE_MAX = 50

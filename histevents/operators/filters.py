@@ -60,10 +60,6 @@ def export_events(events: DataFrame, start_year=None, end_year=None, category=No
     return out.select(*cols)
 
 
-def recent(events: DataFrame, as_of_year: int, span: int = 20) -> DataFrame:
-    return events.filter(F.col("year") >= as_of_year - span)
-
-
 def select_sources(requested, priority=L.SOURCE_PRIORITY) -> list[str]:
     """Requested source names in fixed priority order; unknown names dropped."""
     if requested is None:

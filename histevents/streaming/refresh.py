@@ -76,9 +76,3 @@ def refresh_store(stream: DataFrame, store, checkpoint: str | None = None, avail
     w = stream.writeStream.foreachBatch(run).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
-
-
-def landed_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int = 1) -> DataFrame:
-    """File source over landed parquet; ``ingest_ts`` marks arrival."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(path).withColumn("ingest_ts", F.current_timestamp()))
