@@ -150,6 +150,20 @@ def test_copies_are_no_template(spark):
     assert {r.text for r in html_extract.extract(df).collect()} == {"All of this page is copied"}
 
 
+def read(page):
+    return [t for _, t in html_extract.blocks(html_extract.parse(page))]
+
+
+def test_all_roots_of_a_level():
+    text = "<p>This is the whole of the story that the page tells</p>"
+    assert read(f'<h1 class="entry-title">Head</h1><p>by</p><div class="entry-content">{text}</div>') == ["Head", text[3:-4]]
+    assert read(f'<a class="skip-to-content">Skip</a><div id="main-header">Top</div>{text}')[-1] == text[3:-4]
+    assert read("".join(f'<div class="post"><p>post {i}</p></div>' for i in range(3))) == ["post 0", "post 1", "post 2"]
+    assert read("<main><p>one</p></main><main><p>two</p></main>") == ["one", "two"]
+    assert text[3:-4] in read(f"<article><p>Teaser</p></article><div>{text}</div>")
+    assert read(f"<p>Terms</p><article>{text}</article>") == [text[3:-4]]
+
+
 @pytest.mark.parametrize("text", ["<" * 30_000, "<a " * 30_000, "<div>" * 3_000, "<a href='" * 10_000, "<!--" * 20_000, "&" * 9, "</p>" * 99])
 def test_parser_never_fails(text):
     html_extract.blocks(html_extract.parse(text))
