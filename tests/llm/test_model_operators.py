@@ -164,6 +164,27 @@ def test_all_roots_of_a_level():
     assert read(f"<p>Terms</p><article>{text}</article>") == [text[3:-4]]
 
 
+def test_names_do_not_drop_the_article():
+    text = "This is the whole of the story that the page tells"
+    article = f"<article><p>{text}</p></article>"
+    assert read(f'<article class="post-12 category-social tag-login"><p>{text}</p></article>') == [text]
+    for outer in ('div class="content-sidebar-wrap"', 'div id="page" class="with-banner"', "form action=x", 'div class="sidebar"'):
+        tag = outer.split()[0]
+        assert read(f"<{outer}>{article}</{tag}>") == [text]
+        assert read(f'<{outer}><div class="menu"><a>Home</a></div><p>{text}</p></{tag}><div class="ad">Buy</div>') == [text]
+    # marks by name hold where the article is elsewhere
+    for name in ("sidebar", "site-footer", "cookie-notice", "comments-area", "comment-17", "social-links", "widget_text"):
+        assert read(f'{article}<div class="{name}"><p>{text * 2}</p></div>') == [text]
+    teaser = "<article class='card'><p>Read me</p></article>"
+    assert read(f"<div><h1>Head</h1><p>{text}</p></div><div class='sidebar'>{teaser * 2}</div>") == ["Head", text]
+    assert read(f"<p>Short</p><ol class='comment-list'><li class='comment'>{article}</ol>") == ["Short"]
+    assert read(f"<p>Short</p><div class='menu'>{'<a>A page of the site</a>' * 9}</div>") == ["Short"]
+    assert read(f"<ol class='comment-list'><li class='comment'>{text}</ol>") == [text]
+    assert read(f"<form><div class='sidebar'><div class='widget'>{article}</div></div><p>Terms</p></form>") == [text]
+    assert read(f"<div class='widget'>{text}</div><div class='widget'>{text}</div>") == [text, text]
+    assert len(read("<div class='ad'>x" * 20_000)) == 10_000  # the outer ones hold most
+
+
 @pytest.mark.parametrize("text", ["<" * 30_000, "<a " * 30_000, "<div>" * 3_000, "<a href='" * 10_000, "<!--" * 20_000, "&" * 9, "</p>" * 99])
 def test_parser_never_fails(text):
     html_extract.blocks(html_extract.parse(text))
