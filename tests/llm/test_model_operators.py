@@ -185,6 +185,46 @@ def test_names_do_not_drop_the_article():
     assert len(read("<div class='ad'>x" * 20_000)) == 10_000  # the outer ones hold most
 
 
+def test_template_is_aligned(spark):
+    """Constant blocks after and before runs of other lengths, in pages of two
+    layouts, below deep nodes, and where the reference page may lack them."""
+    def ps(i, n):
+        return "".join(f"<p>story {i} {k}</p>" for k in range(n))
+
+    rows = []
+    for i in range(12):
+        body = f"<article>{ps(i, 1 + i % 4)}<p>Read our terms</p></article>"
+        rows.append(("run", i, body))
+        rows.append(("deep", i, "<div>" * 300 + ps(i, 1) + "<p>Read our terms</p>"))
+        kind = "ab"[i % 2]
+        rows.append(("layouts", i, f"<div class='{kind}'><h2>Top {kind}</h2>{ps(i, 2)}</div>"))
+        items = ("" if i % 3 else f"<li>new {i}</li>") + "<li>Home</li><li>About</li>"
+        rows.append(("list", i, f"<article>{ps(i, 2)}<ul>{items}</ul></article>"))
+        rows.append(("error", i, f"<section class=error>{ps(i, 1)}</section>" if i < 4 else f"<article>{ps(i, 2)}<p>Bye</p></article>"))
+        rows.append(("rare", i, f"<article>{ps(i, 2)}{'<p>In short</p>' if i < 5 else ''}</article>"))
+    rows = [(k, f"http://{host}.example/{i}", html) for k, (host, i, html) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for limit in (32_000_000, 0):
+        text = {r.url[7:].replace(".example", ""): r.text for r in html_extract.extract(df, broadcast_bytes=limit).collect()}
+        for i in range(12):
+            story = [f"story {i} {k}" for k in range(4)]
+            assert text[f"run/{i}"].split("\n") == story[:1 + i % 4]
+            assert text[f"deep/{i}"] == story[0]
+            assert text[f"layouts/{i}"].split("\n") == story[:2]
+            assert text[f"list/{i}"].split("\n") == story[:2] + ([] if i % 3 else [f"new {i}"])
+            assert text[f"error/{i}"].split("\n") == story[:1 if i < 4 else 2]
+            # a text of a few pages in a place that all have is content
+            assert text[f"rare/{i}"].split("\n") == story[:2] + (["In short"] if i < 5 else [])
+
+
+def test_align_long_runs():
+    many = "".join(f"<li>Go</li><li>x{i}</li>" for i in range(400))
+    other = "<li>new</li>" + "".join(f"<li>Go</li><li>y{i}</li>" for i in range(390))
+    a, b = html_extract.Tree(f"<ul>{many}<li>End</li></ul>"), html_extract.Tree(f"<ul>{other}<li>End</li></ul>")
+    found = html_extract.same(a, b)
+    assert sum(b.texts[k] == "Go" for _, k in found) == 390 and b.texts[found[-1][1]] == "End"
+
+
 @pytest.mark.parametrize("text", ["<" * 30_000, "<a " * 30_000, "<div>" * 3_000, "<a href='" * 10_000, "<!--" * 20_000, "&" * 9, "</p>" * 99])
 def test_parser_never_fails(text):
     html_extract.blocks(html_extract.parse(text))
