@@ -8,9 +8,13 @@ m - B + 1 words.  Where the shift is 0, the block's bucket of patterns, cut by
 their first block, is compared word for word.
 
 The documents stream through Arrow batches, one row after the other, without a
-shuffle.  The patterns are broadcast in blocks of at most ``block_patterns``;
-a larger benchmark is searched in as many passes, each over all documents,
-with the hits so far staged in between.
+shuffle.  The patterns are broadcast in blocks of about ``block_patterns`` and
+``BLOCK_BYTES`` at most; a larger benchmark is searched in as many passes, each
+over all documents, with the hits so far staged in between.  With a pattern goes
+the number of its set of items (equal sets have one number, by count and two
+hashes); the ids themselves stay in a table of (number, item) rows, which only
+the numbers found in documents are joined with, once for each different list of
+numbers.
 
 Defined results: a null text, or one without words, has no words, no hits and
 isn't contaminated; a null or empty benchmark text has no pattern; an item
@@ -31,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from histevents.llm.tables import free_name, read, stage
 
 WINDOW = 13
-BLOCK_PATTERNS = 200_000
+BLOCK_PATTERNS, BLOCK_BYTES = 200_000, 64_000_000
 
 #: Bytes of UTF-8 text: A-Z to a-z, what isn't part of a word to a blank.
 WORD_BYTES = bytes(
@@ -101,35 +105,47 @@ def _words(text: str) -> Column:
     return F.regexp_extract_all(low, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0))
 
 
-def patterns_of(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(pattern, items): each different window and the ids of its items."""
+def windows_of(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(pattern, item): each different window of each item; the id may be null."""
     w = benchmark.select(F.col("item_id").cast("string").alias("item"), _words("text").alias("w")).where("size(w) > 0")
     starts = F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)))
     return (
         w.select("item", "w", F.explode(starts).alias("at"))
-        .select("item", F.array_join(F.slice("w", F.col("at") + 1, window), " ").alias("pattern"))
-        .groupBy("pattern").agg(F.collect_set("item").alias("items")))
-
-
-def _passes(benchmark: DataFrame, window: int, block_patterns: int):
-    """Blocks of [(pattern, items)], each of about block_patterns at most."""
-    table = stage(patterns_of(benchmark, window), "patterns")
-    n = -(-table.count() // block_patterns)
+        .select(F.array_join(F.slice("w", F.col("at") + 1, window), " ").alias("pattern"), "item").distinct())
+
+
+def patterns_of(windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pattern, number), staged, and (number, item): the number of a pattern's set of items, and its ids."""
+    set_ = ["n", "x1", "x2"]
+    known = F.col("item").isNotNull()
+    patterns = windows.groupBy("pattern").agg(
+        F.count("item").alias("n"), *[F.coalesce(F.bit_xor(F.when(known, F.xxhash64(F.lit(k), "item"))), F.lit(0)).alias(f"x{k}")
+                                      for k in (1, 2)])
+    sets = stage(patterns.groupBy(*set_).agg(F.min("pattern").alias("one")).withColumn(
+        "number", F.monotonically_increasing_id()), "item-sets")
+    members = sets.join(windows.where(known), sets["one"] == windows["pattern"]).select("number", "item")
+    return stage(patterns.join(sets, set_).select("pattern", "number"), "patterns"), members
+
+
+def _passes(table: DataFrame, block_patterns: int):
+    """Blocks of [(pattern, number)], each of about block_patterns and BLOCK_BYTES at most."""
+    count, size = table.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("pattern")), F.lit(0))).first()
+    n = max(-(-count // block_patterns), -(-size // BLOCK_BYTES))
     for i in range(n):
         rows = table if n == 1 else table.where(F.pmod(F.xxhash64("pattern"), F.lit(n)) == i)
-        yield [(r.pattern.encode(), tuple(r.items)) for r in rows.toLocalIterator()]
+        yield [(r.pattern.encode(), r.number) for r in rows.toLocalIterator()]
 
 
-def _marked(docs: DataFrame, benchmark: DataFrame, text: str, hit: str, window: int, block_patterns: int) -> DataFrame:
-    """``docs`` with ``hit``: struct<n_words, spans: array<struct<s, e>>, items: array<string>>."""
+def _marked(docs: DataFrame, patterns: DataFrame, text: str, hit: str, block_patterns: int) -> DataFrame:
+    """``docs`` with ``hit``: struct<n_words, spans: array<struct<s, e>>, sets: array<bigint>>."""
     schema = T.StructType([*docs.schema, T.StructField(hit, T.StructType.fromDDL(
-        "n_words bigint, spans array<struct<s:bigint,e:bigint>>, items array<string>"))])
+        "n_words bigint, spans array<struct<s:bigint,e:bigint>>, sets array<bigint>"))])
     kind = pa.struct([("n_words", pa.int64()),
                       ("spans", pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))),
-                      ("items", pa.list_(pa.string()))])
+                      ("sets", pa.list_(pa.int64()))])
     out = docs
     columns, first = docs.columns, True
-    for block in chain(_passes(benchmark, window, block_patterns), [None]):
+    for block in chain(_passes(patterns, block_patterns), [None]):
         if block is None and not first:
             break
         if not first:
@@ -145,12 +161,12 @@ def _marked(docs: DataFrame, benchmark: DataFrame, text: str, hit: str, window:
                 new = []
                 for t, before in zip(texts, old):
                     spans = [(x["s"], x["e"]) for x in before["spans"]] if before else []
-                    items = set(before["items"]) if before else set()
+                    sets = set(before["sets"]) if before else set()
                     words = words_of(t)
                     for s, m, i in found.hits(words):
                         spans.append((s, s + m))
-                        items.update(block[i][1])
-                    new.append({"n_words": len(words), "spans": [{"s": s, "e": e} for s, e in _merged(spans)], "items": sorted(items)})
+                        sets.add(block[i][1])
+                    new.append({"n_words": len(words), "spans": [{"s": s, "e": e} for s, e in _merged(spans)], "sets": sorted(sets)})
                 cols = [batch.column(c) for c in columns] + [pa.array(new, kind)]
                 yield pa.RecordBatch.from_arrays(cols, names=[*columns, hit])
 
@@ -173,21 +189,35 @@ def _n_hit(hit: str) -> Column:
     return F.aggregate(F.col(hit)["spans"], F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
 
 
+def _contaminated(hit: str) -> Column:
+    return (_n_hit(hit) > 0) & (20 * _n_hit(hit) >= F.col(hit)["n_words"])
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", out: str = "hits",
                   window: int = WINDOW, block_patterns: int = BLOCK_PATTERNS) -> DataFrame:
     """``docs`` with ``out``: struct<n_words, n_hit, items, contaminated>."""
     hit = free_name(docs, "_hit")
-    n = _marked(docs, benchmark, text, hit, window, block_patterns).withColumn(
-        out, F.struct(F.col(hit)["n_words"].alias("n_words"), _n_hit(hit).alias("n_hit"), F.col(hit)["items"].alias("items")))
+    sets, ids = free_name(docs, "_sets"), free_name(docs, "_items")
+    patterns, members = patterns_of(stage(windows_of(benchmark, window), "windows"))
+    marked = stage(_marked(docs, patterns, text, hit, block_patterns), "hits").withColumn(sets, F.col(hit)["sets"])
+    found = F.size(sets) > 0
+    lists = stage(
+        marked.where(found).select(sets).distinct().select(sets, F.explode(sets).alias("number")).join(members, "number")
+        .groupBy(sets).agg(F.sort_array(F.collect_set("item")).alias(ids)), "item-lists")
+    none = F.array().cast("array<string>")
+    n = marked.where(~found).withColumn(ids, none).unionByName(
+        marked.where(found).join(lists, sets, "left").withColumn(ids, F.coalesce(ids, none)))
     return n.withColumn(out, F.struct(
-        f"{out}.n_words", f"{out}.n_hit", f"{out}.items",
-        ((F.col(out)["n_hit"] > 0) & (20 * F.col(out)["n_hit"] >= F.col(out)["n_words"])).alias("contaminated"))).drop(hit)
+        F.col(hit)["n_words"].alias("n_words"), _n_hit(hit).alias("n_hit"), F.col(ids).alias("items"),
+        _contaminated(hit).alias("contaminated"))).select(*[F.col(f"`{c}`") for c in docs.columns], out)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW,
+          block_patterns: int = BLOCK_PATTERNS) -> DataFrame:
     """The rows of ``docs`` that aren't contaminated, with its columns."""
-    out = free_name(docs, "_contamination")
-    return contamination(docs, benchmark, out=out, **params).where(~F.col(out)["contaminated"]).drop(out)
+    hit = free_name(docs, "_hit")
+    patterns, _ = patterns_of(stage(windows_of(benchmark, window), "windows"))
+    return _marked(docs, patterns, text, hit, block_patterns).where(~_contaminated(hit)).drop(hit)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

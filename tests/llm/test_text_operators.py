@@ -48,6 +48,21 @@ def test_decontamination(spark, documents):
     assert decontaminate.clean(clash, bench).columns == clash.columns
 
 
+def test_decontamination_broadcasts_no_item_lists(spark, documents):
+    """A passage in many items: what goes to the driver has one number a pattern."""
+    items = [(i, f"{PASSAGE} {prose(3)}") for i in range(300)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    patterns, members = decontaminate.patterns_of(decontaminate.windows_of(bench))
+    assert dict(patterns.dtypes) == {"pattern": "string", "number": "bigint"}
+    # the passage's own windows have one set of items between them
+    assert patterns.where(F.lit(PASSAGE).contains(F.col("pattern"))).select("number").distinct().count() == 1
+    assert members.groupBy("number").count().where("count = 300").count() == 1
+    got = by_id(decontaminate.contamination(documents(ROWS), bench).select("doc_id", "hits.*"))
+    expected = brute.contamination([r[1] for r in ROWS], items)
+    assert [(g.n_words, g.n_hit, len(g["items"]), brute.sha(",".join(g["items"])), g.contaminated)
+            for g in (got[r[0]] for r in ROWS)] == expected
+
+
 @pytest.mark.parametrize("chunk", [2_000_000, 3_000])
 def test_substring_dedup(documents, chunk):
     rows = ROWS + [(7, TEXTS[2], "s"), (None, TEXTS[1], "s")]
