@@ -16,7 +16,8 @@ Only sizes travel: one narrow row per document is staged, and everything else
 is windows and equi-joins over it.  One row per source passes through one task
 (the water level is a running sum over the sources); one row per shard is
 ranked within its source; the documents of a shard, about ``shard_words``
-words, are ordered in one task, and a large source has many shards.
+words, are ordered in one task, and a large source has many shards.  Rows of
+no words are in no shard.
 
 Defined results: a null text has size 0 and is taken 0; a null source is a
 source of its own, the last; ids may be null or repeated (rows that agree in
@@ -110,7 +111,10 @@ def allocate(sizes: DataFrame, carry: list[str], share: float = SHARE, most: int
         "_one": F.lit(0), "shards": F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")})
     src = stage(seats(src, "_all", ["_one"], ["s_null", "s"], "target", "_blocks")
                 .select("s_null", "s", "source_size", "target", "shards", F.col("_blocks").alias("blocks")), "mix-sources")
-    placed = sizes.join(src, ["s_null", "s"]).withColumn("shard", F.pmod(_hash(F.col("key")), F.col("shards")))
+    # rows of no words take no place in a ring, however many there are
+    placed = sizes.where("size > 0").join(src, ["s_null", "s"]).withColumn(
+        "shard", F.pmod(_hash(F.col("key")), F.col("shards")))
+    empty = sizes.where("size = 0").join(src, ["s_null", "s"])
     shard = placed.groupBy("s_null", "s", "shard").agg(F.sum("size").alias("shard_size"), F.first("blocks").alias("_of"))
     shard = (
         seats(shard, "_of", ["s_null", "s"], ["shard"], "shard_size", "_blocks")
@@ -136,10 +140,12 @@ def allocate(sizes: DataFrame, carry: list[str], share: float = SHARE, most: int
     a0, a1 = cut(F.col("from"), F.least(F.col("from") + F.col("rest"), F.col("shard_size")))
     b0, b1 = cut(F.lit(0), F.col("from") + F.col("rest") - F.col("shard_size"))
     out = out.withColumns({"a0": a0, "a1": a1, "b0": b0, "b1": b1})
-    return out.select(
+    out = out.select(
         *carry, "size", "source_size", "target",
         (F.col("rounds") * size + F.col("a1") - F.col("a0") + F.col("b1") - F.col("b0")).cast("long").alias("taken"),
         "rounds", "a0", "a1", "b0", "b1")
+    none = [F.lit(0).cast("long").alias(c) for c in ("taken", "rounds", "a0", "a1", "b0", "b1")]
+    return out.unionByName(empty.select(*carry, "size", "source_size", "target", *none))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

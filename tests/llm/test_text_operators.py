@@ -167,6 +167,15 @@ def test_mixing(spark, documents):
     assert mixing.mix(documents([(1, None, None), (2, "", "a")])).isEmpty()
 
 
+def test_mixing_deals_no_empty_rows(documents):
+    """Rows of no words are in the result, but in no ring, so no round passes them."""
+    rows = [(i, prose(20), "a") for i in range(30)] + [(100 + i, "" if i % 2 else None, "a") for i in range(500)]
+    got = by_id(mixing.allocate(mixing.sized(documents(rows), ["doc_id"]), ["doc_id"]))
+    assert len(got) == 530 and all(got[100 + i].taken == got[100 + i].rounds == 0 for i in range(500))
+    assert all(r.source_size == 600 and r.target == 900 for r in got.values())
+    assert max(got[i].rounds for i in range(30)) == 1 and abs(sum(r.taken for r in got.values()) - 900) <= 32
+
+
 def test_apportionment_is_sainte_lague(spark):
     rng = random.Random(8)
     for _ in range(4):
