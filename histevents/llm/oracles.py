@@ -172,6 +172,48 @@ select d.doc_id, {given}, sha256(coalesce(base, '')) as base_sha256, coalesce(sp
 from d left join found on d.doc_id = found.doc_id"""
 
 
+OP11 = """
+with words as (
+  select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from documents),
+tf as (select doc_id, term, count(*)::bigint as tf from words group by doc_id, term),
+len as (select doc_id, sum(tf)::bigint as n from tf group by doc_id),
+total as (select count(*)::bigint as docs, sum(n)::bigint as l from len),
+asked as (select distinct item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from benchmark),
+weights as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint as w
+  from (select term, count(*)::bigint as df from tf group by term), total),
+scores as (select item_id, tf.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // l))))::bigint as score
+  from asked join tf using (term) join weights using (term) join len on len.doc_id = tf.doc_id, total group by item_id, tf.doc_id)
+select item_id, rank::int as rank, doc_id, score from (
+  select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores where score > 0) where rank <= 10"""
+
+OP12 = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+r as (select page_id, strlen(html)::bigint as payload_bytes, sha256(html) as payload_digest,
+  min(page_id) over (partition by html) as first from p)
+select page_id, payload_bytes, payload_digest,
+  case when payload_bytes < 100 or page_id = first then 'response' else 'revisit' end as record_type,
+  case when payload_bytes < 100 or page_id = first then null else first end as refers_to from r"""
+
+OP13 = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as e
+  from embeddings where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, b.vec_id as vec_id, a.label = b.label as same,
+    list_dot_product(a.e, b.e)::bigint as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id and len(a.e) = len(b.e)),
+positives as (select anchor_id, vec_id as positive_id, score as positive_score from (
+  select *, row_number() over (partition by anchor_id order by score desc, vec_id) as r from s where same) where r <= 5)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from (
+  select anchor_id, positive_id, positive_score, s.vec_id as negative_id, s.score as negative_score,
+    row_number() over (partition by anchor_id, positive_id order by s.score desc, s.vec_id) as rank
+  from positives join s using (anchor_id)
+  where not same and 80 * positive_score <= 100 * s.score and s.score <= positive_score) where rank <= 5"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": _windows(),
     "op3_decontamination": OP3,
@@ -179,4 +221,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_cap_neardup": OP6,
     "op8_substring_dedup": OP8,
     "op10_pii": _personal(),
+    "op11_lexical_search": OP11,
+    "op12_warc_archive": OP12,
+    "op13_hard_negatives": OP13,
 }

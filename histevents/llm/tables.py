@@ -18,6 +18,11 @@ def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path of its own in the shared folder (``spark.checkpoint.dir``)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 #: Paths that ``stage`` has written and ``release`` hasn't deleted.
 STAGED: list[str] = []
 
@@ -28,7 +33,7 @@ def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     Cuts lineage: what follows reads the files, also after an executor is
     lost.  The folder is the job's scratch space: results read from it, so it
     is emptied when they have been written elsewhere (``release``)."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     STAGED.append(path)
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
