@@ -9,7 +9,8 @@
   rows with identical trigram sets are first collapsed into one signature
   group, candidates are generated only from each signature's rarest
   ``n - floor(4n/5)`` trigrams (equi-join on year + trigram), filtered by
-  size, verified with integers, and only then expanded back to row pairs.
+  size and position, verified with integers, and only then expanded back to
+  row pairs.  A trigram that many signatures share is dealt to blocks.
   Verification work is per distinct signature pair, never per row pair;
   the expansion of a large group is split into hashed blocks.
 * ``near_duplicate_count``: the number of such pairs computed from group
@@ -85,27 +86,54 @@ def _signatures(events: DataFrame, id_col: str, text_col: str, group_col: str) -
     return members, sigs
 
 
-def _similar_signature_pairs(sigs: DataFrame) -> DataFrame:
-    """Distinct signature pairs (a < b, same group) with similarity > NUM/DEN."""
+TOKEN_BLOCK = 4096  # signatures per block of a candidate key
+
+
+def _candidate_sides(sigs: DataFrame, block: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of the candidate join and its key: (group, trigram, size
+    class, blocks).  A row has its signature, its size and the position ``r``
+    of the trigram in the signature's order, rarest of the group first.
+
+    A trigram of more signatures than ``block`` is dealt to blocks on either
+    side, both in the key, so a key holds about ``block`` signatures a side
+    however many share the trigram."""
     tok = sigs.select("_g", "_sig", "_n", F.explode("_tri").alias("_tok"))
-    freq = tok.groupBy("_tok").agg(F.count(F.lit(1)).alias("_df"))
+    freq = tok.groupBy("_g", "_tok").agg(F.count(F.lit(1)).alias("_df"))
     # prefix length: a match must share > NUM/DEN of the n trigrams
     prefix_len = F.col("_n") - F.floor(F.col("_n") * NUM / DEN)
-    w = Window.partitionBy("_g", "_sig").orderBy("_df", "_tok")
-    prefix = (tok.join(freq, "_tok")
-              .withColumn("_r", F.row_number().over(w))
-              .filter(F.col("_r") <= prefix_len)
-              .select("_g", "_sig", "_n", "_tok"))
+    w = Window.partitionBy("_g", "_sig").orderBy("_df", "_tok")  # a signature's own trigrams
+    prefix = (tok.join(freq, ["_g", "_tok"]).withColumn("_r", F.row_number().over(w))
+              .filter(F.col("_r") <= prefix_len))
     # sizes of a match differ by DEN/NUM at most: equal or neighbouring size
     # classes, which are part of the key (each pair meets in sig_a's class)
     size_class = F.floor(F.log(F.col("_n").cast("double")) / F.lit(math.log(DEN / NUM)))
-    a = prefix.select("_g", "_tok", F.col("_sig").alias("sig_a"), F.col("_n").alias("n_a"), size_class.alias("_c"))
-    b = prefix.select("_g", "_tok", F.col("_sig").alias("sig_b"), F.col("_n").alias("n_b"),
+    blocks = F.greatest(F.ceil(F.col("_df") / F.lit(block)), F.lit(1)).cast("int")
+    prefix = prefix.withColumn("_nb", blocks).withColumn("_own", F.pmod(F.xxhash64("_sig"), F.col("_nb")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
+    a = prefix.select("_g", "_tok", size_class.alias("_c"), F.col("_sig").alias("sig_a"), F.col("_n").alias("n_a"),
+                      F.col("_r").alias("r_a"), F.col("_own").alias("_ba"), others.alias("_bb"))
+    b = prefix.select("_g", "_tok", F.col("_sig").alias("sig_b"), F.col("_n").alias("n_b"), F.col("_r").alias("r_b"),
+                      F.col("_own").alias("_bb"), F.col("_nb"),
                       F.explode(F.array(size_class - 1, size_class, size_class + 1)).alias("_c"))
-    cand = (a.join(b, ["_g", "_tok", "_c"])
-            .filter((F.col("sig_a") < F.col("sig_b"))
-                    & (F.least("n_a", "n_b") * DEN > F.greatest("n_a", "n_b") * NUM))
-            .select("_g", "sig_a", "sig_b").distinct())
+    b = b.withColumn("_ba", others).drop("_nb")
+    return a, b, ["_g", "_tok", "_c", "_ba", "_bb"]
+
+
+def _similar_signature_pairs(sigs: DataFrame, block: int | None = None) -> DataFrame:
+    """Distinct signature pairs (a < b, same group) with similarity > NUM/DEN.
+
+    Both filters are upper bounds of the overlap, so they lose nothing.  Length:
+    the smaller size bounds it.  Position: shared trigrams up to the last one
+    shared in both prefixes were all counted, and after it no more can follow
+    than either side has left."""
+    a, b, key = _candidate_sides(sigs, block or TOKEN_BLOCK)
+    need = (F.col("n_a") + F.col("n_b")) * NUM  # overlap * (DEN + NUM) must exceed it
+    cand = (a.join(b, key)
+            .filter((F.col("sig_a") < F.col("sig_b")) & (F.least("n_a", "n_b") * (DEN + NUM) > need))
+            .groupBy("_g", "sig_a", "sig_b", "n_a", "n_b")
+            .agg(F.count(F.lit(1)).alias("_met"), F.max("r_a").alias("r_a"), F.max("r_b").alias("r_b"))
+            .filter((F.col("_met") + F.least(F.col("n_a") - F.col("r_a"), F.col("n_b") - F.col("r_b"))) * (DEN + NUM) > need)
+            .select("_g", "sig_a", "sig_b"))
     sa = sigs.select("_g", F.col("_sig").alias("sig_a"), F.col("_tri").alias("tri_a"), F.col("_k").alias("k_a"))
     sb = sigs.select("_g", F.col("_sig").alias("sig_b"), F.col("_tri").alias("tri_b"), F.col("_k").alias("k_b"))
     inter = F.size(F.array_intersect("tri_a", "tri_b"))
@@ -116,11 +144,12 @@ def _similar_signature_pairs(sigs: DataFrame) -> DataFrame:
 
 
 def near_duplicate_pairs(events: DataFrame, id_col: str = "id", text_col: str = "title",
-                         group_col: str = "year", block: int | None = None) -> DataFrame:
+                         group_col: str = "year", block: int | None = None,
+                         token_block: int | None = None) -> DataFrame:
     """(id, duplicate_id) pairs: same group, id < duplicate_id, similarity > 0.8."""
     block = block or BLOCK
     members, sigs = _signatures(events, id_col, text_col, group_col)
-    pairs = _similar_signature_pairs(sigs)
+    pairs = _similar_signature_pairs(sigs, token_block)
     return _pairs_across_groups(members, sigs, pairs, block).unionByName(
         _pairs_inside_groups(members, sigs, block))
 
