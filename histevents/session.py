@@ -61,9 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is None or sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="histevents-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
     if sc is not None and not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
+        sc.setCheckpointDir(current)  # the context keeps it: the setting itself is fixed when a session starts
     return current
 
 
@@ -78,6 +77,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(where))
 
 
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a pattern, in whatever store."""
+    where, fs = _hadoop_path(spark, pattern)
+    return [str(found.getPath()) for found in fs.globStatus(where) or []]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package wrote."""
     where, fs = _hadoop_path(spark, path)
