@@ -85,16 +85,60 @@ def q_store_verify(spark, sf):
     return st.events().groupBy("source").agg(F.count(F.lit(1)).alias("n_events"), F.count_if("verified").alias("n_verified"))
 
 
-@register("store_quarantine", RE + f"""
+_REJECTED = RE + f"""
 SELECT array_to_string(e, ' | ') AS errors, COUNT(*) AS n_events
 FROM (SELECT {_d_errors()} AS e FROM raw_events WHERE NOT {_VALID}) GROUP BY 1
-""")
+"""
+
+
+def _rejected(spark, st):
+    q = spark.read.parquet(st.path("quarantine"))
+    return q.groupBy(F.array_join("errors", " | ").alias("errors")).agg(F.sum("occurrences").alias("n_events"))
+
+
+@register("store_quarantine", _REJECTED)
 def q_store_quarantine(spark, sf):
-    """K4: the quarantined rows of a save, by their messages."""
+    """K4: the quarantined rows, by their messages, after two saves and a
+    replayed epoch of the stream into the store."""
+    from histevents.streaming.refresh import refresh_store
     st = EventStore(spark, _scratch(spark, "store"))
-    st.save_events(raw_events(spark, sf).drop("id"))
-    q = spark.read.parquet(st.path("quarantine"))
-    return q.groupBy(F.array_join("errors", " | ").alias("errors")).agg(F.count(F.lit(1)).alias("n_events"))
+    ev = raw_events(spark, sf).drop("id")
+    st.save_events(ev)
+    st.save_events(ev.repartition(3))
+    landing = _scratch(spark, "landing")
+    ev.write.parquet(landing)
+    stream = spark.readStream.schema(ev.schema).parquet(landing)
+    refresh_store(stream, st, f"{landing}-checkpoint").awaitTermination()
+    return _rejected(spark, st)
+
+
+@register("store_refresh", _STORED + f""",
+rejected AS (SELECT {_d_errors()} AS e FROM raw_events WHERE NOT {_VALID})
+SELECT 'stored' AS kind, CAST(century AS VARCHAR) AS key, COUNT(*) AS n_events, SUM(year) AS years FROM stored GROUP BY century
+UNION ALL SELECT 'rejected', array_to_string(e, ' | '), COUNT(*), NULL FROM rejected GROUP BY e
+""")
+def q_store_refresh(spark, sf):
+    """T1 + K4: events land in four parts and go through the store, each part by
+    a run of the stream; then all files are replayed with a new checkpoint,
+    which neither appends events nor rejected rows."""
+    from histevents.streaming.refresh import refresh_store
+    st, landing = EventStore(spark, _scratch(spark, "store")), _scratch(spark, "landing")
+    ev = raw_events(spark, sf)
+    last = ev.agg(F.max("id")).first()[0] or 0
+    bounds = [-1] + [last * k // 4 for k in range(1, 4)] + [last]
+    for lo, hi in zip(bounds, bounds[1:]):
+        # equal rows land together: a rejected row's count is that of its first batch
+        part = F.pmod(F.xxhash64("year", "title", "source"), F.lit(4)) == bounds.index(hi) - 1
+        ev.filter(part).drop("id").write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(ev.drop("id").schema).parquet(landing)
+        refresh_store(stream, st, f"{landing}-checkpoint").awaitTermination()
+    replay = spark.readStream.schema(ev.drop("id").schema).parquet(landing)
+    refresh_store(replay, st, f"{landing}-replay").awaitTermination()
+    stored = st.events().groupBy(F.col("century").cast("string").alias("key")).agg(
+        F.count(F.lit(1)).alias("n_events"), F.sum("year").alias("years"))
+    rejected = _rejected(spark, st).select(F.col("errors").alias("key"), "n_events", F.lit(None).cast("long").alias("years"))
+    return stored.withColumn("kind", F.lit("stored")).unionByName(rejected.withColumn("kind", F.lit("rejected"))).select(
+        "kind", "key", "n_events", "years")
 
 
 @register("store_export", _STORED + f"""
@@ -351,3 +395,60 @@ def q_stream_dedupe(spark, sf):
     replay = spark.readStream.schema(ev.schema).parquet(landing)
     refresh_to_table(replay, target, f"{target}-replay", "seq").awaitTermination()
     return spark.read.parquet(target).select("id", "event_hash", "year", "title", "source")
+
+
+# Deliveries of the watermark query: (n-th delivery, which ids, parts later, day of its time)
+DELIVERY_PARTS, DELIVERY_DELAY_H = 8, 12
+_DELIVERIES = (("true", 0, "part"), ("id % 4 = 0", 1, "part + 1"), ("id % 4 = 1", 3, "part + 3"), ("id % 4 = 2", 3, "part"))
+
+
+def _watermark_sql() -> str:
+    """The rule, one part after the other: a row is late if it isn't newer than
+    the watermark (the latest time before the previous part, less the delay); a key
+    passes if it isn't held; a key is held until its time plus the delay has
+    passed the watermark."""
+    sent = " UNION ALL ".join(
+        f"SELECT event_hash, part + {later} AS part, {day} AS day FROM p WHERE {ids} AND part + {later} < {DELIVERY_PARTS}"
+        for ids, later, day in _DELIVERIES)
+    parts = [RE + f""",
+h AS (SELECT id, md5(concat_ws('_', coalesce(CAST(year AS VARCHAR), 'None'), coalesce(title, 'None'),
+        coalesce(source, 'None'))) AS event_hash FROM raw_events),
+p AS (SELECT id, event_hash, id * {DELIVERY_PARTS} // (SELECT MAX(id) + 1 FROM h) AS part FROM h),
+sent AS (SELECT DISTINCT event_hash, part, (day + 1) * 86400 + ('0x' || event_hash[1:2])::BIGINT AS t FROM ({sent})),
+marks AS (SELECT part, MAX(t) AS latest FROM sent GROUP BY part),
+held_0 AS (SELECT '' AS event_hash, 0::BIGINT AS until WHERE false)"""]
+    delay = DELIVERY_DELAY_H * 3600
+    for b in range(DELIVERY_PARTS):
+        mark = f"coalesce((SELECT MAX(latest) FROM marks WHERE part < {b}) - {delay}, 0)"
+        before = f"coalesce((SELECT MAX(latest) FROM marks WHERE part < {b - 1}) - {delay}, 0)"
+        parts.append(f"""new_{b} AS (SELECT event_hash, MIN(t) AS t FROM sent WHERE part = {b} AND t > {before}
+  AND event_hash NOT IN (SELECT event_hash FROM held_{b}) GROUP BY event_hash),
+held_{b + 1} AS (SELECT event_hash, until FROM held_{b} WHERE until > {mark}
+  UNION ALL SELECT event_hash, t + {delay} FROM new_{b} WHERE t + {delay} > {mark})""")
+    passed = " UNION ALL ".join(f"SELECT event_hash, {b} AS part FROM new_{b}" for b in range(DELIVERY_PARTS))
+    return ",\n".join(parts) + f"\nSELECT event_hash, CAST(part AS INT) AS part FROM ({passed})"
+
+
+@register("stream_watermark_dedupe", _watermark_sql())
+def q_stream_watermark_dedupe(spark, sf):
+    """Bounded-state dedupe over eight micro-batches.  A quarter of the events
+    is replayed in the next batch (within the delay: dropped), a quarter three
+    batches later (its key has been evicted: passes again), and a quarter comes
+    three batches late with its old time (behind the watermark: dropped)."""
+    from histevents.streaming.refresh import dedupe_within_watermark, run_batches
+    ev = raw_events(spark, sf).select("id", "year", "title", "source")
+    last = ev.agg(F.max("id")).first()[0] or 0
+    ev = ev.withColumn("part", F.floor(F.col("id") * DELIVERY_PARTS / (last + 1)).cast("long"))
+    sent = None
+    for ids, later, day in _DELIVERIES:
+        d = ev.filter(F.expr(ids)).withColumn("day", F.expr(day)).withColumn("part", F.col("part") + later)
+        sent = d if sent is None else sent.unionByName(d)
+    seconds = (F.col("day") + 1) * 86400 + F.conv(F.substring(S.event_hash("year", "title", "source"), 1, 2), 16, 10).cast("long")
+    sent = sent.filter(F.col("part") < DELIVERY_PARTS).withColumn("ingest_ts", F.timestamp_seconds(seconds)).select(
+        "year", "title", "source", F.col("part").cast("int").alias("part"), "ingest_ts")
+    landing, target = _scratch(spark, "landing"), _scratch(spark, "watermarked")
+    for part in range(DELIVERY_PARTS):
+        sent.filter(F.col("part") == part).coalesce(1).write.mode("append").parquet(landing)
+    stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    run_batches(dedupe_within_watermark(stream, "ingest_ts", f"{DELIVERY_DELAY_H} hours"), target)
+    return spark.read.parquet(target).select("event_hash", "part")

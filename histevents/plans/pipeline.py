@@ -140,9 +140,9 @@ def run_collection(spark: SparkSession, landed: Landed, lo: int, hi: int, source
     """L1/L3: returns (deduplicated events with ``valid``, ``saved`` and
     ``batch_start``, per-source summary).
 
-    The run's rows are staged once.  With a store, ``saved`` marks the valid
-    rows whose hash the store doesn't hold yet; these are appended and invalid
-    rows quarantined (K4).  Without one, it marks the valid rows.  With
+    The sources' rows are staged; with a store, the deduplicated rows too, and
+    ``saved`` marks the valid rows whose hash the store doesn't hold yet; these
+    are appended and invalid rows quarantined (K4).  Without one, it marks the valid rows.  With
     ``raw_path`` the collected events go there as JSON files per source (K1)."""
     events, status = collect_events_with_status(spark, landed, lo, hi, sources, as_of_date)
     if raw_path is not None:
@@ -150,16 +150,20 @@ def run_collection(spark: SparkSession, landed: Landed, lo: int, hi: int, source
     ev = dedupe_events(events).drop("_seq")
     ev = (ev.withColumn("valid", validate.collector_valid(ev))
           .withColumn("batch_start", year_batch_start("year", lo, batch_size)))
-    saved = F.col("valid")
-    if store is not None and store.exists():
-        # events of the run can fall outside [lo, hi] (resolved page years,
-        # news dates), so all stored hashes are compared
-        held = store.events().select("event_hash").distinct().withColumn("_held", F.lit(True))
-        ev, saved = ev.join(held, "event_hash", "left"), saved & F.col("_held").isNull()
-    ev = _stage(ev.withColumn("saved", saved).drop("_held"), "run")
-    if store is not None:
+    if store is None:
+        ev = ev.withColumn("saved", F.col("valid"))
+    else:
+        ev = _stage(ev, "run")
+        saved = F.col("valid")
+        if store.exists():
+            # events of the run can fall outside [lo, hi] (resolved page years,
+            # news dates), so all stored hashes are compared: one scan, whose
+            # result (hashes of the run at most) is staged before the append
+            held = _stage(store.held_hashes(ev), "run-held").withColumn("_held", F.lit(True))
+            ev, saved = ev.join(held, "event_hash", "left"), saved & F.col("_held").isNull()
+        ev = ev.withColumn("saved", saved).drop("_held")
         rows = ev.drop("valid", "batch_start", "event_hash", "collector", "source_priority")
-        store.append_events(to_store_rows(rows.filter("saved").drop("saved")))
+        store.append_checked(to_store_rows(rows.filter("saved").drop("saved")))
         store.quarantine(ev.filter(~F.col("valid")).select(*rows.drop("saved").columns))
     summary = collection_summary(ev).withColumn("error_message", F.lit(None).cast("string"))
     failed = [(n, m) for n, ok, m in status if not ok]

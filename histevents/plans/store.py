@@ -3,20 +3,24 @@
 Tables are parquet directories under one base path on shared storage:
 
     {base}/historical_events   partitioned by century, sorted by year, category, root
-    {base}/quarantine          rows that failed validation, with their errors
+    {base}/quarantine          rows that failed validation, once each, with their errors
     {base}/cycle_patterns
     {base}/data_collection_logs
 
 Appends are set-based (one write per batch of rows) and idempotent: rows
 whose ``event_hash`` is already stored are removed with a ``left_anti``
-join first, so re-running a collection appends nothing.  Updates and
+join first, so re-running a collection appends nothing.  Rejected rows have
+a key of their own, their content, and are kept once as well.  Updates and
 deletes rewrite the affected centuries through a staging directory next to
 the table (a path is never overwritten while it is being read); a century
-that loses its last row is emptied too.
+that loses its last row is emptied too.  The staging directory holds a
+journal of the centuries; a rewrite that stopped half-way is finished by the
+next call that writes.  A store has one writer at a time.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import uuid
 
@@ -29,7 +33,7 @@ from histevents.functions.scalars import century, digital_root, event_hash, surr
 from histevents.operators import validate
 from histevents.operators.dedupe import first_wins_dedupe
 from histevents.schema import CYCLE_SCHEMA, EVENT_SCHEMA, LOG_SCHEMA, conform
-from histevents.session import delete_path, path_exists
+from histevents.session import delete_path, list_paths, path_exists, scratch_path
 
 EVENTS = "historical_events"
 QUARANTINE = "quarantine"
@@ -92,6 +96,22 @@ def observed_count(obs: Observation, key: str = "n") -> int:
         return 0
 
 
+def rejected_key(df: DataFrame):
+    """The identity of a rejected row: a digest of its content (columns by name,
+    without nulls), so also the same where other batches have other columns."""
+    own = sorted(c for c in df.columns if c not in ("errors", "metadata", "occurrences", "quarantined_at", "rejected_key"))
+    return F.sha2(F.to_json(F.struct(*own)), 256)
+
+
+def _after_recovery(write):
+    """A call that writes first finishes a rewrite that stopped half-way."""
+    @functools.wraps(write)
+    def run(self, *args, **kw):
+        self.recover()
+        return write(self, *args, **kw)
+    return run
+
+
 STORED_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField("century", T.IntegerType())])
 
 
@@ -123,30 +143,13 @@ class EventStore:
             f"PARTITIONED BY (century) CLUSTERED BY (event_hash) INTO {int(self.buckets)} BUCKETS "
             f"LOCATION '{self.path(EVENTS)}'")
 
-    def _write_events(self, df: DataFrame, overwrite_partitions: bool = False) -> None:
-        """Append (or replace the partitions present in ``df``)."""
+    def _write_events(self, df: DataFrame) -> None:
         if self.buckets:
             cols = [f.name for f in self.spark.table(self.table).schema.fields]
-            w = df.select(*cols).write
-            if overwrite_partitions:
-                # insertInto reads the overwrite mode from the session, not
-                # from writer options: set it for this write only
-                key = "spark.sql.sources.partitionOverwriteMode"
-                before = self.spark.conf.get(key, "static")
-                self.spark.conf.set(key, "dynamic")
-                try:
-                    w.insertInto(self.table, overwrite=True)
-                finally:
-                    self.spark.conf.set(key, before)
-            else:
-                w.insertInto(self.table)
+            df.select(*cols).write.insertInto(self.table)
             self.spark.catalog.refreshTable(self.table)
-            return
-        w = df.write.partitionBy("century")
-        if overwrite_partitions:
-            w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(EVENTS))
         else:
-            w.mode("append").parquet(self.path(EVENTS))
+            df.write.partitionBy("century").mode("append").parquet(self.path(EVENTS))
 
     # K10
     def create_tables(self) -> None:
@@ -176,6 +179,7 @@ class EventStore:
         return path_exists(self.spark, self.path(table))
 
     # K3 / K2
+    @_after_recovery
     def append_events(self, rows: DataFrame, year_range: tuple[int, int] | None = None) -> int:
         """Append store rows not stored yet; returns the appended count.
 
@@ -184,21 +188,41 @@ class EventStore:
         collection run has already kept the first in source order)."""
         plain = [c for c, t in rows.dtypes if c != "event_hash" and not t.startswith(("map", "array", "struct"))]
         rows = first_wins_dedupe(rows, "event_hash", plain)
-        new = rows.withColumn("century", century("year"))
-        if self.exists(EVENTS):
-            # The hash includes the year, so a duplicate can only sit in the
-            # same century partition.  With the run's year range known, the
-            # stored side is read only for those centuries (a static
-            # partition filter: the scan prunes every other partition).
-            stored = self.events().select("century", "event_hash")
-            if year_range is not None:
-                lo, hi = year_range
-                stored = stored.filter(F.col("century").between(century(F.lit(lo)), century(F.lit(hi))))
-            # the hash determines the year and so the century: the hash alone
-            # is the join key (and the bucket key of a bucketed store)
-            new = new.join(stored.select("event_hash"), "event_hash", "left_anti")
+        if not self.exists(EVENTS):
+            return self._append(rows)
+        path = scratch_path(self.spark, f"append-{uuid.uuid4().hex}")
+        rows.write.parquet(path)
+        batch = self.spark.read.schema(rows.schema).parquet(path)
+        n = self._append(batch.join(self.held_hashes(batch, year_range), "event_hash", "left_anti"))
+        delete_path(self.spark, path)
+        return n
+
+    def held_hashes(self, batch: DataFrame, year_range: tuple[int, int] | None = None) -> DataFrame:
+        """The event hashes of ``batch`` that the store holds, from one scan of
+        the stored hashes.
+
+        The stored side is semi-joined with the batch, a plain scan with a
+        selective predicate (the hash's length): for a large store Spark then
+        filters that scan by a Bloom filter of the batch's hashes, so that only
+        stored rows that may be in the batch are shuffled; a small batch is
+        broadcast by its measured size.  With the run's year range known, only
+        those centuries are read (the hash includes the year)."""
+        stored = self.events().select("century", "event_hash")
+        if year_range is not None:
+            lo, hi = year_range
+            stored = stored.filter(F.col("century").between(century(F.lit(lo)), century(F.lit(hi))))
+        own = batch.filter(F.length("event_hash") == 32).select("event_hash")
+        return stored.select("event_hash").join(own, "event_hash", "left_semi")
+
+    @_after_recovery
+    def append_checked(self, rows: DataFrame) -> int:
+        """Append store rows of which the caller knows that their hashes are
+        unique and not stored; returns the appended count."""
+        return self._append(rows)
+
+    def _append(self, rows: DataFrame) -> int:
         obs = Observation("append_events")
-        new = new.observe(obs, F.count(F.lit(1)).alias("n"))
+        new = rows.withColumn("century", century("year")).observe(obs, F.count(F.lit(1)).alias("n"))
         self._write_events(self._laid_out(new))
         return observed_count(obs)
 
@@ -223,13 +247,33 @@ class EventStore:
         return saved, self.quarantine(flagged.filter(~F.col("_valid")).drop("_valid"))
 
     def quarantine(self, bad: DataFrame) -> int:
-        """Append invalid rows with their validator messages; returns their count."""
+        """Keep invalid rows with their validator messages; returns how many
+        ``bad`` holds.
+
+        A row's key is its content (``rejected_key``), ``occurrences`` how often
+        its first batch held it.  Keys that are there already are not appended,
+        so a repeated save or a replayed epoch leaves the table as it is.  Equal
+        rows combine before the shuffle."""
         bad = validate.with_validation(bad)
+        keep = [c for c in bad.columns if c != "metadata"]
+        bad = bad.select(*keep).withColumn("rejected_key", rejected_key(bad))
         obs = Observation("quarantine")
         bad = bad.observe(obs, F.count(F.lit(1)).alias("n"))
-        keep = [c for c in bad.columns if c != "metadata"]
-        bad.select(*keep).withColumn("quarantined_at", F.current_timestamp()) \
-            .write.mode("append").parquet(self.path(QUARANTINE))
+        rows = bad.groupBy("rejected_key").agg(
+            F.first(F.struct(*keep)).alias("row"), F.count(F.lit(1)).alias("occurrences")).select(
+            "rejected_key", "row.*", "occurrences").withColumn("quarantined_at", F.current_timestamp())
+        # counted and written from one evaluation, so that the check doesn't count twice
+        path = scratch_path(self.spark, f"rejected-{uuid.uuid4().hex}")
+        rows.write.parquet(path)
+        batch = self.spark.read.schema(rows.schema).parquet(path)
+        if self.exists(QUARANTINE):
+            stored = self.spark.read.parquet(self.path(QUARANTINE))
+            if "rejected_key" not in stored.columns:  # tables of before the key
+                stored = stored.withColumn("rejected_key", rejected_key(stored))
+            own = batch.filter(F.length("rejected_key") == 64).select("rejected_key")
+            batch = batch.join(stored.select("rejected_key").join(own, "rejected_key", "left_semi"), "rejected_key", "left_anti")
+        batch.write.mode("append").parquet(self.path(QUARANTINE))
+        delete_path(self.spark, path)
         return observed_count(obs)
 
     # K5
@@ -242,45 +286,72 @@ class EventStore:
 
     # staged rewrite used by K8 / K9
     def _rewrite(self, new_rows: DataFrame, centuries: DataFrame) -> None:
-        """Replace the partitions of ``centuries`` by ``new_rows``.  The rows go
-        to a staging folder next to the table first, then into the table, each
-        partition in one go (dynamic overwrite); partitions that have no row
-        left, which that doesn't touch, are overwritten with nothing.  The
-        staging folder goes when all is written."""
-        staging = f"{self.base}/_staging_{uuid.uuid4().hex}"
-        affected = [r.century for r in centuries.toLocalIterator()]  # 21 at most for valid years
-        new_rows.write.partitionBy("century").parquet(staging)
-        staged = self.spark.read.schema(STORED_SCHEMA).parquet(staging)
-        left = {r.century for r in staged.select("century").distinct().toLocalIterator()}
-        if left:
-            self._write_events(self._laid_out(staged), overwrite_partitions=True)
-        for c in affected:
-            if c not in left:
-                self._empty(c)
-        delete_path(self.spark, staging)
-
-    def _empty(self, of: int | None) -> None:
-        """Leave the partition of a century without rows."""
+        """Replace the partitions of ``centuries`` by ``new_rows``.
+
+        The rows go to a staging folder next to the table, then a journal of the
+        affected centuries: with it the rewrite is decided, and ``_finish`` (or
+        ``recover``, if this job ends before) carries it out.  Until then a
+        fault leaves the table as it was, and the folder goes."""
+        folder = f"{self.base}/_staging_{uuid.uuid4().hex}"
+        try:
+            new_rows.write.partitionBy("century").parquet(f"{folder}/rows")
+            left = self.spark.read.schema(STORED_SCHEMA).parquet(f"{folder}/rows").groupBy("century").agg(F.lit(True).alias("left"))
+            centuries.join(left, centuries["century"].eqNullSafe(left["century"]), "left").select(
+                centuries["century"], F.coalesce("left", F.lit(False)).alias("left")).coalesce(1).write.parquet(f"{folder}/journal")
+        except BaseException:
+            delete_path(self.spark, folder)
+            raise
+        self._finish(folder)
+
+    def _finish(self, folder: str) -> None:
+        """Carry out a journal: each century is replaced by its staged rows, or
+        emptied.  Doing it again gives the same table."""
+        staged = self.spark.read.schema(STORED_SCHEMA).parquet(f"{folder}/rows")
+        for r in self.spark.read.parquet(f"{folder}/journal").toLocalIterator():  # 21 at most for valid years
+            of = F.col("century").eqNullSafe(F.lit(r.century).cast("int"))
+            self._replace(r.century, self._laid_out(staged.filter(of)) if r.left else None)
+        delete_path(self.spark, folder)
+
+    def recover(self) -> None:
+        """Finish rewrites that stopped half-way; folders without a whole
+        journal belong to rewrites that never began, and go.  Frames read from
+        the table before name its earlier files: read them again."""
+        for folder in list_paths(self.spark, f"{self.base}/_staging_*"):
+            if path_exists(self.spark, f"{folder}/journal/_SUCCESS"):
+                self._finish(folder)
+            else:
+                delete_path(self.spark, folder)
+
+    def _replace(self, of: int | None, rows: DataFrame | None) -> None:
+        """Overwrite the partition of a century; without rows it is emptied."""
         cols = [f.name for f in EVENT_SCHEMA.fields]
-        nothing = self.spark.createDataFrame([], EVENT_SCHEMA).select(*cols)
+        if rows is None:
+            rows = self.spark.createDataFrame([], EVENT_SCHEMA)
         if self.buckets:
-            name = f"_nothing_{uuid.uuid4().hex}"
-            nothing.createOrReplaceTempView(name)
+            # a partition named in the statement needs no overwrite mode of the
+            # session, which other threads would see
+            name = f"_replacing_{uuid.uuid4().hex}"
+            rows.select(*cols).createOrReplaceTempView(name)
             value = "NULL" if of is None else str(int(of))
-            self.spark.sql(f"INSERT OVERWRITE TABLE {self.table} PARTITION (century = {value}) SELECT * FROM {name}")
-            self.spark.catalog.dropTempView(name)
+            try:
+                self.spark.sql(f"INSERT OVERWRITE TABLE {self.table} PARTITION (century = {value}) SELECT * FROM {name}")
+            finally:
+                self.spark.catalog.dropTempView(name)
             self.spark.catalog.refreshTable(self.table)
         else:
             value = "__HIVE_DEFAULT_PARTITION__" if of is None else str(int(of))
-            nothing.write.mode("overwrite").parquet(f"{self.path(EVENTS)}/century={value}")
+            rows.select(*cols).write.mode("overwrite").parquet(f"{self.path(EVENTS)}/century={value}")
 
     def _affected(self, ev: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Rows of the centuries that hold at least one of ``ids``, and those
-        centuries (21 at most for valid years; DPP prunes the scan)."""
-        cents = ev.join(ids.select("id"), "id", "left_semi").select("century").distinct()
-        return ev.join(cents, ev["century"].eqNullSafe(cents["century"]), "left_semi"), cents
+        centuries (21 at most for valid years), looked up once; the scan for
+        the rows reads these partitions only."""
+        found = ev.join(ids.select("id"), "id", "left_semi").select("century").distinct()
+        cents = self.spark.createDataFrame([(r.century,) for r in found.toLocalIterator()], "century int")
+        return ev.join(F.broadcast(cents), ev["century"].eqNullSafe(cents["century"]), "left_semi"), cents
 
     # K8
+    @_after_recovery
     def update_verification(self, updates: DataFrame) -> int:
         """Set ``verified`` (and ``updated_at``) for the ids in ``updates``
         (id, verified); unknown ids are ignored."""
@@ -293,6 +364,7 @@ class EventStore:
         return observed_count(obs)
 
     # K9
+    @_after_recovery
     def delete_ids(self, ids: DataFrame) -> int:
         """Remove the rows whose id is in ``ids``; returns the deleted count."""
         ev = self.events()

@@ -31,6 +31,12 @@ def dedupe_within_watermark(stream: DataFrame, ts_col: str = "ingest_ts", delay:
     return with_hash(stream).withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(["event_hash"])
 
 
+def run_batches(stream: DataFrame, target: str) -> None:
+    """Append what a stateful stream emits from everything landed so far."""
+    (stream.writeStream.format("parquet").option("path", target).option("checkpointLocation", f"{target}-checkpoint")
+     .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+
+
 def _append_new(target: str, order_col: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession

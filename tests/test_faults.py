@@ -204,3 +204,106 @@ def test_shared_folder_is_asked_for_on_a_cluster():
 
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(Session())
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+@pytest.mark.parametrize("write", ["save", "delete", "update"])
+def test_rewrite_is_finished_by_the_next_write(spark, tmp_dir, monkeypatch, buckets, write):
+    """A delete that fails between its overwrites is finished by the next call
+    that writes, and no staging folder is left."""
+    st = EventStore(spark, os.path.join(tmp_dir, "s"), buckets=buckets, table=f"faults_recover_{buckets}_{write}")
+    st.save_events(_events(spark, [1850, 1950, 1951, 2020]))
+    replace = EventStore._replace
+
+    def failing(self, of, rows):
+        if rows is None:
+            raise RuntimeError("lost")
+        replace(self, of, rows)
+
+    with monkeypatch.context() as m:
+        m.setattr(EventStore, "_replace", failing)
+        with pytest.raises(RuntimeError):
+            st.delete_ids(st.events().filter("year in (1850, 1950)").select("id"))
+    assert [d for d in os.listdir(tmp_dir + "/s") if d.startswith("_staging")]
+    again = EventStore(spark, st.base, buckets=buckets, table=st.table)
+    # ids by value: a lazy read of the table would still name the files of before the recovery
+    last = spark.createDataFrame([(r.id, True) for r in again.events().filter("year = 2020").collect()], "id bigint, verified boolean")
+    if write == "save":
+        assert again.save_events(_events(spark, [1850, 1999]))[0] == 2
+        left = [1850, 1951, 1999, 2020]
+    elif write == "delete":
+        assert again.delete_ids(last) == 1
+        left = [1951]
+    else:
+        assert again.update_verification(last) == 1
+        left = [1951, 2020]
+    assert sorted(r.year for r in again.events().collect()) == left
+    assert not [d for d in os.listdir(tmp_dir + "/s") if d.startswith("_staging")]
+
+
+def test_rewrite_that_never_began_changes_nothing(spark, tmp_dir, monkeypatch):
+    st = EventStore(spark, os.path.join(tmp_dir, "s"))
+    st.save_events(_events(spark, [1850, 1950]))
+    monkeypatch.setattr(EventStore, "_finish", lambda self, folder: None)
+    st.delete_ids(st.events().filter("year = 1850").select("id"))
+    (folder,) = [d for d in os.listdir(tmp_dir + "/s") if d.startswith("_staging")]
+    os.remove(os.path.join(tmp_dir, "s", folder, "journal", "_SUCCESS"))  # the journal wasn't whole yet
+    monkeypatch.undo()
+    st.recover()
+    assert st.events().count() == 2 and not [d for d in os.listdir(tmp_dir + "/s") if d.startswith("_staging")]
+
+
+def test_rejected_rows_are_kept_once(spark, tmp_dir):
+    """Saves, replays and batches with further columns add no rejected row again."""
+    st = EventStore(spark, os.path.join(tmp_dir, "s"))
+    bad = spark.createDataFrame([(None, "No year", "economic", "test"), (1900, "x", "economic", "test"), (1900, "x", "economic", "test"),
+                                 (None, None, None, None)], "year int, title string, category string, source string")
+    for batch in (bad, bad.repartition(3), bad.withColumn("location", F.lit(None).cast("string")), bad.limit(0)):
+        st.save_events(batch)
+    q = spark.read.parquet(st.path("quarantine"))
+    assert sorted(r.occurrences for r in q.collect()) == [1, 1, 2]
+    assert st.save_events(bad.withColumn("title", F.lit("y")))[1] == 4
+    assert spark.read.parquet(st.path("quarantine")).agg(F.sum("occurrences")).first()[0] == 8
+
+
+def test_append_scans_the_store_once_behind_a_bloom_filter(spark, tmp_dir):
+    st = EventStore(spark, os.path.join(tmp_dir, "s"))
+    st.save_events(_events(spark, [1850, 1950, 1951] * 50))
+    batch = os.path.join(tmp_dir, "batch")
+    st.events().limit(40).write.parquet(batch)
+    sizes = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1B",
+             "spark.sql.autoBroadcastJoinThreshold": "-1"}  # as for a store and a batch of real size
+    before = {k: spark.conf.get(k) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        held = st.held_hashes(spark.read.parquet(batch))
+        plan = held._jdf.queryExecution().executedPlan().toString()
+        assert held.count() == 40
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    scans = [ln for ln in plan.splitlines() if "FileScan" in ln and "century" in ln.split("Batched")[0]]
+    assert "might_contain" in plan and len(scans) == 1  # the batch has no century
+
+
+def test_shared_trigram_stays_block_by_block(spark):
+    """A third of a group shares a rare trigram: the candidate keys stay near
+    block x block, and the pairs are those of the direct join."""
+    import random
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(12)]
+    titles = sorted({" ".join(rng.sample(words, 6)) for _ in range(400)})
+    titles = [f"{t} qzx" if i % 3 == 0 else t for i, t in enumerate(titles)]  # rarer than any of the words
+    titles += [t + " y" for t in titles[::9]] + [t.upper() for t in titles[::40]]
+    ev = spark.createDataFrame([(i, t, 1900) for i, t in enumerate(titles)], "id int, title string, year int")
+    _, sigs = dedupe._signatures(ev, "id", "title", "year")
+    a, b, key = dedupe._candidate_sides(sigs, 10)
+    whole = ["_g", "_tok", "_c"]
+    for side in (a, b):
+        largest = lambda cols: side.groupBy(*cols).agg(F.countDistinct("sig_a" if side is a else "sig_b").alias("n")).agg(F.max("n")).first()[0]
+        assert largest(whole) > 60 and largest(key) <= 30
+    pairs = sorted((r.id, r.duplicate_id) for r in dedupe.near_duplicate_pairs_direct(ev).collect())
+    assert len(pairs) > 20
+    for block in (4096, 10):
+        assert sorted((r.id, r.duplicate_id) for r in dedupe.near_duplicate_pairs(ev, token_block=block).collect()) == pairs
