@@ -7,26 +7,22 @@ are beyond it; tests/llm holds those against brute force."""
 
 from __future__ import annotations
 
-#: op1: lines, then the windows of 1, 2, 4 and 8 lines with 16 words or more.
-_LINES = """
-with l as (
+#: op1: runs of 1, 2, 3, ... lines that occur more than once, each from the runs
+#: of one line less; the later copies of those with 16 words or more go.
+OP1 = """
+with recursive l as (
   select doc_id, unnest(range(len(x))) as pos, unnest(x) as line
   from (select doc_id, string_split(text, chr(10)) as x from documents where text is not null)),
-l1 as (select doc_id, pos, line, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) as words from l)"""
-
-
-def _windows() -> str:
-    parts = [_LINES]
-    for k in range(4):
-        n = 2 ** k
-        w = f"over (partition by doc_id order by pos rows between current row and {n - 1} following)"
-        parts.append(f"""w{n} as (select doc_id, pos, row_number() over (
-    partition by s order by doc_id, pos) as copy, words from (
-      select doc_id, pos, array_agg(line) {w} as s, sum(words) {w} as words, count(*) {w} as n from l1) where n = {n})""")
-    gone = " union ".join(f"select doc_id, unnest(range(pos, pos + {2 ** k})) as pos from w{2 ** k} "
-                          f"where copy > 1 and words >= 16" for k in range(4))
-    return ",\n".join(parts) + f""",
-gone as ({gone}),
+l1 as (select doc_id, pos, line, md5(line) as id, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) as words from l),
+runs as (
+  select * from (select 1 as n, doc_id, pos, id as run, words, count(*) over (partition by id) as copies,
+    row_number() over (partition by id order by doc_id, pos) as copy from l1) where copies > 1
+  union all
+  select * from (select n + 1 as n, runs.doc_id, runs.pos, md5(runs.run || l1.id) as run, runs.words + l1.words as words,
+    count(*) over (partition by md5(runs.run || l1.id)) as copies,
+    row_number() over (partition by md5(runs.run || l1.id) order by runs.doc_id, runs.pos) as copy
+    from runs join l1 on l1.doc_id = runs.doc_id and l1.pos = runs.pos + runs.n) where copies > 1),
+gone as (select distinct doc_id, unnest(range(pos, pos + n)) as pos from runs where copy > 1 and words >= 16),
 left_ as (select l1.*, gone.pos is not null as removed from l1 left join gone on l1.doc_id = gone.doc_id and l1.pos = gone.pos)
 select d.doc_id, coalesce(x.n_lines, 0)::bigint as n_lines, coalesce(x.n_removed, 0)::bigint as n_removed,
   sha256(coalesce(x.kept, '')) as kept_sha256
@@ -36,7 +32,6 @@ from documents d left join (
   from left_ group by doc_id) x on d.doc_id = x.doc_id"""
 
 
-
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP3 = f"""
@@ -215,7 +210,7 @@ select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, n
 
 
 ORACLE_SQL: dict[str, str] = {
-    "op1_line_dedup": _windows(),
+    "op1_line_dedup": OP1,
     "op3_decontamination": OP3,
     "op4_mixing": OP4,
     "op6_cap_neardup": OP6,

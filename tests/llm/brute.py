@@ -74,18 +74,24 @@ def simhash(text, shingle=3):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def lines(texts, least_words=16, rounds=4):
-    """(n_lines, n_removed, hash of what is kept), texts in corpus order."""
+def lines(texts, least_words=16):
+    """(n_lines, n_removed, hash of what is kept), texts in corpus order: runs of
+    any length, as long as any run of that length occurs twice."""
     split = [t.split("\n") if t is not None else [] for t in texts]
+    sizes = [[len(words(x)) for x in ls] for ls in split]
     gone = [set() for _ in texts]
-    for k in range(rounds):
-        n, seen = 2 ** k, set()
+    n, repeated = 1, True
+    while repeated:
+        repeated, seen = False, set()
         for d, ls in enumerate(split):
             for i in range(len(ls) - n + 1):
                 run = tuple(ls[i:i + n])
-                if run in seen and sum(len(words(x)) for x in run) >= least_words:
-                    gone[d].update(range(i, i + n))
+                if run in seen:
+                    repeated = True
+                    if sum(sizes[d][i:i + n]) >= least_words:
+                        gone[d].update(range(i, i + n))
                 seen.add(run)
+        n += 1
     return [(len(ls), len(g), sha("\n".join(x for i, x in enumerate(ls) if i not in g)))
             for ls, g in zip(split, gone)]
 

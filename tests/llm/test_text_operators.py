@@ -3,6 +3,7 @@ texts, ties, repeated rows, empty tables and clashing column names."""
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,11 +90,53 @@ def test_line_dedup(documents):
     assert [(got[i].n_lines, got[i].n_removed, got[i].sha) for i in range(len(texts))] == expected
     assert sum(e[1] for e in expected) > 10
     assert line_dedup.dedup_lines(documents([])).isEmpty()
+    clash = documents(rows).withColumns({c: F.lit(7) for c in ("row", "at", "rank", "k1", "first", "starts", "kept")})
+    assert sorted(r.n_removed for r in line_dedup.dedup_lines(clash).collect()) == sorted(e[1] for e in expected)
     # null ids come last, so theirs are the later copies
     got = line_dedup.dedup_lines(documents([(None, long, "s"), (5, long, "s"), (5, long, "s")])).collect()
     assert sorted((r.doc_id is None, r.n_removed) for r in got) == [(False, 0), (False, 1), (True, 1)]
 
 
+def test_line_runs_of_all_lengths(documents):
+    """Runs that reach the words as a whole only, with blank and short lines at
+    their ends, copied whole, in part and more than twice."""
+    rng = random.Random(17)
+    one_word = [f"a{i}" for i in range(200)]
+    six = ["l1 b c d e f", "l2 b c d e f", "l3 b c d e f"]
+    mixed = ["", "x y", prose(10), prose(6), "p q r", "", "s t u", ""]
+    texts = ["\n".join(one_word), "\n".join(["new", *one_word]), "\n".join(["begin", *six, "end"]), "\n".join(["other", *six, "close"]),
+             "\n".join(mixed), "\n".join(["k", *mixed, "m"]), "\n".join(mixed[1:6]), "\n".join(mixed[2:]), "\n".join(one_word[50:90])]
+    pool = [prose(rng.choice([0, 1, 3, 5, 20])) for _ in range(12)]
+    texts += ["\n".join(rng.choices(pool, k=rng.randint(1, 40))) for _ in range(40)]
+    expected = brute.lines(texts)
+    got = by_id(line_dedup.dedup_lines(documents([(i, t, "s") for i, t in enumerate(texts)])).withColumn("sha", F.sha2("kept", 256)))
+    assert [(got[i].n_lines, got[i].n_removed, got[i].sha) for i in range(len(texts))] == expected
+    assert [e[1] for e in expected[:4]] == [0, 200, 0, 3]
+
+
+def test_line_parts_cover_runs():
+    """A line of a run of enough words lies in one of the parts inside the run."""
+    rng = random.Random(19)
+    for _ in range(300):
+        sizes = [rng.choice([0, 0, 1, 2, 5, 16, 40]) for _ in range(rng.randint(0, 14))]
+        ahead, behind, need = line_dedup.parts(np.array(sizes, np.int64), 16)
+        found = {(i, i + int(m)) for i, m in enumerate(ahead) if m} | {(i + 1 - int(m), i + 1) for i, m in enumerate(behind) if m}
+        for s, e in found:
+            assert sum(sizes[s:e]) >= 16 and all(need[x] >= e - x for x in range(s, e))
+        for i in range(len(sizes)):
+            for j in range(i + 1, len(sizes) + 1):
+                if sum(sizes[i:j]) >= 16:
+                    inside = [p for p in found if i <= p[0] and p[1] <= j]
+                    assert {x for s, e in inside for x in range(s, e)} == set(range(i, j))
+
+
+def test_line_dedup_of_a_long_document(documents):
+    """60,000 lines, copied: walked once."""
+    lines = [f"{i} b c d e f g h i j k l m n o p q" for i in range(60_000)]
+    got = by_id(line_dedup.dedup_lines(documents([(1, "\n".join(lines), "s"), (2, "\n".join(["new"] + lines), "s")])))
+    assert (got[1].n_removed, got[2].n_removed, got[2].kept) == (0, 60_000, "new")
+
+
 def test_simhash(spark, documents):
     base = prose(400).split()
     near = [" ".join(base[:k] + ["changed"] + base[k + 1:]) for k in range(0, 400, 10)]
