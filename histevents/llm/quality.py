@@ -3,16 +3,18 @@
 Grades: 0 toxic, 1 of low quality, 2 good (from the ratings ``quality`` and
 ``toxic``).  P(grade <= k) = sigmoid(threshold_k - score), with thresholds in
 order and one score for all of them: the sum of the weights of the text's
-hashed features (each different word, the first 4 and 5 letters of it, each
-different run of signs; and in steps the shares of different tokens, of signs
-and of capital vowels).  So a text has an expected grade and the tail
+hashed features (each different word; the first 4 and 5 letters of words, and
+whether 2 or 4 different words begin with them; each different run of signs;
+and in steps the shares of different tokens, of signs and of capital vowels).  So a text has an expected grade and the tail
 probabilities P(grade >= 1) and P(grade >= 2), and is kept if the latter is at
 least ``CUT``.
 
 Fitting takes a sample of at most ``MAX_RATED`` rated documents (the smallest
 hashes of their ids; the bound is a parameter, whatever the tables' sizes):
 their ids are broadcast, their features alone are collected, and the weights
-are fitted on the driver by full-batch gradient steps.  Scoring is one pass
+are fitted on the driver by full-batch gradient steps.  Features take part
+whose spread over the grades is significant at ``LEVEL`` (chi-square with two
+degrees of freedom), whatever the number of ratings.  Scoring is one pass
 over the whole texts of all documents, without a shuffle.
 
 Defined results: a null or empty text has no features and scores 0; a rating
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +38,7 @@ from histevents.llm.tables import free_name, read
 GRADES = 3
 MAX_RATED, CUT = 12_000, 0.5
 HASH_BITS = 18
-LEAST_CHI, STEPS, RATE, RIDGE = 50.0, 150, 0.1, 1e-4
+LEVEL, STEPS, RATE, RIDGE = 1e-3, 150, 0.1, 1e-4
 
 TOKEN = re.compile(r"[^\W\d_]+|[^\w\s]+")
 
@@ -49,9 +52,12 @@ def features(text: str | None) -> np.ndarray:
     signs = sum(not t[0].isalpha() for t in found) if found else 0
     capitals = sum(map(text.count, "AEIOU"))
     vowels = capitals + sum(map(text.count, "aeiou"))
-    parts = tokens.union(*({f"{t[:4]}-", f"{t[:5]}-"} for t in tokens if len(t) > 3), {
-        f"different {10 * len(tokens) // (len(found) + 1)} {len(found).bit_length()}",
-        f"signs {20 * signs // (len(found) + 1)}", f"capitals {10 * capitals // (vowels + 1)}"})
+    begins = Counter([t[:4] for t in tokens if len(t) > 3] + [t[:5] for t in tokens if len(t) > 4])
+    different = 10 * len(tokens) // (len(found) + 1)
+    parts = tokens.union([f"{b}-" for b in begins], [f"{b}-2" for b, n in begins.items() if n > 1],
+                         [f"{b}-4" for b, n in begins.items() if n > 3], [
+        f"different {different}", f"different {different} {len(found).bit_length()}",
+        f"signs {20 * signs // (len(found) + 1)}", f"capitals {10 * capitals // (vowels + 1)}"])
     crc, mask = zlib.crc32, (1 << HASH_BITS) - 1
     return np.unique(np.array([crc(t.encode()) & mask for t in parts], np.int32))
 
@@ -79,17 +85,19 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit(rated: list, steps: int = STEPS, rate: float = RATE, ridge: float = RIDGE) -> tuple[np.ndarray, np.ndarray] | None:
+def fit(rated: list, steps: int = STEPS, rate: float = RATE, ridge: float = RIDGE,
+        level: float = LEVEL) -> tuple[np.ndarray, np.ndarray] | None:
     """(weights, thresholds) by Adam on the likelihood of (grade, features)."""
     if not rated:
         return None
     grade = np.array([g for g, _ in rated])
     sizes = np.array([len(f) for _, f in rated])
     all_of = np.concatenate([f for _, f in rated])
-    # only features that lie unevenly over the grades (chi-square); others would add noise to long texts
+    # only features that lie unevenly over the grades; others would add noise to long texts
     by_grade = np.stack([np.bincount(all_of[np.repeat(grade == g, sizes)], minlength=1 << HASH_BITS) for g in range(GRADES)])
     expected = by_grade.sum(0) * (np.bincount(grade, minlength=GRADES) / len(grade))[:, None]
-    own = np.flatnonzero(((by_grade - expected) ** 2 / np.maximum(expected, 1e-9)).sum(0) >= LEAST_CHI)
+    chi = ((by_grade - expected) ** 2 / np.maximum(expected, 1e-9)).sum(0)
+    own = np.flatnonzero(chi >= -2 * np.log(level))  # the tail of two degrees of freedom is exp(-chi / 2)
     column = np.full(1 << HASH_BITS, -1, np.int32)
     column[own] = np.arange(len(own))
     row = np.repeat(np.arange(len(rated), dtype=np.int32), sizes)

@@ -329,3 +329,38 @@ def test_oracles(spark, name):
     df = queries.QUERIES[name](spark, SF_MID)
     assert sorted(df.columns) == sorted(names)
     assert sorted(map(tuple, df.select(*names).collect()), key=repr) == sorted(map(tuple, cur.fetchall()), key=repr)
+
+
+def _cross_validated(sf_dir, folds=10):
+    """Per grade (kept, all) of the rated documents of a given table, each judged
+    by a model fitted without its fold; and how many scores differ."""
+    import duckdb
+    rows = duckdb.execute(f"select d.doc_id, d.text, l.quality, l.toxic from '{sf_dir}/documents.parquet' d "
+                          f"join '{sf_dir}/labels.parquet' l using (doc_id)").fetchall()
+    rated = [(0 if toxic else 2 if good else 1, quality.features(text)) for _, text, good, toxic in rows]
+    fold = np.random.default_rng(0).integers(0, folds, len(rated))
+    counts, scores = np.zeros((3, 2), int), set()
+    for k in range(folds):
+        weights, cut = quality.fit([r for r, f in zip(rated, fold) if f != k])
+        for (grade, found), f in zip(rated, fold):
+            if f == k:
+                score = weights[found].sum(dtype=np.float64)
+                scores.add(float(score))
+                counts[grade] += (score >= cut[1], 1)
+    return counts.tolist(), len(scores)
+
+
+def test_quality_on_few_labels():
+    """The classifier is one on small label sets too (87 and 399 ratings)."""
+    (toxic, low, good), different = _cross_validated("/root/testdata/sf0.01")
+    assert toxic[0] <= 3 and toxic[1] == 51 and low[0] <= 0.15 * low[1] and good[0] >= 0.98 * good[1] and different > 150
+    (toxic, low, good), different = _cross_validated("/root/testdata/sf0.001")
+    assert toxic[0] < 0.5 * toxic[1] and low[0] < 0.5 * low[1] and good[0] >= 0.95 * good[1] and different > 20
+
+
+def test_quality_of_a_very_long_text(spark, documents, table_dir):
+    rows = [(i, "fine words here" if i % 3 else "bad words here", "s") for i in range(90)]
+    rows += [(100, "fine words here " * 300_000, "s"), (101, "bad words here " * 300_000, "s"), (102, None, "s"), (103, "", "s")]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(90)], "doc_id bigint, quality int, toxic int")
+    got = by_id(quality.op5_quality(spark, table_dir(documents=documents(rows), labels=labels)))
+    assert got[100].kept and not got[101].kept and got[102].p_good == got[103].p_good
