@@ -183,7 +183,7 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         if not k:
             behind = F.col("behind")
             ends = found.where(behind > 0).select("row", (F.col("at") + 1 - behind).alias("at"), behind.alias("n"))
-        later = _later(k, found, ends)
+        later = stage(_later(k, found, ends), "line-runs")  # one level's joins at a time
         gone = later if gone is None else gone.unionByName(later)
     runs = F.collect_list(F.struct("at", "n"))  # a document's own runs
     per_row = gone.groupBy("row").agg(runs.alias("runs")).select(
