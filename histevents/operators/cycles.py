@@ -3,9 +3,10 @@ producer).  The definitions are ours:
 
 * event_count      events of (category, digital root), valid years only;
 * pattern_strength event_count * 9 / events of the category (1 = uniform);
-* statistical_significance  chi-square statistic of the category's nine
-  root counts against a uniform split (roots with no events count 0),
-  computed as 9 * sum(n^2) / N - N;
+* statistical_significance  probability that nine root counts of a uniform
+  split (roots with no events count 0) differ as much as the category's: the
+  chi-square statistic 9 * sum(n^2) / N - N, its tail with 8 degrees of freedom,
+  times the number of categories tested (Bonferroni), 1 at most;
 * start_year / end_year     first and last year of the (category, root).
 
 Two small aggregates and a window over at most 9 rows per category; roots
@@ -15,13 +16,20 @@ domain cross product is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from histevents import lexicons as L
 from histevents.functions.scalars import digital_root
 
 
+def chi_square_tail_8(x: Column) -> Column:
+    """P(chi-square with 8 degrees of freedom >= x): exp(-h) * (1 + h + h^2/2 +
+    h^3/6) with h = x / 2."""
+    h = x / F.lit(2.0)
+    return F.exp(-h) * (F.lit(1.0) + h * (F.lit(1.0) + h / F.lit(2.0) * (F.lit(1.0) + h / F.lit(3.0))))
+
+
 def cycle_patterns(events: DataFrame) -> DataFrame:
     ev = events.filter(F.col("year").between(*L.YEAR_RANGE) & F.col("category").isin(list(L.CATEGORY_NAMES)))
     ev = ev.withColumn("_root", digital_root("year"))
@@ -34,13 +42,15 @@ def cycle_patterns(events: DataFrame) -> DataFrame:
     # (absent roots add nothing to sum(n^2)).
     sq = F.sum(F.col("event_count") * F.col("event_count")).over(w).cast("double")
     chi = F.lit(9.0) * sq / n_cat - n_cat
+    # all rows: nine a category, and the categories are the names of a fixed list
+    tested = F.size(F.collect_set("category").over(Window.partitionBy(F.lit(1)))).cast("double")
     return g.select(
         F.xxhash64("category", "digital_root").alias("id"),
         F.lit("9-year").alias("cycle_type"),
         F.col("digital_root").cast("int").alias("digital_root"),
         "category",
         (F.col("event_count") * F.lit(9.0) / n_cat).alias("pattern_strength"),
-        chi.alias("statistical_significance"),
+        F.least(F.lit(1.0), chi_square_tail_8(chi) * tested).alias("statistical_significance"),
         F.col("event_count").cast("long").alias("event_count"),
         F.col("start_year").cast("int").alias("start_year"),
         F.col("end_year").cast("int").alias("end_year"),

@@ -6,8 +6,10 @@
 * monthly market series (symbol, date, close): month-on-month change,
   crash when <= -15 %.
 
-The window runs over each whole series and output years are filtered after,
-so the first year of a requested range still sees its predecessor.
+The change runs over each whole series and output years are filtered after,
+so the first year of a requested range still sees its predecessor.  A series
+may be long: records are dealt by ranges of (series, time), and the last record
+of a range is handed to the next (``lag_along``), so no task holds a series.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from histevents import lexicons as L
 from histevents.functions.scalars import format_1f, pct_change, year_from_date_string
 from histevents.functions.text import estimate_severity
+from histevents.session import staged
 
 
 def filled(template: str, **values) -> Column:
@@ -33,12 +36,36 @@ def _ties(df: DataFrame, value: str) -> list:
     return [*(["seq"] if "seq" in df.columns else []), value]
 
 
+def lag_along(df: DataFrame, keys, order, value: str, out: str) -> DataFrame:
+    """``df`` with ``out``, the ``value`` of the record before in its series.
+
+    Equal to ``lag`` over (keys, order).  The records are written once, sorted
+    into as many ranges as there are shuffle partitions; the window runs inside
+    a range, and a series' first record in a range takes its value from the last
+    record of the range before, if that is of the same series.  These last
+    records, one per range, are broadcast."""
+    keys, order = list(keys), list(order)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = staged(df.repartitionByRange(n, *keys, *order).withColumn("_part", F.spark_partition_id()), "series")
+    w = Window.partitionBy("_part", *keys).orderBy(*order)
+    own = dealt.withColumn("_first", F.row_number().over(w) == 1).withColumn(out, F.lag(value).over(w))
+    # nulls come first in a range's order as they do in a struct's
+    last = dealt.groupBy("_part").agg(
+        F.max_by(F.struct(*keys, F.col(value).alias("_value")), F.struct(*keys, *order)).alias("_last"))
+    handed = last.select("_part", F.lag("_last").over(Window.orderBy("_part")).alias("_last"))
+    own = own.join(F.broadcast(handed), "_part")
+    same = F.col("_first")
+    for k in keys:
+        same = same & F.col(f"_last.{k}").eqNullSafe(F.col(k))
+    value_before = F.when(F.col("_last").isNotNull() & same, F.col("_last._value")).otherwise(F.col(out))
+    return own.withColumn(out, value_before).drop("_part", "_first", "_last")
+
+
 def yoy_changes(series: DataFrame, keys=("country", "indicator"), order="year", value="value") -> DataFrame:
     """Adds ``prev`` (previous record's value, even if null/0) and ``change_pct``.
     Records of the same year go by ``seq``, if there is one, and value."""
-    w = Window.partitionBy(*keys).orderBy(order, *_ties(series, value))
-    return (series.withColumn("prev", F.lag(value).over(w))
-            .withColumn("change_pct", pct_change(value, "prev")))
+    return lag_along(series, keys, [order, *_ties(series, value)], value, "prev").withColumn(
+        "change_pct", pct_change(value, "prev"))
 
 
 def usable(value="value", prev="prev", year="year"):
@@ -94,8 +121,7 @@ def monthly_points(raw: DataFrame, lo: int | None = None, hi: int | None = None)
 
 def detect_market_crashes(points: DataFrame, threshold: float = L.MARKET_CRASH_THRESHOLD) -> DataFrame:
     """Month-on-month fall <= threshold -> 'Stock market crash - {symbol}'."""
-    w = Window.partitionBy("symbol").orderBy("date", *_ties(points, "close"))
-    s = (points.withColumn("prev_close", F.lag("close").over(w))
+    s = (lag_along(points, ["symbol"], ["date", *_ties(points, "close")], "close", "prev_close")
          .withColumn("change_pct", pct_change("close", "prev_close"))
          .filter(F.col("change_pct") <= threshold))
     sym, chg = F.col("symbol"), F.col("change_pct")

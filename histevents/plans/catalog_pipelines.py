@@ -440,9 +440,11 @@ ev AS (SELECT category, year, {D.droot('year')} AS digital_root FROM raw_events
 g AS (SELECT category, digital_root, COUNT(*) AS event_count, MIN(year) AS start_year, MAX(year) AS end_year
       FROM ev GROUP BY category, digital_root),
 w AS (SELECT *, SUM(event_count) OVER (PARTITION BY category)::DOUBLE AS n_cat,
-             COUNT(*) OVER (PARTITION BY category) AS k FROM g)
+             (9.0 * SUM(event_count * event_count) OVER (PARTITION BY category)::DOUBLE
+               / SUM(event_count) OVER (PARTITION BY category)::DOUBLE
+               - SUM(event_count) OVER (PARTITION BY category)::DOUBLE) / 2 AS h FROM g)
 SELECT '9-year' AS cycle_type, digital_root, category, round(event_count * 9.0 / n_cat, 9) AS pattern_strength,
-  round(9.0 * CAST(SUM(event_count * event_count) OVER (PARTITION BY category) AS DOUBLE) / n_cat - n_cat, 9)
+  round(least(1.0, exp(-h) * (1 + h + h * h / 2 + h * h * h / 6) * (SELECT COUNT(DISTINCT category) FROM g)), 9)
     AS statistical_significance,
   event_count, start_year, end_year, 'Digital root ' || CAST(digital_root AS VARCHAR) || ' events in ' || category
     AS description, 'pending' AS validation_status
@@ -450,7 +452,8 @@ FROM w
 """)
 def q_cycle_patterns(spark, sf):
     """Z1 (our definition): per (category, root) count, strength and the
-    category's chi-square against a uniform split of the nine roots."""
+    category's chi-square significance against a uniform split of the nine
+    roots, corrected for the number of categories."""
     c = cycles.cycle_patterns(raw_events(spark, sf)).drop("id")
     return c.withColumn("pattern_strength", F.round("pattern_strength", 9)) \
         .withColumn("statistical_significance", F.round("statistical_significance", 9))

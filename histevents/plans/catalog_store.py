@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from histevents import lexicons as L
 from histevents.functions import scalars as S
 from histevents.functions.sql_functions import register_sql_functions
-from histevents.operators import dedupe, validate
+from histevents.operators import dedupe, detect, validate
 from histevents.plans import duck as D
 from histevents.plans import pipeline, reports
 from histevents.plans.catalog import AS_OF_YEAR, _d_errors, raw_events, register
 from histevents.plans.catalog_pipelines import ECON_HI, ECON_LO, RUN_DATE, _econ_sql, _landed
 from histevents.plans.store import EventStore, export, save_raw_json
 from histevents.session import scratch_path
-from histevents.sources import economic, files
+from histevents.sources import economic, files, wiki
 from histevents.sources.fixtures import fixture, fixture_cte, table
 
 RE = fixture_cte("raw_events")
@@ -311,13 +311,9 @@ def _json_errors() -> str:
     WHEN id % 10 = 1 THEN 'Digital root 99999999999 outside valid range 1-9' END], lambda x: x IS NOT NULL)"""
 
 
-@register("json_types", RE + f"""
-SELECT id, CAST(len(e) AS INT) AS n_errors, array_to_string(e, ' | ') AS errors
-FROM (SELECT id, {_json_errors()} AS e FROM raw_events WHERE id % 16 <> 5)
-""")
-def q_json_types(spark, sf):
-    """S12 + F11 + L9: JSON files whose numbers are strings, fractions,
-    booleans, nulls or too large, and empty lists, read as files and validated."""
+def _odd_json(spark, sf):
+    """(id, doc): every event as JSON whose numbers may be strings, fractions,
+    booleans, nulls or too large."""
     i = F.col("id")
     year = (F.when(i % 9 == 0, F.lit('"2008"')).when(i % 9 == 1, "2008.5").when(i % 9 == 2, "true")
             .when(i % 9 == 3, "99999999999").when(i % 9 == 4, "null").otherwise(F.col("year").cast("string")))
@@ -327,16 +323,75 @@ def q_json_types(spark, sf):
     rest = F.to_json(F.struct("id", "title", "category", "source"))
     doc = F.concat(F.lit('{"year":'), year, F.lit(',"severity":'), severity, F.lit(',"digital_root":'), root, F.lit(","),
                    F.substr(rest, F.lit(2)))
-    # a list of one event to a line; one line in 16 is an empty list
-    lines = raw_events(spark, sf).select(F.when(i % 16 == 5, "[]").otherwise(F.concat(F.lit("["), doc, F.lit("]"))).alias("value"))
-    path = _scratch(spark, "events-json")
-    lines.write.text(path)
-    ev = files.events_of(spark.read.text(path).select(F.try_parse_json("value").alias("doc")))
-    ev = ev.withColumn("id", F.try_variant_get("v", "$.id", "bigint")).drop("event_index")
-    v = files.validate_typed(files.typed_events(ev))
+    return raw_events(spark, sf).select("id", doc.alias("doc"))
+
+
+def _validated(ev):
+    v = files.validate_typed(files.typed_events(ev.withColumn("id", F.try_variant_get("v", "$.id", "bigint")).drop("event_index")))
     return v.select("id", F.size("errors").alias("n_errors"), F.array_join("errors", " | ").alias("errors"))
 
 
+_ODD_JSON = RE + f"""
+SELECT id, CAST(len(e) AS INT) AS n_errors, array_to_string(e, ' | ') AS errors
+FROM (SELECT id, {_json_errors()} AS e FROM raw_events)
+"""
+
+
+@register("json_types", _ODD_JSON)
+def q_json_types(spark, sf):
+    """S12 + F11 + L9: lines of JSON lists with numbers of the wrong type, each a
+    list of one event, and empty lists between them, validated."""
+    docs = _odd_json(spark, sf)
+    lists = docs.select(F.concat(F.lit("["), "doc", F.lit("]")).alias("value"))
+    path = _scratch(spark, "events-json")
+    lists.unionByName(docs.select(F.lit("[]").alias("value"))).write.text(path)
+    return _validated(files.events_of(spark.read.text(path).select(F.try_parse_json("value").alias("doc"))))
+
+
+def _land_list(docs, path: str, whole: bool = True) -> None:
+    """All documents as one JSON list in one file, written row by row; without
+    its closing bracket if it isn't to be whole."""
+    first = docs.agg(F.min("id")).first()[0]
+    rows = docs.select(F.lit(1).alias("o"), "id", F.concat(F.when(F.col("id") == first, "  ").otherwise(", "), "doc").alias("value"))
+    ends = docs.sparkSession.createDataFrame([(0, 0, "[")] + [(2, 0, "]")] * whole, "o int, id long, value string")
+    rows.unionByName(ends).repartition(1).sortWithinPartitions("o", "id").select("value").write.text(path)
+
+
+@register("json_list_file", _ODD_JSON)
+def q_json_list_file(spark, sf):
+    """S12 + L9: all events as one JSON list in one file, read element by element."""
+    path = _scratch(spark, "events-list")
+    _land_list(_odd_json(spark, sf), path)
+    return _validated(files.read_event_file(spark, path).drop("file"))
+
+
+@register("json_file_check", RE + f"""
+SELECT 'events' AS kind, COUNT(*) AS n_events, COUNT(*) FILTER (WHERE len(e) > 0) AS n_invalid, NULL AS error
+FROM (SELECT {_json_errors()} AS e FROM raw_events)
+UNION ALL SELECT 'single', 1, 0, NULL
+UNION ALL SELECT 'broken', 0, 0, 'Invalid JSON'
+UNION ALL SELECT 'missing', NULL, NULL, 'File not found'
+""")
+def q_json_file_check(spark, sf):
+    """The check of a JSON file by its path: a list of all events, a single
+    event, a list that is cut off, and a file that isn't there."""
+    base = _scratch(spark, "check-files")
+    docs = _odd_json(spark, sf)
+    _land_list(docs, f"{base}/events")
+    _land_list(docs, f"{base}/broken", whole=False)
+    one = '{"year": 1929, "title": "One event", "category": "economic", "source": "test", "severity": 3}'
+    spark.createDataFrame([(one,)], "value string").write.text(f"{base}/single")
+    out = None
+    for kind in ("events", "single", "broken", "missing"):
+        summary, _ = files.validate_event_file(spark, f"{base}/{kind}")
+        n = [F.col(c) if c in summary.columns else F.lit(None) for c in ("total_events", "invalid_events")]
+        row = summary.agg(
+            F.max(n[0]).cast("long").alias("n_events"), F.max(n[1]).cast("long").alias("n_invalid"),
+            F.max(F.regexp_extract("error", "^(Invalid JSON|File not found)", 1)).alias("error")).select(F.lit(kind).alias("kind"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @register("published_years", """
 SELECT o_orderkey AS id, CASE WHEN o_orderkey % 9 IN (0, 1, 2, 3) THEN CAST(1900 + o_orderkey % 100 AS INT) END AS year
 FROM orders
@@ -354,6 +409,47 @@ def q_published_years(spark, sf):
     return o.select("id", S.published_year(text).alias("year"))
 
 
+@register("long_series_changes", """
+SELECT l_orderkey, l_linenumber, close, prev_close,
+  round((close - prev_close) / prev_close * 100.0, 9) AS change_pct
+FROM (SELECT *, lag(close) OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, close) AS prev_close
+      FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS close FROM lineitem))
+""")
+def q_long_series_changes(spark, sf):
+    """W1 + W2: changes along one series that holds all rows of lineitem, dealt
+    over tasks by ranges with the last record of each handed on."""
+    points = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_extendedprice").alias("close"),
+                                                 F.lit("all").alias("symbol"))
+    s = detect.lag_along(points, ["symbol"], ["l_orderkey", "l_linenumber", "l_partkey", "close"], "close", "prev_close")
+    return s.select("l_orderkey", "l_linenumber", "close", "prev_close",
+                    F.round(S.pct_change("close", "prev_close"), 9).alias("change_pct"))
+
+
+@register("page_responses", fixture_cte("encyclopaedia_pages") + """
+SELECT title, CAST(page_id AS VARCHAR) AS page_id, length(extract) AS n_chars, 0 AS n_broken FROM encyclopaedia_pages
+WHERE page_id % 11 <> 3 AND page_id % 13 <> 5
+UNION ALL SELECT NULL, NULL, NULL, COUNT(*) FROM encyclopaedia_pages WHERE page_id % 11 = 3
+""")
+def q_page_responses(spark, sf):
+    """Raw look-up responses (a map keyed by page id), some cut off and some
+    of missing pages: the pages found, and the broken lines counted."""
+    pages = fixture(spark, sf, "encyclopaedia_pages")
+    page = F.struct("title", "extract", "fullurl", F.col("page_id").alias("pageid"))
+    missing = F.struct("title")
+    key = F.col("page_id").cast("string")
+    whole = F.when(F.col("page_id") % 13 == 5, F.to_json(F.struct(F.struct(F.create_map(F.lit("-1"), missing).alias("pages")).alias("query")))) \
+        .otherwise(F.to_json(F.struct(F.struct(F.create_map(key, page).alias("pages")).alias("query"))))
+    lines = pages.select(F.when(F.col("page_id") % 11 == 3, F.substr(whole, F.lit(1), F.length(whole) - 9)).otherwise(whole).alias("value"))
+    path = _scratch(spark, "responses")
+    lines.write.text(path)
+    found = wiki.read_page_responses(spark, path)
+    broken = wiki.broken_responses(spark, path).agg(F.count(F.lit(1)).alias("n_broken"))
+    none = F.lit(None)
+    return found.select("title", "page_id", F.length("extract").cast("long").alias("n_chars"), F.lit(0).cast("long").alias("n_broken")) \
+        .unionByName(broken.select(none.cast("string").alias("title"), none.cast("string").alias("page_id"),
+                                   none.cast("long").alias("n_chars"), "n_broken"))
+
+
 # ---------------------------------------------------------------- near duplicates of documents
 
 @register("document_near_duplicates", f"""

@@ -254,6 +254,5 @@ def q_keyword_documents_top50(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", F.col("text").alias("title"),
                                              F.lit(None).cast("string").alias("description"),
                                              F.lit(None).cast("string").alias("content"))
-    hits = news.keyword_hits(d, DOCUMENT_TERMS).select("keyword_idx", "keyword", "category", "doc_id", "relevance")
-    top = news.top_hits(hits, "doc_id", L.NEWS_TOP_N)
+    top = news.top_hits(news.keyword_hits(d, DOCUMENT_TERMS), "doc_id", L.NEWS_TOP_N)
     return top.select("keyword", "category", "doc_id", "relevance", F.col("hit_rank").cast("int").alias("hit_rank"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -83,6 +84,13 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [str(found.getPath()) for found in fs.globStatus(where) or []]
 
 
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of no bytes that a path or pattern names: Spark's readers pass
+    over them.  Empty files inside a folder are parts without rows."""
+    where, fs = _hadoop_path(spark, path)
+    return [str(f.getPath()) for f in fs.globStatus(where) or [] if f.isFile() and not f.getLen()]
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package wrote."""
     where, fs = _hadoop_path(spark, path)
@@ -93,3 +101,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def staged(df, name: str):
+    """``df`` written once to the shared folder and read back: what follows
+    reads the files, also after an executor is lost."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,18 +1,25 @@
 """Event JSON files: typed extraction from untyped JSON and validation.
 
-A file holds a JSON list of events or a single event (S12).  It is read as
-text and parsed as VARIANT, so the validator can tell an integer year from
-"2008", 2008.5 or true (the type of each value is kept as a flag).  Large
-inputs should land as JSON lines (one event per line), read the same way
-line by line.
+A file holds a JSON list of events or a single event (S12).  Events are parsed
+as VARIANT, so the validator can tell an integer year from "2008", 2008.5 or
+true (the type of each value is kept as a flag).
+
+A file is never read whole by one task.  It is split at closing braces, the
+splits of Spark's text reader apply, and a scan over the pieces finds the ends
+of the list's elements: a piece turns "inside a string" round or not, and moves
+the nesting by an amount that depends on where it began, so two running sums
+(inside the splits, then over one row per split) give both for every piece.
+The pieces of an element are put together and parsed by themselves.  JSON
+lines (one event per line) are read line by line.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from histevents.operators import validate
+from histevents.session import empty_files, staged
 
 INT_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT")
 FIELDS = ("year", "title", "description", "category", "source", "severity", "digital_root", "source_url", "date")
@@ -59,11 +66,97 @@ def validate_typed(events: DataFrame) -> DataFrame:
     return validate.with_validation(events, {"year": "year_is_int", "severity": "severity_is_int"}, present)
 
 
+def _nesting(outside: Column) -> Column:
+    """How far the brackets of a text without strings move the nesting."""
+    return (F.length(F.regexp_replace(outside, r"[^\[{]", "")) - F.length(F.regexp_replace(outside, r"[^\]}]", ""))).cast("long")
+
+
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    """(file, size, split, seq, piece, odd, from_outside, from_inside), staged: the
+    texts between closing braces; ``odd`` if they turn "inside a string" round,
+    and the nesting they move if they begin outside or inside of one."""
+    # a quote is a string's end unless it is escaped; a brace can't be, so no escape spans two pieces
+    plain = F.regexp_replace("piece", r"(?s)\\.", "")
+    quotes = F.length(plain) - F.length(F.replace(plain, F.lit('"'), F.lit("")))
+    rest = F.regexp_replace(plain, r'^[^"]*("|$)', "")
+    strings = r'"[^"]*("|$)'
+    raw = spark.read.option("lineSep", "}").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("seq"),
+        F.col("value").alias("piece"))
+    return staged(raw.select(
+        "*", (quotes % 2).cast("long").alias("odd"), _nesting(F.regexp_replace(plain, strings, "")).alias("from_outside"),
+        _nesting(F.regexp_replace(rest, strings, "")).alias("from_inside")), "json-pieces")
+
+
+def _running(df: DataFrame, value: str, out: str) -> DataFrame:
+    """``out``: the sum of ``value`` over all earlier pieces of the file.  Inside a
+    split it is a window, before it the sum of one row per split."""
+    inside = Window.partitionBy("file", "split").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    per_split = df.groupBy("file", "split").agg(F.sum(value).alias("_of_split")).select(
+        "file", "split", F.coalesce(F.sum("_of_split").over(before), F.lit(0)).alias("_before"))
+    return df.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0))).join(per_split, ["file", "split"]).withColumn(
+        out, F.col(out) + F.col("_before")).drop("_before")
+
+
+def _elements(pieces: DataFrame) -> DataFrame:
+    """(file, element, text, is_list, first, last): the texts up to the end of each
+    object of a file's list, in order; any other file is one text."""
+    order = F.struct("split", "seq")
+    ends = pieces.groupBy("file").agg(
+        F.min(order).alias("from"), F.max(order).alias("to"),
+        # as many braces as pieces: the last piece has one after it too
+        (F.sum(F.octet_length("piece") + 1) == F.max("size")).alias("closed"),
+        F.min_by(F.ltrim(F.regexp_replace("piece", r"[\r\n\t]+", " ")).startswith("["), order).alias("is_list"))
+    n = pieces.drop("piece", "size").join(ends, "file").select(
+        "file", "split", "seq", "odd", "from_outside", "from_inside", "is_list",
+        ((order != F.col("to")) | F.col("closed")).alias("brace"),
+        (order == F.col("from")).alias("first"), (order == F.col("to")).alias("last"))
+    n = _running(n, "odd", "quotes")
+    outside_after = (F.col("quotes") + F.col("odd")) % 2 == 0
+    moved = F.when(F.col("quotes") % 2 == 1, F.col("from_inside")).otherwise(F.col("from_outside"))
+    n = n.withColumn("closes", F.col("brace") & outside_after).withColumn("moved", moved - F.col("closes").cast("long"))
+    n = _running(n, "moved", "depth")
+    # an element ends where its brace brings the nesting back to the list's
+    ended = F.col("is_list") & F.col("closes") & (F.col("depth") + F.col("moved") == 1)
+    n = _running(n.withColumn("ended", ended.cast("long")), "ended", "element")
+    text = F.concat("piece", F.when(F.col("brace"), F.lit("}")).otherwise(F.lit("")))
+    parts = F.array_sort(F.collect_list(F.struct("split", "seq", text.alias("text"))))  # the pieces of one element
+    return pieces.select("file", "split", "seq", "piece").join(n, ["file", "split", "seq"]).groupBy("file", "is_list", "element").agg(
+        F.array_join(F.transform(parts, lambda x: x.text), "").alias("text"), F.max("first").alias("first"), F.max("last").alias("last"))
+
+
+def _parsed(e: DataFrame) -> DataFrame:
+    """``e`` with ``doc``: each text of a list parsed as a list of its own, null
+    where the file's list is not valid there."""
+    blank = r"^\s*$"
+    start = F.when(F.col("first"), r"^\s*\[").otherwise(r"^\s*,")
+    end = F.when(F.col("last"), r"\]\s*$").otherwise("$")
+    body = F.regexp_replace(F.regexp_replace("text", start, ""), end, "")
+    closing = F.col("last") & ~F.col("first") & F.col("text").rlike(r"^\s*\]\s*$")
+    # only a whole list may be blank between its brackets
+    fits = F.regexp_like("text", start) & F.regexp_like("text", end) & ((F.col("first") & F.col("last")) | ~body.rlike(blank))
+    own = F.when(closing, F.lit("[]")).when(fits, F.concat(F.lit("["), body, F.lit("]")))
+    return e.withColumn("doc", F.try_parse_json(F.when(F.col("is_list"), own).otherwise(F.col("text"))))
+
+
 def read_event_file(spark: SparkSession, path: str) -> DataFrame:
     """(file, event_index, v): every event of every JSON file under ``path``;
     a file that is not valid JSON gives one row with ``v`` null."""
-    raw = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
-    return events_of(raw.select("file", F.try_parse_json("value").alias("doc")))
+    parsed = _parsed(staged(_elements(_pieces(spark, path)), "json-elements"))
+    files = parsed.groupBy("file").agg(F.every(F.col("doc").isNotNull()).alias("valid"))
+    events = events_of(parsed.join(files.where("valid"), "file").select("file", "element", "doc"))
+    # objects end a text, so an event's number is known from the texts before
+    sizes = parsed.select("file", "element", F.when(F.schema_of_variant("doc").startswith("ARRAY"), F.size(
+        F.try_variant_get("doc", "$", "array<variant>"))).otherwise(1).alias("n"))
+    before = Window.partitionBy("file").orderBy("element").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("file", "element", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    good = events.join(sizes, ["file", "element"]).select(
+        "file", (F.col("_before") + F.col("event_index")).cast("int").alias("event_index"), "v")
+    empty = spark.createDataFrame([(f,) for f in empty_files(spark, path)], "file string")
+    bad = files.where("not valid").select("file").unionByName(empty)
+    return good.unionByName(bad.select("file", F.lit(0).alias("event_index"), F.try_parse_json(F.lit(None).cast("string")).alias("v")))
 
 
 def events_of(parsed: DataFrame) -> DataFrame:

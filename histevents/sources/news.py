@@ -85,19 +85,20 @@ SLICES = 64
 
 
 def top_hits(hits: DataFrame, id_col: str, top_n: int, slices: int = SLICES) -> DataFrame:
-    """``hits`` of rank (``hit_rank``) up to ``top_n`` in their keyword, by
-    relevance and id.
+    """The keyword, relevance and id of the ``hits`` of rank (``hit_rank``) up to
+    ``top_n`` in their keyword, by relevance and id.
 
     Two levels, so that a keyword with a third of all hits isn't ranked in one
-    task: the best of each slice, then the best of these.  Only keyword,
-    relevance and id go through the sorts; the rest is joined to the result."""
+    task: the best of each slice, then the best of these.  Texts take no part;
+    a caller that wants them joins them to what is left, by id."""
     best = [F.desc("relevance"), F.asc(id_col)]
-    narrow = hits.select("keyword_idx", "relevance", id_col).withColumn("_slice", F.pmod(F.xxhash64(id_col), F.lit(slices)))
+    of_keyword = [c for c in ("category", "category_idx", "keyword", "keyword_idx") if c in hits.columns]
+    narrow = hits.select(*of_keyword, "relevance", id_col).withColumn(
+        "_slice", F.pmod(F.xxhash64(id_col), F.lit(slices)))
     inner = Window.partitionBy("keyword_idx", "_slice").orderBy(*best)
     narrow = narrow.withColumn("_r", F.row_number().over(inner)).filter(F.col("_r") <= top_n)
     rank = F.row_number().over(Window.partitionBy("keyword_idx").orderBy(*best))
-    ranked = narrow.withColumn("hit_rank", rank).filter(F.col("hit_rank") <= top_n)
-    return hits.join(ranked.select("keyword_idx", id_col, "hit_rank"), ["keyword_idx", id_col])
+    return narrow.withColumn("hit_rank", rank).filter(F.col("hit_rank") <= top_n).drop("_slice", "_r")
 
 
 def in_window(articles: DataFrame, lo: int, hi: int, as_of_date: _dt.date, window_years: int | None = None) -> DataFrame:
@@ -113,8 +114,9 @@ def in_window(articles: DataFrame, lo: int, hi: int, as_of_date: _dt.date, windo
 def search_articles(articles: DataFrame, lo: int, hi: int, as_of_date: _dt.date, keywords=L.NEWS_KEYWORDS,
                     top_n: int | None = None, window_years: int | None = None) -> DataFrame:
     """Per keyword the articles of the date window that hold it."""
-    hits = keyword_hits(in_window(articles, lo, hi, as_of_date, window_years), keywords)
-    return hits if top_n is None else top_hits(hits, "article_id", top_n)
+    found = in_window(articles, lo, hi, as_of_date, window_years)
+    hits = keyword_hits(found, keywords)
+    return hits if top_n is None else found.join(top_hits(hits, "article_id", top_n), "article_id")
 
 
 def collect_news_events(spark: SparkSession, articles: DataFrame, lo: int, hi: int, as_of_date: _dt.date,
@@ -126,7 +128,7 @@ def collect_news_events(spark: SparkSession, articles: DataFrame, lo: int, hi: i
     if not enabled:
         arts = arts.filter(F.lit(False))
     if top_n is not None:
-        ev = article_events(top_hits(keyword_hits(arts), "article_id", top_n), "category")
+        ev = article_events(arts.join(top_hits(keyword_hits(arts), "article_id", top_n), "article_id"), "category")
     else:
         found = _hits_of(arts, L.NEWS_KEYWORDS).filter(F.size("_hits") > 0)
         parsed = article_events(found.withColumn("_none", F.lit(None).cast("string")), "_none").drop("category")

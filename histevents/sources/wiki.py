@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from histevents import lexicons as L
 from histevents.functions import text as T
@@ -31,13 +32,20 @@ NUMBER_TOKEN = r"(?<![\p{L}\p{N}_])([0-9]{1,4})(?![\p{L}\p{N}_])"
 
 def read_page_responses(spark: SparkSession, path: str) -> DataFrame:
     """API responses (JSON lines, ``query.pages`` map keyed by page id):
-    missing pages (id '-1') dropped."""
-    raw = spark.read.schema(WIKI_QUERY_RESPONSE_SCHEMA).json(path)
-    return (raw.select(F.explode("query.pages").alias("page_id", "p"))
+    missing pages (id '-1') and broken lines (``broken_responses``) dropped."""
+    schema = StructType([*WIKI_QUERY_RESPONSE_SCHEMA.fields, StructField("_broken", StringType())])
+    raw = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_broken").json(path)
+    return (raw.filter(F.col("_broken").isNull())
+            .select(F.explode("query.pages").alias("page_id", "p"))
             .filter(F.col("page_id") != "-1")
             .select(F.col("page_id"), "p.title", "p.extract", "p.fullurl"))
 
 
+def broken_responses(spark: SparkSession, path: str) -> DataFrame:
+    """(value): the lines that are no whole JSON document, such as cut-off ones."""
+    return spark.read.text(path).filter((F.trim("value") != "") & F.try_parse_json("value").isNull())
+
+
 def first_page_per_title(pages: DataFrame) -> DataFrame:
     """One page per title (the lookup returns the first existing page).
 

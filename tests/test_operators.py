@@ -182,3 +182,30 @@ def test_cycle_patterns(spark):
         counts = {r.digital_root: r.event_count for r in rs}
         chi = sum((counts.get(i, 0) - e) ** 2 / e for i in range(1, 10))
         assert all(abs(r.statistical_significance - chi) < 1e-6 for r in rs)
+
+
+def test_lag_along_ranges_equals_the_window(spark):
+    """Long series over several ranges, short ones inside of one, null keys and
+    values, ties: the same as one window a series."""
+    import random
+    from pyspark.sql import Window
+    from histevents.operators.detect import lag_along
+    rng = random.Random(3)
+    rows = [("long", i, rng.choice([None, 0.0, 1.5, 2.5])) for i in range(3000)]
+    rows += [(k, i // 2, float(i)) for k in ("a", "b", None, "zz") for i in range(7)] + [("one", None, None)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "symbol string, at int, close double")
+    w = Window.partitionBy("symbol").orderBy("at", "close")
+    expected = sorted(map(str, df.withColumn("prev", F.lag("close").over(w)).collect()))
+    assert sorted(map(str, lag_along(df, ["symbol"], ["at", "close"], "close", "prev").collect())) == expected
+    # one series lies in several ranges, none of which holds it all
+    ranges = df.where("symbol = 'long'").repartitionByRange(8, "symbol", "at", "close").groupBy(F.spark_partition_id()).count().collect()
+    assert len(ranges) > 3 and max(r["count"] for r in ranges) < 1500
+    assert lag_along(df.limit(0), ["symbol"], ["at"], "close", "prev").count() == 0
+
+
+def test_chi_square_tail(spark):
+    from histevents.operators.cycles import chi_square_tail_8
+    x = [0.0, 7.344, 15.507, 20.090, 26.124]  # table values: 1, 0.5, 0.05, 0.01, 0.001
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in x], "x double").select(chi_square_tail_8(F.col("x"))).collect()]
+    assert [round(g, 3) for g in got] == [1.0, 0.5, 0.05, 0.01, 0.001]

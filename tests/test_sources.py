@@ -87,3 +87,42 @@ def test_sinks(spark, tmp_dir):
     out = os.path.join(tmp_dir, "export")
     K.export(ev.select("id", "year", "title"), out, "csv")
     assert spark.read.option("header", True).csv(out).count() == 20
+
+
+def test_json_lists_are_read_element_by_element(spark, tmp_path):
+    """Lists over many splits, brackets and quotes in strings, values that are no
+    objects, and every way a list can be broken, against the json module."""
+    import json
+    import os
+    from histevents.sources import files
+
+    big = [{"year": i, "title": f'a "quoted}}" \\ {{ [ ] é{i}', "tags": ["x}", {"y": ["]"]}], "n": None} for i in range(300)]
+    texts = {
+        "big": json.dumps(big), "indent": json.dumps(big, indent=2, ensure_ascii=False), "one": json.dumps(big[0]), "empty": "[]",
+        "blank": " [ \n ] \n", "zero": "", "mixed": '[1,"a}",{"a":1},null,[{"b":2}],{"c":{}} , 5 ]\n', "comma": '[{"a":1},]',
+        "cut": json.dumps(big)[:-30], "two": "[{}],[{}]", "after": "[{}] , {}", "hole": "[{},,{}]", "object": '{"a":1}\n',
+        "scalars": "[1,2,3]", "bad": "nonsense", "escapes": '[{"a":"x\\\\"},{"b":"\\"}"}]', "open": '{"a":1', "white": "  \n "}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    sizes = {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        pieces = files._pieces(spark, str(tmp_path / "big"))
+        assert pieces.select("split").distinct().count() > 10  # several tasks read the file
+        rows = files.read_event_file(spark, str(tmp_path)).selectExpr("file", "event_index", "to_json(v) as v").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    got = {}
+    for r in rows:
+        got.setdefault(os.path.basename(r.file), []).append((r.event_index, None if r.v is None else json.loads(r.v)))
+    for name, text in texts.items():
+        try:
+            value = json.loads(text)
+            expected = list(enumerate(value)) if isinstance(value, list) else [(0, value)]
+        except ValueError:
+            expected = [(0, None)] if text else []  # an empty file of a folder is a part without rows
+        assert sorted(got.get(name, []), key=lambda x: x[0]) == expected, name
+    assert [tuple(r) for r in files.read_event_file(spark, str(tmp_path / "zero")).select("event_index", "v").collect()] == [(0, None)]
