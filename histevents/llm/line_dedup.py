@@ -189,7 +189,8 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     per_row = gone.groupBy("row").agg(runs.alias("runs")).select(
         "row", F.col("runs.at").alias("starts"), F.col("runs.n").alias("sizes"))
     schema = f"doc_id {own.schema['doc_id'].dataType.simpleString()}, n_lines bigint, n_removed bigint, kept string"
-    return own.join(per_row, "row", "left").select("doc_id", "text", "starts", "sizes").mapInArrow(_left, schema)
+    # no size bounds the runs: never a broadcast, whatever their size here
+    return own.join(per_row.hint("merge"), "row", "left").select("doc_id", "text", "starts", "sizes").mapInArrow(_left, schema)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
