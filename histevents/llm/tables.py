@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -23,8 +25,19 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-#: Paths that ``stage`` has written and ``release`` hasn't deleted.
-STAGED: list[str] = []
+#: Where ``stage`` notes its paths, if ``collecting`` is in force (per thread).
+_NOTED: ContextVar[list[str] | None] = ContextVar("_NOTED", default=None)
+
+
+@contextmanager
+def collecting():
+    """The list of the scratch tables staged inside the block, for ``release``."""
+    paths: list[str] = []
+    token = _NOTED.set(paths)
+    try:
+        yield paths
+    finally:
+        _NOTED.reset(token)
 
 
 def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
@@ -34,7 +47,8 @@ def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     lost.  The folder is the job's scratch space: results read from it, so it
     is emptied when they have been written elsewhere (``release``)."""
     path = scratch(df.sparkSession, name)
-    STAGED.append(path)
+    if (noted := _NOTED.get()) is not None:
+        noted.append(path)
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -46,8 +60,6 @@ def release(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
         where = jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(conf).delete(where, True)
-        if path in STAGED:
-            STAGED.remove(path)
 
 
 def free_name(df: DataFrame, wanted: str) -> str:

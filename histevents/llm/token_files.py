@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from histevents.llm.hashing import BYTE, BYTE2, mix, ranges
-from histevents.llm.tables import free_name, read, stage
+from histevents.llm.tables import free_name, read, scratch
 
 END_ID = 2
 BLOCK, SEGMENT_IDS = 256, 524_288
@@ -318,8 +318,11 @@ def _groups(batches, text: str, most: int = 900_000):
 
 
 def write_ids(docs: DataFrame, name: str = "byte_bpe_50k.json", end_id: int = END_ID,
-              segment_ids: int = SEGMENT_IDS) -> DataFrame:
-    """Encode (doc_id, text), write the files, and return them as a table."""
+              segment_ids: int = SEGMENT_IDS, path: str | None = None) -> DataFrame:
+    """Encode (doc_id, text), write the files, and return them as a table.
+
+    The files are the product: they lie under ``path``, or in a new folder of
+    their own under ``spark.checkpoint.dir``, and nothing here deletes them."""
     def run(batches):
         from pyspark import TaskContext
 
@@ -359,7 +362,9 @@ def write_ids(docs: DataFrame, name: str = "byte_bpe_50k.json", end_id: int = EN
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.col(row)]
     dealt = own.withColumn(row, F.monotonically_increasing_id()).repartitionByRange(n, *order)
     dealt = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), "text")
-    return stage(dealt.select("doc_id", "text").mapInArrow(run, SEGMENT), "token-ids", "none")
+    path = path or scratch(spark, "token-ids")
+    dealt.select("doc_id", "text").mapInArrow(run, SEGMENT).write.option("compression", "none").parquet(path)
+    return spark.read.schema(SEGMENT).parquet(path)
 
 
 def read_ids(files: DataFrame) -> DataFrame:

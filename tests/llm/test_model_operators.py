@@ -281,7 +281,7 @@ def test_token_files(spark, documents):
 
 def test_queries_have_operators():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):
@@ -317,6 +317,35 @@ def test_pipeline_stages(spark):
     assert len(after) == len(before)
 
 
+def test_pipeline_results_stay(spark, tmp_path):
+    """Two runs are read side by side, and a run leaves its token files only."""
+    import os
+
+    import corpus_pipeline
+    from histevents.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    known = set(os.listdir(base))
+    first, second = (corpus_pipeline.run(spark, SF_SMALL) for _ in range(2))
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, second.collect())) != []
+    assert sorted(n.rsplit("-", 1)[0] for n in set(os.listdir(base)) - known) == ["token-ids", "token-ids"]
+
+
+def test_pipeline_of_odd_documents(spark, table_dir):
+    """Nulls in every column, repeated rows, long texts, clashing columns, no rows."""
+    import corpus_pipeline
+
+    rows = [(None, None, None, None, None)] * 3 + [(1, "", "en", None, 0), (1, None, "en", "s", 0), (2, "word " * 200_000, None, "s", 1)]
+    rows += [(i % 20, f"text {i % 25} " + "some words of it " * (i % 7), "en", f"s{i % 3}", i) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for c in ("row", "_row", "_quality", "size", "taken", "fp", "hits"):
+        docs = docs.withColumn(c, F.lit(3))
+    given = {t: spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("labels", "benchmark")}
+    n = corpus_pipeline.run(spark, table_dir(documents=docs, **given)).count()
+    assert 0 < n
+    assert corpus_pipeline.run(spark, table_dir(documents=docs.limit(0), **given)).count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracles(spark, name):
     import duckdb
