@@ -393,3 +393,33 @@ def test_quality_of_a_very_long_text(spark, documents, table_dir):
     labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(90)], "doc_id bigint, quality int, toxic int")
     got = by_id(quality.op5_quality(spark, table_dir(documents=documents(rows), labels=labels)))
     assert got[100].kept and not got[101].kept and got[102].p_good == got[103].p_good
+
+
+BOILERPLATE = ("related-posts", "related-articles", "newsletter-signup-form", "breadcrumb-trail", "gdpr-notice-content",
+               "advertisement-label", "comment-thread", "promo-card", "site-footer-widgets", "paywall-notice", "alert-info",
+               "author-bio")
+
+
+@pytest.mark.parametrize("name", BOILERPLATE)
+def test_boilerplate_names_inside_an_article(name):
+    page = f"<body><article><p>{'Real text of the article. ' * 9}</p><div class='{name}'><p>Not this.</p></div><p>The end.</p></article></body>"
+    texts = [t for _, t in html_extract.blocks(html_extract.parse(page))]
+    assert texts == [("Real text of the article. " * 9).strip(), "The end."]
+
+
+@pytest.mark.parametrize("attribute", ["data-hidden", "hidden-print", "data-x='hidden'", "title=hidden", "class=content-sidebar-wrap",
+                                       "id='tag-login'", "aria-hidden='false'"])
+def test_attributes_that_hide_nothing(attribute):
+    page = f"<article><p>First.</p><p {attribute}>Second.</p><div {attribute}>Third.</div></article>"
+    assert [t for _, t in html_extract.blocks(html_extract.parse(page))] == ["First.", "Second.", "Third."]
+
+
+@pytest.mark.parametrize("attribute", ["hidden", "HIDDEN", "hidden=''", "aria-hidden=true", "style='display : none'", "a='b' hidden"])
+def test_attributes_that_hide(attribute):
+    page = f"<article><p>First.</p><p {attribute}>Second.</p></article>"
+    assert [t for _, t in html_extract.blocks(html_extract.parse(page))] == ["First."]
+
+
+def test_header_of_an_article():
+    page = "<body><article><header><p>By A. Writer, 3 May</p></header><h1>Title</h1><p>Text.</p></article></body>"
+    assert [t for _, t in html_extract.blocks(html_extract.parse(page))] == ["Title", "Text."]
