@@ -108,6 +108,39 @@ def combine_rows(*frames: DataFrame) -> DataFrame:
     return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
 
 
+PARTIAL_KEYS = ("category", "year", "digital_root")
+
+
+def partials(events: DataFrame, *keys: str) -> DataFrame:
+    """Counts per (``keys``, category, year, root) that add up: events, verified
+    ones, severities and their sum."""
+    return _with_root(events).groupBy(*keys, *PARTIAL_KEYS).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.coalesce(F.col("verified"), F.lit(False))).alias("_v"),
+        F.count("severity").alias("_with_severity"),
+        F.coalesce(F.sum(F.col("severity").cast("long")), F.lit(0)).alias("_severity"))
+
+
+def merged(parts: DataFrame) -> DataFrame:
+    """Partial counts of several tables or deltas, added up."""
+    sums = ("_n", "_v", "_with_severity", "_severity")
+    return parts.groupBy(*PARTIAL_KEYS).agg(*[F.sum(c).alias(c) for c in sums]).filter(F.col("_n") > 0)
+
+
+def year_coverage_of(parts: DataFrame) -> DataFrame:
+    """``year_coverage`` from merged partial counts."""
+    return year_coverage(parts)  # each year that has events has a row
+
+
+def category_breakdown_of(parts: DataFrame) -> DataFrame:
+    """``category_breakdown`` from merged partial counts."""
+    g = parts.groupBy("category").agg(F.sum("_n").alias("count"), F.sum("_severity").alias("_s"),
+                                      F.sum("_with_severity").alias("_n"))
+    avg = avg_round2_exact("_s", "_n")
+    return (g.select("category", "count", F.when(avg.isNull() | (avg == 0), F.lit(0.0)).otherwise(avg).alias("avg_severity"))
+            .orderBy(F.desc("count"), F.asc("category")))
+
+
 def completeness(spark: SparkSession, events: DataFrame) -> DataFrame:
     """One row: verification, coverage, root deviation, category balance and
     the 0..100 quality score (40/30/15/15 weights, rounded to 2).
@@ -116,9 +149,14 @@ def completeness(spark: SparkSession, events: DataFrame) -> DataFrame:
     row; per-category totals come from a window over the small first level.
     """
     ev = _with_root(events).select("year", "category", "verified", "digital_root")
-    lvl1 = ev.groupBy("category", "year", "digital_root").agg(
+    return completeness_of(ev.groupBy(*PARTIAL_KEYS).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.count_if(F.coalesce(F.col("verified"), F.lit(False))).alias("_v"))
+        F.count_if(F.coalesce(F.col("verified"), F.lit(False))).alias("_v")))
+
+
+def completeness_of(parts: DataFrame) -> DataFrame:
+    """``completeness`` from merged partial counts."""
+    lvl1 = parts.select(*PARTIAL_KEYS, "_n", "_v")
     lvl1 = lvl1.withColumn("_cat_n", F.sum("_n").over(Window.partitionBy("category")))
     root = F.col("digital_root")  # the stored root, as the distribution reads it
     row = lvl1.agg(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from histevents import lexicons as L
 from histevents.functions import scalars as S
 from histevents.functions.sql_functions import register_sql_functions
-from histevents.operators import dedupe, detect, validate
+from histevents.operators import dedupe, detect, stats, validate
 from histevents.plans import duck as D
 from histevents.plans import pipeline, reports
 from histevents.plans.catalog import AS_OF_YEAR, _d_errors, raw_events, register
@@ -96,6 +96,28 @@ def _rejected(spark, st):
     return q.groupBy(F.array_join("errors", " | ").alias("errors")).agg(F.sum("occurrences").alias("n_events"))
 
 
+@register("store_statistics", _STORED + f""",
+kept AS (SELECT *, {D.droot('year')} AS root, year BETWEEN 1800 AND 2000 AS v FROM stored WHERE {D.droot('year')} <> 7),
+roots AS (SELECT r.range AS root, (SELECT COUNT(*) FROM kept WHERE kept.root = r.range) AS n FROM range(1, 10) r)
+SELECT COUNT(*) AS total_events, COUNT(*) FILTER (WHERE v) AS verified_events, COUNT(DISTINCT year) AS unique_years,
+  round(COUNT(DISTINCT year) / {float(L.EXPECTED_YEARS)} * 100.0, 6) AS coverage_percentage,
+  round((SELECT CAST(SUM(abs(9 * n - (SELECT COUNT(*) FROM kept))) AS DOUBLE) FROM roots) / (9.0 * COUNT(*)), 6) AS digital_root_variance
+FROM kept
+""")
+def q_store_statistics(spark, sf):
+    """A13 + A6 kept up to date: counts made of a part of the events, then kept
+    through an append, an update and a delete; the report reads the counts only."""
+    st, ev = EventStore(spark, _scratch(spark, "store")), raw_events(spark, sf)
+    st.save_events(ev.filter(F.col("id") % 3 == 0).drop("id", "verified"))
+    st.create_statistics()
+    st.save_events(ev.drop("id", "verified"))
+    st.update_verification(st.events().filter(F.col("year").between(1800, 2000)).select("id", F.lit(True).alias("verified")))
+    st.delete_ids(st.events().filter(F.col("digital_root") == 7).select("id"))
+    row = stats.completeness_of(st.statistics())
+    return row.select("total_events", "verified_events", "unique_years",
+                      *[F.round(c, 6).alias(c) for c in ("coverage_percentage", "digital_root_variance")])
+
+
 @register("store_quarantine", _REJECTED)
 def q_store_quarantine(spark, sf):
     """K4: the quarantined rows, by their messages, after two saves and a

@@ -6,6 +6,7 @@ Tables are parquet directories under one base path on shared storage:
     {base}/quarantine          rows that failed validation, once each, with their errors
     {base}/cycle_patterns
     {base}/data_collection_logs
+    {base}/statistics          counts per century, category, year and root, if kept
 
 Appends are set-based (one write per batch of rows) and idempotent: rows
 whose ``event_hash`` is already stored are removed with a ``left_anti``
@@ -30,15 +31,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from histevents.functions.scalars import century, digital_root, event_hash, surrogate_id
-from histevents.operators import validate
+from histevents.operators import stats, validate
 from histevents.operators.dedupe import first_wins_dedupe
 from histevents.schema import CYCLE_SCHEMA, EVENT_SCHEMA, LOG_SCHEMA, conform
-from histevents.session import delete_path, list_paths, path_exists, scratch_path
+from histevents.session import delete_path, list_paths, path_exists, scratch_path, touch_path
 
 EVENTS = "historical_events"
 QUARANTINE = "quarantine"
 CYCLES = "cycle_patterns"
 LOGS = "data_collection_logs"
+STATISTICS = "statistics"
 
 
 def to_store_rows(events: DataFrame) -> DataFrame:
@@ -115,6 +117,11 @@ def _after_recovery(write):
 STORED_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField("century", T.IntegerType())])
 
 
+def _partition(of: int | None) -> str:
+    """The name of a century's folder."""
+    return "__HIVE_DEFAULT_PARTITION__" if of is None else str(int(of))
+
+
 class EventStore:
     """The event store under ``base``.
 
@@ -191,9 +198,12 @@ class EventStore:
         if not self.exists(EVENTS):
             return self._append(rows)
         path = scratch_path(self.spark, f"append-{uuid.uuid4().hex}")
-        rows.write.parquet(path)
-        batch = self.spark.read.schema(rows.schema).parquet(path)
-        n = self._append(batch.join(self.held_hashes(batch, year_range), "event_hash", "left_anti"))
+        rows.write.parquet(f"{path}/rows")
+        batch = self.spark.read.schema(rows.schema).parquet(f"{path}/rows")
+        # at most the batch's hashes; written, as the append is about to change what the store holds
+        self.held_hashes(batch, year_range).write.parquet(f"{path}/held")
+        held = self.spark.read.schema("event_hash string").parquet(f"{path}/held")
+        n = self._append(batch.join(held, "event_hash", "left_anti"))
         delete_path(self.spark, path)
         return n
 
@@ -222,10 +232,36 @@ class EventStore:
 
     def _append(self, rows: DataFrame) -> int:
         obs = Observation("append_events")
-        new = rows.withColumn("century", century("year")).observe(obs, F.count(F.lit(1)).alias("n"))
-        self._write_events(self._laid_out(new))
+        rows = rows.withColumn("century", century("year"))
+        kept = self.exists(STATISTICS)
+        if kept:  # from here to the end the counts may lack rows: recover() counts anew
+            mark = f"{self.base}/_statistics_open_{uuid.uuid4().hex}"
+            touch_path(self.spark, mark)
+            delta = scratch_path(self.spark, f"statistics-{uuid.uuid4().hex}")
+            stats.partials(rows, "century").write.parquet(delta)
+        self._write_events(self._laid_out(rows.observe(obs, F.count(F.lit(1)).alias("n"))))
+        if kept:
+            self.spark.read.parquet(delta).write.partitionBy("century").mode("append").parquet(self.path(STATISTICS))
+            delete_path(self.spark, delta)
+            delete_path(self.spark, mark)
         return observed_count(obs)
 
+    # A6 / A9 / A13 kept up to date
+    def create_statistics(self) -> None:
+        """Count all events once; from then on every write keeps the counts:
+        an append adds those of its new rows, a rewritten century gets its own."""
+        mark = f"{self.base}/_statistics_open_{uuid.uuid4().hex}"
+        touch_path(self.spark, mark)
+        stats.partials(self.events(), "century").write.partitionBy("century").mode("overwrite").parquet(self.path(STATISTICS))
+        delete_path(self.spark, mark)
+
+    def statistics(self) -> DataFrame:
+        """The kept counts (for ``stats.completeness_of``, ``year_coverage_of`` and
+        ``category_breakdown_of``); no event is read."""
+        schema = ("category string, year int, digital_root int, _n bigint, _v bigint, _with_severity bigint, "
+                  "_severity bigint, century int")
+        return stats.merged(self.spark.read.schema(schema).parquet(self.path(STATISTICS)))
+
     def _laid_out(self, rows: DataFrame) -> DataFrame:
         """Rows dealt for writing, sorted so that row groups prune.
 
@@ -310,6 +346,9 @@ class EventStore:
         for r in self.spark.read.parquet(f"{folder}/journal").toLocalIterator():  # 21 at most for valid years
             of = F.col("century").eqNullSafe(F.lit(r.century).cast("int"))
             self._replace(r.century, self._laid_out(staged.filter(of)) if r.left else None)
+            if self.exists(STATISTICS):
+                stats.partials(staged.filter(of), "century").drop("century").write.mode("overwrite").parquet(
+                    f"{self.path(STATISTICS)}/century={_partition(r.century)}")
         delete_path(self.spark, folder)
 
     def recover(self) -> None:
@@ -321,6 +360,11 @@ class EventStore:
                 self._finish(folder)
             else:
                 delete_path(self.spark, folder)
+        marks = list_paths(self.spark, f"{self.base}/_statistics_open_*")
+        if marks:
+            self.create_statistics()
+            for mark in marks:
+                delete_path(self.spark, mark)
 
     def _replace(self, of: int | None, rows: DataFrame | None) -> None:
         """Overwrite the partition of a century; without rows it is emptied."""
@@ -339,8 +383,7 @@ class EventStore:
                 self.spark.catalog.dropTempView(name)
             self.spark.catalog.refreshTable(self.table)
         else:
-            value = "__HIVE_DEFAULT_PARTITION__" if of is None else str(int(of))
-            rows.select(*cols).write.mode("overwrite").parquet(f"{self.path(EVENTS)}/century={value}")
+            rows.select(*cols).write.mode("overwrite").parquet(f"{self.path(EVENTS)}/century={_partition(of)}")
 
     def _affected(self, ev: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Rows of the centuries that hold at least one of ``ids``, and those

@@ -91,6 +91,12 @@ def empty_files(spark: SparkSession, path: str) -> list[str]:
     return [str(f.getPath()) for f in fs.globStatus(where) or [] if f.isFile() and not f.getLen()]
 
 
+def touch_path(spark: SparkSession, path: str) -> None:
+    """Write an empty marker file."""
+    where, fs = _hadoop_path(spark, path)
+    fs.create(where, True).close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package wrote."""
     where, fs = _hadoop_path(spark, path)

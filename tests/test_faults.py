@@ -307,3 +307,42 @@ def test_shared_trigram_stays_block_by_block(spark):
     assert len(pairs) > 20
     for block in (4096, 10):
         assert sorted((r.id, r.duplicate_id) for r in dedupe.near_duplicate_pairs(ev, token_block=block).collect()) == pairs
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_statistics_are_kept(spark, tmp_dir, monkeypatch, buckets):
+    """After appends, updates, deletes and a write that failed, the report from
+    the kept counts equals the one of a full scan, and reads no event."""
+    st = EventStore(spark, os.path.join(tmp_dir, "s"), buckets=buckets, table=f"faults_statistics_{buckets}")
+    rows = _events(spark, [1850, 1851, 1950, 2020]).withColumn("severity", F.col("year") % 4)
+    st.save_events(rows.filter("year < 1900"))
+    st.create_statistics()
+
+    def same():
+        parts, ev = st.statistics(), st.events()
+        assert one(stats.completeness_of(parts)) == one(stats.completeness(spark, ev))
+        assert one(stats.year_coverage_of(parts)) == one(stats.year_coverage(ev))
+        assert stats.category_breakdown_of(parts).collect() == stats.category_breakdown(ev).collect()
+        return one(stats.completeness_of(parts)).total_events
+
+    assert "historical_events" not in st.statistics()._jdf.queryExecution().executedPlan().toString()
+    assert same() == 2
+    st.save_events(rows.unionByName(rows))
+    assert same() == 4
+    st.update_verification(st.events().filter("year > 1900").select("id", F.lit(True).alias("verified")))
+    assert same() == 4
+    st.delete_ids(st.events().filter("year in (1850, 1950)").select("id"))
+    assert same() == 2
+    with monkeypatch.context() as m:  # events written, their counts not
+        write = EventStore._write_events
+
+        def failing(self, df):
+            write(self, df)
+            raise RuntimeError("lost")
+
+        m.setattr(EventStore, "_write_events", failing)
+        with pytest.raises(RuntimeError):
+            st.save_events(_events(spark, [1700], "Another title").withColumn("severity", F.lit(1)))
+    st.recover()
+    assert same() == 3
+    assert not [d for d in os.listdir(tmp_dir + "/s") if d.startswith("_")]
