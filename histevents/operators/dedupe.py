@@ -21,7 +21,6 @@
 from __future__ import annotations
 
 import math
-import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 from histevents import lexicons as L
 from histevents.functions.scalars import event_hash
 from histevents.functions.text import trigrams
-from histevents.session import scratch_path
+from histevents.session import staged
 
 NUM, DEN = L.NEAR_DUPLICATE_THRESHOLD  # similarity > NUM/DEN
 
@@ -76,9 +75,7 @@ def _signatures(events: DataFrame, id_col: str, text_col: str, group_col: str) -
     # members learn it through the join they need anyway
     texts = texts.withColumn("_sig_k", F.sum("_k").over(Window.partitionBy("_g", "_sig")))
     # members, signatures, candidates and verification all read these
-    path = scratch_path(events.sparkSession, f"signatures-{uuid.uuid4().hex}")
-    texts.write.parquet(path)
-    texts = events.sparkSession.read.schema(texts.schema).parquet(path)
+    texts = staged(texts, "signatures")
     members = (base.join(texts.select("_g", "_norm", "_sig", "_sig_k"), ["_g", "_norm"])
                .select("_id", "_g", "_sig", "_sig_k"))
     sigs = (texts.groupBy("_g", "_sig")
@@ -200,10 +197,7 @@ def _pairs_inside_groups(members: DataFrame, sigs: DataFrame, block: int = BLOCK
     return pairs.filter(keep).select(F.least("_a", "_b").alias("id"), F.greatest("_a", "_b").alias("duplicate_id"))
 
 
-def near_duplicates(events: DataFrame) -> DataFrame:
-    """The duplicate report rows: original id/title/year/source and the
-    duplicate's id/title/source, ordered by year, title."""
-    pairs = near_duplicate_pairs(events)
+def _listing(events: DataFrame, pairs: DataFrame) -> DataFrame:
     e1 = events.select("id", "title", "year", "source")
     e2 = events.select(F.col("id").alias("duplicate_id"), F.col("title").alias("duplicate_title"),
                        F.col("source").alias("duplicate_source"))
@@ -212,15 +206,34 @@ def near_duplicates(events: DataFrame) -> DataFrame:
             .orderBy("year", "title", "id", "duplicate_id"))
 
 
+def near_duplicates(events: DataFrame) -> DataFrame:
+    """The duplicate report rows: original id/title/year/source and the
+    duplicate's id/title/source, ordered by year, title."""
+    return _listing(events, near_duplicate_pairs(events))
+
+
+def _count(sigs: DataFrame, pairs: DataFrame) -> DataFrame:
+    inside = sigs.select((F.col("_k") * (F.col("_k") - 1) / 2).cast("long").alias("_pairs"))
+    across = pairs.select((F.col("k_a") * F.col("k_b")).cast("long").alias("_pairs"))
+    return inside.unionByName(across).agg(
+        F.coalesce(F.sum("_pairs"), F.lit(0)).cast("long").alias("duplicate_count"))
+
+
 def near_duplicate_count(events: DataFrame, id_col: str = "id", text_col: str = "title",
                          group_col: str = "year") -> DataFrame:
     """One row ``duplicate_count`` = number of near-duplicate pairs, from group
     sizes only.  Assumes ids are unique."""
     _, sigs = _signatures(events, id_col, text_col, group_col)
-    inside = sigs.select((F.col("_k") * (F.col("_k") - 1) / 2).cast("long").alias("_pairs"))
-    across = _similar_signature_pairs(sigs).select((F.col("k_a") * F.col("k_b")).cast("long").alias("_pairs"))
-    return inside.unionByName(across).agg(
-        F.coalesce(F.sum("_pairs"), F.lit(0)).cast("long").alias("duplicate_count"))
+    return _count(sigs, _similar_signature_pairs(sigs))
+
+
+def duplicate_detection(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``near_duplicates``, ``near_duplicate_count``) of events (id, title, year,
+    source), from signatures and similar pairs that are made once."""
+    members, sigs = _signatures(events, "id", "title", "year")
+    similar = staged(_similar_signature_pairs(sigs), "similar-signatures")
+    pairs = _pairs_across_groups(members, sigs, similar, BLOCK).unionByName(_pairs_inside_groups(members, sigs, BLOCK))
+    return _listing(events, pairs), _count(sigs, similar)
 
 
 def near_duplicate_pairs_direct(events: DataFrame, id_col: str = "id", text_col: str = "title",

@@ -200,9 +200,11 @@ def q_economic_collection(spark, sf):
                      S.digital_root("year").alias("digital_root"), validate.collector_valid(ev).alias("valid"))
 
 
-def _collection_sql() -> str:
-    """Oracle for the three-source run over 1000..2025 (as of 2001)."""
-    lo, hi, as_of = WIKI_LO, WIKI_HI, RUN_DATE
+def _collection_sql(lo=WIKI_LO, hi=WIKI_HI, as_of=RUN_DATE, batch=50, sources=("wiki", "economic", "news")) -> str:
+    """Oracle for a run of the sources over lo..hi: by default all three over
+    1000..2025 (as of 2001)."""
+    events = " UNION ALL ".join(f"SELECT * FROM {t}" for n, t in (
+        ("wiki", "wiki_ev"), ("economic", "econ_ev"), ("news", "news_ev")) if n in sources)
     pats = ", ".join(f"({i}, {D.q(p)})" for i, p in enumerate(L.YEAR_PAGE_PATTERNS))
     ny = D.nearest_year("f.title", "f.extract", "t.year")
     month = "CAST(ym // 100 AS VARCHAR) || '-' || lpad(CAST(ym % 100 AS VARCHAR), 2, '0') || '-01'"
@@ -257,7 +259,8 @@ iev AS (SELECT CAST(year AS INT) AS year,
   FROM ic WHERE year BETWEEN {lo} AND {hi} AND value <> 0 AND prev <> 0 AND year >= 1
    AND ((indicator = 'NY.GDP.MKTP.CD' AND change_pct <= -2.0) OR (indicator = 'FP.CPI.TOTL.ZG' AND value >= 10.0)
         OR (indicator = 'SL.UEM.TOTL.ZS' AND value >= 8.0))),
-mp AS (SELECT symbol, {month} AS date, close FROM monthly_series WHERE CAST(ym // 100 AS INT) BETWEEN {lo} AND {hi}),
+mp AS (SELECT symbol, {month} AS date, close FROM monthly_series
+  WHERE CAST(ym // 100 AS INT) BETWEEN {lo} AND {hi} AND {hi} >= {L.MARKET_MIN_END_YEAR}),
 mc AS (SELECT *, (close - prev_close) / nullif(prev_close, 0) * 100.0 AS change_pct
        FROM (SELECT *, lag(close) OVER (PARTITION BY symbol ORDER BY date) AS prev_close FROM mp)),
 mev AS (SELECT CAST(substr(date, 1, 4) AS INT) AS year, 'Stock market crash - ' || symbol AS title,
@@ -279,12 +282,12 @@ news_ev AS (SELECT 'news' AS collector, 2 AS prio, CAST(substr(published_at, 1,
   {D.clean_text('title')} AS title, 'news_api' AS source, category, CAST(category_idx AS BIGINT) AS k1,
   CAST(keyword_idx AS BIGINT) AS k2, CAST(-relevance AS BIGINT) AS k3, CAST(article_id AS BIGINT) AS k4,
   CAST(0 AS BIGINT) AS k5, CAST(0 AS BIGINT) AS k6, '' AS s1, '' AS s2 FROM nok),
-u AS (SELECT * FROM wiki_ev UNION ALL SELECT * FROM econ_ev UNION ALL SELECT * FROM news_ev),
+u AS ({events}),
 hs AS (SELECT *, md5(concat_ws('_', coalesce(CAST(year AS VARCHAR), 'None'), coalesce(title, 'None'),
        coalesce(source, 'None'))) AS event_hash FROM u),
 d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_hash
        ORDER BY prio, k1, k2, k3, k4, k5, k6, s1, s2) AS rn FROM hs) WHERE rn = 1),
-v AS (SELECT collector, CAST({lo} + floor((year - {lo}) / 50) * 50 AS INT) AS batch_start,
+v AS (SELECT collector, CAST({lo} + floor((year - {lo}) / {batch}) * {batch} AS INT) AS batch_start,
   coalesce(year <> 0 AND title <> '' AND category <> '' AND year BETWEEN 1 AND 2025 AND category IN ({cats})
     AND length(title) BETWEEN 3 AND 500, false) AS valid FROM d)
 SELECT collector, batch_start, COUNT(*) AS events_collected, COUNT(*) FILTER (WHERE valid) AS events_saved,
@@ -303,6 +306,27 @@ def q_collection_run_summary(spark, sf):
     return summary
 
 
+PRESET_DATE = dt.date(1997, 6, 1)
+
+
+@register("preset_historical", _collection_sql(1, L.YEAR_RANGE[1], PRESET_DATE, L.BATCH_SIZE_FULL))
+def q_preset_historical(spark, sf):
+    """L4: the run over all years, by source and batch of years."""
+    return pipeline.collect_historical(spark, _landed(spark, sf), as_of_date=PRESET_DATE)[1]
+
+
+@register("preset_sample", _collection_sql(PRESET_DATE.year - 100, PRESET_DATE.year, PRESET_DATE, L.BATCH_SIZE_SAMPLE))
+def q_preset_sample(spark, sf):
+    """L4: the run over the last hundred years."""
+    return pipeline.collect_sample(spark, _landed(spark, sf), as_of_date=PRESET_DATE)[1]
+
+
+@register("preset_recent", _collection_sql(PRESET_DATE.year - 1, PRESET_DATE.year, PRESET_DATE, L.BATCH_SIZE_RECENT, ("economic", "news")))
+def q_preset_recent(spark, sf):
+    """L4: news and economic events of the last and current year, year by year."""
+    return pipeline.collect_recent(spark, _landed(spark, sf), as_of_date=PRESET_DATE)[1]
+
+
 @register("source_rollup", _DEDUPE_SQL + f""",
 v AS (SELECT source, CAST(1 + floor((year - 1) / 50) * 50 AS INT) AS batch_start,
         coalesce(year <> 0 AND title <> '' AND category <> '' AND year BETWEEN 1 AND 2025

@@ -43,10 +43,10 @@ def validation_report(spark: SparkSession, events: DataFrame, root_col: str = "d
     comp = stats.completeness(spark, ev)
     acc = stats.root_accuracy(ev, root_col)
     errors = stats.root_errors(ev, root_col, 10)
-    dup_count = dedupe.near_duplicate_count(ev)
+    duplicates, dup_count = dedupe.duplicate_detection(ev)
     summary = stats.report_summary(comp, acc, dup_count)
     return {"data_completeness": comp, "digital_root_validation": acc, "incorrect_events": errors,
-            "duplicate_detection": dedupe.near_duplicates(ev), "summary": summary}
+            "duplicate_detection": duplicates, "summary": summary}
 
 
 def validation_report_row(spark: SparkSession, events: DataFrame) -> DataFrame:
