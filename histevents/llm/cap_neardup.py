@@ -11,7 +11,11 @@ that share a filter are compared by cosine in double precision.
 A height of 3.5 deviations (1/sqrt(d) for a random direction) lets a vector of
 64 components pass 27 filters on average, but the number differs from place to
 place, and a whole group of copies shares its place; so a vector with fewer
-than ``LEAST`` lowers its height until it passes its ``LEAST`` best.  In few
+than ``LEAST`` lowers its height until it passes its ``LEAST`` best.  The codes
+grow with the label of most classes: its classes pass ``PASSED`` filters each,
+and there are so many words, and the height is raised so far, that a filter
+holds about ``HELD`` of them (``words_for``); so comparisons grow with the table,
+not its square.  In few
 dimensions the height stays at 0.6 and a code has fewer words.  tests/llm and
 the README measure the recall against brute force.
 
@@ -30,7 +34,9 @@ table gives no rows.
 
 from __future__ import annotations
 
+import math
 from functools import cache
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -41,16 +47,30 @@ from histevents.llm.tables import read, stage
 
 COSINE, SEED = 0.93, 7
 CODES, WORDS, DEVIATIONS, LEAST_HEIGHT, PASSED, LEAST = 12, 128, 3.5, 0.6, 27, 24
+HELD = 64
 BLOCK = 1024
 
 
+def words_for(classes: int) -> int:
+    """Words of a half, for a label of so many classes: CODES * words ** 2 filters
+    hold ``HELD`` of them each, if a class passes ``PASSED``."""
+    return max(WORDS, math.ceil(math.sqrt(classes * PASSED / HELD / CODES)))
+
+
+def deviations_for(most: int) -> float:
+    """The height, in deviations, that as few of more words pass as ``DEVIATIONS``
+    of ``WORDS``."""
+    normal = NormalDist()
+    return -normal.inv_cdf(normal.cdf(-DEVIATIONS) * (WORDS / most) ** 2)
+
+
 @cache
-def code(d: int) -> tuple[list[list[np.ndarray]], list[np.ndarray], float]:
+def code(d: int, most: int = WORDS) -> tuple[list[list[np.ndarray]], list[np.ndarray], float]:
     """The codes (per half its words, scaled), the halves' coordinates (per code
-    its own random halves), and the height."""
+    its own random halves), and the height; ``most`` words a half."""
     rng = np.random.default_rng([SEED, d])
     cut = [slice(0, d - d // 2), slice(d - d // 2, d)] if d > 1 else [slice(0, d)]
-    height = min(DEVIATIONS / np.sqrt(d), LEAST_HEIGHT)
+    height = min(deviations_for(most) / np.sqrt(d), LEAST_HEIGHT)
 
     def words(n: int) -> list[np.ndarray]:
         found = []
@@ -63,14 +83,14 @@ def code(d: int) -> tuple[list[list[np.ndarray]], list[np.ndarray], float]:
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     trial = [x[:, s] @ w.T for s, w in zip(cut, words(256))]
     share = np.mean(trial[0][:, :, None] + (trial[1][:, None, :] if len(cut) > 1 else 0) >= height)
-    n = WORDS if height < LEAST_HEIGHT else int(np.clip((PASSED / CODES / max(share, 1e-9)) ** (1 / len(cut)), 4, WORDS))
+    n = most if height < LEAST_HEIGHT else int(np.clip((PASSED / CODES / max(share, 1e-9)) ** (1 / len(cut)), 4, most))
     halves = [[p[s] for s in cut] for p in (rng.permutation(d) for _ in range(CODES))]
     return [words(n) for _ in range(CODES)], halves, float(height)
 
 
-def _reached(x: np.ndarray, height: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _reached(x: np.ndarray, height: float, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, filter, score), by row, of the filters at a height."""
-    codes, halves, _ = code(x.shape[1])
+    codes, halves, _ = code(x.shape[1], most)
     rows, numbers, scores = [], [], []
     for c, (words, half) in enumerate(zip(codes, halves)):
         n = len(words[0])
@@ -89,12 +109,12 @@ def _reached(x: np.ndarray, height: float) -> tuple[np.ndarray, np.ndarray, np.n
     return row[order], number[order], score[order]
 
 
-def passed(x: np.ndarray) -> list[np.ndarray]:
+def passed(x: np.ndarray, most: int = WORDS) -> list[np.ndarray]:
     """Sorted numbers of the filters that each unit row of x passes."""
-    height, out, left = code(x.shape[1])[2], [np.empty(0, np.int64)] * len(x), np.arange(len(x))
+    height, out, left = code(x.shape[1], most)[2], [np.empty(0, np.int64)] * len(x), np.arange(len(x))
     lowered = False
     while len(left):
-        row, number, score = _reached(x[left], height)
+        row, number, score = _reached(x[left], height, most)
         count = np.bincount(row, minlength=len(left))
         ends = np.cumsum(count)
         done = (count >= LEAST) | (height < 0.02)
@@ -107,22 +127,22 @@ def passed(x: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _by_length(rows: list[np.ndarray]):
+def _by_length(rows: list[np.ndarray], most: int):
     """Row numbers of vectors of one length, some at a time, and their filters."""
     for d in sorted({len(v) for v in rows}):
         own = [i for i, v in enumerate(rows) if len(v) == d]
         for at in range(0, len(own), 1024):
             part = own[at:at + 1024]
             x = np.stack([rows[i] / np.abs(rows[i]).max() for i in part])
-            yield part, passed(x / np.linalg.norm(x, axis=1, keepdims=True))
+            yield part, passed(x / np.linalg.norm(x, axis=1, keepdims=True), most)
 
 
-def _filtered(batches):
+def _filtered(batches, most: int):
     """(cls, label, dim, filter) for every filter a class passes."""
     for b in batches:
         cls, label = b.column("cls").to_numpy(), b.column("label").to_numpy()
         rows = [np.array(v, np.float64) for v in b.column("v").to_pylist()]
-        for own, found in _by_length(rows):
+        for own, found in _by_length(rows, most):
             n = [len(f) for f in found]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(cls[own], n)), pa.array(np.repeat(label[own], n)),
@@ -200,12 +220,12 @@ def _compare(cosine: float):
     return run
 
 
-def _packed(batches):
+def _packed(batches, most: int):
     """Vectors and filter lists of classes as binary values."""
     for b in batches:
         rows = [np.array(v, np.float64) for v in b.column("v").to_pylist()]
         packed, lists = [(v / np.abs(v).max()).astype("<f8").tobytes() for v in rows], [b""] * len(rows)
-        for own, found in _by_length(rows):
+        for own, found in _by_length(rows, most):
             for i, f in zip(own, found):
                 lists[i] = f.astype("<i8").tobytes()
         yield pa.RecordBatch.from_arrays(
@@ -229,8 +249,10 @@ def links(cls: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFra
     key = ["label", "dim", "filter"]
     kind = dict(cls.dtypes)["label"]
     label = F.col("label").cast("long") if kind in ("tinyint", "smallint", "int", "bigint") else F.xxhash64("label")
+    largest = cls.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    most = words_for(largest)
     rows = stage(cls.repartition(n, "cls").select("cls", label.alias("label"), "v").mapInArrow(
-        _filtered, "cls bigint, label bigint, dim bigint, filter bigint"), "cap-filters")
+        lambda batches: _filtered(batches, most), "cls bigint, label bigint, dim bigint, filter bigint"), "cap-filters")
     shared = rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").withColumn(
         "blocks", F.ceil(F.col("n") / block)).drop("n")
     own = F.pmod(F.xxhash64("cls"), F.col("blocks"))
@@ -238,7 +260,7 @@ def links(cls: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFra
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
         lambda o: F.least("own", o) * F.col("blocks") + F.greatest("own", o)))).drop("blocks")
     packed = cls.repartition(n, "cls").select("cls", "size", "v").mapInArrow(
-        _packed, "cls bigint, size bigint, v binary, filters binary")
+        lambda batches: _packed(batches, most), "cls bigint, size bigint, v binary, filters binary")
     return stage(
         dealt.join(packed, "cls").repartition(n, *key, "part").sortWithinPartitions(*key, "part")
         .mapInArrow(_compare(cosine), "u bigint, v bigint, add bigint"), "cap-links")

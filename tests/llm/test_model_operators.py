@@ -423,3 +423,24 @@ def test_attributes_that_hide(attribute):
 def test_header_of_an_article():
     page = "<body><article><header><p>By A. Writer, 3 May</p></header><h1>Title</h1><p>Text.</p></article></body>"
     assert [t for _, t in html_extract.blocks(html_extract.parse(page))] == ["Title", "Text."]
+
+
+def test_cap_filters_grow_with_the_label():
+    """More classes get more words and a greater height: random pairs that meet
+    become fewer as filters become more, near pairs still meet."""
+    from collections import Counter
+
+    assert [cap_neardup.words_for(n) for n in (0, 10_000, 12_000_000)] == [128, 128, 650]
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.standard_normal((300, 64))
+    z -= (z * x[:300]).sum(1, keepdims=True) * x[:300]
+    near = 0.93 * x[:300] + np.sqrt(1 - 0.93 ** 2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    met = {}
+    for words in (128, 512):
+        own, others = cap_neardup.passed(x, words), cap_neardup.passed(near, words)
+        assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(own, others)]) >= 0.99
+        held = Counter(np.concatenate(own).tolist())
+        met[words] = sum(n * (n - 1) // 2 for n in held.values())
+    assert met[512] < met[128] / 8
