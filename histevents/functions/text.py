@@ -27,6 +27,9 @@ NONWORD = r"[^\p{L}\p{N}_]"
 BOUNDARY = r"(?:^|" + NONWORD + r")"
 CAP_WORD = r"[A-Z][a-z]+"
 
+# FIXED VALUES: the patterns of years, sections, sentences, places, people and
+# news fields.  They are put together from the classes above because the engine's
+# own \s, \w and \b know ASCII only.
 YEAR_TOKEN = r"(?<![\p{L}\p{N}_])(1[0-9]{3}|20[0-9]{2})(?![\p{L}\p{N}_])"
 SECTION_HEADER = r"=+" + WS + r"*([^=]+?)" + WS + r"*=+"
 BULLET = r"^[•\-*]" + WS + r"*"
