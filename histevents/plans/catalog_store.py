@@ -136,7 +136,7 @@ def q_store_quarantine(spark, sf):
 
 @register("store_refresh", _STORED + f""",
 rejected AS (SELECT {_d_errors()} AS e FROM raw_events WHERE NOT {_VALID})
-SELECT 'stored' AS kind, CAST(century AS VARCHAR) AS key, COUNT(*) AS n_events, SUM(year) AS years FROM stored GROUP BY century
+SELECT 'stored' AS kind, CAST(century AS VARCHAR) AS key, COUNT(*) AS n_events, CAST(SUM(year) AS BIGINT) AS years FROM stored GROUP BY century
 UNION ALL SELECT 'rejected', array_to_string(e, ' | '), COUNT(*), NULL FROM rejected GROUP BY e
 """)
 def q_store_refresh(spark, sf):
