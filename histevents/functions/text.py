@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -297,6 +299,26 @@ def trigrams(text) -> Column:
     return F.array_distinct(F.flatten(grams))
 
 
+def _trigram_text(padded: pd.Series) -> pd.Series:
+    def one(text: str | None) -> str | None:
+        if text is None:
+            return None
+        c = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+        # a window over the end of a word has blanks in its last two places, a word's own never
+        own = (c[1:-1] != 32) | (c[2:] != 32)
+        grams = np.unique((c[:-2] << 42 | c[1:-1] << 21 | c[2:])[own])
+        return np.stack([grams >> 42, grams >> 21 & 0x1FFFFF, grams & 0x1FFFFF], 1).astype("<u4").tobytes().decode("utf-32-le")
+    return padded.map(one)
+
+
+def trigram_text(text) -> Column:
+    """The ``trigrams`` in code point order as one string, three characters each;
+    null if there is none."""
+    words = F.array_distinct(F.filter(F.split(F.lower(_c(text)), r"[^\p{L}\p{N}]+", -1), lambda w: w != ""))
+    padded = F.when(F.size(words) > 0, F.concat(F.lit("  "), F.array_join(words, "   "), F.lit(" ")))
+    return F.pandas_udf(_trigram_text, "string")(padded)
+
+
 def trigram_similarity(a, b) -> Column:
     """|A ∩ B| / |A ∪ B| of trigram sets; null when both are empty."""
     ta, tb = trigrams(a), trigrams(b)

@@ -16,18 +16,27 @@
 * ``near_duplicate_count``: the number of such pairs computed from group
   sizes (k*(k-1)/2 inside a signature, k_a*k_b across), so reports never
   materialise the pair list.
+* ``near_duplicate_links``: the same join for long texts, a row per text with
+  its class and its number of links.  A long text's rarest trigrams are shared
+  by much of its group, so a prefix saves little there and its rows are many
+  times the input.  Instead each class of equal trigram sets is one row, dealt
+  to blocks by size, and the blocks that sizes allow are compared whole, pair
+  by pair of blocks, by products of their 0/1 matrices; pairs are counted where
+  they are found and never leave their task.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from histevents import lexicons as L
 from histevents.functions.scalars import event_hash
-from histevents.functions.text import trigrams
+from histevents.functions.text import trigram_text, trigrams
 from histevents.session import staged
 
 NUM, DEN = L.NEAR_DUPLICATE_THRESHOLD  # similarity > NUM/DEN
@@ -236,6 +245,110 @@ def duplicate_detection(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _listing(events, pairs), _count(sigs, similar)
 
 
+CLASS_BLOCK = 8192  # classes per block that are compared whole
+LEFT_ROWS, RIGHT_ROWS, COLUMNS = 256, 1024, 8192  # of the matrices multiplied at a time
+
+
+def _dense(rows: np.ndarray, cols: np.ndarray, n_rows: int, lo: int, hi: int) -> np.ndarray:
+    """The 0/1 matrix of the columns lo to hi."""
+    out = np.zeros((n_rows, hi - lo), np.float32)
+    inside = (cols >= lo) & (cols < hi)
+    out[rows[inside], cols[inside] - lo] = 1
+    return out
+
+
+def _block_links(key: tuple, t: pa.Table) -> pa.Table:
+    """(_g, _sig, _links) of the classes of two blocks: the members of the other
+    block's classes (or of others of the same block) with similarity > NUM/DEN."""
+    first, second = key[1].as_py(), key[2].as_py()
+    t = t.select(["_g", "_sig", "_tri", "_n", "_k", "_own"])
+    order = np.argsort(t["_n"].to_numpy(), kind="stable")
+    n, k, own = (t[c].to_numpy()[order] for c in ("_n", "_k", "_own"))
+    ends = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
+
+    def grams(at: int) -> np.ndarray:  # of the next rows, a number each
+        some = "".join(t["_tri"].take(order[at:at + LEFT_ROWS]).to_pylist())
+        c = np.frombuffer(some.encode("utf-32-le"), "<u4").reshape(-1, 3).astype(np.int64)
+        return c[:, 0] << 42 | c[:, 1] << 21 | c[:, 2]
+
+    known = np.empty(0, np.int64)
+    for x in range(0, len(n), LEFT_ROWS):
+        known = np.union1d(known, grams(x))
+    cols = np.empty(ends[-1], np.int32)
+    for x in range(0, len(n), LEFT_ROWS):
+        cols[ends[x]:ends[min(x + LEFT_ROWS, len(n))]] = np.searchsorted(known, grams(x))
+    place, links = np.full(len(known), -1, np.int32), np.zeros(len(n), np.int64)
+    left, right = np.flatnonzero(own == first), np.flatnonzero(own == second)
+
+    def entries(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = np.concatenate([cols[ends[r]:ends[r + 1]] for r in at])
+        return np.repeat(np.arange(len(at), dtype=np.int32), n[at]), found
+
+    for x in range(0, len(left), LEFT_ROWS):
+        a = left[x:x + LEFT_ROWS]
+        rows_a, cols_a = entries(a)
+        used = np.unique(cols_a)
+        place[used] = np.arange(len(used))
+        lo, hi = (np.searchsorted(n[right], v, side) for v, side in (
+            (n[a[0]] * NUM // DEN, "right"), (-(-n[a[-1]] * DEN // NUM), "left")))  # sizes that can match
+        lo = max(lo, x) if first == second else lo
+        matrices = [_dense(rows_a, place[cols_a], len(a), s, min(s + COLUMNS, len(used)))
+                    for s in range(0, len(used), COLUMNS)]
+        for y in range(lo, hi, RIGHT_ROWS):
+            b = right[y:min(y + RIGHT_ROWS, hi)]
+            rows_b, cols_b = entries(b)
+            cols_b, shared = place[cols_b], 0
+            for s, m in zip(range(0, len(used), COLUMNS), matrices):
+                shared = shared + m @ _dense(rows_b, cols_b, len(b), s, s + m.shape[1]).T
+            hit = shared.astype(np.int64) * (DEN + NUM) > (n[a][:, None].astype(np.int64) + n[b]) * NUM
+            if first == second:
+                hit &= a[:, None] < b
+            links[a] += hit @ k[b]
+            links[b] += k[a] @ hit
+        place[used] = -1
+    found = np.empty_like(links)
+    found[order] = links
+    return t.select(["_g", "_sig"]).append_column("_links", pa.array(found))
+
+
+def near_duplicate_links(events: DataFrame, id_col: str = "id", text_col: str = "title", group_col: str = "year",
+                         block: int | None = None) -> DataFrame:
+    """(id, class_id, n_links) of every row: the smallest id among the rows of its
+    group with its trigram set, and the other rows of its group with similarity
+    > 0.8, those of its class included.  A row without a group or a trigram is a
+    class of its own."""
+    block = block or CLASS_BLOCK
+    tri = trigram_text(F.col(text_col))
+    texts = staged(events.select(F.col(id_col).alias("_id"), F.col(group_col).alias("_g"), tri.alias("_tri")).select(
+        "_id", "_g", F.unhex(F.sha2("_tri", 256)).alias("_sig"), F.floor(F.length("_tri") / 3).cast("int").alias("_n"), "_tri"), "trigrams")
+    linked = texts.where("_g is not null and _n > 0")
+    # classes in the order of their sizes, dealt to blocks
+    classes = linked.groupBy("_g", "_sig", "_n").agg(F.count("*").alias("_k"), F.min("_id").alias("_class"))
+    classes = staged(classes, "classes")
+    before = Window.partitionBy("_g").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = classes.groupBy("_g", "_n").agg(F.count("*").alias("_c")).withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+    sizes = staged(sizes, "class-sizes")
+    number = lambda place: F.floor((F.col("_before") + place) / F.lit(block))
+    blocks = sizes.select("_g", "_n", F.explode(F.sequence(number(F.lit(0)), number(F.col("_c") - 1))).alias("_own")) \
+        .groupBy("_g", "_own").agg(F.min("_n").alias("lo"), F.max("_n").alias("hi"))
+    a = blocks.select("_g", F.col("_own").alias("_i"), "hi")
+    b = blocks.select("_g", F.col("_own").alias("_j"), "lo")
+    met = a.join(b, "_g").where((F.col("_i") <= F.col("_j")) & (F.col("hi") * DEN > F.col("lo") * NUM)).select(
+        "_g", "_i", "_j", F.explode(F.array_distinct(F.array("_i", "_j"))).alias("_own"))
+    met = staged(met.groupBy("_g", "_own").agg(F.collect_list(F.struct("_i", "_j")).alias("_met")), "class-blocks")
+    # one text per class, sent to the blocks its own is compared with
+    sent = linked.groupBy("_g", "_sig", "_n").agg(F.count("*").alias("_k"), F.first("_tri").alias("_tri")).join(sizes, ["_g", "_n"]) \
+        .withColumn("_own", number(F.pmod(F.xxhash64("_sig"), F.col("_c")))).join(met, ["_g", "_own"]) \
+        .select("_g", "_own", "_sig", "_n", "_k", "_tri", F.inline("_met"))
+    group = dict(sent.dtypes)["_g"]
+    links = sent.groupBy("_g", "_i", "_j").applyInArrow(_block_links, f"_g {group}, _sig binary, _links bigint") \
+        .groupBy("_g", "_sig").agg(F.sum("_links").alias("_links"))
+    known = classes.join(links, ["_g", "_sig"]).select("_g", "_sig", "_class", (F.col("_links") + F.col("_k") - 1).alias("_links"))
+    return texts.select("_id", "_g", "_sig").join(known, ["_g", "_sig"], "left").select(
+        F.col("_id").alias("id"), F.when(F.col("_links").isNull(), F.col("_id")).otherwise(F.col("_class")).alias("class_id"),
+        F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def near_duplicate_pairs_direct(events: DataFrame, id_col: str = "id", text_col: str = "title",
                                 group_col: str = "year") -> DataFrame:
     """Reference form of the self-join (equi on group, theta on id and

@@ -10,6 +10,7 @@ from decimal import ROUND_HALF_EVEN, Decimal
 from pyspark.sql import functions as F
 
 from histevents.functions import scalars as S
+from histevents.functions import text as T
 from histevents.operators import cycles, dedupe, detect, stats, validate
 from histevents.plans.catalog import raw_events
 from tests.conftest import SF_SMALL, one
@@ -34,6 +35,31 @@ def test_block_split_expansion(spark):
     assert small_blocks == _pairs(dedupe.near_duplicate_pairs_direct(ev))
 
 
+def test_links_of_long_texts_equal_direct(spark):
+    """Blocks of a few classes, copies, repeated and null ids, groups and texts:
+    every row's links are those of the direct comparison."""
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("abcdeéñ中𝄞", k=rnd.randint(1, 7))) for _ in range(60)]
+    rows = [(None, "word one", "s"), (1, None, "s"), (2, "", "s"), (3, " .-", "t"), (4, "same words", None), (4, "same words", None)]
+    for i in range(120):
+        text = rnd.sample(words, rnd.randint(1, 25))
+        rows += [(i, " ".join(text), rnd.choice("st")), (i % 50, " ".join(text + rnd.sample(words, 1)).upper(), rnd.choice("st"))]
+    ev = spark.createDataFrame(rows, "id int, title string, year string")
+    sets = [frozenset(t for t in r.t or ()) for r in ev.select(T.trigrams("title").alias("t")).collect()]
+    want = []
+    for (i, _, g), t in zip(rows, sets):
+        near = [(j, u) for (j, _, h), u in zip(rows, sets) if t and g == h and g is not None and 5 * len(t & u) > 4 * len(t | u)]
+        same = [j for j, u in near if u == t and j is not None]
+        want.append((i, (min(same) if same else None) if near else i, max(len(near) - 1, 0)))
+    assert sum(n for _, _, n in want) > 50
+    for block in (7, 8192):
+        assert sorted(_pairs_key(r) for r in dedupe.near_duplicate_links(ev, block=block).collect()) == sorted(map(_pairs_key, want))
+
+
+def _pairs_key(row):
+    return tuple(-1 if x is None else x for x in row)
+
+
 def test_prefix_join_random_titles(spark):
     rnd = random.Random(3)
     words = ["war", "treaty", "crisis", "market", "crash", "new", "york", "peace", "deal", "signed"]
