@@ -9,7 +9,8 @@ splits of Spark's text reader apply, and a scan over the pieces finds the ends
 of the list's elements: a piece turns "inside a string" round or not, and moves
 the nesting by an amount that depends on where it began, so two running sums
 (inside the splits, then over one row per split) give both for every piece.
-The pieces of an element are put together and parsed by themselves.  JSON
+The pieces of an element are put together and parsed by themselves, and their
+events are numbered the same way, ``ELEMENTS`` at a time.  JSON
 lines (one event per line) are read line by line.
 """
 
@@ -141,6 +142,9 @@ def _parsed(e: DataFrame) -> DataFrame:
     return e.withColumn("doc", F.try_parse_json(F.when(F.col("is_list"), own).otherwise(F.col("text"))))
 
 
+ELEMENTS = 10_000  # of a file that are numbered together
+
+
 def read_event_file(spark: SparkSession, path: str) -> DataFrame:
     """(file, event_index, v): every event of every JSON file under ``path``;
     a file that is not valid JSON gives one row with ``v`` null."""
@@ -150,8 +154,8 @@ def read_event_file(spark: SparkSession, path: str) -> DataFrame:
     # objects end a text, so an event's number is known from the texts before
     sizes = parsed.select("file", "element", F.when(F.schema_of_variant("doc").startswith("ARRAY"), F.size(
         F.try_variant_get("doc", "$", "array<variant>"))).otherwise(1).alias("n"))
-    before = Window.partitionBy("file").orderBy("element").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("file", "element", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    sizes = _running(sizes.select("file", F.floor(F.col("element") / F.lit(ELEMENTS)).alias("split"), F.col("element").alias("seq"), "n"),
+                     "n", "_before_all").select("file", F.col("seq").alias("element"), F.col("_before_all").alias("_before"))
     good = events.join(sizes, ["file", "element"]).select(
         "file", (F.col("_before") + F.col("event_index")).cast("int").alias("event_index"), "v")
     empty = spark.createDataFrame([(f,) for f in empty_files(spark, path)], "file string")
