@@ -7,7 +7,9 @@ match, and children are aligned one by one, in order, so that they share most
 texts.  A block whose text is the reference's on ``SHARE`` of the different
 pages of that host or layout that have such a place (the same tags and classes
 down from the root), and on ``LEAST_PAGES`` at least, is template; other slots
-are content.  Copies of a page count once.
+are content.  Copies of a page count once.  A block that no reference of the group
+holds is template if its text stands at its place (the same tags and classes
+down from the root) on as many pages.
 
 A page's own marks come first: what lies in menus, footers, sidebars, notices,
 adverts, forms, scripts or reader comments by tag, role, class or id is never
@@ -37,6 +39,7 @@ import re
 from functools import lru_cache
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -45,8 +48,8 @@ from histevents.llm.tables import read, stage
 SHARE, LEAST_PAGES, BROADCAST_BYTES = 0.8, 5, 32_000_000
 #: Reference pages of a host, and of each layout.
 REFERENCES = 4
-#: Pairs of children with one text that are all tried; beyond, as many to either side.
-DENSE, BAND = 4096, 16
+#: Pairs of children with one text that are listed; beyond, all are compared row by row.
+DENSE = 4096
 #: What makes a layout: the tags of this kind, with their classes.
 SKELETON = (r"(?i)<(?:article|aside|body|div|footer|form|header|main|nav|ol|section|table|ul)(?=[\s>])"
             r"(?:[^<>]*?\sclass\s*=\s*(?:\"[^\"<>]*\"|'[^'<>]*'|[^\s\"'<>]+))?")
@@ -423,16 +426,11 @@ def _matched(a: Tree, left: list[int], b: Tree, right: list[int], common: frozen
         for i, n in enumerate(nodes):
             for t in common.intersection(tree.texts[tree.first[n]:tree.end[n]]):
                 where.setdefault((tree.keys[n], t), []).append(i)
+    if any(len(ours) * len(places[1].get(key, ())) > DENSE for key, ours in places[0].items()):
+        return [(left[i], right[j]) for i, j in _heaviest(a, left, b, right, common, places[1])]
     score: dict[tuple[int, int], int] = {}
     for key, ours in places[0].items():
-        theirs = places[1].get(key, ())
-        if len(ours) * len(theirs) <= DENSE:
-            pairs = {(i, j) for i in ours for j in theirs}
-        else:  # a text in many children: a band from either end
-            n, m = len(ours), len(theirs)
-            pairs = {(ours[i], theirs[j]) for i in range(n) for d in range(-BAND, BAND + 1)
-                     for j in (i + d, i + d + m - n) if 0 <= j < m}
-        for pair in pairs:
+        for pair in ((i, j) for i in ours for j in places[1].get(key, ())):
             score[pair] = score.get(pair, 0) + 2
     for i, j in score:
         x, y = left[i], right[j]
@@ -461,6 +459,53 @@ def _matched(a: Tree, left: list[int], b: Tree, right: list[int], common: frozen
     return out
 
 
+def _heaviest(a: Tree, left: list[int], b: Tree, right: list[int], common: frozenset, places: dict) -> list[tuple[int, int]]:
+    """The heaviest increasing chain over all pairs, a row of their weights at a
+    time (Hirschberg: the rows are halved, so no table of them is kept)."""
+    kinds: dict[tuple, int] = {}
+    ours, theirs = (np.array([kinds.setdefault((t.keys[n], *t.texts[t.first[n]:t.end[n]]), len(kinds)) for n in nodes])
+                    for t, nodes in ((a, left), (b, right)))
+    kind = list(kinds)
+    held, nowhere = {k: np.array(v) for k, v in places.items()}, np.empty(0, np.int64)
+
+    @lru_cache(64)
+    def weights(k: int) -> np.ndarray:
+        row = np.zeros(len(right), np.int64)
+        for t in common.intersection(kind[k][1:]):
+            row[held.get((kind[k][0], t), nowhere)] += 2
+        row[(row > 0) & (theirs == k)] += 1
+        return row
+
+    def best(rows, j0: int, j1: int, step: int) -> np.ndarray:
+        out = np.zeros(j1 - j0 + 1, np.int64)
+        for i in rows:
+            out[1:] = np.maximum.accumulate(np.maximum(out[1:], out[:-1] + weights(ours[i])[j0:j1][::step]))
+        return out
+
+    # equal children at either end match: no other pair of theirs weighs more
+    n, m, head, tail = len(left), len(right), 0, 0
+    while head < min(n, m) and ours[head] == theirs[head]:
+        head += 1
+    while tail < min(n, m) - head and ours[n - 1 - tail] == theirs[m - 1 - tail]:
+        tail += 1
+    ends = [*((i, i) for i in range(head)), *((n - 1 - i, m - 1 - i) for i in range(tail))]
+    out = [(i, j) for i, j in ends if not common.isdisjoint(kind[ours[i]][1:])]
+    todo = [(head, n - tail, head, m - tail)]
+    while todo:
+        i0, i1, j0, j1 = todo.pop()
+        if i0 >= i1 or j0 >= j1:
+            continue
+        if i1 - i0 == 1:
+            row = weights(ours[i0])[j0:j1]
+            if row.any():
+                out.append((i0, j0 + int(row.argmax())))
+            continue
+        half = (i0 + i1) // 2
+        j = j0 + int((best(range(i0, half), j0, j1, 1) + best(range(i1 - 1, half - 1, -1), j0, j1, -1)[::-1]).argmax())
+        todo += [(i0, half, j0, j), (half, i1, j, j1)]
+    return sorted(out)
+
+
 def same(reference: Tree, own: Tree) -> list[tuple[int, int]]:
     """(reference node, block number) where a block has the reference's text."""
     partner = {y: x for x, y in align(reference, own)}
@@ -504,7 +549,7 @@ def _parsed(batches, references=None):
                         compared[page] = same(tree, own) if not tree.known.isdisjoint(own.known) else []
                     out += [{"grp": grp, "slot": hash((page, n)), "path": tree.paths[n], "block": k} for n, k in compared[page]]
             found.append(own.texts)
-            paths.append(sorted({own.paths[n] for n in own.node}))
+            paths.append([own.paths[n] for n in own.node])
             slots.append(out)
         yield pa.RecordBatch.from_arrays(
             [*map(b.column, _KEPT), pa.array(found, pa.list_(pa.string())), pa.array(paths, pa.list_(pa.int64())),
@@ -550,9 +595,10 @@ def extract(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFra
     parsed = stage(parsed, "blocks")
     several = F.size("same") > 0
     # copies of a page count once: first by (host, page), then by group and path or slot
-    distinct = parsed.where("host is not null and size(blocks) > 0").groupBy("host", "page").agg(
-        F.first("layout").alias("layout"), F.first("paths").alias("paths"), F.first("same").alias("same"))
-    have = distinct.select("host", F.explode(F.array(F.lit(0).cast("long"), "layout")).alias("grp"), "paths").select(
+    mark = F.zip_with("paths", "blocks", lambda p, t: F.struct(p.alias("path"), F.xxhash64(t).alias("text")))
+    distinct = parsed.where("host is not null and size(blocks) > 0").withColumn("marks", F.array_distinct(mark)).groupBy("host", "page").agg(
+        F.first("layout").alias("layout"), F.first("marks").alias("marks"), F.first("same").alias("same"))
+    have = distinct.select("host", F.explode(F.array(F.lit(0).cast("long"), "layout")).alias("grp"), F.array_distinct("marks.path").alias("paths")).select(
         "host", "grp", F.explode("paths").alias("path")).groupBy("host", "grp", "path").agg(F.count("*").alias("pages"))
     met = distinct.select("host", F.explode(F.array_distinct(F.transform(
         "same", lambda x: F.struct(x["grp"].alias("grp"), x["slot"].alias("slot"), x["path"].alias("path"))))).alias("s")).select(
@@ -560,15 +606,38 @@ def extract(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFra
     template = stage(
         met.join(have, ["host", "grp", "path"]).where(f"n >= {SHARE} * pages")
         .groupBy("host", "grp").agg(F.collect_set("slot").alias("slots")), "template")
+    # what no reference of a group holds is counted by place and text
+    drawn = references.select("host", "grp", "page", F.lit(True).alias("drawn"))
+    rest = distinct.select("host", "page", F.explode(F.array(F.lit(0).cast("long"), "layout")).alias("grp"), "marks").join(
+        drawn, ["host", "grp", "page"], "left").select("host", "grp", "drawn", F.inline("marks")).groupBy(
+        "host", "grp", "path", "text").agg(F.count("*").alias("n"), F.max("drawn").alias("drawn")).where(
+        f"n >= {LEAST_PAGES} and drawn is null")
+    rest = stage(rest.join(have, ["host", "grp", "path"]).where(f"n >= {SHARE} * pages").groupBy("host", "grp").agg(
+        F.collect_set(F.struct("path", "text")).alias("marks")), "rest")
+    if not rest.isEmpty():
+        parsed = (
+            parsed.withColumn("mark", mark)
+            .join(rest.where("grp = 0").select("host", F.col("marks").alias("wide")), "host", "left")
+            .join(rest.where("grp <> 0").select("host", F.col("grp").alias("layout"), F.col("marks").alias("close")),
+                  ["host", "layout"], "left")
+            .withColumn("alone", F.filter(F.sequence(F.lit(0), F.size("blocks") - 1), lambda i: F.coalesce(
+                F.array_contains("wide", F.get("mark", i)), F.lit(False)) | F.coalesce(
+                F.array_contains("close", F.get("mark", i)), F.lit(False))))
+            .drop("mark", "wide", "close"))
+        parsed = parsed.withColumn("alone", F.when(F.size("blocks") > 0, F.col("alone").cast("array<bigint>")).otherwise(
+            F.array().cast("array<bigint>")))
+    else:
+        parsed = parsed.withColumn("alone", F.array().cast("array<bigint>"))
+    several = several | (F.size("alone") > 0)
     none = F.array().cast("array<bigint>")
     marked = (
         parsed.where(several)
         .join(template.where("grp = 0").select("host", F.col("slots").alias("wide")), "host", "left")
         .join(template.where("grp <> 0").select("host", F.col("grp").alias("layout"), F.col("slots").alias("close")),
               ["host", "layout"], "left")
-        .withColumn("gone", F.transform(F.filter("same", lambda x: F.when(
+        .withColumn("gone", F.concat("alone", F.transform(F.filter("same", lambda x: F.when(
             x["grp"] == 0, F.array_contains(F.coalesce("wide", none), x["slot"])).otherwise(
-            F.array_contains(F.coalesce("close", none), x["slot"]))), lambda x: x["block"])))
+            F.array_contains(F.coalesce("close", none), x["slot"]))), lambda x: x["block"]))))
     left = F.filter("blocks", lambda t, i: ~F.array_contains("gone", i.cast("long")))
     whole = parsed.where(~several).select("page_id", "url", "blocks")
     # a page that is nothing but template is content after all

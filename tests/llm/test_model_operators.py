@@ -225,6 +225,47 @@ def test_align_long_runs():
     assert sum(b.texts[k] == "Go" for _, k in found) == 390 and b.texts[found[-1][1]] == "End"
 
 
+def test_align_far_from_the_ends():
+    """The runs of one text that match are near neither end of the longer list."""
+    go, held = "<li>Go</li>", ["<li>" + "".join(f"<p>{k}{i}</p>" for i in range(5)) + "</li>" for k in "hk"]
+    a = html_extract.Tree(f"<ul>{go * 100}{held[0]}{go * 100}{held[1]}{go * 100}</ul>")
+    b = html_extract.Tree(f"<ul>{held[0]}{go * 100}{held[1]}<li>x</li></ul>")
+    assert sorted(b.texts[k] for _, k in html_extract.same(a, b)) == sorted(["Go"] * 100 + [f"{k}{i}" for k in "hk" for i in range(5)])
+    assert len(html_extract.same(b, a)) == 110
+
+
+def test_chains_of_all_pairs_weigh_as_much(monkeypatch):
+    """Row by row, or listed: the heaviest chain, on random children."""
+    rnd = random.Random(2)
+
+    def weight(x, y, found):
+        below = lambda t, n: t.texts[t.first[n]:t.end[n]]
+        return sum(2 * len(set(below(x, i)) & set(below(y, j))) + (below(x, i) == below(y, j)) for i, j in found)
+    for _ in range(60):
+        trees = [html_extract.Tree("<ul>" + "".join(
+            f"<li class={rnd.choice('ab')}>" + "".join(f"<p>{rnd.choice('tuvw')}</p>" for _ in range(rnd.randint(1, 3))) + "</li>"
+            for _ in range(rnd.randint(2, 12))) + "</ul>") for _ in range(2)]
+        found = []
+        for dense in (4096, -1):
+            monkeypatch.setattr(html_extract, "DENSE", dense)
+            pairs = [(i, j) for i, j in html_extract.align(*trees) if trees[0].below[i] and len(trees[0].below[i]) < 99 and i > 1]
+            pairs = [(i, j) for i, j in pairs if i in trees[0].below[1]]
+            assert all(p < q and r < t for (p, r), (q, t) in zip(sorted(pairs), sorted(pairs)[1:]))
+            found.append(weight(*trees, pairs))
+        assert found[0] == found[1]
+
+
+def test_template_that_no_reference_holds(spark):
+    """A text of a few pages in a place that only they have is template, also
+    where none of the references is one of them."""
+    rows = [(100 * h + i, f"http://h{h}.example/{i}", f"<div><article><p>Story {h} {i}</p>" + (
+        "<p class=teaser>Read our letter</p>" if i < 6 else "") + "</article></div>") for h in range(6) for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for limit in (32_000_000, 0):
+        assert {r.page_id: r.text for r in html_extract.extract(df, broadcast_bytes=limit).collect()} == {
+            100 * h + i: f"Story {h} {i}" for h in range(6) for i in range(60)}
+
+
 @pytest.mark.parametrize("text", ["<" * 30_000, "<a " * 30_000, "<div>" * 3_000, "<a href='" * 10_000, "<!--" * 20_000, "&" * 9, "</p>" * 99])
 def test_parser_never_fails(text):
     html_extract.blocks(html_extract.parse(text))
