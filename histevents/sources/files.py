@@ -8,9 +8,9 @@ A file is never read whole by one task.  It is split at closing braces, the
 splits of Spark's text reader apply, and a scan over the pieces finds the ends
 of the list's elements: a piece turns "inside a string" round or not, and moves
 the nesting by an amount that depends on where it began, so two running sums
-(inside the splits, then over one row per split) give both for every piece.
+(inside chunks of the splits, then over one row per chunk) give both for every piece.
 The pieces of an element are put together and parsed by themselves, and their
-events are numbered the same way, ``ELEMENTS`` at a time.  JSON
+events are numbered the same way.  JSON
 lines (one event per line) are read line by line.
 """
 
@@ -23,6 +23,7 @@ from histevents.operators import validate
 from histevents.session import empty_files, staged
 
 INT_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT")
+CHUNK_BITS = 13  # 8192 numbers of pieces or elements, summed together
 FIELDS = ("year", "title", "description", "category", "source", "severity", "digital_root", "source_url", "date")
 
 
@@ -91,14 +92,16 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _running(df: DataFrame, value: str, out: str) -> DataFrame:
-    """``out``: the sum of ``value`` over all earlier pieces of the file.  Inside a
-    split it is a window, before it the sum of one row per split."""
-    inside = Window.partitionBy("file", "split").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    per_split = df.groupBy("file", "split").agg(F.sum(value).alias("_of_split")).select(
-        "file", "split", F.coalesce(F.sum("_of_split").over(before), F.lit(0)).alias("_before"))
-    return df.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0))).join(per_split, ["file", "split"]).withColumn(
-        out, F.col(out) + F.col("_before")).drop("_before")
+    """``out``: the sum of ``value`` over all earlier rows of the file.  Inside a
+    chunk of a split it is a window, before it the sum of one row per chunk."""
+    chunk = ["file", "split", "_chunk"]
+    df = df.withColumn("_chunk", F.shiftright("seq", CHUNK_BITS))
+    inside = Window.partitionBy(*chunk).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("file").orderBy("split", "_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    per_chunk = df.groupBy(*chunk).agg(F.sum(value).alias("_of_chunk")).select(
+        *chunk, F.coalesce(F.sum("_of_chunk").over(before), F.lit(0)).alias("_before"))
+    return df.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0))).join(per_chunk, chunk).withColumn(
+        out, F.col(out) + F.col("_before")).drop("_before", "_chunk")
 
 
 def _elements(pieces: DataFrame) -> DataFrame:
@@ -142,9 +145,6 @@ def _parsed(e: DataFrame) -> DataFrame:
     return e.withColumn("doc", F.try_parse_json(F.when(F.col("is_list"), own).otherwise(F.col("text"))))
 
 
-ELEMENTS = 10_000  # of a file that are numbered together
-
-
 def read_event_file(spark: SparkSession, path: str) -> DataFrame:
     """(file, event_index, v): every event of every JSON file under ``path``;
     a file that is not valid JSON gives one row with ``v`` null."""
@@ -154,7 +154,7 @@ def read_event_file(spark: SparkSession, path: str) -> DataFrame:
     # objects end a text, so an event's number is known from the texts before
     sizes = parsed.select("file", "element", F.when(F.schema_of_variant("doc").startswith("ARRAY"), F.size(
         F.try_variant_get("doc", "$", "array<variant>"))).otherwise(1).alias("n"))
-    sizes = _running(sizes.select("file", F.floor(F.col("element") / F.lit(ELEMENTS)).alias("split"), F.col("element").alias("seq"), "n"),
+    sizes = _running(sizes.select("file", F.lit(0).alias("split"), F.col("element").alias("seq"), "n"),
                      "n", "_before_all").select("file", F.col("seq").alias("element"), F.col("_before_all").alias("_before"))
     good = events.join(sizes, ["file", "element"]).select(
         "file", (F.col("_before") + F.col("event_index")).cast("int").alias("event_index"), "v")

@@ -287,6 +287,33 @@ def test_append_scans_the_store_once_behind_a_bloom_filter(spark, tmp_dir):
     assert "might_contain" in plan and len(scans) == 1  # the batch has no century
 
 
+def test_running_sums_stay_chunk_by_chunk(spark, monkeypatch, tmp_path):
+    """No window that numbers a file's elements has the file, or one of its
+    splits, as its only key; the numbers go on from chunk to chunk."""
+    monkeypatch.setattr(files, "CHUNK_BITS", 2)
+    (tmp_path / "list").write_text("[1,{}" + ",{},2" * 40 + "]")
+    rows = files.read_event_file(spark, str(tmp_path)).selectExpr("event_index", "to_json(v) as v").collect()
+    assert sorted((r.event_index, r.v) for r in rows) == [(0, "1"), (1, "{}")] + [(2 + i, "{}" if i % 2 == 0 else "2") for i in range(80)]
+    df = spark.range(20).selectExpr("'f' AS file", "0 AS split", "id AS seq", "id AS n")
+    out = files._running(df, "n", "before")
+    assert sorted((r.seq, r.before) for r in out.collect()) == [(i, i * (i - 1) // 2) for i in range(20)]
+    assert len([w for w in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window" in w and "_chunk" in w]) == 2
+
+
+def test_list_is_written_without_a_sort(spark, tmp_path):
+    """The only writer of the JSON list holds no rows, and the file is one list."""
+    from histevents.plans.catalog_store import _land_list
+    for n in (0, 1, 50):
+        docs = spark.range(n).selectExpr("id", "to_json(struct(id)) AS doc")
+        for whole in (True, False):
+            path = str(tmp_path / f"{n}-{whole}")
+            _land_list(docs, path, whole)
+            found = [p for p in os.listdir(path) if p.startswith("part-")]
+            text = "".join(open(os.path.join(path, p)).read() for p in found)
+            assert sorted(r["id"] for r in json.loads(text if whole else text + "]")) == list(range(n))
+            assert len([p for p in found if os.path.getsize(os.path.join(path, p))]) == 1
+
+
 def test_shared_trigram_stays_block_by_block(spark):
     """A third of a group shares a rare trigram: the candidate keys stay near
     block x block, and the pairs are those of the direct join."""
