@@ -16,21 +16,25 @@
 * ``near_duplicate_count``: the number of such pairs computed from group
   sizes (k*(k-1)/2 inside a signature, k_a*k_b across), so reports never
   materialise the pair list.
-* ``near_duplicate_links``: the same join for long texts, a row per text with
-  its class and its number of links.  A long text's rarest trigrams are shared
-  by much of its group, so a prefix saves little there and its rows are many
-  times the input.  Instead each class of equal trigram sets is one row, dealt
-  to blocks by size, and the blocks that sizes allow are compared whole, pair
-  by pair of blocks, by products of their 0/1 matrices; pairs are counted where
-  they are found and never leave their task.
+* ``near_duplicate_text_pairs``: the same pairs for long texts.  A long text's
+  rarest trigrams are shared by much of its group, so a prefix saves little
+  there and its rows are many times the input.  Instead each class of equal
+  trigram sets is one row with its ids (several rows, if it is large), dealt to
+  blocks by size, and the blocks that sizes allow are compared whole, pair by
+  pair of blocks, by products of their 0/1 matrices; pairs of ids are listed
+  where they are found, part by part, and not shuffled.
+* ``near_duplicate_links``: the same comparison, a row per text with its class
+  and its number of links; pairs are only counted.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -245,7 +249,9 @@ def duplicate_detection(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _listing(events, pairs), _count(sigs, similar)
 
 
-CLASS_BLOCK = 8192  # classes per block that are compared whole
+CLASS_BLOCK = 8192  # classes (for pairs: texts) per block that are compared whole
+UNIT = 256  # texts of a class, about, that travel in one row with their ids
+LISTED = 1 << 18  # pairs that a task lists at a time
 LEFT_ROWS, RIGHT_ROWS, COLUMNS = 256, 1024, 8192  # of the matrices multiplied at a time
 
 
@@ -257,13 +263,12 @@ def _dense(rows: np.ndarray, cols: np.ndarray, n_rows: int, lo: int, hi: int) ->
     return out
 
 
-def _block_links(key: tuple, t: pa.Table) -> pa.Table:
-    """(_g, _sig, _links) of the classes of two blocks: the members of the other
-    block's classes (or of others of the same block) with similarity > NUM/DEN."""
-    first, second = key[1].as_py(), key[2].as_py()
-    t = t.select(["_g", "_sig", "_tri", "_n", "_k", "_own"])
+def _similar_rows(t: pa.Table, first: int, second: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The rows of two blocks with similarity > NUM/DEN, part by part: rows of the
+    first, rows of the second, and the matrix of who is similar to whom.  No pair
+    comes twice, also where both blocks are the same."""
     order = np.argsort(t["_n"].to_numpy(), kind="stable")
-    n, k, own = (t[c].to_numpy()[order] for c in ("_n", "_k", "_own"))
+    n, own = (t[c].to_numpy()[order] for c in ("_n", "_own"))
     ends = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
 
     def grams(at: int) -> np.ndarray:  # of the next rows, a number each
@@ -277,7 +282,7 @@ def _block_links(key: tuple, t: pa.Table) -> pa.Table:
     cols = np.empty(ends[-1], np.int32)
     for x in range(0, len(n), LEFT_ROWS):
         cols[ends[x]:ends[min(x + LEFT_ROWS, len(n))]] = np.searchsorted(known, grams(x))
-    place, links = np.full(len(known), -1, np.int32), np.zeros(len(n), np.int64)
+    place = np.full(len(known), -1, np.int32)
     left, right = np.flatnonzero(own == first), np.flatnonzero(own == second)
 
     def entries(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -303,12 +308,92 @@ def _block_links(key: tuple, t: pa.Table) -> pa.Table:
             hit = shared.astype(np.int64) * (DEN + NUM) > (n[a][:, None].astype(np.int64) + n[b]) * NUM
             if first == second:
                 hit &= a[:, None] < b
-            links[a] += hit @ k[b]
-            links[b] += k[a] @ hit
+            yield order[a], order[b], hit
         place[used] = -1
-    found = np.empty_like(links)
-    found[order] = links
-    return t.select(["_g", "_sig"]).append_column("_links", pa.array(found))
+
+
+def _block_links(key: tuple, t: pa.Table) -> pa.Table:
+    """(_g, _sig, _links) of the classes of two blocks: the members of the other
+    block's classes (or of others of the same block) with similarity > NUM/DEN."""
+    t = t.select(["_g", "_sig", "_tri", "_n", "_k", "_own"])
+    k, links = t["_k"].to_numpy(), np.zeros(len(t), np.int64)
+    for a, b, hit in _similar_rows(t, key[1].as_py(), key[2].as_py()):
+        links[a] += hit @ k[b]
+        links[b] += k[a] @ hit
+    return t.select(["_g", "_sig"]).append_column("_links", pa.array(links))
+
+
+def _block_pairs(key: tuple[pa.Scalar, ...], rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_a, _b), the ids of two texts of two blocks (or of the same block) with
+    similarity > NUM/DEN, in either order."""
+    t = pa.Table.from_batches(rows).select(["_tri", "_n", "_ids", "_own"])
+    first, second = key[1].as_py(), key[2].as_py()
+    ids = pa.concat_arrays(c.flatten() for c in t["_ids"].chunks)
+    k = pc.list_value_length(t["_ids"]).to_numpy().astype(np.int64)
+    start = np.cumsum(k) - k
+
+    def listed(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+        n = k[a] * k[b]
+        part = np.cumsum(n) // LISTED
+        for at in np.split(np.arange(len(n)), np.flatnonzero(np.diff(part)) + 1):
+            pair = np.repeat(at, n[at])
+            place = np.arange(len(pair)) - np.repeat(np.cumsum(n[at]) - n[at], n[at])
+            i, j = start[a[pair]] + place // k[b[pair]], start[b[pair]] + place % k[b[pair]]
+            i, j = (x[(a[pair] != b[pair]) | (i < j)] for x in (i, j))  # of one row, each pair once
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(i)), ids.take(pa.array(j))], ["_a", "_b"])
+
+    if first == second:
+        several = np.flatnonzero(k > 1)
+        yield from listed(several, several)
+    for a, b, hit in _similar_rows(t, first, second):
+        x, y = np.nonzero(hit)
+        yield from listed(a[x], b[y])
+
+
+def _dealt(rows: DataFrame, sizes: DataFrame, block: int, *name: str) -> DataFrame:
+    """``rows`` (_g, _sig, _n, ...) of texts, ordered by size in their group and dealt
+    to blocks of about ``block`` places: a row for each pair of blocks (_i, _j) that
+    sizes allow and that its own, _own, is in.  ``sizes`` (_g, _n, _c) has the number
+    of places of each size; ``name`` tells the rows of a size apart."""
+    before = Window.partitionBy("_g").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = staged(sizes.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0))), "class-sizes")
+    number = lambda place: F.floor((F.col("_before") + place) / F.lit(block))
+    blocks = sizes.select("_g", "_n", F.explode(F.sequence(number(F.lit(0)), number(F.col("_c") - 1))).alias("_own")) \
+        .groupBy("_g", "_own").agg(F.min("_n").alias("lo"), F.max("_n").alias("hi"))
+    a = blocks.select("_g", F.col("_own").alias("_i"), "hi")
+    b = blocks.select("_g", F.col("_own").alias("_j"), "lo")
+    met = a.join(b, "_g").where((F.col("_i") <= F.col("_j")) & (F.col("hi") * DEN > F.col("lo") * NUM)).select(
+        "_g", "_i", "_j", F.explode(F.array_distinct(F.array("_i", "_j"))).alias("_own"))
+    met = staged(met.groupBy("_g", "_own").agg(F.collect_list(F.struct("_i", "_j")).alias("_met")), "class-blocks")
+    return rows.join(sizes, ["_g", "_n"]).withColumn("_own", number(F.pmod(F.xxhash64(*name), F.col("_c")))) \
+        .join(met, ["_g", "_own"]).drop("_c", "_before").select("*", F.inline("_met")).drop("_met")
+
+
+def _trigram_sets(events: DataFrame, id_col: str, text_col: str, group_col: str) -> DataFrame:
+    """(_id, _g, _sig, _n, _tri) of every row: its trigram set as a text, its size
+    and its hash."""
+    return events.select(F.col(id_col).alias("_id"), F.col(group_col).alias("_g"), trigram_text(F.col(text_col)).alias("_tri")).select(
+        "_id", "_g", F.unhex(F.sha2("_tri", 256)).alias("_sig"), F.floor(F.length("_tri") / 3).cast("int").alias("_n"), "_tri")
+
+
+def near_duplicate_text_pairs(events: DataFrame, id_col: str = "id", text_col: str = "title", group_col: str = "year",
+                              block: int | None = None, unit: int | None = None) -> DataFrame:
+    """(id, duplicate_id) pairs of long texts: same group, id < duplicate_id,
+    similarity > 0.8, as ``near_duplicate_pairs``.  A class of more than ``unit``
+    texts is dealt to several rows, which meet like different classes, so a block
+    has about ``block`` texts however many are equal."""
+    block, unit = block or CLASS_BLOCK, unit or UNIT
+    texts = _trigram_sets(events, id_col, text_col, group_col)
+    texts = staged(texts.where("_id is not null and _g is not null and _n > 0"), "trigrams")
+    classes = staged(texts.groupBy("_g", "_sig", "_n").agg(F.count("*").alias("_k")), "classes")
+    large = staged(classes.where(F.col("_k") > unit).select("_g", "_sig", F.ceil(F.col("_k") / F.lit(unit)).alias("_units")), "large-classes")
+    units = texts.join(large, ["_g", "_sig"], "left") \
+        .withColumn("_unit", F.pmod(F.xxhash64("_id"), F.coalesce("_units", F.lit(1)))) \
+        .groupBy("_g", "_sig", "_n", "_unit").agg(F.first("_tri").alias("_tri"), F.collect_list("_id").alias("_ids"))
+    sent = _dealt(units, classes.groupBy("_g", "_n").agg(F.sum("_k").alias("_c")), block, "_sig", "_unit")
+    kind = dict(texts.dtypes)["_id"]
+    found = sent.groupBy("_g", "_i", "_j").applyInArrow(_block_pairs, f"_a {kind}, _b {kind}")
+    return found.where(F.col("_a") != F.col("_b")).select(F.least("_a", "_b").alias("id"), F.greatest("_a", "_b").alias("duplicate_id"))
 
 
 def near_duplicate_links(events: DataFrame, id_col: str = "id", text_col: str = "title", group_col: str = "year",
@@ -318,28 +403,13 @@ def near_duplicate_links(events: DataFrame, id_col: str = "id", text_col: str =
     > 0.8, those of its class included.  A row without a group or a trigram is a
     class of its own."""
     block = block or CLASS_BLOCK
-    tri = trigram_text(F.col(text_col))
-    texts = staged(events.select(F.col(id_col).alias("_id"), F.col(group_col).alias("_g"), tri.alias("_tri")).select(
-        "_id", "_g", F.unhex(F.sha2("_tri", 256)).alias("_sig"), F.floor(F.length("_tri") / 3).cast("int").alias("_n"), "_tri"), "trigrams")
+    texts = staged(_trigram_sets(events, id_col, text_col, group_col), "trigrams")
     linked = texts.where("_g is not null and _n > 0")
-    # classes in the order of their sizes, dealt to blocks
     classes = linked.groupBy("_g", "_sig", "_n").agg(F.count("*").alias("_k"), F.min("_id").alias("_class"))
     classes = staged(classes, "classes")
-    before = Window.partitionBy("_g").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = classes.groupBy("_g", "_n").agg(F.count("*").alias("_c")).withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-    sizes = staged(sizes, "class-sizes")
-    number = lambda place: F.floor((F.col("_before") + place) / F.lit(block))
-    blocks = sizes.select("_g", "_n", F.explode(F.sequence(number(F.lit(0)), number(F.col("_c") - 1))).alias("_own")) \
-        .groupBy("_g", "_own").agg(F.min("_n").alias("lo"), F.max("_n").alias("hi"))
-    a = blocks.select("_g", F.col("_own").alias("_i"), "hi")
-    b = blocks.select("_g", F.col("_own").alias("_j"), "lo")
-    met = a.join(b, "_g").where((F.col("_i") <= F.col("_j")) & (F.col("hi") * DEN > F.col("lo") * NUM)).select(
-        "_g", "_i", "_j", F.explode(F.array_distinct(F.array("_i", "_j"))).alias("_own"))
-    met = staged(met.groupBy("_g", "_own").agg(F.collect_list(F.struct("_i", "_j")).alias("_met")), "class-blocks")
     # one text per class, sent to the blocks its own is compared with
-    sent = linked.groupBy("_g", "_sig", "_n").agg(F.count("*").alias("_k"), F.first("_tri").alias("_tri")).join(sizes, ["_g", "_n"]) \
-        .withColumn("_own", number(F.pmod(F.xxhash64("_sig"), F.col("_c")))).join(met, ["_g", "_own"]) \
-        .select("_g", "_own", "_sig", "_n", "_k", "_tri", F.inline("_met"))
+    sent = _dealt(linked.groupBy("_g", "_sig", "_n").agg(F.count("*").alias("_k"), F.first("_tri").alias("_tri")),
+                  classes.groupBy("_g", "_n").agg(F.count("*").alias("_c")), block, "_sig")
     group = dict(sent.dtypes)["_g"]
     links = sent.groupBy("_g", "_i", "_j").applyInArrow(_block_links, f"_g {group}, _sig binary, _links bigint") \
         .groupBy("_g", "_sig").agg(F.sum("_links").alias("_links"))

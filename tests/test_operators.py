@@ -7,11 +7,13 @@ import math
 import random
 from decimal import ROUND_HALF_EVEN, Decimal
 
+import duckdb
 from pyspark.sql import functions as F
 
 from histevents.functions import scalars as S
 from histevents.functions import text as T
 from histevents.operators import cycles, dedupe, detect, stats, validate
+from histevents.plans import registry as E
 from histevents.plans.catalog import raw_events
 from tests.conftest import SF_SMALL, one
 
@@ -60,6 +62,52 @@ def _pairs_key(row):
     return tuple(-1 if x is None else x for x in row)
 
 
+def _odd_texts(rnd):
+    """Rows (id, text, group): copies, near copies and others, some ids repeated or
+    null, some texts and groups null or empty."""
+    words = ["".join(rnd.choices("abcdeéñ中𝄞", k=rnd.randint(1, 7))) for _ in range(60)]
+    rows = [(None, "word one", "s"), (1, None, "s"), (2, "", "s"), (3, " .-", "t"), (4, "same words", None), (5, "same words", None)]
+    for i in range(10, 70):
+        text = rnd.sample(words, rnd.randint(1, 25))
+        rows += [(i, " ".join(text), rnd.choice("st")), (1000 + i % 50, " ".join(text + rnd.sample(words, 1)).upper(), rnd.choice("st"))]
+    rows += [(rnd.choice([None, *range(200, 230)]), " ".join(words[:20]), "s") for _ in range(40)]
+    return rows + [(300 + i, " ".join(words[:20] + words[30 + i:31 + i]), "s") for i in range(5)]
+
+
+def _pairs_by_hand(rows, sets):
+    return sorted((i, j) for (i, _, g), t in zip(rows, sets) for (j, _, h), u in zip(rows, sets)
+                  if None not in (i, j, g) and i < j and g == h and 5 * len(t & u) > 4 * len(t | u))
+
+
+def test_pairs_of_long_texts_equal_direct(spark):
+    """Small blocks, a class dealt to several rows, copies, repeated and null ids:
+    every pair as often as the direct comparison finds it; ids of another type."""
+    rows = _odd_texts(random.Random(6))
+    ev = spark.createDataFrame(rows, "id long, title string, year string")
+    sets = [frozenset(r.t or ()) for r in ev.select(T.trigrams("title").alias("t")).collect()]
+    want = _pairs_by_hand(rows, sets)
+    assert len(want) > 500 and len(set(want)) < len(want)
+    assert _pairs(dedupe.near_duplicate_text_pairs(ev)) == want
+    assert _pairs(dedupe.near_duplicate_text_pairs(ev, block=7, unit=3)) == want
+    named = dedupe.near_duplicate_text_pairs(ev.withColumn("id", F.concat(F.lit("n"), "id")), unit=5)
+    assert _pairs(named) == _pairs_by_hand([(i if i is None else f"n{i}", x, g) for i, x, g in rows], sets)
+
+
+def test_document_near_duplicates_lists_pairs(spark, tmp_dir):
+    """The query names which documents are alike, not only how many: every pair of
+    one source, copies and near copies."""
+    rows = _odd_texts(random.Random(7))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    sets = [frozenset(r.t or ()) for r in docs.select(T.trigrams("text").alias("t")).collect()]
+    found = E.queries()["document_near_duplicates"](spark, tmp_dir)
+    assert found.columns == ["id", "duplicate_id"]
+    assert _pairs(found) == _pairs_by_hand(rows, sets)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_dir}/documents.parquet/*.parquet')")
+    assert _pairs(found) == sorted(con.execute(E.oracle_sql()["document_near_duplicates"]).fetchall())
+
+
 def test_prefix_join_random_titles(spark):
     rnd = random.Random(3)
     words = ["war", "treaty", "crisis", "market", "crash", "new", "york", "peace", "deal", "signed"]
