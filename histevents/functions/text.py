@@ -301,7 +301,7 @@ def trigrams(text) -> Column:
 
 def _trigram_text(padded: pd.Series) -> pd.Series:
     def one(text: str | None) -> str | None:
-        if text is None:
+        if not (text and text.strip(" ")):  # no word
             return None
         c = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
         # a window over the end of a word has blanks in its last two places, a word's own never
@@ -315,7 +315,8 @@ def trigram_text(text) -> Column:
     """The ``trigrams`` in code point order as one string, three characters each;
     null if there is none."""
     words = F.array_distinct(F.filter(F.split(F.lower(_c(text)), r"[^\p{L}\p{N}]+", -1), lambda w: w != ""))
-    padded = F.when(F.size(words) > 0, F.concat(F.lit("  "), F.array_join(words, "   "), F.lit(" ")))
+    # no condition on the words: they would be made twice
+    padded = F.concat(F.lit("  "), F.array_join(words, "   "), F.lit(" "))
     return F.pandas_udf(_trigram_text, "string")(padded)
 
 

@@ -344,10 +344,12 @@ def _block_pairs(key: tuple[pa.Scalar, ...], rows: Iterator[pa.RecordBatch]) ->
 
     if first == second:
         several = np.flatnonzero(k > 1)
-        yield from listed(several, several)
+        if len(several):
+            yield from listed(several, several)
     for a, b, hit in _similar_rows(t, first, second):
         x, y = np.nonzero(hit)
-        yield from listed(a[x], b[y])
+        if len(x):
+            yield from listed(a[x], b[y])
 
 
 def _dealt(rows: DataFrame, sizes: DataFrame, block: int, *name: str) -> DataFrame:
@@ -384,11 +386,12 @@ def near_duplicate_text_pairs(events: DataFrame, id_col: str = "id", text_col: s
     has about ``block`` texts however many are equal."""
     block, unit = block or CLASS_BLOCK, unit or UNIT
     texts = _trigram_sets(events, id_col, text_col, group_col)
-    texts = staged(texts.where("_id is not null and _g is not null and _n > 0"), "trigrams")
+    texts = texts.where("_id is not null and _g is not null and _n > 0")
+    texts = staged(texts.withColumn("_row", F.monotonically_increasing_id()), "trigrams")
     classes = staged(texts.groupBy("_g", "_sig", "_n").agg(F.count("*").alias("_k")), "classes")
     large = staged(classes.where(F.col("_k") > unit).select("_g", "_sig", F.ceil(F.col("_k") / F.lit(unit)).alias("_units")), "large-classes")
     units = texts.join(large, ["_g", "_sig"], "left") \
-        .withColumn("_unit", F.pmod(F.xxhash64("_id"), F.coalesce("_units", F.lit(1)))) \
+        .withColumn("_unit", F.pmod("_row", F.coalesce("_units", F.lit(1)))) \
         .groupBy("_g", "_sig", "_n", "_unit").agg(F.first("_tri").alias("_tri"), F.collect_list("_id").alias("_ids"))
     sent = _dealt(units, classes.groupBy("_g", "_n").agg(F.sum("_k").alias("_c")), block, "_sig", "_unit")
     kind = dict(texts.dtypes)["_id"]
